@@ -1,13 +1,15 @@
-"""Attribute templates, turned into Spark columns while planning."""
+"""Attribute templates as Spark SQL text, made while the plan is built.
+
+Everything in ``functions`` takes and returns SQL expression text, for use in
+``F.expr`` and ``selectExpr``.
+"""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from typing import Protocol
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 PLACEHOLDER = re.compile(r"\$\{([^}]*)\}")
 SQL_PREFIX = "sql:"
 
@@ -17,31 +19,51 @@ class TemplateError(ValueError):
 
 
 class Scope(Protocol):
-    """Where a template finds its values."""
+    """Where a template finds its values, as SQL text."""
 
-    def attr(self, name: str) -> Column: ...
+    def attr(self, name: str) -> str: ...
 
-    def attr_sql(self, name: str) -> str: ...
+    def attr_column(self, name: str) -> str: ...
 
-    def attrs_sql(self) -> str: ...
+    def attrs(self) -> str: ...
 
 
 class MapScope:
     """Attributes straight from the ``attrs`` map column."""
 
-    def attr(self, name: str) -> Column:
-        return F.col("attrs")[name]
+    def attr(self, name: str) -> str:
+        return f"attrs[{lit(name)}]"
 
-    def attr_sql(self, name: str) -> str:
-        return f"attrs[{sql_text(name)}]"
+    attr_column = attr
 
-    def attrs_sql(self) -> str:
+    def attrs(self) -> str:
         return "attrs"
 
 
-def sql_text(value: str) -> str:
-    """A Python text as a SQL literal."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def lit(value: str | int | bool | None, kind: str = "string") -> str:
+    """A Python value as a SQL literal; ``$`` is masked from variable substitution."""
+    if value is None:
+        return f"cast(null as {kind})"
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, int):
+        return str(value)
+    text = value.replace("\\", "\\\\").replace("'", "\\'").replace("$", "\\u0024")
+    return f"'{text}'"
+
+
+def lits(values: Iterable[str | int]) -> str:
+    return ", ".join(map(lit, values))
+
+
+def case(cases: Iterable[tuple[str, str]], default: str = "null") -> str:
+    """``CASE`` over (condition, value) pairs; the default alone if there are none."""
+    whens = " ".join(f"when {on} then {value}" for on, value in cases)
+    return f"case {whens} else {default} end" if whens else default
+
+
+def concat(*parts: str) -> str:
+    return f"concat({', '.join(parts)})"
 
 
 def is_fixed(template: str) -> bool:
@@ -55,7 +77,7 @@ def _name(raw: str) -> str:
     return name
 
 
-def render(template: str, scope: Scope | None = None) -> Column:
+def render(template: str, scope: Scope | None = None) -> str:
     """``${name}`` becomes the attribute (empty if absent).
 
     A template that starts with ``sql:`` is a Spark SQL expression. In it
@@ -66,17 +88,16 @@ def render(template: str, scope: Scope | None = None) -> Column:
     if template.startswith(SQL_PREFIX):
         body = template[len(SQL_PREFIX):]
         if re.search(r"\battrs\b", body):
-            whole = scope.attrs_sql()
+            whole = scope.attrs()
             body = re.sub(r"\battrs\b", lambda _: whole, body)
-        body = PLACEHOLDER.sub(lambda m: scope.attr_sql(_name(m.group(1))), body)
-        return F.expr(body).cast("string")
-    parts: list[Column] = []
+        return f"cast(({PLACEHOLDER.sub(lambda m: scope.attr_column(_name(m.group(1))), body)}) as string)"
+    parts: list[str] = []
     at = 0
     for m in PLACEHOLDER.finditer(template):
         if m.start() > at:
-            parts.append(F.lit(template[at:m.start()]))
-        parts.append(F.coalesce(scope.attr(_name(m.group(1))), F.lit("")))
+            parts.append(lit(template[at:m.start()]))
+        parts.append(f"coalesce({scope.attr(_name(m.group(1)))}, '')")
         at = m.end()
     if at < len(template) or not parts:
-        parts.append(F.lit(template[at:]))
-    return parts[0] if len(parts) == 1 else F.concat(*parts)
+        parts.append(lit(template[at:]))
+    return parts[0] if len(parts) == 1 else concat(*parts)

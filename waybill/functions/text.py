@@ -1,68 +1,76 @@
-"""Text and code functions."""
+"""Text and code functions, as SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
+from waybill.functions.render import concat, lit
 
-def status_code(protocol: Column, code: Column) -> Column:
+
+def status_code(protocol: str, code: str) -> str:
     """Protocol ``XI`` knows only 200; every other protocol keeps the code."""
-    return F.when(protocol == "XI", F.when(code == "200", F.lit("XI_OK"))).otherwise(code)
+    return f"case when {protocol} = 'XI' then case when {code} = '200' then 'XI_OK' end else {code} end"
 
 
-def literal_replacement(text: Column) -> Column:
+def literal_replacement(text: str) -> str:
     """A replacement with ``$`` before a non-digit is taken as plain text."""
-    quoted = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$"))
-    return F.when(text.rlike(r"\$\D"), quoted).otherwise(text)
+    dollar, slash = lit("$"), lit("\\")
+    quoted = f"replace(replace({text}, {slash}, {lit(chr(92) * 2)}), {dollar}, {lit(chr(92) + '$')})"
+    return f"case when {text} rlike {lit(r'\$\D')} then {quoted} else {text} end"
 
 
-def replace_text(content: Column, pattern: Column, replacement: Column) -> Column:
+def replace_text(content: str, pattern: str, replacement: str) -> str:
     """Replace every match; null where the pattern or a group is not legal.
 
     The pattern may differ by row, so a bad one must not end the job.
     """
-    replaced = F.try_reflect(
-        F.lit("org.apache.commons.lang3.RegExUtils"), F.lit("replaceAll"),
-        content, pattern, literal_replacement(replacement),
-    )
-    known = content.isNotNull() & pattern.isNotNull() & replacement.isNotNull()
-    return F.when(known, replaced)
+    call = f"try_reflect('org.apache.commons.lang3.RegExUtils', 'replaceAll', {content}, {pattern}, {literal_replacement(replacement)})"
+    known = f"{content} is not null and {pattern} is not null and {replacement} is not null"
+    return f"case when {known} then {call} end"
 
 
-def replacement_problem(spark: SparkSession, pattern: str, replacement: str | None) -> str | None:
-    """Check a fixed pattern and replacement once, on the driver."""
+def pattern_problem(spark: SparkSession, pattern: str, replacement: str | None = None) -> str | None:
+    """Check a fixed pattern, and a replacement with it, once, on the driver."""
     regex = spark._jvm.java.util.regex.Pattern
     try:
-        compiled = regex.compile(pattern)
+        regex.compile(pattern)
         if replacement is not None:
             if regex.compile(r"\$\D").matcher(replacement).find():
                 replacement = spark._jvm.java.util.regex.Matcher.quoteReplacement(replacement)
             # One alternative that always matches keeps the groups of the pattern.
-            probe = regex.compile(f"(?:{pattern})|^") if compiled else None
-            probe.matcher("").replaceAll(replacement)
+            regex.compile(f"(?:{pattern})|^").matcher("").replaceAll(replacement)
     except Exception as e:  # noqa: BLE001 - any Java exception is the finding
         cause = getattr(e, "java_exception", None)
-        return cause.toString().split("\n")[0] if cause is not None else str(e)
+        return cause.toString() if cause is not None else str(e)
     return None
 
 
-def wrap_root(content: Column, tag: str = "root") -> Column:
+def wrap_root(content: str, tag: str = "root") -> str:
     """Put the content inside one element."""
-    return F.concat(F.lit(f"<{tag}>"), content, F.lit(f"</{tag}>"))
+    return concat(lit(f"<{tag}>"), content, lit(f"</{tag}>"))
 
 
 # Fixed value: the SOAP 1.1 envelope namespace.
 SOAP_NS = "http://schemas.xmlsoap.org/soap/envelope/"
 
 
-def soap_envelope(content: Column) -> Column:
+def soap_envelope(content: str) -> str:
     """Put the content inside the body of a SOAP envelope."""
     head = f'<soapenv:Envelope xmlns:soapenv="{SOAP_NS}"><soapenv:Body>'
-    return F.concat(F.lit(head), content, F.lit("</soapenv:Body></soapenv:Envelope>"))
+    return concat(lit(head), content, lit("</soapenv:Body></soapenv:Envelope>"))
 
 
-def remove_envelope(content: Column) -> Column:
+def remove_envelope(content: str) -> str:
     """Body of a SOAP envelope; content without one stays as it is."""
-    body = F.regexp_extract(content, r"(?s)<(?:[\w.-]+:)?Body(?:\s[^>]*)?>(.*)</(?:[\w.-]+:)?Body\s*>", 1)
-    return F.coalesce(F.nullif(F.trim(body), F.lit("")), content)
+    body = r"(?s)<(?:[\w.-]+:)?Body(?:\s[^>]*)?>(.*)</(?:[\w.-]+:)?Body\s*>"
+    return f"coalesce(nullif(trim(regexp_extract({content}, {lit(body)}, 1)), ''), {content})"
+
+
+def decoded(binary: str, charset: str = "UTF-8") -> str:
+    """Bytes as text in a named charset."""
+    return f"decode({binary}, {lit(charset)})"
+
+
+def filled(value: str) -> str:
+    """Null for an empty text."""
+    return f"nullif({value}, '')"

@@ -6,10 +6,11 @@ import json
 from xml.parsers import expat
 
 import pandas as pd
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from waybill.functions.render import lit
 from waybill.functions.xpath import strip_declaration
 from waybill.session import shared_file
 
@@ -37,31 +38,32 @@ def schema_problem(spark: SparkSession, xsd: str) -> str | None:
     return None
 
 
-def valid_xml(content: Column, xsd_path: str) -> Column:
+def valid_xml(content: str, xsd_path: str) -> str:
     """True where the content is valid against the schema file; null is not."""
-    options = {"columnNameOfCorruptRecord": "bad", "rowValidationXSDPath": xsd_path}
-    return content.isNotNull() & F.from_xml(content, "bad string", options)["bad"].isNull()
+    options = f"map('columnNameOfCorruptRecord', 'bad', 'rowValidationXSDPath', {lit(xsd_path)})"
+    return f"({content} is not null and from_xml({content}, 'bad string', {options}).bad is null)"
 
 
-def well_formed(spark: SparkSession, content: Column) -> Column:
+def well_formed(spark: SparkSession, content: str) -> str:
     """True where the content is one well-formed element, with no Python involved.
 
     The content is validated inside a wrapper element. Colons are masked, for
     undeclared prefixes are fine here. Document types are refused.
     """
-    masked = F.translate(strip_declaration(content), ":", "·")
-    wrapped = F.concat(F.lit("<w>"), masked, F.lit("</w>"))
-    return content.isNotNull() & valid_xml(wrapped, schema_file(spark, ONE_ELEMENT_XSD))
+    wrapped = f"concat('<w>', translate({strip_declaration(content)}, ':', '·'), '</w>')"
+    return f"({content} is not null and {valid_xml(wrapped, schema_file(spark, ONE_ELEMENT_XSD))})"
 
 
-def root_name(content: Column) -> Column:
-    return F.call_function("xpath_string", content, F.lit("name(/*)"))
+def root_name(content: str) -> str:
+    return f"xpath_string({content}, 'name(/*)')"
 
 
-def compact_json(content: Column) -> Column:
+def compact_json(content: str) -> str:
     """Objects by element name: repeats become arrays, attributes keys, scalars typed."""
-    body = F.to_json(F.from_xml(content, "variant", {"attributePrefix": "", "valueTag": "content"}))
-    return F.concat(F.lit('{"'), root_name(content), F.lit('":'), F.coalesce(body, F.lit("null")), F.lit("}"))
+    options = "map('attributePrefix', '', 'valueTag', 'content')"
+    # Code generation does not cover XML to variant; a one-element array keeps it out.
+    body = f"transform(array({content}), c -> to_json(from_xml(c, 'variant', {options})))[0]"
+    return f"""concat('{{"', {root_name(content)}, '":', coalesce({body}, 'null'), '}}')"""
 
 
 def _ordered(text: str) -> str | None:

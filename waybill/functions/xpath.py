@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
+
+from waybill.functions.render import lit
 
 
 # Not allowed in any XML document, so it cannot occur in a value.
@@ -103,12 +104,12 @@ def xpath_problem(spark: SparkSession, path: str, nodes: bool) -> str | None:
     return None
 
 
-def xpath_scalar(content: Column, path: str) -> Column:
+def xpath_scalar(content: str, path: str) -> str:
     """Text result of an expression relative to the root element."""
-    return F.call_function("xpath_string", content, F.lit(from_root(path)))
+    return f"xpath_string({content}, {lit(from_root(path))})"
 
 
-def xpath_packed(content: Column, paths: list[str], nodes: int = NODE_COUNT) -> Column:
+def xpath_packed(content: str, paths: list[str], nodes: int = NODE_COUNT) -> str:
     """For each path its node count and first ``nodes`` values, in one text."""
     parts = []
     for path in paths:
@@ -116,35 +117,29 @@ def xpath_packed(content: Column, paths: list[str], nodes: int = NODE_COUNT) ->
         parts.append(f"count({rooted})")
         parts.extend(f"({rooted})[{i}]" for i in range(1, nodes + 1))
     expr = "concat(" + f",'{SEPARATOR}',".join(parts) + ")"
-    return F.call_function("xpath_string", content, F.lit(expr))
+    return f"xpath_string({content}, {lit(expr)})"
 
 
-def packed_values(packed: Column, content: Column, path: str, index: int, nodes: int = NODE_COUNT) -> Column:
+def packed_values(packed: str, content: str, path: str, index: int, nodes: int = NODE_COUNT) -> str:
     """Values of the path at ``index`` of a packed text, as an array.
 
     Beyond ``nodes`` values the rest is read in further rounds of ``nodes``.
     Each round puts the document in an element that carries the round's first
     position, because the path itself has to stay a literal.
     """
-    fields = F.split(packed, SEPARATOR, -1)
+    fields = f"split({packed}, {lit(SEPARATOR)}, -1)"
     base = index * (nodes + 1)
-    found = F.get(fields, F.lit(base)).cast("int")
-    first = F.slice(fields, F.lit(base + 2), F.least(found, F.lit(nodes)))
-    return F.when(found <= nodes, first).otherwise(F.concat(first, _rest(content, path, found, nodes)))
+    found = f"cast({fields}[{base}] as int)"
+    first = f"slice({fields}, {base + 2}, least({found}, {nodes}))"
+    return f"case when {found} <= {nodes} then {first} else concat({first}, {_rest(content, path, found, nodes)}) end"
 
 
-def _rest(content: Column, path: str, found: Column, nodes: int) -> Column:
+def _rest(content: str, path: str, found: str, nodes: int) -> str:
     inner = from_root(path, root="/w/*", top="/w")
     picks = f",'{SEPARATOR}',".join(f"({inner})[position()=/w/@i+{i}]" for i in range(1, nodes + 1))
-    expr = f"concat({picks})"
-    body = strip_declaration(content)
-
-    def read(offset: Column) -> Column:
-        wrapped = F.concat(F.lit('<w i="'), offset.cast("string"), F.lit('">'), body, F.lit("</w>"))
-        values = F.split(F.call_function("xpath_string", wrapped, F.lit(expr)), SEPARATOR, -1)
-        return F.slice(values, F.lit(1), F.least(found - offset, F.lit(nodes)))
-
-    return F.flatten(F.transform(F.sequence(F.lit(nodes), found - 1, F.lit(nodes)), read))
+    wrapped = f"""concat('<w i="', i, '">', {strip_declaration(content)}, '</w>')"""
+    values = f"split(xpath_string({wrapped}, {lit(f'concat({picks})')}), {lit(SEPARATOR)}, -1)"
+    return f"flatten(transform(sequence({nodes}, {found} - 1, {nodes}), i -> slice({values}, 1, least({found} - i, {nodes}))))"
 
 
 # Fixed value: an XML 1.0 declaration at the very start of a document.
@@ -155,6 +150,6 @@ DECLARATION = (
 )
 
 
-def strip_declaration(content: Column) -> Column:
-    return F.regexp_replace(content, F.lit(DECLARATION), F.lit(""))
+def strip_declaration(content: str) -> str:
+    return f"regexp_replace({content}, {lit(DECLARATION)}, '')"
 

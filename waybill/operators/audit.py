@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from waybill.functions.render import concat, lit
 from waybill.operators.lookup import receiver_lookup, request_uri, sender
 
 if TYPE_CHECKING:
@@ -17,6 +17,11 @@ EVENT = (
     "derivation:string,seen:map<string,string>>>"
 )
 
+# ``message/target/path/copy`` of a row; the same in every run.
+ROW_LINEAGE = (
+    "concat_ws('/', msg_id, coalesce(cast(p.tpos as string), '-'), coalesce(cast(p.path as string), '-'), concat('0', copy))"
+)
+
 # Attributes an event shows as they were when it happened.
 AUDIT_KEYS = (
     "filename", "path", "http.query.param.senderService", "http.request.uri",
@@ -32,80 +37,67 @@ UNKNOWN_POSITION = "unknow"
 
 def audit_rows(wave: Wave, receivers: DataFrame, host: str, specification_base: str) -> DataFrame:
     """One row per event of every row of the wave."""
-    from waybill.plans.routing import row_lineage
-
     later = [k for k in AUDIT_KEYS if k not in wave.snapshot]
-    df = wave.df.select(
-        "msg_id", row_lineage().alias("lineage"),
-        *[wave.slots.column(k).alias(f"v{AUDIT_KEYS.index(k)}") for k in later],
-        F.explode("events").alias("e"),
+    df = wave.df.selectExpr(
+        "msg_id", f"{ROW_LINEAGE} as lineage",
+        *[f"{wave.slots.column(k)} as v{AUDIT_KEYS.index(k)}" for k in later],
+        "explode(events) as e",
     )
 
-    def attr(key: str) -> Column:
-        if key in wave.snapshot:
-            return F.col("e.seen")[key]
-        return F.col(f"v{AUDIT_KEYS.index(key)}")
+    def attr(key: str) -> str:
+        return f"e.seen[{lit(key)}]" if key in wave.snapshot else f"v{AUDIT_KEYS.index(key)}"
 
-    df = df.select(
-        "msg_id", "lineage", "e",
-        attr("filename").alias("file_name"), attr("path").alias("path_attr"),
-        request_uri(attr).alias("request_url"), sender(attr).alias("sender"),
-        attr("Receiver").alias("own_receiver"), attr("business.process.name").alias("business_process"),
+    df = df.selectExpr(
+        "msg_id", "lineage", "e", "e.entry_type = 'processing' as working",
+        f"{attr('filename')} as file_name", f"{attr('path')} as path_attr",
+        f"{request_uri(attr)} as request_url", f"{sender(attr)} as sender",
+        f"{attr('Receiver')} as own_receiver", f"{attr('business.process.name')} as business_process",
     )
-    df = receiver_lookup(df, receivers, F.col("request_url"), F.col("own_receiver"))
-    working = F.col("e.entry_type") == "processing"
-    return df.select(
-        "msg_id", "lineage",
-        F.col("e.entry_type").alias("entry_type"), F.col("e.step").alias("step"),
-        F.when(working, F.coalesce(F.col("e.path"), F.lit(UNKNOWN_POSITION))).alias("path"),
-        F.when(working, F.coalesce(F.col("e.stage"), F.lit(UNKNOWN_POSITION))).alias("stage"),
-        "file_name", "path_attr", short_message().alias("short_message"),
-        F.lit(host).alias("host"), F.lit(GROUP_NAME).alias("facility"),
-        F.lit(GROUP_ID).alias("group_id"), F.lit(GROUP_NAME).alias("group_name"), F.lit(LEVEL).alias("level"),
+    df = receiver_lookup(df, receivers, "request_url", "own_receiver")
+    group = f"'{GROUP_NAME}'"
+    return df.selectExpr(
+        "msg_id", "lineage", "e.entry_type as entry_type", "e.step as step",
+        f"case when working then coalesce(e.path, '{UNKNOWN_POSITION}') end as path",
+        f"case when working then coalesce(e.stage, '{UNKNOWN_POSITION}') end as stage",
+        "file_name", "path_attr", f"{short_message()} as short_message", f"{lit(host)} as host",
+        f"{group} as facility", f"'{GROUP_ID}' as group_id", f"{group} as group_name", f"'{LEVEL}' as level",
         "request_url", "sender", "receiver", "business_process",
-        F.concat(F.lit(specification_base), F.coalesce("business_process", F.lit("null"))).alias("specification"),
-        F.col("e.derivation").alias("derivation"),
-        F.when(~working, F.lit(1)).alias("log_start"), F.when(~working, F.lit(0)).alias("log_success"),
+        f"concat({lit(specification_base)}, coalesce(business_process, 'null')) as specification",
+        "e.derivation as derivation",
+        "case when not working then 1 end as log_start", "case when not working then 0 end as log_success",
     )
 
 
-def short_message() -> Column:
+def short_message() -> str:
     """The sentence of an audit record (fixed wording)."""
-    null = F.lit("null")
-    return F.concat(
-        F.lit(f"Сообщение в [{GROUP_NAME}] c filename ["), F.coalesce("file_name", null),
-        F.lit("], бизнес-процесс ["), F.coalesce("business_process", null),
-        F.lit("], отправитель ["), F.col("sender"),
-        F.lit("], получатель ["), F.col("receiver"), F.lit("]"),
+    return concat(
+        lit(f"Сообщение в [{GROUP_NAME}] c filename ["), "coalesce(file_name, 'null')",
+        lit("], бизнес-процесс ["), "coalesce(business_process, 'null')",
+        lit("], отправитель ["), "sender", lit("], получатель ["), "receiver", lit("]"),
     )
 
 
 def audit_message(audit: DataFrame) -> DataFrame:
     """Audit rows as JSON text, with the field names of the log format."""
-    start = F.col("entry_type") == "start"
-    fields = F.struct(
-        F.col("file_name").alias("_fileName"), F.col("path_attr").alias("path"), "short_message", "host", "facility",
-        F.col("group_id").alias("_groupId"), "level", F.col("group_name").alias("_groupName"),
-        F.col("lineage").alias("_messageUuid"), F.col("request_url").alias("_requestUrl"),
-        F.col("sender").alias("_sender"), F.col("receiver").alias("_receiver"), F.col("entry_type").alias("_entryType"),
-        F.col("log_start").alias("_LogStart"), F.col("log_success").alias("_LogSuccess"),
-        F.col("business_process").alias("_businessProcess"), "specification",
-        F.when(start, F.col("derivation")).alias("derivation"),
-        F.col("step").alias("transformationEntity"), F.col("path").alias("transformationPath"),
-        F.col("stage").alias("transformationStage"),
-    )
-    return audit.select("msg_id", "lineage", F.to_json(fields).alias("message"))
+    fields = {
+        "_fileName": "file_name", "path": "path_attr", "short_message": "short_message", "host": "host",
+        "facility": "facility", "_groupId": "group_id", "level": "level", "_groupName": "group_name",
+        "_messageUuid": "lineage", "_requestUrl": "request_url", "_sender": "sender", "_receiver": "receiver",
+        "_entryType": "entry_type", "_LogStart": "log_start", "_LogSuccess": "log_success",
+        "_businessProcess": "business_process", "specification": "specification", "derivation": "derivation",
+        "transformationEntity": "step", "transformationPath": "path", "transformationStage": "stage",
+    }
+    body = ", ".join(f"'{name}', {column}" for name, column in fields.items())
+    return audit.selectExpr("msg_id", "lineage", f"to_json(named_struct({body})) as message")
 
 
 def lineage_rows(wave: Wave) -> DataFrame:
     """``clone`` from a message to each target row, ``modified`` from there to each path result."""
-    from waybill.plans.routing import row_lineage
-
-    on_path = (F.col("p.kind") == "path") & ~F.col("reply")
-    target = F.concat_ws("/", "msg_id", F.col("p.tpos").cast("string"))
-    original = F.col("copy").rlike(r"^(\.0)*$")
-    clone = F.when(original & (F.col("p.path") == 0) & F.col("first"), F.struct(
-        F.col("msg_id").alias("parent_id"), target.alias("child_id"), F.lit("clone").alias("kind")))
-    changed = F.struct(target.alias("parent_id"), row_lineage().alias("child_id"), F.lit("modified").alias("kind"))
-    edges = F.when(on_path, F.filter(F.array(clone, changed), lambda e: e.isNotNull()))
-    return wave.df.select(F.explode(edges).alias("e")).select("e.parent_id", "e.child_id", "e.kind")
+    target = "concat_ws('/', msg_id, p.tpos)"
+    original = f"copy rlike {lit(r'^(\.0)*$')} and p.path = 0 and first"
+    edges = (
+        f"concat(filter(array(named_struct('parent_id', msg_id, 'child_id', {target}, 'kind', 'clone')), e -> {original}),"
+        f" array(named_struct('parent_id', {target}, 'child_id', {ROW_LINEAGE}, 'kind', 'modified')))"
+    )
+    rows = wave.df.selectExpr(f"explode(case when p.kind = 'path' and not reply then {edges} end) as e")
+    return rows.selectExpr("e.parent_id", "e.child_id", "e.kind")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.functions.render import render
+from waybill.functions.render import case, concat, lit, render
+from waybill.functions.text import decoded, filled
 from waybill.plans.context import merged
 from waybill.session import BROADCAST_BYTES, lookup_join, measured_bytes
 
@@ -14,48 +17,41 @@ NO_SENDER = "Не указан"
 NO_RECEIVER = "Не определен"
 
 
-def filled(value: Column) -> Column:
-    """Null for an empty text."""
-    return F.nullif(value, F.lit(""))
-
-
 def route_lookup(df: DataFrame, routes: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Add ``process`` and ``doc``; a miss carries the error text and status 501."""
-    keyed = df.withColumn("process", F.col("attrs")["business.process.name"])
+    keyed = df.withColumn("process", F.expr("attrs['business.process.name']"))
     joined = lookup_join(keyed, routes.select("process", "doc"), "process", limit=limit, salt_by=F.col("msg_id"))
-    missing = filled(F.col("doc")).isNull()
-    return joined.withColumn("iflow_error", F.when(missing, not_found(F.col("process")))).withColumn(
-        "status_code", F.when(missing, F.lit("501"))
-    )
+    missing = f"{filled('doc')} is null"
+    return joined.withColumns({
+        "iflow_error": F.expr(f"case when {missing} then {not_found('process')} end"),
+        "status_code": F.expr(f"case when {missing} then '501' end"),
+    })
 
 
-def not_found(process: Column) -> Column:
-    return F.concat(F.lit("iFlow named:"), F.coalesce(process, F.lit("null")), F.lit(" not found!"))
+def not_found(process: str) -> str:
+    return concat(lit("iFlow named:"), f"coalesce({process}, 'null')", lit(" not found!"))
 
 
-def request_uri(attr) -> Column:
+def request_uri(attr: Callable[[str], str]) -> str:
     """The request URI, or the interface name behind the shared endpoint."""
     uri = attr("http.request.uri")
-    return F.when(uri == "/sap/xi", attr("sap.Interface.value")).otherwise(uri)
+    return f"case when {uri} = '/sap/xi' then {attr('sap.Interface.value')} else {uri} end"
 
 
-def sender(attr) -> Column:
-    return F.coalesce(filled(attr("http.query.param.senderService")), F.lit(NO_SENDER))
+def sender(attr: Callable[[str], str]) -> str:
+    return f"coalesce({filled(attr('http.query.param.senderService'))}, {lit(NO_SENDER)})"
 
 
-def receiver_lookup(
-    df: DataFrame, receivers: DataFrame, uri: Column, own: Column, limit: int = BROADCAST_BYTES
-) -> DataFrame:
+def receiver_lookup(df: DataFrame, receivers: DataFrame, uri: str, own: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Add ``receiver`` by URI; the value ``attribute`` means the row's own receiver."""
-    renamed = receivers.select(F.col("uri").alias("__uri"), F.col("receiver").alias("__found"))
-    joined = lookup_join(df.withColumn("__uri", uri), renamed, "__uri", limit=limit)
-    value = F.when(F.col("__found") == "attribute", own).otherwise(F.col("__found"))
-    return joined.withColumn("receiver", F.coalesce(filled(value), F.lit(NO_RECEIVER))).drop("__uri", "__found")
+    renamed = receivers.selectExpr("uri as __uri", "receiver as __found")
+    joined = lookup_join(df.withColumn("__uri", F.expr(uri)), renamed, "__uri", limit=limit, salt_by=F.col("msg_id"))
+    value = f"case when __found = 'attribute' then {own} else __found end"
+    return joined.withColumn("receiver", F.expr(f"coalesce({filled(value)}, {lit(NO_RECEIVER)})")).drop("__uri", "__found")
 
 
-def split_keys(keys: Column) -> Column:
-    """Comma-separated keys: empty ones dropped, the others trimmed."""
-    return F.transform(F.filter(F.split(keys, ","), lambda k: k != ""), F.trim)
+# Fixed value: several keys can only be written to attributes.
+SEVERAL_KEYS = "java.io.IOException: Multiple Cache Value Identifiers specified without Put Cache Value In Attribute set"
 
 
 def multi_lookup(
@@ -77,46 +73,36 @@ def multi_lookup(
     blank or missing key. Each key position is one broadcast join, so the big
     table is not shuffled; ``most_keys`` saves the scan that counts positions.
     """
-    work = df.withColumn("__keys", split_keys(render(keys)))
-    if most_keys is None:
-        most_keys = work.agg(F.max(F.size("__keys"))).first()[0] or 0
-    text = F.decode("value", charset) if dict(values.dtypes)["value"] == "binary" else F.col("value")
-    table = values.select(F.col("key").alias("__k"), text.alias("__v"))
+    work = df.withColumn("__keys", F.expr(f"transform(filter(split({render(keys)}, ','), k -> k <> ''), k -> trim(k))"))
+    counted = work.agg(F.max(F.size("__keys"))).first()[0] if most_keys is None else most_keys
+    text = decoded("value", charset) if dict(values.dtypes)["value"] == "binary" else "value"
+    table = values.selectExpr("key as __k", f"{text} as __v")
     size = measured_bytes(table)
-    for i in range(most_keys):
-        side = table.select("__k", F.col("__v").alias(f"__v{i}"))
-        work = work.withColumn("__k", F.get("__keys", F.lit(i)))
+    positions = range(counted or 0)
+    for i in positions:
+        side = table.selectExpr("__k", f"__v as __v{i}")
+        work = work.withColumn("__k", F.expr(f"get(__keys, {i})"))
         work = lookup_join(work, side, "__k", size=size, limit=limit, salt_by=F.col("msg_id")).drop("__k")
-    count = F.size("__keys")
-    found = F.slice(F.array(*[F.col(f"__v{i}") for i in range(most_keys)]), F.lit(1), count) if most_keys else F.array().cast("array<string>")
-    work = work.withColumn("__found", found)
-    blank = F.exists("__keys", lambda k: k == "")
-    error = (
-        F.when(F.col("__keys").isNull() | blank, F.lit("no key to look up"))
-        .when(F.exists("__found", lambda v: v.isNull()), F.lit("not every key was found"))
-    )
+    found = f"array({', '.join(f'__v{i}' for i in positions)})"
+    problems = [
+        ("__keys is null or exists(__keys, k -> k = '')", lit("no key to look up")),
+        (f"size(__keys) > {counted or 0}", lit("more keys than positions")),
+        ("exists(__found, v -> v is null)", lit("not every key was found")),
+    ]
     if attribute is None:
-        error = error.when(count > 1, F.lit(
-            "java.io.IOException: Multiple Cache Value Identifiers specified without Put Cache Value In Attribute set"))
-    work = work.withColumn("error", error)
-    good = F.col("error").isNull()
+        problems.append(("size(__keys) > 1", lit(SEVERAL_KEYS)))
+    work = work.withColumn("__found", F.expr(f"slice(cast({found} as array<string>), 1, size(__keys))"))
+    work = work.withColumn("error", F.expr(case(problems, "cast(null as string)")))
     if attribute is None:
-        changed = work.withColumn("content", F.when(good & (count == 1), F.get("__found", F.lit(0))).otherwise(F.col("content")))
+        changed = work.withColumn("content", F.expr("case when error is null and size(__keys) = 1 then __found[0] else content end"))
     else:
         name = render(attribute)
-        several = F.map_from_entries(F.array_distinct(F.transform(
-            F.arrays_zip(F.col("__keys").alias("k"), F.col("__found").alias("v")),
-            lambda e: F.struct(F.concat(name, F.lit("."), e["k"]), F.substring(e["v"], 1, max_length)),
-        )))
-        one = F.create_map(name, F.substring(F.get("__found", F.lit(0)), 1, max_length))
-        new = F.when(good, F.when(count == 1, one).otherwise(several))
-        changed = work.withColumn("attrs", merged(F.col("attrs"), new))
+        one = f"map({name}, substring(__found[0], 1, {max_length}))"
+        # The same key twice gives the same entry twice.
+        several = (
+            "map_from_entries(array_distinct(transform(sequence(1, size(__keys)), i -> "
+            f"struct(concat({name}, '.', __keys[i - 1]), substring(__found[i - 1], 1, {max_length})))))"
+        )
+        new = f"case when error is null and size(__keys) > 0 then case when size(__keys) = 1 then {one} else {several} end end"
+        changed = work.withColumn("__new", F.expr(new)).withColumn("attrs", F.expr(merged("attrs", "__new")))
     return changed.select(*df.columns, "error")
-
-
-def transform_names(reshapes: DataFrame, most: int = 10_000) -> dict[str, tuple[str, str, str]]:
-    """The named structural transforms, read while the plan is built."""
-    rows = reshapes.select("name", "input_ddl", "expr", "root_tag").limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} transforms in the registry")
-    return {r["name"]: (r["input_ddl"], r["expr"], r["root_tag"]) for r in rows}

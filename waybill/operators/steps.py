@@ -9,11 +9,11 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.functions.render import is_fixed
-from waybill.functions.text import literal_replacement, remove_envelope, replace_text, replacement_problem
+from waybill.functions.render import concat, is_fixed, lit
+from waybill.functions.text import literal_replacement, pattern_problem, remove_envelope, replace_text
 from waybill.functions.xpath import NODE_COUNT, packed_values, xpath_packed, xpath_problem, xpath_scalar
 from waybill.plans.context import StepContext, StepError, merged
 
@@ -34,8 +34,8 @@ def register_step(name: str, fn: StepFunction | None = None):
 def hand_off(ctx: StepContext) -> None:
     """Any other name: parameters are stored as written and the path goes on."""
     for key, value in ctx.params.items():
-        ctx.set(key, F.lit(value))
-    ctx.set("xform.group", F.lit(ctx.step.name))
+        ctx.set(key, lit(value))
+    ctx.set("xform.group", lit(ctx.step.name))
 
 
 @register_step("SyncResponse")
@@ -52,27 +52,26 @@ def update_attribute(ctx: StepContext) -> None:
 @register_step("RouteOnAttribute")
 def route_on_attribute(ctx: StepContext) -> None:
     ctx.required("RoutingStrategy")
-    condition = ctx.render(ctx.required("Condition"))
-    dropped = condition == "false"
+    dropped = f"{ctx.render(ctx.required('Condition'))} = 'false'"
     if ctx.settings.legacy_last_filter:
-        dropped = dropped & (F.col("at_stage") < F.col("n") - 1)
+        dropped = f"({dropped} and at_stage < n - 1)"
     ctx.drop_when(dropped)
 
 
 @register_step("RouteOnContent")
 def route_on_content(ctx: StepContext) -> None:
-    ctx.set("content.match.strategy", F.lit(ctx.required("MatchRequirement")))
+    ctx.set("content.match.strategy", lit(ctx.required("MatchRequirement")))
     ctx.set("route.on.content.condition", ctx.render(ctx.required("RouteCondition")))
     result = ctx.params.get("Result")
-    ctx.set("route.on.content.result", F.lit(None) if result is None else ctx.render(result))
-    ctx.set("xform.group", F.lit("RouteOnContent"))
+    ctx.set("route.on.content.result", lit(None) if result is None else ctx.render(result))
+    ctx.set("xform.group", lit("RouteOnContent"))
     ctx.park()
 
 
 @register_step("ReplaceText")
 def replace_step(ctx: StepContext) -> None:
     strategy = ctx.required("ReplacementStrategy")
-    ctx.set("replace.text.mode", F.lit(strategy))
+    ctx.set("replace.text.mode", lit(strategy))
     search = ctx.required("SearchValue")
     ctx.set("replace.text.search.value", ctx.render(search))
     replacement = ctx.required("ReplacementValue")
@@ -82,19 +81,19 @@ def replace_step(ctx: StepContext) -> None:
     pattern, text = ctx.render(search), ctx.render(replacement)
     fixed = is_fixed(search)
     if fixed:
-        problem = replacement_problem(ctx.spark, search, None)
+        problem = pattern_problem(ctx.spark, search)
         if problem:
             raise StepError(problem)
-        if is_fixed(replacement) and not replacement_problem(ctx.spark, search, replacement):
-            ctx.set_content(F.regexp_replace(ctx.content, pattern, literal_replacement(text)))
+        if is_fixed(replacement) and not pattern_problem(ctx.spark, search, replacement):
+            ctx.set_content(f"regexp_replace({ctx.content}, {pattern}, {literal_replacement(text)})")
             return
     replaced = replace_text(ctx.content, pattern, text)
     if fixed:
         # Text without a reference cannot fail, so the compiled pattern serves.
-        plain = ~text.rlike(r"[$\\]")
-        replaced = F.when(plain, F.regexp_replace(ctx.content, pattern, text)).otherwise(replaced)
+        plain = f"not {text} rlike {lit(r'[$\\]')}"
+        replaced = f"case when {plain} then regexp_replace({ctx.content}, {pattern}, {text}) else {replaced} end"
     result = ctx.stash(replaced)
-    ctx.fail_when(ctx.content.isNotNull() & result.isNull(), "ReplaceText: illegal pattern or group reference")
+    ctx.fail_when(f"{ctx.content} is not null and {result} is null", lit("ReplaceText: illegal pattern or group reference"))
     ctx.set_content(result)
 
 
@@ -113,32 +112,27 @@ def evaluate_xpath(ctx: StepContext) -> None:
             raise StepError(problem)
         if not scalar:
             listed.append(key)
-    packed = ctx.stash(xpath_packed(ctx.content, [paths[k] for k in listed], NODE_COUNT)) if listed else None
-    values: dict[str, Column] = {
-        key: ctx.stash(packed_values(packed, ctx.content, paths[key], i)) for i, key in enumerate(listed)
-    }
-    entries = None
+    packed = ctx.stash(xpath_packed(ctx.content, [paths[k] for k in listed], NODE_COUNT)) if listed else ""
+    values = {key: ctx.stash(packed_values(packed, ctx.content, paths[key], i)) for i, key in enumerate(listed)}
     for key, path in paths.items():
         if key not in values:
             ctx.set(key, xpath_scalar(ctx.content, path))
             continue
         found = values[key]
-        size = F.size(found)
         for name in list(ctx.slots.names):
+            # A numbered attribute that another step writes has a column of its own.
             stem, _, number = name.rpartition(".")
-            if stem == key and number.isdigit() and number == str(int(number)) and int(number) > 0:
-                several = (size > 1) & (size >= int(number))
-                ctx.set(name, F.when(several, F.get(found, F.lit(int(number) - 1))).otherwise(ctx.attr(name)))
-        ctx.set(key, F.when(size == 1, F.get(found, F.lit(0))).otherwise(ctx.attr(key)))
-        names = F.transform(found, lambda _, i: F.concat(F.lit(f"{key}."), (i + 1).cast("string")))
-        numbered = F.when(size > 1, F.map_from_arrays(names, found))
-        entries = merged(F.col("extra") if entries is None else entries, numbered)
-    if entries is not None:
-        ctx.set_extra(entries)
+            if stem == key and re.fullmatch("[1-9][0-9]*", number):
+                ctx.set(name, f"case when size({found}) > 1 and size({found}) >= {number} then get({found}, {number} - 1) else {ctx.attr(name)} end")
+        ctx.set(key, f"case when size({found}) = 1 then {found}[0] else {ctx.attr(key)} end")
+        names = f"transform({found}, (v, i) -> concat({lit(f'{key}.')}, i + 1))"
+        numbered = ctx.stash(f"case when size({found}) > 1 then map_from_arrays({names}, {found}) end")
+        ctx.set_extra(merged("extra", numbered))
+        ctx.flush()
 
 
 @register_step("ApplyXslt")
-def reshape_content(ctx: StepContext) -> None:
+def apply_transform(ctx: StepContext) -> None:
     name = ctx.required("Name")
     shape = ctx.reshapes.get(name)
     if shape is None and name != "RemoveEnvelope.xsl":
@@ -147,27 +141,35 @@ def reshape_content(ctx: StepContext) -> None:
     if shape is None:
         ctx.set_content(remove_envelope(ctx.content))
         return
-    doc = ctx.stash_name(F.from_xml(ctx.content, shape.input_ddl))
+    doc = ctx.stash(f"from_xml({ctx.content}, {lit(shape.input_ddl)})")
     ctx.set_content(shaped_xml(shape.expr, doc, shape.root_tag))
 
 
-def shaped_xml(expr: str, doc: str, root_tag: str) -> Column:
+def shaped_xml(expr: str, doc: str, root_tag: str) -> str:
     """Write ``expr`` over the parsed document column ``doc`` as XML."""
     bound = re.sub(r"\bdoc\b", doc, expr)
-    return F.to_xml(F.expr(bound), {"rowTag": root_tag})
+    return f"to_xml({bound}, map('rowTag', {lit(root_tag)}))"
 
 
 def reshape(df: DataFrame, input_ddl: str, expr: str, root_tag: str) -> DataFrame:
     """Rewrite well-formed content: read it as ``doc`` by a DDL, map it, write it."""
-    parsed = df.withColumn("doc", F.from_xml("content", input_ddl))
-    return parsed.withColumn("content", shaped_xml(expr, "doc", root_tag)).drop("doc")
+    parsed = df.withColumn("doc", F.expr(f"from_xml(content, {lit(input_ddl)})"))
+    return parsed.withColumn("content", F.expr(shaped_xml(expr, "doc", root_tag))).drop("doc")
 
 
 @register_step("DuplicateFlowFile")
 def duplicate(ctx: StepContext) -> None:
     text = ctx.stash(ctx.render(ctx.required("Number")))
-    number = F.when(text.rlike(r"^[+-]?[0-9]{1,12}$"), text.try_cast("int"))
-    bad = F.concat(F.lit('java.lang.NumberFormatException: For input string: "'), text, F.lit('"'))
-    ctx.fail_when(number.isNull(), F.coalesce(bad, F.lit("java.lang.NumberFormatException: null")))
-    ctx.set("copy.index", F.lit("0"))
-    ctx.copies(F.greatest(number, F.lit(0)))
+    number = whole_number(text)
+    ctx.fail_when(f"{number} is null", f"coalesce({not_a_number(text)}, 'java.lang.NumberFormatException: null')")
+    ctx.set("copy.index", lit("0"))
+    ctx.copies(f"greatest({number}, 0)")
+
+
+def whole_number(text: str) -> str:
+    """Integer of a text as Java reads it; null if it is none."""
+    return f"case when {text} rlike '^[+-]?[0-9]{{1,12}}\\u0024' then try_cast({text} as int) end"
+
+
+def not_a_number(text: str) -> str:
+    return concat(lit('java.lang.NumberFormatException: For input string: "'), text, lit('"'))

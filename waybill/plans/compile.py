@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from waybill.functions.xmlfn import schema_file, schema_problem
 from waybill.operators.steps import STEPS, hand_off
 from waybill.plans.context import Reshape, Settings, Slots, Step, StepContext, StepError
-from waybill.sources.registry import NO_VALUE, pipelines, split_step, steps
+from waybill.sources.registry import NO_VALUE, split_step, steps
 
 # Attributes the wave itself sets on every path.
 WAVE_KEYS = ("Receiver", "xform.path", "xform.stage", "target.id", "target.output", "xform.group")
@@ -30,49 +30,42 @@ class Registry:
         return {s.sid: s for s in self.steps.values()}
 
 
-def read_registry(parsed: DataFrame, schemas: DataFrame) -> Registry:
-    """Distinct steps per stage, the schemas named, and the measured size: one job."""
-    texts = steps(parsed).select("stage", F.coalesce("step", F.lit("")).alias("step")).distinct()
-    name, entries = split_step(F.col("step"))
-    none = F.lit(None)
-    step_rows = texts.select(
-        F.lit("step").alias("kind"), "stage", F.col("step").alias("text"), name.alias("name"),
-        F.transform(entries, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))).alias("entries"),
-        none.cast("long").alias("size"),
-    )
-    named = parsed.select(F.col("validate").alias("name")).distinct().join(schemas.select("name", "xsd"), "name")
-    schema_rows = named.where("xsd is not null and xsd <> ''").select(
-        F.lit("schema").alias("kind"), none.cast("int").alias("stage"), F.col("name").alias("text"),
-        F.col("xsd").alias("name"), none.cast("array<struct<key:string,value:string>>").alias("entries"),
-        none.cast("long").alias("size"),
-    )
-    weight = F.octet_length(F.to_json("pipelines")) + F.octet_length(F.coalesce("process", F.lit(""))) + 64
-    size_rows = pipelines(parsed).agg(F.sum(weight.cast("long")).alias("size")).select(
-        F.lit("size").alias("kind"), none.cast("int").alias("stage"), none.cast("string").alias("text"),
-        none.cast("string").alias("name"), none.cast("array<struct<key:string,value:string>>").alias("entries"), "size",
-    )
+def read_registry(parsed: DataFrame, schemas: DataFrame, most: int | None = None) -> Registry | None:
+    """Distinct steps per stage, the schemas named, and the measured size.
+
+    None if there are more than ``most`` distinct steps and schemas.
+    """
+    wanted = _wanted(parsed)
+    name, entries = split_step("text")
+    rows = (wanted if most is None else wanted.limit(most + 1)).selectExpr("*", f"{name} as name", f"{entries} as entries").collect()
+    if most is not None and len(rows) > most:
+        return None
     found = Registry()
-    rows = step_rows.unionByName(schema_rows).unionByName(size_rows).collect()
-    for row in sorted(rows, key=lambda r: (r["kind"], r["text"] or "", r["stage"] or 0)):
-        if row["kind"] == "step":
-            entries = [(e["key"], e["value"]) for e in row["entries"]]
-            step = found.steps.setdefault(row["text"], Step(len(found.steps), row["text"], row["name"], entries))
-            found.stages[row["stage"]].append(step.sid)
-        elif row["kind"] == "schema":
-            found.schemas[row["text"]] = row["name"]
-        else:
-            found.bytes = int(row["size"] or 0)
+    validates = []
+    for row in sorted(rows, key=lambda r: (r["text"], r["stage"])):
+        if row["stage"] < 0:
+            validates.append(row["text"])
+            continue
+        entries = [(e["key"], e["value"]) for e in row["entries"]]
+        step = found.steps.setdefault(row["text"], Step(len(found.steps), row["text"], row["name"], entries))
+        found.stages[row["stage"]].append(step.sid)
+    usable = schemas.where(F.col("name").isin(validates) & (F.col("xsd") != ""))
+    found.schemas = {r["name"]: r["xsd"] for r in usable.select("name", "xsd").collect()}
+    weight = "cast(octet_length(to_json(targets)) + octet_length(coalesce(process, '')) + 256 as long)"
+    found.bytes = int(parsed.selectExpr(f"sum({weight})").first()[0] or 0)
     return found
 
 
 def chunk_count(parsed: DataFrame, limit: int) -> int:
     """How many plans it takes to keep each near ``limit`` distinct steps and schemas."""
-    texts = steps(parsed).select("stage", "step")
-    names = parsed.select(F.lit(-1).alias("stage"), F.col("validate").alias("step"))
-    many = texts.unionByName(names).distinct()
-    if many.limit(2 * limit + 1).count() <= 2 * limit:
-        return 1
-    return -(-many.count() // limit)
+    return -(-_wanted(parsed).count() // limit)
+
+
+def _wanted(parsed: DataFrame) -> DataFrame:
+    """Distinct (stage, step text) pairs, and the schema names as stage -1."""
+    texts = steps(parsed).selectExpr("stage", "coalesce(step, '') as text")
+    names = parsed.selectExpr("-1 as stage", "validate as text").where("text is not null")
+    return texts.unionByName(names).distinct()
 
 
 def named_reshapes(found: Registry, reshapes: DataFrame | None) -> dict[str, Reshape]:

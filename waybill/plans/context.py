@@ -8,10 +8,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
-from waybill.functions.render import TemplateError, render, sql_text
+from waybill.functions.render import TemplateError, lit, lits, render
 
 
 class StepError(ValueError):
@@ -62,32 +61,29 @@ class Slots:
     def add(self, key: str) -> None:
         self.names.setdefault(key, f"a{len(self.names)}")
 
-    def column(self, key: str) -> Column:
+    def column(self, key: str) -> str:
         if key in self.names:
-            return F.col(self.names[key])
-        base = F.col("attrs")[key]
-        return F.coalesce(F.col("extra")[key], base) if self.extra else base
+            return self.names[key]
+        base = f"attrs[{lit(key)}]"
+        return f"coalesce(extra[{lit(key)}], {base})" if self.extra else base
 
-    def whole_map(self, final: dict[str, Column] | None = None) -> Column:
+    def whole_map(self, final: dict[str, str] | None = None) -> str:
         """The attribute map as it stands: ``final`` over slots over extra over the message's own."""
-        values = {**{k: F.col(slot) for k, slot in self.names.items()}, **(final or {})}
-        own = F.col("attrs")
-        if self.extra:
-            own = merged(own, F.col("extra"))
-        own = F.map_filter(own, lambda k, _: ~k.isin(list(values)))
-        pairs = [c for k, v in values.items() for c in (F.lit(k), v.cast("string"))]
-        return F.map_concat(own, F.map_filter(F.create_map(*pairs), lambda _, v: v.isNotNull()))
+        values = {**self.names, **(final or {})}
+        own = merged("attrs", "extra") if self.extra else "attrs"
+        own = f"map_filter({own}, (k, v) -> k not in ({lits(values)}))"
+        pairs = ", ".join(f"{lit(k)}, cast({v} as string)" for k, v in values.items())
+        return f"map_concat({own}, map_filter(map({pairs}), (k, v) -> v is not null))"
 
 
-def merged(old: Column, new: Column) -> Column:
+def merged(old: str, new: str) -> str:
     """Map union where ``new`` wins, whatever the session's duplicate-key policy."""
-    return F.when(F.coalesce(F.size(new), F.lit(0)) < 1, old).otherwise(
-        F.map_concat(F.map_filter(old, lambda k, _: ~F.map_contains_key(new, k)), new)
-    )
+    kept = f"map_filter({old}, (k, v) -> not map_contains_key({new}, k))"
+    return f"case when coalesce(size({new}), 0) < 1 then {old} else map_concat({kept}, {new}) end"
 
 
 class StepContext:
-    """Collects the column changes of one step, phase by phase.
+    """Collects the column changes of one step, phase by phase, as SQL text.
 
     A phase is one projection. Values stashed or set in a phase can be read as
     columns in the next; after ``fail_when`` the rest applies to good rows only.
@@ -95,43 +91,36 @@ class StepContext:
 
     def __init__(self, spark: SparkSession, step: Step, slots: Slots, settings: Settings, reshapes: dict[str, Reshape]):
         self.spark, self.step, self.slots, self.settings, self.reshapes = spark, step, slots, settings, reshapes
-        self.phases: list[dict[str, Column]] = [{}]
+        self.phases: list[dict[str, str]] = [{}]
         self.guarded_from: int | None = None
         self.written: list[str] = []
         self.params: dict[str, str] = {}
-        self.copies_col: Column | None = None
+        self.copies_column: str | None = None
         self.replies = False
         self.needs_xml = False
         self.uses_extra = False
         self._stashed = 0
 
     # reading
-    @property
-    def content(self) -> Column:
-        return F.col("content")
+    content = "content"
 
-    def attr(self, name: str) -> Column:
+    def attr(self, name: str) -> str:
         slot = self.slots.names.get(name)
         if slot and slot in self.phases[-1]:
             return self.phases[-1][slot]
         return self.slots.column(name)
 
-    def attr_sql(self, name: str) -> str:
-        slot = self.slots.names.get(name)
-        if slot:
-            if slot in self.phases[-1]:
-                self.flush()
-            return slot
-        if self.slots.extra:
-            return f"coalesce(extra[{sql_text(name)}], attrs[{sql_text(name)}])"
-        return f"attrs[{sql_text(name)}]"
-
-    def attrs_sql(self) -> str:
+    def attr_column(self, name: str) -> str:
+        if self.slots.names.get(name) in self.phases[-1]:
+            self.flush()
+        return self.slots.column(name)
+
+    def attrs(self) -> str:
         if self.phases[-1]:
             self.flush()
-        return self.stash_name(self.slots.whole_map())
+        return self.stash(self.slots.whole_map())
 
-    def render(self, template: str) -> Column:
+    def render(self, template: str) -> str:
         try:
             return render(template, self)
         except TemplateError as e:
@@ -144,36 +133,37 @@ class StepContext:
         return value
 
     # changing
-    def set(self, name: str, value: Column) -> None:
+    def set(self, name: str, value: str) -> None:
         self.written.append(name)
         self.slots.add(name)
-        self.phases[-1][self.slots.names[name]] = value.cast("string")
+        self.phases[-1][self.slots.names[name]] = value
 
-    def set_content(self, value: Column) -> None:
+    def set_content(self, value: str) -> None:
         self.phases[-1]["content"] = value
-        self.phases[-1]["wf"] = F.lit(None).cast("boolean")
+        self.phases[-1]["wf"] = lit(None, "boolean")
 
-    def set_extra(self, entries: Column) -> None:
+    def set_extra(self, entries: str) -> None:
         self.uses_extra = True
         self.phases[-1]["extra"] = entries
 
     def fail(self, text: str) -> None:
-        self.phases[-1]["error"] = F.lit(text)
+        self.phases[-1]["error"] = lit(text)
 
-    def fail_when(self, bad: Column, text: Column | str) -> None:
-        self.phases[-1]["error"] = F.when(bad, text if isinstance(text, Column) else F.lit(text))
+    def fail_when(self, bad: str, text: str) -> None:
+        """Fail the rows where ``bad`` holds; ``text`` is SQL too."""
+        self.phases[-1]["error"] = f"case when {bad} then {text} end"
         self.flush()
         if self.guarded_from is None:
             self.guarded_from = len(self.phases) - 1
 
-    def drop_when(self, bad: Column) -> None:
-        self.phases[-1]["alive"] = ~F.coalesce(bad, F.lit(False))
+    def drop_when(self, bad: str) -> None:
+        self.phases[-1]["alive"] = f"not coalesce({bad}, false)"
 
     def park(self) -> None:
-        self.phases[-1]["parked"] = F.col("at_stage")
+        self.phases[-1]["parked"] = "at_stage"
 
-    def copies(self, number: Column) -> None:
-        self.copies_col = F.col(self.stash_name(number))
+    def copies(self, number: str) -> None:
+        self.copies_column = self.stash(number)
 
     def reply(self) -> None:
         self.replies = True
@@ -181,13 +171,10 @@ class StepContext:
     def require_xml(self) -> None:
         """The content must be well-formed XML here; else the row fails."""
         self.needs_xml = True
-        self.fail_when(~F.coalesce(F.col("wf"), F.lit(False)), "org.xml.sax.SAXParseException: content is not well-formed XML")
+        self.fail_when("not coalesce(wf, false)", lit("org.xml.sax.SAXParseException: content is not well-formed XML"))
 
-    def stash(self, value: Column) -> Column:
+    def stash(self, value: str) -> str:
         """Compute once; the returned column is readable from here on."""
-        return F.col(self.stash_name(value))
-
-    def stash_name(self, value: Column) -> str:
         name = f"t{self.step.sid}_{self._stashed}"
         self._stashed += 1
         self.phases[-1][name] = value

@@ -9,21 +9,26 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waybill.functions.render import case, concat, lit, lits
 from waybill.functions.xmlfn import compact_json, ordered_json, valid_xml, well_formed
-from waybill.operators.audit import AUDIT_KEYS, EVENT, audit_rows, lineage_rows
+from waybill.operators.audit import AUDIT_KEYS, EVENT, ROW_LINEAGE, audit_rows, lineage_rows
 from waybill.operators.lookup import not_found
-from waybill.plans.compile import chunk_count, compile_steps, named_reshapes, read_registry, schema_paths
+from waybill.operators.steps import not_a_number, whole_number
+from waybill.plans.compile import Registry, chunk_count, compile_steps, named_reshapes, read_registry, schema_paths
 from waybill.plans.context import Settings, Slots, StepContext
 from waybill.session import checkpointed, lookup_join
-from waybill.sources.messages import as_messages
+from waybill.sources.messages import EMPTY_MAP, as_messages
 from waybill.sources.registry import parse_routes, pipelines
 
 OUTPUT = ["msg_id", "lineage", "route", "target_id", "path", "target_url", "content", "attrs", "error"]
-_STATE = ["msg_id", "attrs", "content", "p", "n", "start", "sync", "missed", "first", "error", "alive", "parked", "reply", "copy", "wf", "events"]
+_STATE = [
+    "msg_id", "attrs", "content", "p", "n", "start", "sync", "missed", "first",
+    "error", "alive", "parked", "reply", "copy", "wf", "events",
+]
+_SUPPRESSED = "not alive and not reply and error is null"
 
 
 def route_messages(
@@ -36,16 +41,18 @@ def route_messages(
     """Plan the first pass and the resume pass over one message table."""
     settings = settings or Settings()
     parsed = parse_routes(routes)
-    work = as_messages(messages).withColumn("process", F.col("attrs")["business.process.name"])
-    chunks = chunk_count(parsed, settings.max_steps)
-    if chunks == 1:
-        return RouteRun([_wave(work, parsed, schemas, reshapes, settings)], settings)
+    work = as_messages(messages).selectExpr("*", "attrs['business.process.name'] as process")
+    found = read_registry(parsed, schemas, 2 * settings.max_steps)
+    if found:
+        return RouteRun([_wave(work, parsed, found, reshapes, settings)], settings)
     # Too many distinct steps for one plan: split the processes, not the work of a row.
-    part = F.pmod(F.xxhash64(F.coalesce("process", F.lit(""))), F.lit(chunks))
-    return RouteRun(
-        [_wave(work.where(part == c), parsed.where(part == c), schemas, reshapes, settings) for c in range(chunks)],
-        settings,
-    )
+    chunks = chunk_count(parsed, settings.max_steps)
+    waves = []
+    for c in range(chunks):
+        mine = f"pmod(xxhash64(coalesce(process, '')), {chunks}) = {c}"
+        own = parsed.where(mine)
+        waves.append(_wave(work.where(mine), own, read_registry(own, schemas), reshapes, settings))
+    return RouteRun(waves, settings)
 
 
 @dataclass
@@ -77,15 +84,15 @@ class RouteRun:
 
     def suppressed(self) -> DataFrame:
         """Rows a filter step dropped."""
-        gone = ~F.col("alive") & ~F.col("reply") & F.col("error").isNull()
-        return _union([w.df.where(gone).select("msg_id", row_lineage().alias("lineage")) for w in self.waves])
+        return _union([w.df.where(_SUPPRESSED).selectExpr("msg_id", f"{ROW_LINEAGE} as lineage") for w in self.waves])
 
     def materialised(self, path: str) -> RouteRun:
         """Write the rows once to a shared path, so that every table reads them back."""
         done = []
         for i, w in enumerate(self.waves):
             w.df.write.mode("overwrite").parquet(f"{path}/wave={i}")
-            done.append(Wave(w.df.sparkSession.read.schema(w.df.schema).parquet(f"{path}/wave={i}"), w.slots, w.snapshot))
+            back = w.df.sparkSession.read.schema(w.df.schema).parquet(f"{path}/wave={i}")
+            done.append(Wave(back, w.slots, w.snapshot))
         return RouteRun(done, self.settings)
 
 
@@ -96,37 +103,14 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def whole_number(text: Column) -> Column:
-    """Integer of a text as Java reads it; null if it is none."""
-    return F.when(text.rlike(r"^[+-]?[0-9]{1,12}$"), text.try_cast("int"))
-
-
-def not_a_number(text: Column) -> Column:
-    return F.concat(F.lit('java.lang.NumberFormatException: For input string: "'), text, F.lit('"'))
-
-
-def row_lineage() -> Column:
-    """``message/target/path/copy`` of a row; the same in every run."""
-    dash = F.lit("-")
-    return F.concat_ws(
-        "/", "msg_id",
-        F.coalesce(F.col("p.tpos").cast("string"), dash),
-        F.coalesce(F.col("p.path").cast("string"), dash),
-        F.concat(F.lit("0"), F.col("copy")),
-    )
-
-
-def _wave(work: DataFrame, parsed: DataFrame, schemas: DataFrame, reshapes: DataFrame | None, settings: Settings) -> Wave:
+def _wave(work: DataFrame, parsed: DataFrame, found: Registry, reshapes: DataFrame | None, settings: Settings) -> Wave:
     spark = work.sparkSession
-    found = read_registry(parsed, schemas)
     slots, contexts = compile_steps(spark, found, settings, named_reshapes(found, reshapes))
-    good, problems = schema_paths(spark, found)
     written = {key for ctx in contexts.values() for key in ctx.written}
     snapshot = [key for key in AUDIT_KEYS if key in written]
-
-    side = pipelines(parsed).withColumn("pipelines", _with_sids({t: s.sid for t, s in found.steps.items()}))
+    side = _with_sids(pipelines(parsed), {t: s.sid for t, s in found.steps.items()})
     df = lookup_join(work, side, "process", size=found.bytes, limit=settings.max_registry_bytes, salt_by=F.col("msg_id"))
-    df = _admit(df, good, problems)
+    df = _admit(df, *schema_paths(spark, found))
     df = _enter(df, slots)
     for stage in sorted(found.stages):
         here = {sid: contexts[sid] for sid in sorted(found.stages[stage])}
@@ -138,289 +122,233 @@ def _wave(work: DataFrame, parsed: DataFrame, schemas: DataFrame, reshapes: Data
     return Wave(df, slots, snapshot)
 
 
-def _with_sids(ids: dict[str, int]) -> Column:
+def _with_sids(df: DataFrame, ids: dict[str, int]) -> DataFrame:
     """Pipelines with step numbers in place of step texts."""
-    texts, numbers = F.array(*map(F.lit, ids)), F.array(*map(F.lit, ids.values()))
-    table = F.map_from_arrays(texts.cast("array<string>"), numbers.cast("array<int>"))
+    table = f"map_from_arrays(cast(array({lits(ids)}) as array<string>), cast(array({lits(ids.values())}) as array<int>))"
+    kept = ", ".join(
+        f"'{name}', p.{name}" for name in ("kind", "tpos", "target_id", "path", "urls", "output", "response", "input", "sync")
+    )
+    numbered = f"named_struct({kept}, 'sids', transform(p.steps, s -> {table}[coalesce(s, '')]))"
+    return df.selectExpr("process", "validate", "sync", "bad", f"transform(pipelines, p -> {numbered}) as pipelines")
 
-    def numbered(p: Column) -> Column:
-        sids = F.transform(p["steps"], lambda t: table[F.coalesce(t, F.lit(""))])
-        return p.withField("sids", sids).dropFields("steps")
 
-    return F.transform("pipelines", numbered)
+def _changed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Replace or add columns given as SQL text, in one projection."""
+    kept = [f"{columns[c]} as {c}" if c in columns else c for c in df.columns]
+    return df.selectExpr(*kept, *[f"{e} as {c}" for c, e in columns.items() if c not in df.columns])
 
 
 def _admit(df: DataFrame, good: dict[str, str], problems: dict[str, str]) -> DataFrame:
     """Whole-message checks: route found, resume position, schema, content."""
-    attr = F.col("attrs").getItem
-    known = F.col("bad").isNotNull()
-    usable = known & ~F.col("bad")
-    position = attr("xform.stage").isNotNull() & attr("target.id").isNotNull() & attr("xform.path").isNotNull()
-    df = df.select(
-        "*", (~known).alias("missed"),
-        (usable & position).alias("resumed"), (usable & ~position).alias("first"),
-        F.when(attr("xform.stage") == "", F.lit(-1)).otherwise(whole_number(attr("xform.stage"))).alias("stage_no"),
-        whole_number(attr("xform.path")).alias("path_no"),
-    )
-    same_target = F.filter("pipelines", lambda p: (p["target_id"] == attr("target.id")) & (p["kind"] != "reply"))
-    df = df.withColumn("candidates", F.when(F.col("resumed"), same_target))
-    tpos = F.get("candidates", F.lit(0))["tpos"]
-    chosen = F.filter(
-        "candidates",
-        lambda p: (p["kind"] == "path") & (p["tpos"] == tpos) & (p["path"] == F.col("path_no")),
+    stage, target, path = (f"attrs['{key}']" for key in ("xform.stage", "target.id", "xform.path"))
+    position = f"{stage} is not null and {target} is not null and {path} is not null"
+    df = df.selectExpr(
+        "*", "bad is null as missed",
+        f"coalesce(not bad and {position}, false) as resumed",
+        f"coalesce(not bad and not ({position}), false) as first",
+        f"case when {stage} = '' then -1 else {whole_number(stage)} end as stage_no",
+        f"{whole_number(path)} as path_no",
     )
-    df = df.withColumn("chosen", chosen)
+    same = f"filter(pipelines, p -> p.target_id = {target} and p.kind <> 'reply')"
+    df = _changed(df, {"candidates": f"case when resumed then {same} end"})
+    chosen = "filter(candidates, p -> p.kind = 'path' and p.tpos = candidates[0].tpos and p.path = path_no)"
+    df = _changed(df, {"chosen": f"case when size(candidates) > 0 then {chosen} end"})
 
-    name = F.col("validate")
-    no_schema = ~F.coalesce(name.isin([*good, *problems]), F.lit(False))
     failed = "Failed xml validation!"
-    checks = [(name == schema, F.lit(f"{failed} {problem}")) for schema, problem in problems.items()]
-    for schema, path in good.items():
-        text = F.lit(f"{failed} content is not valid against {schema}")
-        checks.append((name == schema, F.when(~valid_xml(F.col("content"), path), text)))
-    invalid = _case(checks, F.lit(None).cast("string"))
-    error = (
-        F.when(F.col("missed"), not_found(F.col("process")))
-        .when(F.col("bad"), F.lit("route document is not JSON"))
-        .when(
-            F.col("first"),
-            F.when(no_schema, F.concat(
-                F.lit("Failed schema extraction! java.io.IOException: Schema with name "),
-                F.coalesce(name, F.lit("null")), F.lit(" not found"),
-            )).otherwise(F.coalesce(invalid, F.when(F.size("pipelines") == 0, F.lit("no targets")))),
-        )
-        .when(F.size("candidates") == 0, F.lit("java.lang.IllegalArgumentException: Target not found"))
-        .when(F.col("path_no").isNull(), not_a_number(attr("xform.path")))
-        .when(F.size("chosen") == 0, F.concat(
-            F.lit("java.lang.Exception: Incorrect transformation path "), F.col("path_no").cast("string")))
-        .when(F.col("stage_no").isNull(), not_a_number(attr("xform.stage")))
+    checks = [(f"validate = {lit(name)}", lit(f"{failed} {problem}")) for name, problem in problems.items()]
+    for name, file in good.items():
+        text = lit(f"{failed} content is not valid against {name}")
+        checks.append((f"validate = {lit(name)}", f"case when not {valid_xml('content', file)} then {text} end"))
+    known = f"coalesce(validate in ({lits([*good, *problems])}), false)" if checks else "false"
+    no_schema = concat(
+        lit("Failed schema extraction! java.io.IOException: Schema with name "), "coalesce(validate, 'null')", lit(" not found")
     )
-    return df.withColumn("error", error)
+    at_first = case([(f"not {known}", no_schema)], f"coalesce({case(checks)}, case when size(pipelines) = 0 then 'no targets' end)")
+    return _changed(df, {"error": case([
+        ("missed", not_found("process")),
+        ("bad", lit("route document is not JSON")),
+        ("first", at_first),
+        ("size(candidates) = 0", lit("java.lang.IllegalArgumentException: Target not found")),
+        ("path_no is null", not_a_number(path)),
+        ("size(chosen) = 0", concat(lit("java.lang.Exception: Incorrect transformation path "), "path_no")),
+        ("stage_no is null", not_a_number(stage)),
+    ], "cast(null as string)")})
 
 
 def _enter(df: DataFrame, slots: Slots) -> DataFrame:
     """Fan out to pipelines and set the attributes a path starts with."""
-    pick = F.when(F.col("error").isNull(), F.when(F.col("resumed"), F.col("chosen")).otherwise(F.col("pipelines")))
-    df = df.select(
-        "msg_id", "attrs", "content", F.col("sync"), "missed", "first", "error",
-        F.when(F.col("resumed"), F.col("stage_no")).otherwise(F.lit(-1)).alias("start"),
-        F.explode_outer(pick).alias("p"),
+    df = df.selectExpr(
+        "msg_id", "attrs", "content", "sync", "missed", "first", "error",
+        "case when resumed then stage_no else -1 end as start",
+        "explode_outer(case when error is null then case when resumed then chosen else pipelines end end) as p",
     )
-    kind = F.col("p.kind")
-    path, reply = kind == "path", F.coalesce(kind == "reply", F.lit(False))
-    error = F.coalesce(F.col("error"), F.when(kind == "empty", F.lit("no transformations")))
-    first = F.col("first")
-
-    def initial(key: str) -> Column:
-        own = F.col("attrs")[key]
-        begin = {
-            "Receiver": F.when(first & kind.isNotNull(), F.col("p.target_id")).otherwise(own),
-            "xform.path": F.when(first & path, F.col("p.path").cast("string")).otherwise(own),
-            "xform.stage": F.when(path, F.lit("0")).when(first, F.lit("-1")).otherwise(own),
-            "target.id": F.when(path, F.col("p.target_id")).otherwise(own),
-            "target.output": F.when((F.col("p.output") == "JSON") & ~reply, F.lit("JSON")).otherwise(own),
-        }
-        return begin.get(key, own)
-
-    extra = [F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")).alias("extra")] if slots.extra else []
-    return df.select(
-        "msg_id", "attrs",
-        F.when(reply, F.lit("")).otherwise(F.col("content")).alias("content"),
-        "p", F.size("p.sids").alias("n"), "start", "sync", "missed", "first",
-        error.alias("error"),
-        F.coalesce(path & error.isNull(), F.lit(False)).alias("alive"),
-        F.lit(None).cast("int").alias("parked"),
-        reply.alias("reply"),
-        F.lit("").alias("copy"),
-        F.when(first & F.col("error").isNull(), F.lit(True)).alias("wf"),
-        F.array().cast(EVENT).alias("events"),
-        *extra, *[initial(k).alias(c) for k, c in slots.names.items()],
+    on_path = "p.kind = 'path'"
+    begin = {
+        "Receiver": [("first and p is not null", "p.target_id")],
+        "xform.path": [(f"first and {on_path}", "cast(p.path as string)")],
+        "xform.stage": [(on_path, "'0'"), ("first", "'-1'")],
+        "target.id": [(on_path, "p.target_id")],
+        "target.output": [("p.output = 'JSON' and p.kind <> 'reply'", "'JSON'")],
+    }
+    return df.selectExpr(
+        "msg_id", "attrs", "case when p.kind = 'reply' then '' else content end as content",
+        "p", "size(p.sids) as n", "start", "sync", "missed", "first",
+        "coalesce(error, case when p.kind = 'empty' then 'no transformations' end) as error",
+        f"coalesce({on_path}, false) as alive", "cast(null as int) as parked",
+        "coalesce(p.kind = 'reply', false) as reply", "'' as copy",
+        "case when first and error is null then true end as wf", f"cast(array() as {EVENT}) as events",
+        *([f"{EMPTY_MAP} as extra"] if slots.extra else []),
+        *[f"{case(begin.get(key, []), f'attrs[{lit(key)}]')} as {slot}" for key, slot in slots.names.items()],
     )
 
 
 def _stage(df: DataFrame, stage: int, here: dict[int, StepContext], slots: Slots, snapshot: list[str]) -> DataFrame:
     """Run the steps of one stage on the rows that are at it."""
     keep = [*_STATE, *(["extra"] if slots.extra else []), *slots.names.values()]
-    s, error = F.col("s"), F.col("error")
-    visiting = F.col("alive") & F.col("parked").isNull() & error.isNull() & (F.col("n") > stage)
+    visiting = f"alive and parked is null and error is null and n > {stage}"
     at = slots.names["xform.stage"]
-    df = df.withColumns({
-        "s": F.when(visiting & (F.col("start") < stage), F.get("p.sids", F.lit(stage))),
-        at: F.when(visiting, F.lit(str(stage))).otherwise(F.col(at)),
-        "at_stage": F.lit(stage),
+    df = _changed(df, {
+        "s": f"case when {visiting} and start < {stage} then p.sids[{stage}] end",
+        at: f"case when {visiting} then '{stage}' else {at} end",
+        "at_stage": str(stage),
     })
     wanting = [sid for sid, ctx in here.items() if ctx.needs_xml]
     if wanting:
-        check = F.when(s.isin(wanting) & F.col("wf").isNull(), well_formed(df.sparkSession, F.col("content")))
-        df = df.withColumn("wf", F.coalesce(F.col("wf"), check))
+        check = f"case when s in ({lits(wanting)}) and wf is null then {well_formed(df.sparkSession, 'content')} end"
+        df = _changed(df, {"wf": f"coalesce(wf, {check})"})
     for phase in range(max(len(ctx.phases) for ctx in here.values())):
-        cases: dict[str, list[tuple[Column, Column]]] = {}
+        cases: dict[str, list[tuple[str, str]]] = {}
         for sid, ctx in here.items():
-            if phase >= len(ctx.phases):
-                continue
-            on = s == sid
-            if ctx.guarded_from is not None and phase >= ctx.guarded_from:
-                on = on & error.isNull()
-            for name, value in ctx.phases[phase].items():
-                cases.setdefault(name, []).append((on, value))
+            guarded = ctx.guarded_from is not None and phase >= ctx.guarded_from
+            for name, value in ctx.phases[phase].items() if phase < len(ctx.phases) else ():
+                cases.setdefault(name, []).append((f"s = {sid}{' and error is null' if guarded else ''}", value))
         if cases:
             known = set(df.columns)
-            df = df.withColumns({n: _case(c, F.col(n) if n in known else F.lit(None)) for n, c in cases.items()})
-    df = df.withColumn("events", _with_event(stage, here, slots, snapshot))
+            df = _changed(df, {name: case(found, name if name in known else "null") for name, found in cases.items()})
     return _multiply(df, stage, here, slots, snapshot, keep)
 
 
-def _case(cases: list[tuple[Column, Column]], default: Column) -> Column:
-    chain = F
-    for condition, value in cases:
-        chain = chain.when(condition, value)
-    return default if chain is F else chain.otherwise(default)
-
-
-def _snapshot(slots: Slots, snapshot: list[str]) -> Column:
-    pairs = [c for key in snapshot for c in (F.lit(key), slots.column(key))]
-    return F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,string>")
+def _event(entry_type: str, step: str, path: str, stage: str, derivation: str, slots: Slots, snapshot: list[str]) -> str:
+    pairs = ", ".join(f"{lit(key)}, {slots.column(key)}" for key in snapshot)
+    seen = f"map({pairs})" if pairs else "cast(null as map<string,string>)"
+    return (
+        f"named_struct('entry_type', '{entry_type}', 'step', {step}, 'path', {path}, 'stage', {stage},"
+        f" 'derivation', {derivation}, 'seen', {seen})"
+    )
 
 
-def _with_event(stage: int, here: dict[int, StepContext], slots: Slots, snapshot: list[str]) -> Column:
+def _multiply(
+    df: DataFrame, stage: int, here: dict[int, StepContext], slots: Slots, snapshot: list[str], keep: list[str]
+) -> DataFrame:
+    """Log the stage's steps; make its copies and replies by one explode (-1 is the reply)."""
     named: dict[str, list[int]] = {}
     for sid, ctx in here.items():
-        if ctx.copies_col is None:
+        if ctx.copies_column is None:
             named.setdefault(ctx.step.name, []).append(sid)
-    label = _case([(F.col("s").isin(sids), F.lit(name)) for name, sids in named.items()], F.lit(None).cast("string"))
-    event = F.struct(
-        F.lit("processing").alias("entry_type"), label.alias("step"),
-        slots.column("xform.path").alias("path"), slots.column("xform.stage").alias("stage"),
-        F.lit(None).cast("string").alias("derivation"), _snapshot(slots, snapshot).alias("seen"),
-    )
-    logged = label.isNotNull() & F.col("error").isNull()
-    return F.when(logged, F.array_append("events", event)).otherwise(F.col("events"))
-
+    none = lit(None)
+    label = case([(f"s in ({lits(sids)})", lit(name)) for name, sids in named.items()], none)
+    event = _event("processing", label, slots.column("xform.path"), slots.column("xform.stage"), none, slots, snapshot)
+    events = f"case when {label} is not null and error is null then array_append(events, {event}) else events end"
 
-def _multiply(df: DataFrame, stage: int, here: dict[int, StepContext], slots: Slots, snapshot: list[str], keep: list[str]) -> DataFrame:
-    """Copies and replies of one stage: a single explode of copy numbers, -1 for the reply."""
-    s, error, c = F.col("s"), F.col("error"), F.col("c")
-    copying = {sid: ctx for sid, ctx in here.items() if ctx.copies_col is not None}
+    copying = {sid: ctx for sid, ctx in here.items() if ctx.copies_column is not None}
     replying = [sid for sid, ctx in here.items() if ctx.replies]
     if not copying and not replying:
-        return df.select(*keep)
-    cases = [((s == sid) & error.isNull(), F.sequence(F.lit(0), ctx.copies_col)) for sid, ctx in copying.items()]
+        return df.selectExpr(*[f"{events} as events" if c == "events" else c for c in keep])
+    copied = f"s in ({lits(copying)}) and error is null" if copying else "false"
+    numbers = [(f"s = {sid} and error is null", f"sequence(0, {ctx.copies_column})") for sid, ctx in copying.items()]
     if replying:
-        cases.append((s.isin(replying) & error.isNull(), F.array(F.lit(0), F.lit(-1))))
-    numbers = _case(cases, F.array(F.lit(0)))
-    parent = row_lineage()
-    df = df.select(*keep, "s", parent.alias("parent"), F.explode(numbers).alias("c"))
-    changes: dict[str, Column] = {}
-    answer = c == -1
+        numbers.append((f"s in ({lits(replying)}) and error is null", "array(0, -1)"))
+    df = df.selectExpr(
+        *[f"{events} as events" if c == "events" else c for c in keep],
+        f"coalesce({copied}, false) as copied", f"explode({case(numbers, 'array(0)')}) as c",
+    )
     if copying:
-        of_copy = s.isin(list(copying)) & error.isNull()
         index = slots.names["copy.index"]
-        changes[index] = F.when(of_copy, c.cast("string")).otherwise(F.col(index))
-        df = df.withColumns(changes)
-        start = F.struct(
-            F.lit("start").alias("entry_type"), F.lit(None).cast("string").alias("step"),
-            F.lit(None).cast("string").alias("path"), F.lit(None).cast("string").alias("stage"),
-            F.col("parent").alias("derivation"), _snapshot(slots, snapshot).alias("seen"),
-        )
-        df = df.withColumns({
-            "events": F.when(c > 0, F.array(start)).otherwise(F.col("events")),
-            "copy": F.when(of_copy, F.concat("copy", F.lit("."), c.cast("string"))).otherwise(F.col("copy")),
+        df = _changed(df, {index: f"case when copied then cast(c as string) else {index} end"})
+        start = _event("start", none, none, none, ROW_LINEAGE, slots, snapshot)
+        df = _changed(df, {
+            "events": f"case when c > 0 then array({start}) else events end",
+            "copy": "case when copied then concat(copy, '.', c) else copy end",
         })
     if replying:
-        df = df.withColumns({
-            "reply": F.col("reply") | answer,
-            "alive": F.col("alive") & ~answer,
-            "content": F.when(answer, F.lit("")).otherwise(F.col("content")),
-            "events": F.when(answer, F.slice("events", 1, 0)).otherwise(F.col("events")),
-            "copy": F.when(answer, F.concat("copy", F.lit(f".r{stage}"))).otherwise(F.col("copy")),
+        df = _changed(df, {
+            "reply": "reply or c = -1",
+            "alive": "alive and c <> -1",
+            "content": "case when c = -1 then '' else content end",
+            "events": "case when c = -1 then slice(events, 1, 0) else events end",
+            "copy": f"case when c = -1 then concat(copy, '.r{stage}') else copy end",
         })
     return df.select(*keep)
 
 
 def _stop_after_suppressed(df: DataFrame) -> DataFrame:
     """A path suppressed before any copy also ends the later paths of its target."""
-    gone = ~F.col("alive") & ~F.col("reply") & F.col("error").isNull() & (F.col("copy") == "")
-    group = W.partitionBy("msg_id", "p.tpos")
-    first = F.min(F.when(gone, F.col("p.path"))).over(group)
-    return df.withColumn("stop", first).where("stop is null or p.path is null or p.path <= stop").drop("stop")
+    gone = f"case when {_SUPPRESSED} and copy = '' then p.path end"
+    df = df.selectExpr("*", f"min({gone}) over (partition by msg_id, p.tpos) as stop")
+    return df.where("stop is null or p.path is null or p.path <= stop").drop("stop")
 
 
 def _finish(wave: Wave, settings: Settings) -> DataFrame:
     """End-of-path marks, JSON, delivery attributes, destinations."""
-    df, slots = wave.df, wave.slots
-    done = F.col("alive") & F.col("error").isNull()
-    parked = F.col("parked").isNotNull()
-    as_json = F.coalesce(slots.column("target.output") == "JSON", F.lit(False))
-    to_json = done & ~parked & as_json
-    check = F.when(F.col("to_json") & F.col("wf").isNull(), well_formed(df.sparkSession, F.col("content")))
-    df = df.withColumn("to_json", to_json).withColumn("wf", F.coalesce(F.col("wf"), check))
-    ready = F.col("to_json") & F.col("wf")
-    json = ordered_json(F.when(ready, F.col("content"))) if settings.ordered_json else F.when(ready, compact_json(F.col("content")))
-    df = df.withColumn("json", json)
-    failed = F.lit("java.lang.Exception: Failed xml convertation!")
-    df = df.withColumns({
-        "content": F.when(F.col("to_json") & F.col("json").isNotNull(), F.col("json")).otherwise(F.col("content")),
-        "error": F.coalesce(F.col("error"), F.when(F.col("to_json") & F.col("json").isNull(), failed)),
+    slots = wave.slots
+    attr = slots.column
+    as_json = f"coalesce({attr('target.output')} = 'JSON', false)"
+    df = _changed(wave.df, {"to_json": f"alive and error is null and parked is null and {as_json}"})
+    check = f"case when to_json and wf is null then {well_formed(df.sparkSession, 'content')} end"
+    df = _changed(df, {"wf": f"coalesce(wf, {check})"})
+    if settings.ordered_json:
+        df = df.withColumn("json", ordered_json(F.expr("case when to_json and wf then content end")))
+    else:
+        df = _changed(df, {"json": f"case when to_json and wf then {compact_json('content')} end"})
+    df = _changed(df, {
+        "content": "case when to_json and json is not null then json else content end",
+        "error": "coalesce(error, case when to_json and json is null then 'java.lang.Exception: Failed xml convertation!' end)",
     })
 
-    def out(route: Column | str, url: Column | None = None, number: Column | None = None, error: Column | None = None) -> Column:
-        text = F.lit(None).cast("string")
-        return F.struct(
-            (F.lit(route) if isinstance(route, str) else route).alias("route"),
-            (text if url is None else url).alias("url"),
-            (F.lit(None).cast("int") if number is None else number.cast("int")).alias("url_no"),
-            (text if error is None else error).alias("error"),
-        )
-
-    error, urls = F.col("error"), F.col("p.urls")
-    sent = F.when(parked, F.lit("parked")).otherwise(F.lit("deliver"))
-    outputs = (
-        F.when(F.col("reply"), F.array(out("reply")))
-        .when(error.isNotNull(), F.array(out("failed", error=error)))
-        .when(F.col("alive") & (F.size(urls) > 0), F.transform(urls, lambda u, i: out(sent, u, i)))
-        .when(F.col("alive"), F.array(out("failed", error=F.lit("no destinations"))))
-    )
+    def out(route: str, url: str = lit(None), number: str = "cast(null as int)", error: str = lit(None)) -> str:
+        return f"named_struct('route', {route}, 'url', {url}, 'url_no', {number}, 'error', {error})"
+
+    sent = out("case when parked is not null then 'parked' else 'deliver' end", "u", "i")
+    outputs = case([
+        ("reply", f"array({out(lit('reply'))})"),
+        ("error is not null", f"array({out(lit('failed'), error='error')})"),
+        ("alive and size(p.urls) > 0", f"transform(p.urls, (u, i) -> {sent})"),
+        ("alive", f"array({out(lit('failed'), error=lit('no destinations'))})"),
+    ])
     # The route is a field of the explode, so a filter on it stays above the stages.
-    df = df.withColumn("out", F.explode(outputs))
-    route, problem = F.col("out.route"), F.col("out.error")
-    going = route.isin("deliver", "parked")
-    attr = slots.column
-    synced = going & F.coalesce(F.col("sync"), F.lit(False))
-    target_id = F.col("p.target_id")
-    unknown = target_id if not settings.known_systems else F.when(~target_id.isin(list(settings.known_systems)), target_id)
-    last = going & (F.col("parked") == F.col("n") - 1) & ~as_json
+    df = df.selectExpr("*", f"explode({outputs}) as out")
+    going = "out.route in ('deliver', 'parked')"
+    synced = f"{going} and coalesce(sync, false)"
+    unknown = f"p.target_id not in ({lits(settings.known_systems)})" if settings.known_systems else "p.target_id is not null"
+
+    def when(condition: str, value: str, key: str) -> str:
+        return case([(condition, value)], attr(key))
+
     final = {
-        "xform.last": F.when(last, F.lit("true")).otherwise(attr("xform.last")),
-        "xform.group": F.when(route == "deliver", F.lit(None)).otherwise(attr("xform.group")),
-        "error.msg": F.when((route == "failed") & ~F.col("missed"), problem).otherwise(attr("error.msg")),
-        "iflow.error": F.when(F.col("missed"), problem).otherwise(attr("iflow.error")),
-        "iflow.status.code": F.when(F.col("missed"), F.lit("501")).when(synced, F.lit("")).otherwise(attr("iflow.status.code")),
-        "business.process.name": F.when(synced, F.col("p.response")).otherwise(attr("business.process.name")),
-        "iflow.input": F.when(going, F.col("p.input")).otherwise(attr("iflow.input")),
-        "iflow.sync": F.when(going, F.col("p.sync")).otherwise(attr("iflow.sync")),
-        "processGroupId": F.when(going, F.lit(settings.process_group_id)).otherwise(attr("processGroupId")),
-        "target_system": F.when(going & unknown.isNotNull(), unknown).otherwise(attr("target_system")),
-        "target_url": F.when(going, F.col("out.url")).otherwise(attr("target_url")),
-        "sync.response": F.when(route == "reply", F.lit("true")).otherwise(attr("sync.response")),
+        "xform.last": when(f"{going} and coalesce(parked = n - 1, false) and not {as_json}", "'true'", "xform.last"),
+        "xform.group": when("out.route = 'deliver'", "null", "xform.group"),
+        "error.msg": when("out.route = 'failed' and not missed", "out.error", "error.msg"),
+        "iflow.error": when("missed", "out.error", "iflow.error"),
+        "iflow.status.code": case([("missed", "'501'"), (synced, "''")], attr("iflow.status.code")),
+        "business.process.name": when(synced, "p.response", "business.process.name"),
+        "iflow.input": when(going, "p.input", "iflow.input"),
+        "iflow.sync": when(going, "p.sync", "iflow.sync"),
+        "processGroupId": when(going, lit(settings.process_group_id), "processGroupId"),
+        "target_system": when(f"{going} and {unknown}", "p.target_id", "target_system"),
+        "target_url": when(going, "out.url", "target_url"),
+        "sync.response": when("out.route = 'reply'", "'true'", "sync.response"),
     }
-    null = F.lit("null")
-    context = F.concat(
-        F.lit("Exception '"), problem,
-        F.lit("' occurs while processing FlowFile '"), F.coalesce(attr("filename"), null),
-        F.lit("' in '"), F.coalesce(attr("business.process.name"), null),
-        F.lit("' scenario at '"), F.coalesce(target_id, attr("target.id"), null),
-        F.lit("' target at '"), F.coalesce(attr("xform.path"), null),
-        F.lit("' path at "), F.coalesce(attr("xform.stage"), null), F.lit(" stage"),
+    context = concat(
+        lit("Exception '"), "out.error", lit("' occurs while processing FlowFile '"), f"coalesce({attr('filename')}, 'null')",
+        lit("' in '"), f"coalesce({attr('business.process.name')}, 'null')",
+        lit("' scenario at '"), f"coalesce({attr('target.id')}, p.target_id, 'null')",
+        lit("' target at '"), f"coalesce({attr('xform.path')}, 'null')",
+        lit("' path at "), f"coalesce({attr('xform.stage')}, 'null')", lit(" stage"),
     )
-    whole = F.col("p").isNull() & (F.col("missed") | F.coalesce(F.col("first"), F.lit(False)) | attr("xform.stage").isNull())
-    return df.select(
-        "msg_id",
-        F.concat_ws("/", row_lineage(), F.col("out.url_no").cast("string")).alias("lineage"),
-        route.alias("route"),
-        target_id.alias("target_id"),
-        F.col("p.path").alias("path"),
-        F.col("out.url").alias("target_url"),
-        "content",
-        slots.whole_map(final).alias("attrs"),
-        F.when(problem.isNotNull(), F.when(whole, problem).otherwise(context)).alias("error"),
+    whole = "p is null and (missed or first)"
+    return df.selectExpr(
+        "msg_id", f"concat_ws('/', {ROW_LINEAGE}, cast(out.url_no as string)) as lineage", "out.route as route",
+        "p.target_id as target_id", "p.path as path", "out.url as target_url", "content",
+        f"{slots.whole_map(final)} as attrs",
+        f"case when out.error is not null then case when {whole} then out.error else {context} end end as error",
     )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from waybill.functions.text import decoded
+
 MESSAGE_SCHEMA = T.StructType(
     [
         T.StructField("msg_id", T.StringType()),
@@ -35,32 +36,31 @@ def kafka_messages(spark: SparkSession, options: dict[str, str], streaming: bool
     """Messages from Kafka: the value is the content, the headers are the attributes."""
     reader = (spark.readStream if streaming else spark.read).format("kafka")
     raw = reader.options(**options).option("includeHeaders", "true").load()
-    headers = F.coalesce(F.col("headers"), F.expr("array()").cast("array<struct<key:string,value:binary>>"))
-    entries = F.transform(headers, lambda h: F.struct(h["key"].alias("key"), F.decode(h["value"], "UTF-8").alias("value")))
-    return raw.select(
-        F.concat_ws("-", "topic", "partition", "offset").alias("msg_id"),
-        F.decode("value", "UTF-8").alias("content"),
-        unique_entries(entries).alias("attrs"),
+    none = "cast(array() as array<struct<key:string,value:binary>>)"
+    entries = f"transform(coalesce(headers, {none}), h -> named_struct('key', h.key, 'value', {decoded('h.value')}))"
+    return raw.selectExpr(
+        "concat_ws('-', topic, partition, offset) as msg_id",
+        f"{decoded('value')} as content",
+        f"{unique_entries(entries)} as attrs",
     )
 
 
-def unique_entries(entries: Column) -> Column:
-    """Map from key/value structs where the last entry of a key wins."""
-    kept = F.filter(
-        entries,
-        lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]),
+def unique_entries(entries: str) -> str:
+    """Map from an array of key/value structs where the last entry of a key wins."""
+    return (
+        f"map_from_entries(filter({entries}, (e, i) -> not exists("
+        f"slice({entries}, i + 2, size({entries})), later -> later.key = e.key)))"
     )
-    return F.map_from_entries(kept)
+
+
+EMPTY_MAP = "map_from_arrays(cast(array() as array<string>), cast(array() as array<string>))"
 
 
 def as_messages(df: DataFrame, charset: str = "UTF-8") -> DataFrame:
     """Bring a table to the message columns; binary content is decoded."""
-    content = F.col("content")
-    if isinstance(df.schema["content"].dataType, T.BinaryType):
-        content = F.decode(content, charset)
-    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    return df.select(
-        F.col("msg_id").cast("string").alias("msg_id"),
-        content.alias("content"),
-        F.coalesce(F.col("attrs"), empty).alias("attrs"),
+    binary = isinstance(df.schema["content"].dataType, T.BinaryType)
+    return df.selectExpr(
+        "cast(msg_id as string) as msg_id",
+        f"{decoded('content', charset) if binary else 'content'} as content",
+        f"coalesce(attrs, {EMPTY_MAP}) as attrs",
     )

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from waybill.functions.render import lit
 from waybill.sources.messages import unique_entries
 
 REGISTRY_SCHEMAS = {
@@ -15,13 +15,11 @@ REGISTRY_SCHEMAS = {
     "values": "key string, value binary",
 }
 
-ROUTE_DDL = """
-    validate string, sync string, bad string,
-    targets array<struct<
-        id string, transformations array<array<string>>, xforms array<array<string>>,
-        targetPath string, output string, syncValidation string,
-        response string, input string, sync string>>
-"""
+TARGETS_DDL = """array<struct<
+    id string, transformations array<array<string>>, xforms array<array<string>>,
+    targetPath string, output string, syncValidation string,
+    response string, input string, sync string>>"""
+ROUTE_DDL = f"validate string, sync string, bad string, targets {TARGETS_DDL}"
 
 # Fixed value: a parameter without a value fails the step with this text.
 NO_VALUE = "java.lang.ArrayIndexOutOfBoundsException: Index 1 out of bounds for length 1"
@@ -37,26 +35,26 @@ def parse_routes(routes: DataFrame) -> DataFrame:
 
     An absent or empty document counts as no route at all.
     """
-    doc = F.from_json("doc", ROUTE_DDL, {"columnNameOfCorruptRecord": "bad"})
-    parsed = routes.where("doc is not null and doc <> ''").withColumn("d", doc)
-    return parsed.select(
-        "process",
-        F.col("d.validate").alias("validate"),
-        F.coalesce(F.lower("d.sync") == "true", F.lit(False)).alias("sync"),
-        F.coalesce(F.col("d.targets"), F.expr("array()")).alias("targets"),
-        (F.col("d").isNull() | F.col("d.bad").isNotNull()).alias("bad"),
+    doc = f"from_json(doc, {lit(ROUTE_DDL)}, map('columnNameOfCorruptRecord', 'bad'))"
+    no_targets = f"from_json('[]', {lit(TARGETS_DDL)})"
+    parsed = routes.where("doc is not null and doc <> ''").selectExpr("process", f"{doc} as d")
+    # A target keeps its paths under either of two names.
+    target = (
+        "named_struct('id', t.id, 'paths', coalesce(t.transformations, t.xforms, cast(array() as array<array<string>>)),"
+        f" 'urls', {destinations('t.targetPath')}, 'output', t.output, 'reply', coalesce(t.syncValidation = 'true', false),"
+        " 'response', t.response, 'input', t.input, 'sync', t.sync)"
+    )
+    return parsed.selectExpr(
+        "process", "d.validate as validate", "coalesce(lower(d.sync) = 'true', false) as sync",
+        "d is null or d.bad is not null as bad",
+        f"transform(coalesce(d.targets, {no_targets}), t -> {target}) as targets",
     )
 
 
-def destinations(target_path: Column) -> Column:
+def destinations(target_path: str) -> str:
     """A destination field is one text or a JSON list of texts."""
-    listed = F.from_json(target_path, "array<string>")
-    many = F.when(F.ltrim(target_path).startswith("["), listed)
-    return F.transform(F.coalesce(many, F.array(target_path)), lambda u: F.coalesce(u, F.lit("null")))
-
-
-def _paths(target: Column) -> Column:
-    return F.coalesce(target["transformations"], target["xforms"], F.expr("array()"))
+    listed = f"case when startswith(ltrim({target_path}), '[') then from_json({target_path}, 'array<string>') end"
+    return f"transform(coalesce({listed}, array({target_path})), u -> coalesce(u, 'null'))"
 
 
 def pipelines(parsed: DataFrame) -> DataFrame:
@@ -65,61 +63,45 @@ def pipelines(parsed: DataFrame) -> DataFrame:
     ``kind`` is ``path`` for a transformation path, ``reply`` for the reply a
     target asks for before its paths, ``empty`` for a target without paths.
     """
-    no_steps = F.expr("cast(array() as array<string>)")
-
-    def entry(target: Column, tpos: Column, kind: str, path: Column, steps: Column) -> Column:
-        return F.struct(
-            F.lit(kind).alias("kind"),
-            tpos.cast("int").alias("tpos"),
-            target["id"].alias("target_id"),
-            path.cast("int").alias("path"),
-            F.coalesce(steps, no_steps).alias("steps"),
-            destinations(target["targetPath"]).alias("urls"),
-            target["output"].alias("output"),
-            target["response"].alias("response"),
-            target["input"].alias("input"),
-            target["sync"].alias("sync"),
-        )
 
-    def of_target(target: Column, tpos: Column) -> Column:
-        none = F.lit(None)
-        replies = F.when(target["syncValidation"] == "true", F.array(entry(target, tpos, "reply", none, no_steps)))
-        paths = F.transform(_paths(target), lambda steps, i: entry(target, tpos, "path", i, steps))
-        empty = F.array(entry(target, tpos, "empty", none, no_steps))
-        return F.concat(
-            F.coalesce(replies, F.slice(empty, 1, 0)),
-            F.when(F.size(_paths(target)) > 0, paths).otherwise(empty),
+    def entry(kind: str, path: str, steps: str) -> str:
+        return (
+            f"named_struct('kind', '{kind}', 'tpos', tpos, 'target_id', t.id, 'path', {path}, 'steps', {steps},"
+            " 'urls', t.urls, 'output', t.output, 'response', t.response, 'input', t.input, 'sync', t.sync)"
         )
 
-    flat = F.flatten(F.transform("targets", of_target))
-    return parsed.select("process", "validate", "sync", "bad", flat.alias("pipelines"))
+    none, no_path = "cast(array() as array<string>)", "cast(null as int)"
+    reply, empty = entry("reply", no_path, none), entry("empty", no_path, none)
+    paths = f"transform(t.paths, (s, i) -> {entry('path', 'i', f'coalesce(s, {none})')})"
+    of_target = (
+        f"concat(filter(array({reply}), r -> t.reply), filter(array({empty}), e -> size(t.paths) = 0), {paths})"
+    )
+    return parsed.selectExpr(
+        "process", "validate", "sync", "bad", f"flatten(transform(targets, (t, tpos) -> {of_target})) as pipelines"
+    )
 
 
-def split_step(step: Column) -> tuple[Column, Column]:
+def split_step(step: str) -> tuple[str, str]:
     """Step text to its name and its key/value entries (value null if missing).
 
     Only the first ``://`` and the first ``=`` of a pair separate.
     """
-    halves = F.split(step, "://", 2)
-    query = F.substring(F.coalesce(F.get(halves, F.lit(1)), F.lit("")), 2, 2147483647)
-    pairs = F.when(query != "", F.split(F.regexp_replace(query, "&+$", ""), "&"))
-    entries = F.transform(
-        F.coalesce(pairs, F.expr("cast(array() as array<string>)")),
-        lambda p: F.struct(
-            F.trim(F.substring_index(p, "=", 1)).alias("key"),
-            F.trim(F.nullif(F.get(F.split(p, "=", 2), F.lit(1)), F.lit(""))).alias("value"),
-        ),
-    )
-    return F.get(halves, F.lit(0)), entries
+    query = f"substring(coalesce(get(split({step}, '://', 2), 1), ''), 2)"
+    pairs = f"filter(array({query}), q -> q <> '')"
+    pairs = f"flatten(transform({pairs}, q -> split(regexp_replace(q, {lit('&+$')}, ''), '&')))"
+    entry = "named_struct('key', trim(substring_index(p, '=', 1)), 'value', trim(nullif(get(split(p, '=', 2), 1), '')))"
+    return f"split({step}, '://', 2)[0]", f"transform({pairs}, p -> {entry})"
 
 
 def steps(parsed: DataFrame) -> DataFrame:
     """The step table: one row per stage of every path of every target."""
-    targets = parsed.select("process", F.posexplode("targets").alias("target_pos", "t"))
-    paths = targets.select("process", "target_pos", F.col("t.id").alias("target_id"), F.posexplode(_paths(F.col("t"))).alias("path", "texts"))
-    staged = paths.select("process", "target_pos", "target_id", "path", F.posexplode("texts").alias("stage", "step"))
-    name, entries = split_step(F.col("step"))
-    return staged.select(
-        "process", "target_pos", "target_id", "path", "stage", "step",
-        name.alias("name"), unique_entries(entries).alias("params"),
+    name, entries = split_step("step")
+    return (
+        parsed.selectExpr("process", "posexplode(targets) as (target_pos, t)")
+        .selectExpr("process", "target_pos", "t.id as target_id", "posexplode(t.paths) as (path, texts)")
+        .selectExpr("process", "target_pos", "target_id", "path", "posexplode(texts) as (stage, step)")
+        .selectExpr(
+            "process", "target_pos", "target_id", "path", "stage", "step",
+            f"{name} as name", f"{unique_entries(entries)} as params",
+        )
     )
