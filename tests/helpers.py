@@ -19,18 +19,40 @@ def target(*paths, id="t", url="u", **more):
     return {"id": id, "transformations": [list(p) for p in paths], "targetPath": url, **more}
 
 
+def one_path(*steps, **more):
+    return route(target(list(steps), **more))
+
+
 def message_table(spark, rows):
     return spark.createDataFrame(rows, "msg_id string, content string, attrs map<string,string>")
 
 
-def run(spark, doc, rows, settings=None, reshapes=None, xsd=XSD_ANY):
-    routes = spark.createDataFrame([("p", doc)] if isinstance(doc, str) else list(doc.items()), "process string, doc string")
-    schemas = spark.createDataFrame([("any", xsd), ("broken", "<nope")], "name string, xsd string")
-    rows = [(r[0], r[1], {"business.process.name": "p", **(r[2] if len(r) > 2 else {})}) for r in rows]
+def registries(spark, docs, xsd=XSD_ANY):
+    routes = spark.createDataFrame(list(docs.items()), "process string, doc string")
+    schemas = spark.createDataFrame([("any", xsd), ("broken", "<nope"), ("empty", "")], "name string, xsd string")
+    return routes, schemas
+
+
+def run(spark, cases, settings=None, reshapes=None):
+    """``cases``: name -> (route document, content, attributes); the name is process and message id."""
+    routes, schemas = registries(spark, {name: case[0] for name, case in cases.items() if case[0] is not None})
+    rows = [(n, c[1], {"business.process.name": n, **(c[2] if len(c) > 2 else {})}) for n, c in cases.items()]
     return route_messages(message_table(spark, rows), routes, schemas, reshapes, settings)
 
 
-def out(run_, *keys):
-    """Routed rows as sorted tuples: lineage, route and the attributes asked for."""
-    rows = run_.routed().collect()
-    return sorted((r["lineage"], r["route"], *[r["attrs"].get(k) for k in keys]) for r in rows)
+class Routed:
+    """Collected rows by message."""
+
+    def __init__(self, run_):
+        self.rows = sorted(run_.routed().collect(), key=lambda r: r["lineage"])
+
+    def of(self, name, *keys):
+        """(lineage after the id, route, attributes asked for) of one message."""
+        return [
+            (r["lineage"][len(name) + 1:], r["route"], *[r["attrs"].get(k) for k in keys])
+            for r in self.rows if r["msg_id"] == name
+        ]
+
+    def one(self, name):
+        (row,) = [r for r in self.rows if r["msg_id"] == name]
+        return row

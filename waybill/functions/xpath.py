@@ -8,6 +8,7 @@ back from a single ``xpath_string`` call as one separated text.
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
@@ -16,7 +17,10 @@ from waybill.functions.render import lit
 
 # Not allowed in any XML document, so it cannot occur in a value.
 SEPARATOR = "\ufffe"
-NODE_COUNT = 16
+# Values read along with the count of each path; more are read in rounds.
+NODE_COUNT = 4
+# The Java XPath compiler refuses an expression with more than 100 operators.
+OPERATOR_LIMIT = 95
 
 _TOKEN = re.compile(
     r"""\s*(?:(?P<text>"[^"]*"|'[^']*')|(?P<num>\d+(?:\.\d*)?|\.\d+)
@@ -93,6 +97,8 @@ def xpath_problem(spark: SparkSession, path: str, nodes: bool) -> str | None:
     """Try a path once, on the driver, against an empty document."""
     try:
         rooted = from_root(path)
+        if nodes and _operators(from_root(path, root="/w/*", top="/w")) + 6 > OPERATOR_LIMIT:
+            raise ValueError("too many operators")
         jvm = spark._jvm
         source = jvm.org.xml.sax.InputSource(jvm.java.io.StringReader("<x/>"))
         engine = jvm.javax.xml.xpath.XPathFactory.newInstance().newXPath()
@@ -109,37 +115,68 @@ def xpath_scalar(content: str, path: str) -> str:
     return f"xpath_string({content}, {lit(from_root(path))})"
 
 
-def xpath_packed(content: str, paths: list[str], nodes: int = NODE_COUNT) -> str:
-    """For each path its node count and first ``nodes`` values, in one text."""
-    parts = []
+def _operators(path: str) -> int:
+    """Upper bound of what the XPath compiler counts as operators."""
+    return sum(path.count(c) for c in "/*+=|-<>![(@.:") + sum(path.count(f" {w} ") for w in _WORD_OPERATORS)
+
+
+@dataclass(frozen=True)
+class PackedPath:
+    """Where the values of one path stand in a packed text."""
+
+    path: str
+    pack: int
+    offset: int
+    nodes: int
+
+
+def pack_paths(paths: list[str], nodes: int = NODE_COUNT) -> list[PackedPath]:
+    """Spread paths over as few packs as the operator limit allows."""
+    packed: list[PackedPath] = []
+    pack, used, offset = 0, 0, 0
     for path in paths:
-        rooted = from_root(path)
+        each = _operators(from_root(path)) + 2
+        own = max(0, min(nodes, OPERATOR_LIMIT // each - 1))
+        cost = each * (own + 1)
+        if used and used + cost > OPERATOR_LIMIT:
+            pack, used, offset = pack + 1, 0, 0
+        packed.append(PackedPath(path, pack, offset, own))
+        used, offset = used + cost, offset + own + 1
+    return packed
+
+
+def xpath_packed(content: str, paths: list[PackedPath]) -> str:
+    """Node count and first values of each path of one pack, in one text."""
+    parts = ["''"]
+    for p in paths:
+        rooted = from_root(p.path)
         parts.append(f"count({rooted})")
-        parts.extend(f"({rooted})[{i}]" for i in range(1, nodes + 1))
+        parts.extend(f"({rooted})[{i}]" for i in range(1, p.nodes + 1))
     expr = "concat(" + f",'{SEPARATOR}',".join(parts) + ")"
     return f"xpath_string({content}, {lit(expr)})"
 
 
-def packed_values(packed: str, content: str, path: str, index: int, nodes: int = NODE_COUNT) -> str:
-    """Values of the path at ``index`` of a packed text, as an array.
+def packed_values(packed: str, content: str, at: PackedPath) -> str:
+    """Values of a path as an array; those past the packed ones are read in rounds.
 
-    Beyond ``nodes`` values the rest is read in further rounds of ``nodes``.
     Each round puts the document in an element that carries the round's first
     position, because the path itself has to stay a literal.
     """
     fields = f"split({packed}, {lit(SEPARATOR)}, -1)"
-    base = index * (nodes + 1)
-    found = f"cast({fields}[{base}] as int)"
-    first = f"slice({fields}, {base + 2}, least({found}, {nodes}))"
-    return f"case when {found} <= {nodes} then {first} else concat({first}, {_rest(content, path, found, nodes)}) end"
+    found = f"cast({fields}[{at.offset + 1}] as int)"
+    first = f"slice({fields}, {at.offset + 3}, least({found}, {at.nodes}))"
+    rest = _rest(content, at, found)
+    return f"case when {found} <= {at.nodes} then {first} else concat({first}, {rest}) end"
 
 
-def _rest(content: str, path: str, found: str, nodes: int) -> str:
-    inner = from_root(path, root="/w/*", top="/w")
-    picks = f",'{SEPARATOR}',".join(f"({inner})[position()=/w/@i+{i}]" for i in range(1, nodes + 1))
+def _rest(content: str, at: PackedPath, found: str) -> str:
+    inner = from_root(at.path, root="/w/*", top="/w")
+    per_round = max(1, OPERATOR_LIMIT // (_operators(inner) + 6))
+    picks = f",'{SEPARATOR}',".join(["''", *[f"({inner})[/w/@i+{i}]" for i in range(1, per_round + 1)]])
     wrapped = f"""concat('<w i="', i, '">', {strip_declaration(content)}, '</w>')"""
     values = f"split(xpath_string({wrapped}, {lit(f'concat({picks})')}), {lit(SEPARATOR)}, -1)"
-    return f"flatten(transform(sequence({nodes}, {found} - 1, {nodes}), i -> slice({values}, 1, least({found} - i, {nodes}))))"
+    one_round = f"slice({values}, 2, least({found} - i, {per_round}))"
+    return f"flatten(transform(sequence({at.nodes}, {found} - 1, {per_round}), i -> {one_round}))"
 
 
 # Fixed value: an XML 1.0 declaration at the very start of a document.

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from itertools import groupby
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions.render import concat, is_fixed, lit
 from waybill.functions.text import literal_replacement, pattern_problem, remove_envelope, replace_text
-from waybill.functions.xpath import NODE_COUNT, packed_values, xpath_packed, xpath_problem, xpath_scalar
+from waybill.functions.xpath import pack_paths, packed_values, xpath_packed, xpath_problem, xpath_scalar
 from waybill.plans.context import StepContext, StepError, merged
 
 StepFunction = Callable[[StepContext], None]
@@ -112,8 +113,10 @@ def evaluate_xpath(ctx: StepContext) -> None:
             raise StepError(problem)
         if not scalar:
             listed.append(key)
-    packed = ctx.stash(xpath_packed(ctx.content, [paths[k] for k in listed], NODE_COUNT)) if listed else ""
-    values = {key: ctx.stash(packed_values(packed, ctx.content, paths[key], i)) for i, key in enumerate(listed)}
+    places = pack_paths([paths[k] for k in listed])
+    packs = [list(group) for _, group in groupby(places, key=lambda p: p.pack)]
+    texts = [ctx.stash(xpath_packed(ctx.content, pack)) for pack in packs]
+    values = {key: ctx.stash(packed_values(texts[at.pack], ctx.content, at)) for key, at in zip(listed, places)}
     for key, path in paths.items():
         if key not in values:
             ctx.set(key, xpath_scalar(ctx.content, path))
