@@ -20,7 +20,7 @@ from waybill.operators.audit import audit_message
 from waybill.operators.lookup import multi_lookup, receiver_lookup, route_lookup
 from waybill.operators.restrict import content_matches, permitted_targets
 from waybill.operators.steps import reshape
-from waybill.session import shared_dir
+from waybill.session import shared_dir, spread
 from waybill.sources.messages import as_messages, messages
 from waybill.sources.registry import parse_routes, pipelines, registry, steps
 from waybill.sources.sinks import reformat
@@ -501,7 +501,7 @@ def well_formed_check(spark: SparkSession, d: str) -> DataFrame:
         .unionByName(part_messages(spark, d).select("msg_id", "content"))
         .unionByName(page_messages(spark, d).select("msg_id", "content"))
     )
-    return df.selectExpr("msg_id", f"{well_formed(spark, 'content')} as good")
+    return spread(df).selectExpr("msg_id", f"{well_formed(spark, 'content')} as good")
 
 
 @query("""
@@ -575,7 +575,7 @@ def charset_decode(spark: SparkSession, d: str) -> DataFrame:
 """)
 def permitted_target_list(spark: SparkSession, d: str) -> DataFrame:
     """The content names the targets it permits; none named means all."""
-    df = table(spark, d, "orders").selectExpr(
+    df = spread(table(spark, d, "orders")).selectExpr(
         "concat('o', o_orderkey) as msg_id",
         "case when o_orderkey % 3 = 0 then '<o/>' else concat('<o><to>', o_orderstatus, '</to></o>') end as content",
         "explode(array('F', 'O', 'P')) as target_id")

@@ -122,7 +122,7 @@ def _operators(path: str) -> int:
 
 @dataclass(frozen=True)
 class PackedPath:
-    """Where the values of one path stand in a packed text."""
+    """Where the values of one path stand in a pack."""
 
     path: str
     pack: int
@@ -145,24 +145,23 @@ def pack_paths(paths: list[str], nodes: int = NODE_COUNT) -> list[PackedPath]:
     return packed
 
 
-def xpath_packed(content: str, paths: list[PackedPath]) -> str:
-    """Node count and first values of each path of one pack, in one text."""
+def xpath_fields(content: str, paths: list[PackedPath]) -> str:
+    """Node count and first values of each path of one pack, as an array from one parse."""
     parts = ["''"]
     for p in paths:
         rooted = from_root(p.path)
         parts.append(f"count({rooted})")
         parts.extend(f"({rooted})[{i}]" for i in range(1, p.nodes + 1))
     expr = "concat(" + f",'{SEPARATOR}',".join(parts) + ")"
-    return f"xpath_string({content}, {lit(expr)})"
+    return f"split(xpath_string({content}, {lit(expr)}), {lit(SEPARATOR)}, -1)"
 
 
-def packed_values(packed: str, content: str, at: PackedPath) -> str:
-    """Values of a path as an array; those past the packed ones are read in rounds.
+def field_values(fields: str, content: str, at: PackedPath) -> str:
+    """Values of a path as an array; those past the first ones are read in rounds.
 
     Each round puts the document in an element that carries the round's first
     position, because the path itself has to stay a literal.
     """
-    fields = f"split({packed}, {lit(SEPARATOR)}, -1)"
     found = f"cast({fields}[{at.offset + 1}] as int)"
     first = f"slice({fields}, {at.offset + 3}, least({found}, {at.nodes}))"
     rest = _rest(content, at, found)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions.render import lit
 from waybill.functions.xmlfn import well_formed
-from waybill.functions.xpath import pack_paths, packed_values, xpath_packed
+from waybill.functions.xpath import field_values, pack_paths, xpath_fields
 
 
 def permitted_targets(df: DataFrame, path: str, target: str = "target_id") -> DataFrame:
@@ -17,10 +17,12 @@ def permitted_targets(df: DataFrame, path: str, target: str = "target_id") -> Da
     """
     (at,) = pack_paths([path])
     good = well_formed(df.sparkSession, "content")
-    packed = df.withColumn("__packed", F.expr(f"case when {good} then {xpath_packed('content', [at])} end"))
-    listed = packed.withColumn("__listed", F.expr(f"case when __packed is not null then {packed_values('__packed', 'content', at)} end"))
+    work = df.withColumn("__good", F.expr(good))
+    work = work.withColumn("__fields", F.expr(f"case when __good then {xpath_fields('content', [at])} end"))
+    work = work.withColumn("__listed", F.expr(f"case when __good then {field_values('__fields', 'content', at)} end"))
     kept = f"__listed is null or size(__listed) = 0 or coalesce(array_contains(__listed, {target}), false)"
-    return listed.where(kept).drop("__packed", "__listed")
+    # An explode of none or one keeps the XPath out of the filter, where it would run again.
+    return work.selectExpr(*df.columns, f"explode(case when {kept} then array(true) end) as __kept").drop("__kept")
 
 
 def content_matches(content: str, condition: str, requirement: str = "content must contain match") -> str:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions.render import concat, is_fixed, lit
 from waybill.functions.text import literal_replacement, pattern_problem, remove_envelope, replace_text
-from waybill.functions.xpath import pack_paths, packed_values, xpath_packed, xpath_problem, xpath_scalar
+from waybill.functions.xpath import field_values, pack_paths, xpath_fields, xpath_problem, xpath_scalar
 from waybill.plans.context import StepContext, StepError, merged
 
 StepFunction = Callable[[StepContext], None]
@@ -115,8 +115,8 @@ def evaluate_xpath(ctx: StepContext) -> None:
             listed.append(key)
     places = pack_paths([paths[k] for k in listed])
     packs = [list(group) for _, group in groupby(places, key=lambda p: p.pack)]
-    texts = [ctx.stash(xpath_packed(ctx.content, pack)) for pack in packs]
-    values = {key: ctx.stash(packed_values(texts[at.pack], ctx.content, at)) for key, at in zip(listed, places)}
+    fields = [ctx.stash(xpath_fields(ctx.content, pack)) for pack in packs]
+    values = {key: ctx.stash(field_values(fields[at.pack], ctx.content, at)) for key, at in zip(listed, places)}
     for key, path in paths.items():
         if key not in values:
             ctx.set(key, xpath_scalar(ctx.content, path))

@@ -19,7 +19,7 @@ from waybill.operators.lookup import not_found
 from waybill.operators.steps import not_a_number, whole_number
 from waybill.plans.compile import Registry, chunk_count, compile_steps, named_reshapes, read_registry, schema_paths
 from waybill.plans.context import Settings, Slots, StepContext
-from waybill.session import checkpointed, lookup_join
+from waybill.session import checkpointed, lookup_join, spread
 from waybill.sources.messages import EMPTY_MAP, as_messages
 from waybill.sources.registry import parse_routes, pipelines
 
@@ -41,7 +41,7 @@ def route_messages(
     """Plan the first pass and the resume pass over one message table."""
     settings = settings or Settings()
     parsed = parse_routes(routes)
-    work = as_messages(messages).selectExpr("*", "attrs['business.process.name'] as process")
+    work = spread(as_messages(messages)).selectExpr("*", "attrs['business.process.name'] as process")
     found = read_registry(parsed, schemas, 2 * settings.max_steps)
     if found:
         return RouteRun([_wave(work, parsed, found, reshapes, settings)], settings)

@@ -86,3 +86,18 @@ def lookup_join(
     salted = left.withColumn("__salt", F.pmod(spread, F.lit(SALTS)).cast("int"))
     copies = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(copies, [key, "__salt"], "left").drop("__salt")
+
+
+# Spark packs files below this size into shared splits.
+SPLIT_BYTES = 4 * 1024 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out the rows of an input too small to give every core a split.
+
+    Only an input estimated below one small split per core is shuffled; a large
+    one comes in enough splits and stays where it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size <= cores * SPLIT_BYTES else df

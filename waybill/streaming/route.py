@@ -32,6 +32,9 @@ def route_stream(
 
     def one_batch(batch: DataFrame, number: int) -> None:
         tables = registries()
+        cores = batch.sparkSession.sparkContext.defaultParallelism
+        if batch.rdd.getNumPartitions() < cores:
+            batch = batch.repartition(cores)
         run = route_messages(batch, tables["routes"], tables["schemas"], tables.get("reshapes"), settings)
         if audit and "receivers" in tables:
             # Two tables come from one pass: keep the rows in the shared folder.
