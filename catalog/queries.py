@@ -18,7 +18,7 @@ from waybill.functions.text import remove_envelope, soap_envelope, status_code,
 from waybill.functions.xmlfn import well_formed
 from waybill.operators.audit import audit_message
 from waybill.operators.lookup import multi_lookup, receiver_lookup, route_lookup
-from waybill.operators.restrict import content_matches, permitted_targets
+from waybill.operators.restrict import content_matches, fan_out_permitted, with_permitted
 from waybill.operators.steps import reshape
 from waybill.session import shared_dir, spread
 from waybill.sources.messages import as_messages, messages
@@ -577,9 +577,8 @@ def permitted_target_list(spark: SparkSession, d: str) -> DataFrame:
     """The content names the targets it permits; none named means all."""
     df = spread(table(spark, d, "orders")).selectExpr(
         "concat('o', o_orderkey) as msg_id",
-        "case when o_orderkey % 3 = 0 then '<o/>' else concat('<o><to>', o_orderstatus, '</to></o>') end as content",
-        "explode(array('F', 'O', 'P')) as target_id")
-    return permitted_targets(df, "to").select("msg_id", "target_id")
+        "case when o_orderkey % 3 = 0 then '<o/>' else concat('<o><to>', o_orderstatus, '</to></o>') end as content")
+    return fan_out_permitted(with_permitted(df, "to"), "array('F', 'O', 'P')").select("msg_id", "target_id")
 
 
 @query("""

@@ -10,19 +10,23 @@ from waybill.functions.xmlfn import well_formed
 from waybill.functions.xpath import field_values, pack_paths, xpath_fields
 
 
-def permitted_targets(df: DataFrame, path: str, target: str = "target_id") -> DataFrame:
-    """Keep the rows whose target is among the values of ``path`` in the content.
+def with_permitted(df: DataFrame, path: str) -> DataFrame:
+    """Add ``permitted``: the values of ``path`` in the content. Call it before the fan-out."""
+    (at,) = pack_paths([path])
+    work = df.withColumn("__good", F.expr(well_formed(df.sparkSession, "content")))
+    work = work.withColumn("__fields", F.expr(f"case when __good then {xpath_fields('content', [at])} end"))
+    listed = f"case when __good then {field_values('__fields', 'content', at)} end"
+    return work.withColumn("permitted", F.expr(listed)).drop("__good", "__fields")
+
+
+def fan_out_permitted(df: DataFrame, targets: str, alias: str = "target_id") -> DataFrame:
+    """One row per permitted target of the array ``targets``.
 
     A message that names no target permits all of them.
     """
-    (at,) = pack_paths([path])
-    good = well_formed(df.sparkSession, "content")
-    work = df.withColumn("__good", F.expr(good))
-    work = work.withColumn("__fields", F.expr(f"case when __good then {xpath_fields('content', [at])} end"))
-    work = work.withColumn("__listed", F.expr(f"case when __good then {field_values('__fields', 'content', at)} end"))
-    kept = f"__listed is null or size(__listed) = 0 or coalesce(array_contains(__listed, {target}), false)"
-    # An explode of none or one keeps the XPath out of the filter, where it would run again.
-    return work.selectExpr(*df.columns, f"explode(case when {kept} then array(true) end) as __kept").drop("__kept")
+    everyone = "permitted is null or size(permitted) = 0"
+    chosen = f"case when {everyone} then {targets} else filter({targets}, t -> array_contains(permitted, t)) end"
+    return df.selectExpr("*", f"explode({chosen}) as {alias}").drop("permitted")
 
 
 def content_matches(content: str, condition: str, requirement: str = "content must contain match") -> str:
