@@ -634,18 +634,39 @@ def step_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-    select 'p' || p_partkey as msg_id, 'failed' as route, 'route document is not JSON' as problem from part where p_partkey % 10 = 9
-    union all
-    select 'p' || p_partkey, 'failed', 'Failed schema extraction! java.io.IOException: Schema with name v' || p_size || ' not found'
-    from part where p_partkey % 10 <> 9
+    select 'p' || p_partkey as msg_id, case when p_partkey % 10 = 9 or p_partkey % 7 = 0 then 'failed' else 'deliver' end as route,
+           case when p_partkey % 10 <> 9 and p_partkey % 7 <> 0 then p_brand end as target_id,
+           case when p_partkey % 10 <> 9 and p_partkey % 7 <> 0 then p_name end as target_url,
+           case when p_partkey % 10 <> 9 and p_partkey % 7 <> 0 then 'of ' || p_brand end as label
+    from part
 """)
 def registry_per_part(spark: SparkSession, d: str) -> DataFrame:
-    """A registry of one route per part, read from storage; many distinct steps make several plans."""
+    """A registry of one route per part, read from storage."""
     folder = scratch(spark, "routes")
-    _part_routes(spark, d).write.parquet(folder)
-    got = route_messages(part_messages(spark, d, "concat('p', p_partkey)"), registry(spark, "routes", folder), schemas(spark),
-                         settings=Settings(max_steps=2000))
-    return got.routed().selectExpr("msg_id", "route", attr("error.msg", "problem"))
+    doc = (
+        "to_json(named_struct('validate', 'part', 'targets', array(named_struct('id', p_brand, 'transformations',"
+        f" array(array({lit('UpdateAttribute://?label=of ${brand}')})), 'targetPath', p_name))))"
+    )
+    table(spark, d, "part").selectExpr(
+        "concat('p', p_partkey) as process", f"case when p_partkey % 10 = 9 then '{{broken' else {doc} end as doc"
+    ).write.parquet(folder)
+    got = route_messages(part_messages(spark, d, "concat('p', p_partkey)"), registry(spark, "routes", folder), schemas(spark))
+    return got.routed().selectExpr("msg_id", "route", "target_id", "target_url", attr("label"))
+
+
+@query("""
+    select 'p' || p_partkey as msg_id, 'deliver' as route, 'of ' || p_brand as label, p_type as kind from part where p_partkey % 7 <> 0
+    union all select 'p' || p_partkey, 'failed', null, null from part where p_partkey % 7 = 0
+""")
+def registry_in_several_plans(spark: SparkSession, d: str) -> DataFrame:
+    """More distinct steps than one plan may hold; every process goes to exactly one of several."""
+    doc = (
+        "to_json(named_struct('validate', 'part', 'targets', array(named_struct('id', 't', 'transformations',"
+        " array(array(concat('UpdateAttribute://?label=of ', p_brand), concat('Custom://?kind=', p_type))), 'targetPath', 'u'))))"
+    )
+    docs = table(spark, d, "part").selectExpr("concat(p_brand, '/', p_type) as process", f"{doc} as doc").distinct()
+    got = route_messages(part_messages(spark, d, "concat(p_brand, '/', p_type)"), docs, schemas(spark), settings=Settings(max_steps=10))
+    return got.routed().selectExpr("msg_id", "route", attr("label"), attr("kind"))
 
 
 # --- audit and lineage -------------------------------------------------------

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from waybill.functions.render import case, concat, lit, render
 from waybill.functions.text import decoded, filled
 from waybill.plans.context import merged
-from waybill.session import BROADCAST_BYTES, lookup_join, measured_bytes
+from waybill.session import BROADCAST_BYTES, lookup_join, measured_bytes, spread
 
 # Texts for an unknown sender and an unknown receiver.
 NO_SENDER = "Не указан"
@@ -73,7 +73,7 @@ def multi_lookup(
     blank or missing key. Each key position is one broadcast join, so the big
     table is not shuffled; ``most_keys`` saves the scan that counts positions.
     """
-    work = df.withColumn("__keys", F.expr(f"transform(filter(split({render(keys)}, ','), k -> k <> ''), k -> trim(k))"))
+    work = spread(df).withColumn("__keys", F.expr(f"transform(filter(split({render(keys)}, ','), k -> k <> ''), k -> trim(k))"))
     counted = work.agg(F.max(F.size("__keys"))).first()[0] if most_keys is None else most_keys
     text = decoded("value", charset) if dict(values.dtypes)["value"] == "binary" else "value"
     table = values.selectExpr("key as __k", f"{text} as __v")

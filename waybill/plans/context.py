@@ -38,7 +38,7 @@ class Settings:
     stop_target_on_suppress: bool = False
     max_steps: int = 256
     max_registry_bytes: int = 64 * 1024 * 1024
-    cut_every: int = 12
+    cut_every: int = 40
 
 
 @dataclass
