@@ -3,7 +3,7 @@
 import xml.etree.ElementTree as ET
 
 import pytest
-from hypothesis import given
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -11,7 +11,7 @@ from tests.helpers import message_table
 from waybill.functions.render import TemplateError, lit, render
 from waybill.functions.text import decoded, status_code, wrap_root
 from waybill.functions.xmlfn import _ordered, schema_problem, well_formed
-from waybill.functions.xpath import OPERATOR_LIMIT, from_root, pack_paths, xpath_problem
+from waybill.functions.xpath import OPERATOR_LIMIT, field_values, from_root, pack_paths, xpath_fields, xpath_problem
 from waybill.operators.lookup import multi_lookup, receiver_lookup
 from waybill.operators.restrict import fan_out_permitted, with_permitted
 from waybill.session import lookup_join, spread
@@ -30,15 +30,31 @@ from waybill.sources.sinks import read_route
     ("name()", "name ( /* )"),
     ("a[b and c]/d", "/*/a [ b and c ] / d"),
     ("2 * count(*)", "2 * count ( /*/* )"),
+    ("/ | a[/b]", "/ | /*/a [ / b ]"),
     ("concat(a,'x/y',text())", "concat ( /*/a , 'x/y' , /*/text ( ) )"),
 ])
 def test_paths_start_at_the_root(path, expected):
     assert from_root(path) == expected
 
 
-def test_absolute_paths_move_under_the_wrapper():
-    assert from_root("a[/b]", root="/w/*", top="/w") == "/w/*/a [ /w/ b ]"
-    assert from_root("/", root="/w/*", top="/w") == "/w"
+@given(st.recursive(
+    st.sampled_from(["x", "", "<?pi?>", "<!-- - -->", "&amp;", "<![CDATA[c]]>"]),
+    lambda inner: st.lists(st.tuples(st.sampled_from("bc"), inner), max_size=4).map(lambda kids: "".join(f"<{t}>{k}</{t}>y" for t, k in kids)),
+    max_leaves=12,
+), st.sampled_from(["b", "//b", "b|c", "//*", "//b[ancestor::c]", "//text()"]))
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_all_ways_to_read_nodes_agree(spark, body, path):
+    """Packed values of many nodes against the unlimited reading with none packed."""
+    content = f"<?xml version='1.0'?><a k='v'>{body}</a>"
+    df = spark.createDataFrame([(content,)], "content string")
+    got = []
+    for nodes in (10, 0, 1):
+        (at,) = pack_paths([path], nodes)
+        work = df.withColumn("f", F.expr(xpath_fields("content", [at])))
+        got.append((at.nodes, work.selectExpr("f[1]", f"{field_values('f', 'content', at)} as v").first()))
+    (most, (count, values)), *others = got
+    assert len(values) == int(count)
+    assert all(row["v"] == values for _, row in others)
 
 
 def test_packs_stay_under_the_operator_limit():

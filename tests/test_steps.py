@@ -44,6 +44,8 @@ CASES = {
     "xpath": (one_path(f"{X}&one=c&two=b&none=zz&n=count(b)&at=@k&deep=c/d"), "<a k='v'><b>1</b><b>2</b><c>x<d>y</d>z</c></a>"),
     "xpath_many": (one_path(f"{X}&i=b"), f"<?xml version='1.0'?><a>{MANY}</a>"),
     "xpath_nested": (one_path(f"{X}&i=//b"), f"<a><b>s<b>t</b><![CDATA[u]]></b>{MANY}</a>"),
+    "xpath_ancestor": (one_path(f"{X}&i=//b[ancestor::a]"), f"<a>{MANY}</a>"),
+    "xpath_attrs": (one_path(f"{X}&i=//@k"), "<a>" + "".join(f"<b k='{i}'/>" for i in range(12)) + "</a>"),
     "xpath_abs": (one_path(f"{X}&i=/a/b|//c"), "<a><b>1</b><c>2</c></a>"),
     "xpath_bad": (one_path(f"{X}&i=b["), "<a/>"),
     "xpath_kind": (one_path(f"{X}&i=string(b)"), "<a/>"),
@@ -133,6 +135,10 @@ def test_xpath(routed):
     assert [attrs.get(f"i.{k}") for k in range(1, 42)] == [*map(str, range(40)), None]
     attrs = routed.one("xpath_nested")["attrs"]
     assert [attrs.get(f"i.{k}") for k in range(1, 44)] == ["stu", "t", *map(str, range(40)), None]
+    attrs = routed.one("xpath_ancestor")["attrs"]
+    assert [attrs.get(f"i.{k}") for k in range(1, 42)] == [*map(str, range(40)), None]
+    attrs = routed.one("xpath_attrs")["attrs"]
+    assert [attrs.get(f"i.{k}") for k in range(1, 14)] == [*map(str, range(12)), None]
     assert routed.of("xpath_abs", "i.1", "i.2") == [("0/0/0/0", "deliver", "1", "2")]
     assert routed.of("xpath_slot", "i.1", "i.2", "j") == [("0/0/0/0", "deliver", "1", "2", "1+2")]
     assert routed.of("xpath_extra", "j") == [("0/0/0/0", "deliver", "1+2")]

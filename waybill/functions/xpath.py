@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from waybill.functions.render import lit
+from waybill.functions.render import case, lit
 
 
 # Not allowed in any XML document, so it cannot occur in a value.
@@ -21,6 +21,8 @@ SEPARATOR = "\ufffe"
 NODE_COUNT = 4
 # The Java XPath compiler refuses an expression with more than 100 operators.
 OPERATOR_LIMIT = 95
+# Operators that a round adds to each copy of a path.
+_ROUND_COST = 8
 
 _TOKEN = re.compile(
     r"""\s*(?:(?P<text>"[^"]*"|'[^']*')|(?P<num>\d+(?:\.\d*)?|\.\d+)
@@ -45,11 +47,8 @@ def _tokens(path: str) -> list[tuple[str, str]]:
     return found
 
 
-def from_root(path: str, root: str = "/*", top: str = "") -> str:
-    """Prefix the relative paths outside predicates with ``root``.
-
-    ``top`` goes before every absolute path, wherever it stands.
-    """
+def from_root(path: str, root: str = "/*") -> str:
+    """Prefix the relative paths outside predicates with ``root``."""
     tokens = [*_tokens(path), ("end", "")]
     out: list[str] = []
     depth = 0
@@ -68,12 +67,9 @@ def from_root(path: str, root: str = "/*", top: str = "") -> str:
         call = kind == "name" and following == "(" and tok not in _NODE_TESTS
         if tok == "$" or (call and tok == "lang"):
             raise ValueError(f"{tok} has no form relative to the root element")
-        if before == "open" and tok in ("/", "//"):
-            lone = tok == "/" and (following in _AFTER_PATH or following in _WORD_OPERATORS)
-            if top:
-                prefix, tok = top, "" if lone else tok
-            kind = "value" if lone else kind
-        elif before == "open" and depth == 0:
+        if before == "open" and tok == "/" and (following in _AFTER_PATH or following in _WORD_OPERATORS):
+            kind = "value"
+        elif before == "open" and depth == 0 and tok not in ("/", "//"):
             if call and tok in _ON_CONTEXT and tokens[i + 2][1] == ")":
                 suffix = f" ( {root} )"
                 tokens[i + 1] = tokens[i + 2] = ("gone", "")
@@ -97,7 +93,7 @@ def xpath_problem(spark: SparkSession, path: str, nodes: bool) -> str | None:
     """Try a path once, on the driver, against an empty document."""
     try:
         rooted = from_root(path)
-        if nodes and _operators(from_root(path, root="/w/*", top="/w")) + 6 > OPERATOR_LIMIT:
+        if nodes and _operators(rooted) + _ROUND_COST > OPERATOR_LIMIT:
             raise ValueError("too many operators")
         jvm = spark._jvm
         source = jvm.org.xml.sax.InputSource(jvm.java.io.StringReader("<x/>"))
@@ -157,23 +153,41 @@ def xpath_fields(content: str, paths: list[PackedPath]) -> str:
 
 
 def field_values(fields: str, content: str, at: PackedPath) -> str:
-    """Values of a path as an array; those past the first ones are read in rounds.
+    """Values of a path as an array, without a limit.
 
-    Each round puts the document in an element that carries the round's first
-    position, because the path itself has to stay a literal.
+    Past the packed ones, elements that do not contain each other are read with
+    all their text in one more pass; whatever else there is, in rounds.
     """
     found = f"cast({fields}[{at.offset + 1}] as int)"
     first = f"slice({fields}, {at.offset + 3}, least({found}, {at.nodes}))"
-    rest = _rest(content, at, found)
-    return f"case when {found} <= {at.nodes} then {first} else concat({first}, {rest}) end"
-
-
-def _rest(content: str, at: PackedPath, found: str) -> str:
-    inner = from_root(at.path, root="/w/*", top="/w")
-    per_round = max(1, OPERATOR_LIMIT // (_operators(inner) + 6))
-    picks = f",'{SEPARATOR}',".join(["''", *[f"({inner})[/w/@i+{i}]" for i in range(1, per_round + 1)]])
-    wrapped = f"""concat('<w i="', i, '">', {strip_declaration(content)}, '</w>')"""
-    values = f"split(xpath_string({wrapped}, {lit(f'concat({picks})')}), {lit(SEPARATOR)}, -1)"
+    cases = [(f"{found} <= {at.nodes}", first)]
+    rooted = from_root(at.path)
+    apart = (
+        f"count(({rooted}) | ({rooted})//*) = count({rooted}) + count(({rooted})//*)"
+        f" and count({rooted}) = count(({rooted})[self::*])"
+    )
+    if _operators(apart) <= OPERATOR_LIMIT:
+        # A null stands for each element, before its text nodes.
+        texts = f"xpath({content}, {lit(f'({rooted}) | ({rooted})//text()')})"
+        split = f"split(array_join({texts}, '', {lit(SEPARATOR)}), {lit(SEPARATOR)}, -1)"
+        # A CDATA section is a text node of its own that only counts as part of its neighbour.
+        plain = f"not contains({content}, '<![CDATA[') and xpath_boolean({content}, {lit(apart)})"
+        cases.append((plain, f"slice({split}, 2, {found})"))
+    return case(cases, f"concat({first}, {_rounds(content, at, found)})")
+
+
+# Holds the first position of a round, in front of the document.
+_POSITION = "waybill-position"
+
+
+def _rounds(content: str, at: PackedPath, found: str) -> str:
+    """A few values per parse: the path has to stay a literal, so the document carries the position."""
+    rooted = from_root(at.path)
+    start = f"/processing-instruction('{_POSITION}')"
+    per_round = max(1, OPERATOR_LIMIT // (_operators(rooted) + _ROUND_COST))
+    picks = f",'{SEPARATOR}',".join(["''", *[f"({rooted})[{start}+{i}]" for i in range(1, per_round + 1)]])
+    marked = f"concat('<?{_POSITION} ', i, '?>', {strip_declaration(content)})"
+    values = f"split(xpath_string({marked}, {lit(f'concat({picks})')}), {lit(SEPARATOR)}, -1)"
     one_round = f"slice({values}, 2, least({found} - i, {per_round}))"
     return f"flatten(transform(sequence({at.nodes}, {found} - 1, {per_round}), i -> {one_round}))"
 
