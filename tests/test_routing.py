@@ -230,3 +230,52 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(map(str, routed.select(*columns).collect())) == sorted(map(str, batch.select(*columns).collect()))
     assert routed.select("batch").distinct().count() == 3
     assert spark.read.parquet(str(tmp_path / "out" / "audit")).count() == 20 * 4
+
+
+def test_plan_over_a_stream_without_batches(spark, tmp_path):
+    """The plan is stateless, so it also runs as a plain streaming query."""
+    routes, schemas = registries(spark, {"p": TWO})
+    source = str(tmp_path / "in")
+    rows = [(f"m{i}", f"<a><b>{i}</b></a>", {"business.process.name": "p"}) for i in range(5)]
+    message_table(spark, rows).write.parquet(source)
+    routed = route_messages(messages(spark, source, streaming=True), routes, schemas).routed()
+    query = (
+        routed.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination(300)
+    assert spark.read.parquet(str(tmp_path / "out")).groupBy("route").count().orderBy("route").collect() == [("deliver", 25), ("reply", 5)]
+
+
+def test_messages_without_attributes(spark):
+    routes, schemas = registries(spark, {"p": TWO})
+    df = message_table(spark, [("null", "<a/>", None), ("empty", None, {}), ("blank", "<a/>", {"business.process.name": ""})])
+    got = {r["msg_id"]: r for r in route_messages(df, routes, schemas).routed().collect()}
+    assert {k: r["error"] for k, r in got.items()} == {
+        "null": "iFlow named:null not found!", "empty": "iFlow named:null not found!", "blank": "iFlow named: not found!"}
+    assert all(r["attrs"]["iflow.status.code"] == "501" for r in got.values())
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_row_counts_and_conservation(spark, seed):
+    """Rows out are the sum over paths of (copies + 1) x destinations; no message is lost."""
+    import random
+
+    rng = random.Random(seed)
+    cases, expected = {}, {}
+    for i in range(12):
+        targets, count = [], 0
+        for t in range(rng.randint(1, 3)):
+            paths, urls = [], [f"u{k}" for k in range(rng.randint(1, 3))]
+            for _ in range(rng.randint(1, 3)):
+                copies = rng.choice([None, 0, 1, 3])
+                steps = ["Pass"] * rng.randint(0, 2) + ([f"DuplicateFlowFile://?Number={copies}"] if copies is not None else [])
+                rng.shuffle(steps)
+                paths.append(steps)
+                count += ((copies or 0) + 1) * len(urls)
+            targets.append(target(*paths, id=f"t{t}", url=urls))
+        cases[f"p{i}"] = (route(*targets), "<a/>")
+        expected[f"p{i}"] = count
+    rows = Routed(run(spark, cases)).rows
+    assert {n: sum(r["msg_id"] == n for r in rows) for n in cases} == expected
+    assert len({r["lineage"] for r in rows}) == len(rows)

@@ -98,6 +98,8 @@ def spread(df: DataFrame) -> DataFrame:
     Only an input estimated below one small split per core is shuffled; a large
     one comes in enough splits and stays where it is.
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return df.repartition(cores) if size <= cores * SPLIT_BYTES else df
