@@ -23,7 +23,6 @@ from waybill.session import checkpointed, lookup_join, spread
 from waybill.sources.messages import EMPTY_MAP, as_messages
 from waybill.sources.registry import parse_routes, pipelines
 
-OUTPUT = ["msg_id", "lineage", "route", "target_id", "path", "target_url", "content", "attrs", "error"]
 _STATE = [
     "msg_id", "attrs", "content", "p", "n", "start", "sync", "missed", "first",
     "error", "alive", "parked", "reply", "copy", "wf", "events",
