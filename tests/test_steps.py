@@ -46,6 +46,7 @@ CASES = {
     "xpath_nested": (one_path(f"{X}&i=//b"), f"<a><b>s<b>t</b><![CDATA[u]]></b>{MANY}</a>"),
     "xpath_ancestor": (one_path(f"{X}&i=//b[ancestor::a]"), f"<a>{MANY}</a>"),
     "xpath_attrs": (one_path(f"{X}&i=//@k"), "<a>" + "".join(f"<b k='{i}'/>" for i in range(12)) + "</a>"),
+    "xpath_counts": (one_path(f"{X}&n=count(b)&more=count(b) > 1&half=count(b) div 2&long=count(b{' | c' * 23})&z=count(//zz)"), "<a><b>1</b><b>2</b><b/></a>"),
     "xpath_abs": (one_path(f"{X}&i=/a/b|//c"), "<a><b>1</b><c>2</c></a>"),
     "xpath_bad": (one_path(f"{X}&i=b["), "<a/>"),
     "xpath_kind": (one_path(f"{X}&i=string(b)"), "<a/>"),
@@ -139,6 +140,7 @@ def test_xpath(routed):
     assert [attrs.get(f"i.{k}") for k in range(1, 42)] == [*map(str, range(40)), None]
     attrs = routed.one("xpath_attrs")["attrs"]
     assert [attrs.get(f"i.{k}") for k in range(1, 14)] == [*map(str, range(12)), None]
+    assert routed.of("xpath_counts", "n", "more", "half", "long", "z") == [("0/0/0/0", "deliver", "3", "true", "1.5", "3", "0")]
     assert routed.of("xpath_abs", "i.1", "i.2") == [("0/0/0/0", "deliver", "1", "2")]
     assert routed.of("xpath_slot", "i.1", "i.2", "j") == [("0/0/0/0", "deliver", "1", "2", "1+2")]
     assert routed.of("xpath_extra", "j") == [("0/0/0/0", "deliver", "1+2")]

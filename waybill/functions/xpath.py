@@ -8,6 +8,7 @@ back from a single ``xpath_string`` call as one separated text.
 from __future__ import annotations
 
 import re
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -118,40 +119,60 @@ def _operators(path: str) -> int:
 
 @dataclass(frozen=True)
 class PackedPath:
-    """Where the values of one path stand in a pack."""
+    """Where the values of one path stand in a pack; ``nodes`` is None for a scalar."""
 
     path: str
     pack: int
     offset: int
-    nodes: int
+    nodes: int | None
 
 
-def pack_paths(paths: list[str], nodes: int = NODE_COUNT) -> list[PackedPath]:
-    """Spread paths over as few packs as the operator limit allows."""
+def pack_paths(paths: list[str], nodes: int = NODE_COUNT, scalars: Collection[str] = ()) -> list[PackedPath]:
+    """Spread paths over as few packs (parses) as the operator limit allows.
+
+    Reading fewer values at first is worth it when that saves a parse.
+    """
+    tries = [_pack(paths, n, scalars) for n in range(nodes, 0, -1)] or [_pack(paths, nodes, scalars)]
+    return min(tries, key=lambda places: max((p.pack for p in places), default=0))
+
+
+def _pack(paths: list[str], nodes: int, scalars: Collection[str]) -> list[PackedPath]:
     packed: list[PackedPath] = []
     pack, used, offset = 0, 0, 0
     for path in paths:
         each = _operators(from_root(path)) + 2
-        own = max(0, min(nodes, OPERATOR_LIMIT // each - 1))
-        cost = each * (own + 1)
-        if used and used + cost > OPERATOR_LIMIT:
+        own = None if path in scalars else max(0, min(nodes, OPERATOR_LIMIT // each - 1))
+        fields = 1 + (own or 0)
+        if used and used + each * fields > OPERATOR_LIMIT:
             pack, used, offset = pack + 1, 0, 0
         packed.append(PackedPath(path, pack, offset, own))
-        used, offset = used + cost, offset + own + 1
+        used, offset = used + each * fields, offset + fields
     return packed
 
 
+def fits_a_pack(path: str) -> bool:
+    return _operators(from_root(path)) + 2 <= OPERATOR_LIMIT
+
+
 def xpath_fields(content: str, paths: list[PackedPath]) -> str:
-    """Node count and first values of each path of one pack, as an array from one parse."""
+    """Scalars, node counts and first values of the paths of one pack, as an array from one parse."""
     parts = ["''"]
     for p in paths:
         rooted = from_root(p.path)
+        if p.nodes is None:
+            parts.append(rooted)
+            continue
         parts.append(f"count({rooted})")
         parts.extend(f"({rooted})[{i}]" for i in range(1, p.nodes + 1))
     expr = "concat(" + f",'{SEPARATOR}',".join(parts) + ")"
     return f"split(xpath_string({content}, {lit(expr)}), {lit(SEPARATOR)}, -1)"
 
 
+def field_scalar(fields: str, at: PackedPath) -> str:
+    """The text of a packed scalar."""
+    return f"{fields}[{at.offset + 1}]"
+
+
 def field_values(fields: str, content: str, at: PackedPath) -> str:
     """Values of a path as an array, without a limit.
 

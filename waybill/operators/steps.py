@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from waybill.functions.render import concat, is_fixed, lit
 from waybill.functions.text import literal_replacement, pattern_problem, remove_envelope, replace_text
-from waybill.functions.xpath import field_values, pack_paths, xpath_fields, xpath_problem, xpath_scalar
+from waybill.functions.xpath import field_scalar, field_values, fits_a_pack, pack_paths, xpath_fields, xpath_problem, xpath_scalar
 from waybill.plans.context import StepContext, StepError, merged
 
 StepFunction = Callable[[StepContext], None]
@@ -105,21 +105,21 @@ def evaluate_xpath(ctx: StepContext) -> None:
         raise StepError(f"java.lang.IllegalArgumentException: {ctx.step.name} {destination or 'null'}")
     ctx.require_xml()
     paths = {key: value.replace("\\\\", "\\") for key, value in ctx.params.items()}
-    listed = []
-    for key, path in paths.items():
-        scalar = "count(" in path
-        problem = xpath_problem(ctx.spark, path, nodes=not scalar)
+    counts = {path for path in paths.values() if "count(" in path}
+    for path in paths.values():
+        problem = xpath_problem(ctx.spark, path, nodes=path not in counts)
         if problem:
             raise StepError(problem)
-        if not scalar:
-            listed.append(key)
-    places = pack_paths([paths[k] for k in listed])
-    packs = [list(group) for _, group in groupby(places, key=lambda p: p.pack)]
+    together = {key: path for key, path in paths.items() if path not in counts or fits_a_pack(path)}
+    places = dict(zip(together, pack_paths(list(together.values()), scalars=counts)))
+    packs = [list(group) for _, group in groupby(places.values(), key=lambda p: p.pack)]
     fields = [ctx.stash(xpath_fields(ctx.content, pack)) for pack in packs]
-    values = {key: ctx.stash(field_values(fields[at.pack], ctx.content, at)) for key, at in zip(listed, places)}
+    values = {
+        key: ctx.stash(field_values(fields[at.pack], ctx.content, at)) for key, at in places.items() if at.nodes is not None
+    }
     for key, path in paths.items():
         if key not in values:
-            ctx.set(key, xpath_scalar(ctx.content, path))
+            ctx.set(key, field_scalar(fields[places[key].pack], places[key]) if key in places else xpath_scalar(ctx.content, path))
             continue
         found = values[key]
         for name in list(ctx.slots.names):
