@@ -24,7 +24,7 @@ def normal(rows, names):
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_query(spark, duck, name):
     df = queries()[name](spark, DATA)
     rows = [tuple(r) for r in df.collect()]
