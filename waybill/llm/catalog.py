@@ -12,6 +12,7 @@ from waybill.llm.lengths import length_histogram
 from waybill.llm.packing import packed
 from waybill.llm.quality import quality_report
 from waybill.llm.shards import kd_shards
+from waybill.llm.substrings import repeats_removed
 from waybill.llm.urls import judged_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +96,30 @@ def op5_url_aliases(spark: SparkSession, d: str) -> DataFrame:
     return judged_urls(table(spark, d, "pages"))
 
 
+@query(r"""
+    with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+    g as (
+        select doc_id, i, array_to_string(w[i:i + 19], ' ') as g
+        from (select doc_id, w, unnest(range(1, len(w) - 18)) as i from w where len(w) >= 20)
+    ), late as (
+        select doc_id, i from g qualify row_number() over (partition by g order by doc_id, i) > 1
+    ), gone as (
+        select distinct doc_id, p from (select doc_id, unnest(range(i, i + 20)) as p from late)
+    ), each as (
+        select doc_id, w, unnest(range(1, len(w) + 1)) as p from w
+    ), kept as (
+        select e.doc_id, string_agg(w[p], ' ' order by p) as t, count(*) as n
+        from each e anti join gone g on e.doc_id = g.doc_id and e.p = g.p group by e.doc_id
+    )
+    select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
+           sha256(coalesce(t, '')) as kept_sha256
+    from w left join kept using (doc_id)
+""")
+def op7_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return repeats_removed(table(spark, d, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query()
 def op10_token_lengths(spark: SparkSession, d: str) -> DataFrame:
     return length_histogram(table(spark, d, "documents"))
