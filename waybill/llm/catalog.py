@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from waybill.llm.common import table
 from waybill.llm.lengths import length_histogram
+from waybill.llm.minhash import Near, near_duplicates
 from waybill.llm.packing import packed
 from waybill.llm.quality import quality_report
 from waybill.llm.shards import kd_shards
@@ -73,6 +74,35 @@ def op2_kd_shards(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query(r"""
+    with recursive w as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                          '[^\x20\x09-\x0D]+') as w from documents
+    ), s as (
+        select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+               else list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) end as s from w
+    ), sets as (
+        select s, min(doc_id) as k, len(s) as n from (select doc_id, list_sort(s) as s from s) where len(s) > 0 group by s
+    ), inv as (
+        select k, n, unnest(s) as g from sets
+    ), pairs as (
+        select x.k as a, y.k as b from inv x join inv y on x.g = y.g and x.k < y.k and 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n)
+        group by x.k, y.k, x.n, y.n having 100 * count(*) >= 85 * (x.n + y.n - count(*))
+    ), linked as (
+        select a, b from pairs union all select b, a from pairs
+    ), walk as (
+        select k, k as to_ from sets union select w.k, b.b from walk w join linked b on b.a = w.to_
+    ), roots as (
+        select k, min(to_) as root from walk group by k
+    )
+    select s.doc_id, cast(len(s.s) as bigint) as n_shingles, coalesce(root, s.doc_id) as component_id,
+           s.doc_id = coalesce(root, s.doc_id) as kept
+    from (select doc_id, list_sort(s) as s from s) s left join sets on sets.s = s.s left join roots using (k)
+""")
+def op3_minhash_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicates(table(spark, d, "documents"), Near())
+
+
 @query()
 def op4_packing(spark: SparkSession, d: str) -> DataFrame:
     return packed(table(spark, d, "documents"))
