@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.llm.common import table
+from waybill.llm.decontaminate import leaks
 from waybill.llm.lengths import length_histogram
 from waybill.llm.minhash import Near, near_duplicates
 from waybill.llm.packing import packed
@@ -150,6 +151,11 @@ def op7_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query()
+def op9_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return leaks(table(spark, d, "documents"), table(spark, d, "benchmark")).drop("text_mark")
+
+
 @query()
 def op10_token_lengths(spark: SparkSession, d: str) -> DataFrame:
     return length_histogram(table(spark, d, "documents"))

@@ -18,6 +18,15 @@ def word_marks(text: str | None, lower: bool = False) -> tuple[list[bytes], np.n
     return found, np.fromiter(map(_word, found), dtype=np.uint64, count=len(found))
 
 
+_PLAIN = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
+
+
+def plain_marks(text: str | None) -> np.ndarray:
+    """Marks of the words of a text in lower case, ASCII punctuation counting as blanks."""
+    found = text.lower().encode().translate(_PLAIN).split() if text else []
+    return np.fromiter(map(_word, found), dtype=np.uint64, count=len(found))
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A one-to-one scrambling of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
