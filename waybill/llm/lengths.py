@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from waybill.llm.common import written
 from waybill.llm.tokens import VOCABULARY, encoder
 
 BLOCK = 4096
@@ -35,6 +36,7 @@ def length_histogram(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame
     """
     counted = token_lengths(docs, vocabulary).groupBy("length").agg(F.count(F.lit(1)).alias("docs"))
     counted = counted.withColumns({"tokens": F.col("length") * F.col("docs"), "block": F.floor(F.col("length") / BLOCK)})
+    counted = written(counted, "lengths")  # used twice below; texts are encoded once
     after = lambda by, order: Window.partitionBy(*by).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
     later = lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))
     blocks = counted.groupBy("block").agg(F.sum("docs").alias("d"), F.sum("tokens").alias("t"))
