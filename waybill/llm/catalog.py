@@ -12,6 +12,7 @@ from waybill.llm.decontaminate import leaks
 from waybill.llm.lengths import length_histogram
 from waybill.llm.minhash import Near, near_duplicates
 from waybill.llm.packing import packed
+from waybill.llm.private import private_report
 from waybill.llm.quality import quality_report
 from waybill.llm.shards import kd_shards
 from waybill.llm.substrings import repeats_removed
@@ -151,6 +152,11 @@ def op7_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+@query()
+def op8_private_data(spark: SparkSession, d: str) -> DataFrame:
+    return private_report(table(spark, d, "documents"))
+
+
 @query()
 def op9_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return leaks(table(spark, d, "documents"), table(spark, d, "benchmark")).drop("text_mark")
