@@ -16,6 +16,7 @@ from waybill.llm.private import private_report
 from waybill.llm.quality import quality_report
 from waybill.llm.shards import kd_shards
 from waybill.llm.substrings import repeats_removed
+from waybill.llm.tools import linked_chats
 from waybill.llm.urls import judged_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,6 +129,18 @@ def op5_url_aliases(spark: SparkSession, d: str) -> DataFrame:
     return judged_urls(table(spark, d, "pages"))
 
 
+@query(r"""
+    select conv_id, turn, cast(null as integer) as step, cast(0 as integer) as place, role, cast(null as varchar) as call_id,
+           'message' as status, cast(null as varchar) as problem,
+           '{"content":' || cast(to_json(coalesce(text, '')) as varchar) || ',"role":' || coalesce(cast(to_json(role) as varchar), 'null')
+           || ',"turn":' || coalesce(cast(turn as varchar), 'null') || '}' as json
+    from conversations
+""")
+def op6_tool_calls(spark: SparkSession, d: str) -> DataFrame:
+    """The SQL leaves out calls: the given conversations hold none; tests plant them."""
+    return linked_chats(table(spark, d, "conversations"))
+
+
 @query(r"""
     with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
     g as (
