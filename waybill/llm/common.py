@@ -39,6 +39,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the table doesn't use."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, body) -> Column:
     """``body`` over a value that is computed once."""
     return F.transform(F.array(value), body).getItem(0)

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import written
+from waybill.llm.common import BLANKS, free_name, written
 from waybill.llm.components import components
 from waybill.llm.hashing import mixed, word_marks
 
@@ -157,6 +157,14 @@ def near_duplicates(docs: DataFrame, near: Near = USUAL) -> DataFrame:
     component's (null equals null). Repeated rows have one result each; extra
     columns are left out.
     """
+    rows = _rows(docs, near)
+    name = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return rows.select("doc_id", "n_shingles", name.alias("component_id")).withColumn(
+        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def _rows(docs: DataFrame, near: Near) -> DataFrame:
+    """Every row's id, text mark, set size, component and its smallest id; the last two are null without words."""
     sketched = written(sketches(docs, near), "sketches")
     found = sketched.where("node is not null")
     entries = found.select("node", F.explode("bands").alias("bucket"))
@@ -190,11 +198,8 @@ def near_duplicates(docs: DataFrame, near: Near = USUAL) -> DataFrame:
     own = found.groupBy("node").agg(F.min("doc_id").alias("least")).join(known, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     names = own.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = own.join(names, "component").select("node", "component_id")
-    out = sketched.select("doc_id", "n_shingles", "node").join(named, "node", "left")
-    name = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", name.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    named = own.join(names, "component").select("node", "component", "component_id")
+    return sketched.select("doc_id", "text_mark", "n_shingles", "node").join(named, "node", "left").drop("node")
 
 
 def _led(members: DataFrame, rank) -> DataFrame:
@@ -209,13 +214,19 @@ def _led(members: DataFrame, rank) -> DataFrame:
 
 
 def near_duplicates_removed(docs: DataFrame, near: Near = USUAL) -> DataFrame:
-    """The documents without those that another of their component stands for; all columns are kept.
+    """One document of each component, with all its columns: the smallest id, null ids last, then the smallest text mark.
 
-    Rows that repeat a kept id and text stay once; rows with a null id stay if their component names none.
+    Rows that repeat this one's id and text stay once. Texts without words, null ones too, all stay.
     """
-    keys = near_duplicates(docs, near).where("kept").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(keys, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    if docs.where("doc_id is null").isEmpty():
-        return known
-    nameless = docs.where("doc_id is null").withColumn("__mark", F.xxhash64("text")).dropDuplicates(["__mark"]).drop("__mark")
-    return known.unionByName(nameless)
+    mark = free_name(docs, "text_mark")
+    rows = written(_rows(docs, near).where("component is not null"), "rows")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_mark")).alias("first")
+    kept = written(rows.groupBy("component").agg(first).select(
+        F.col("first.doc_id").alias("kept_id"), F.col("first.text_mark").alias("kept_mark")), "kept")
+    ours = lambda d, m: F.col(d).eqNullSafe(F.col("kept_id")) & (F.col(m) == F.col("kept_mark"))
+    marked = docs.withColumn(mark, F.xxhash64("text"))
+    out = marked.join(kept, ours("doc_id", mark), "left_semi")
+    if rows.join(kept, ours("doc_id", "text_mark"), "left_semi").count() > kept.count():
+        out = out.dropDuplicates(["doc_id", mark])
+    wordless = F.length(F.translate(F.coalesce("text", F.lit("")), BLANKS, "")) == 0
+    return out.drop(mark).unionByName(docs.where(wordless))

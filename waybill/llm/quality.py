@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import BLANKS, let, words
+from waybill.llm.common import BLANKS, free_name, let, words
 
 WINDOW = 8
 SAMPLE_ROWS = 2000
@@ -174,8 +174,8 @@ def judged(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text", out:
 
 def quality_kept(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") -> DataFrame:
     """The documents that no rule rejects, with their own columns."""
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    return judged(docs, rules, text, out="__rejected_by").where("__rejected_by is null").select(*columns)
+    out = free_name(docs, "rejected_by")
+    return judged(docs, rules, text, out).where(F.col(out).isNull()).drop(out)
 
 
 def quality_report(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
