@@ -194,5 +194,5 @@ def linked_chats(turns: DataFrame, schemas: dict | None = None) -> DataFrame:
 
 
 def _quoted(text):
-    """A short text as JSON."""
-    return F.regexp_extract(F.to_json(F.struct(text.alias("v"))), r"(?s)^\{\"v\":(.*)\}$", 1)
+    """A short text as JSON; null for null, which ``to_json`` would leave out."""
+    return F.when(text.isNotNull(), F.regexp_extract(F.to_json(F.struct(text.alias("v"))), r"(?s)^\{\"v\":(.*)\}$", 1))
