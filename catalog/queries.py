@@ -62,14 +62,14 @@ _KNOWN = "o_orderpriority in ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')"
 
 @query(f"""
     select 'o' || o_orderkey as msg_id, o_orderpriority as process,
-           case when {_KNOWN} then null else 'iFlow named:' || o_orderpriority || ' not found!' end as iflow_error,
+           case when {_KNOWN} then null else 'Route named:' || o_orderpriority || ' not found!' end as route_error,
            case when {_KNOWN} then null else '501' end as status_code
     from orders
 """)
 def route_lookup_status(spark: SparkSession, d: str) -> DataFrame:
     """Route by process name; a miss is 501."""
     docs = routes(spark, {p: route(target("t", ["Pass"])) for p in FOUR})
-    return route_lookup(order_messages(spark, d), docs).select("msg_id", "process", "iflow_error", "status_code")
+    return route_lookup(order_messages(spark, d), docs).select("msg_id", "process", "route_error", "status_code")
 
 
 @query("""
@@ -83,7 +83,7 @@ def route_lookup_status(spark: SparkSession, d: str) -> DataFrame:
 def lookup_into_content(spark: SparkSession, d: str) -> DataFrame:
     """One key; the value, decoded from bytes, becomes the content."""
     names = table(spark, d, "customer").selectExpr("cast(c_custkey as string) as key", "encode(c_name, 'UTF-8') as value")
-    found = multi_lookup(order_messages(spark, d), "${cust}", names, most_keys=1)
+    found = multi_lookup(order_messages(spark, d), "${cust}", names)
     return found.select("msg_id", "content", "error")
 
 
@@ -157,7 +157,7 @@ def transform_lookup(spark: SparkSession, d: str) -> DataFrame:
     """A registered transform, the built-in one, and an unknown name."""
     df = table(spark, d, "customer").join(table(spark, d, "nation"), F.expr("n_nationkey = c_nationkey")).selectExpr(
         "concat('n', n_nationkey, '-', c_custkey) as msg_id",
-        "concat('<e:Envelope xmlns:e=\"x\"><e:Body><b>', n_name, '</b></e:Body></e:Envelope>') as content",
+        "concat('<e:Envelope xmlns:e=\"http://schemas.xmlsoap.org/soap/envelope/\"><e:Body><b>', n_name, '</b></e:Body></e:Envelope>') as content",
         f"{AT_START.format('shape', ', \'kind\', cast(c_custkey % 3 as string)')} as attrs",
     ).withColumn("attrs", F.expr("map_concat(map_filter(attrs, (k, v) -> k <> 'business.process.name'), map('business.process.name', concat('k', attrs['kind'])))"))
     docs = {f"k{i}": route(target("t", [f"ApplyXslt://?Name={n}"])) for i, n in enumerate(["Name", "RemoveEnvelope.xsl", "Missing"])}
@@ -166,7 +166,7 @@ def transform_lookup(spark: SparkSession, d: str) -> DataFrame:
     got = run(spark, df, docs, reshapes=shapes).routed()
     return got.selectExpr(
         "msg_id", "cast(attrs['kind'] as bigint) as kind",
-        f"case when error is null then regexp_replace(content, {lit('>\\s+<')}, '><') end as content",
+        "case when error is null then content end as content",
         "attrs['error.msg'] as problem",
     )
 
@@ -382,7 +382,7 @@ def error_context(spark: SparkSession, d: str) -> DataFrame:
     select 'o' || o_orderkey as msg_id, case when o_orderpriority = '1-URGENT' then 'back' else o_orderpriority end as process,
            case when o_orderpriority = '1-URGENT' then '' end as status, case when o_orderpriority = '1-URGENT' then 'XI' end as input,
            case when o_orderpriority = '1-URGENT' then 'true' end as sync,
-           '2fde38c3-b6b5-1fee-0c7c-7c06e1792e1a' as group_id,
+           'orders-1' as group_id,
            case when o_orderpriority = '1-URGENT' then 'unlisted' end as target_system
     from orders where o_orderpriority in ('1-URGENT', '2-HIGH')
     union all select 'o' || o_orderkey, o_orderpriority, '501', null, null, null, null from orders where o_orderpriority not in ('1-URGENT', '2-HIGH')
@@ -391,10 +391,10 @@ def delivery_attributes(spark: SparkSession, d: str) -> DataFrame:
     """What a delivery carries, with and without a synchronous route."""
     docs = {"1-URGENT": route(target("unlisted", ["Pass"], response="back", input="XI", sync="true"), validate="order", sync="true"),
             "2-HIGH": route(target("listed", ["Pass"]), validate="order")}
-    got = run(spark, order_messages(spark, d), docs, Settings(known_systems=("listed",))).routed()
+    got = run(spark, order_messages(spark, d), docs, Settings(known_systems=("listed",), process_group_id="orders-1")).routed()
     return got.selectExpr(
-        "msg_id", attr("business.process.name", "process"), attr("iflow.status.code", "status"), attr("iflow.input", "input"),
-        attr("iflow.sync", "sync"), attr("processGroupId", "group_id"), attr("target_system"))
+        "msg_id", attr("business.process.name", "process"), attr("route.status.code", "status"), attr("route.input", "input"),
+        attr("route.sync", "sync"), attr("processGroupId", "group_id"), attr("target_system"))
 
 
 @query("""
@@ -546,7 +546,7 @@ def reshape_content(spark: SparkSession, d: str) -> DataFrame:
     ]
     shaped = reshape(parts[0].unionByName(parts[1]), "key string, nation int",
                      "named_struct('code', concat('S', doc.key), 'place', doc.nation + 100)", "supplier")
-    return shaped.selectExpr("msg_id", f"regexp_replace(content, {lit('>\\s+<')}, '><') as content")
+    return shaped.selectExpr("msg_id", "content")
 
 
 @query("""
@@ -764,7 +764,7 @@ _FIRST_SQL = f"""
 def first_pass(spark: SparkSession, d: str) -> DataFrame:
     """Lookup, validation, fan-out, steps, marks and destinations together."""
     got = run(spark, order_messages(spark, d), FIRST_PASS).routed()
-    return got.selectExpr("msg_id", "route", "target_id", "target_url", attr("label"), attr("cents"), attr("iflow.status.code", "status"))
+    return got.selectExpr("msg_id", "route", "target_id", "target_url", attr("label"), attr("cents"), attr("route.status.code", "status"))
 
 
 @query(f"select route, target_id, target_url, count(*) as deliveries from ({_FIRST_SQL}) group by 1, 2, 3")

@@ -1,5 +1,6 @@
 """Expression builders and lookups on small fixtures."""
 
+import json
 import xml.etree.ElementTree as ET
 
 import pytest
@@ -9,11 +10,11 @@ from pyspark.sql import functions as F
 
 from tests.helpers import message_table
 from waybill.functions.render import TemplateError, lit, render
-from waybill.functions.text import decoded, status_code, wrap_root
-from waybill.functions.xmlfn import _ordered, schema_problem, well_formed
+from waybill.functions.text import decoded, remove_envelope, status_code, wrap_root
+from waybill.functions.xmlfn import _ordered, compact_json, schema_problem, well_formed
 from waybill.functions.xpath import OPERATOR_LIMIT, field_values, from_root, pack_paths, xpath_fields, xpath_problem
 from waybill.operators.lookup import multi_lookup, receiver_lookup
-from waybill.operators.restrict import fan_out_permitted, with_permitted
+from waybill.operators.restrict import content_matches, fan_out_permitted, with_permitted
 from waybill.session import lookup_join, spread
 from waybill.sources.registry import parse_routes, steps
 from waybill.sources.sinks import read_route
@@ -120,7 +121,7 @@ def test_multi_lookup(spark):
     table = spark.createDataFrame([("a", bytearray("é" * 300, "utf-8")), ("b", bytearray(b"B"))], "key string, value binary")
     cases = {"one": "a", "two": " a , b,,", "twice": "b,b", "gone": "a,z", "blank": "a, ", "none": "", "comma": ","}
     df = message_table(spark, [(k, "old", {"k": v, "v.b": "was"}) for k, v in cases.items()])
-    into = {r["msg_id"]: r for r in multi_lookup(df, "${k}", table, attribute="v").collect()}
+    into = {r["msg_id"]: r for r in multi_lookup(df, "${k}", table, attribute="v", max_length=256).collect()}
     assert into["one"]["attrs"]["v"] == "é" * 256 and into["one"]["content"] == "old"
     assert into["two"]["attrs"]["v.b"] == "B" and into["two"]["attrs"]["v.a"] == "é" * 256
     assert into["twice"]["attrs"]["v.b"] == "B"
@@ -130,8 +131,55 @@ def test_multi_lookup(spark):
     body = {r["msg_id"]: r for r in multi_lookup(df, "${k}", table, limit=0).collect()}
     assert body["one"]["content"] == "é" * 300 and body["two"]["content"] == "old"
     assert "Multiple Cache Value Identifiers" in body["two"]["error"]
-    short = {r["msg_id"]: r for r in multi_lookup(df, "${k}", table, most_keys=1).collect()}
-    assert short["two"]["error"] == "more keys than positions" and short["one"]["error"] is None
+    whole = {r["msg_id"]: r for r in multi_lookup(df, "${k}", table.unionByName(table), attribute="v").collect()}
+    assert len(whole) == len(cases) and whole["one"]["attrs"]["v"] == "é" * 300  # no cut unless asked for; keys twice count once
+    many = message_table(spark, [("m", "old", {"k": ",".join(f"k{i}" for i in range(1000))})])
+    values = spark.createDataFrame([(f"k{i}", f"v{i}") for i in range(1000)], "key string, value string")
+    got = multi_lookup(many, "${k}", values, attribute="v").first()
+    assert got["error"] is None and got["attrs"]["v.k999"] == "v999" and got["attrs"]["v.k0"] == "v0"
+
+
+def test_one_value_per_key(spark):
+    left = spark.createDataFrame([("1", "a"), ("2", "b")], "msg_id string, k string")
+    right = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", "y"), ("b", "z")], "k string, v string")
+    for limit in (10**6, 0):
+        rows = lookup_join(left, right, "k", limit=limit, salt_by=F.col("msg_id")).selectExpr("msg_id", "v").collect()
+        assert sorted(map(tuple, rows)) == [("1", "y"), ("2", "z")]
+
+
+def test_quoted_text_in_templates_stays(spark):
+    df = message_table(spark, [("m", "c", {"x": "q", "n": "7"})])
+    assert df.selectExpr(render("sql:concat('attrs of ', ${x}, size(attrs))")).first()[0] == "attrs of q2"
+    assert df.selectExpr(render("sql:coalesce(cast(${x} as int), cast(${n} as int))")).first()[0] == "7"
+    with pytest.raises(TemplateError):
+        render("sql:concat('${x}', 'b')")
+
+
+def test_bad_match_pattern_matches_nothing(spark):
+    df = spark.createDataFrame([("abc", "b"), ("abc", "("), ("abc\n", "abc"), ("abc", "a.c"), (None, "a")], "t string, c string")
+    part, whole = (df.selectExpr(content_matches("t", "c", *how)).collect() for how in ((), ("whole",)))
+    assert [r[0] for r in part] == [True, False, True, True, None]
+    assert [r[0] for r in whole] == [False, False, False, True, None]
+
+
+def test_json_keeps_codes(spark):
+    text = '<r a="007" b="7"><z>007</z><y>10</y><n/><t>see 00 and "x":null</t><z>0.5</z></r>'
+    got = json.loads(spark.createDataFrame([(text,)], "c string").selectExpr(compact_json("c")).first()[0])
+    assert got["r"]["z"] == ["007", 0.5] and got["r"]["a"] == "007" and got["r"]["b"] == 7 and got["r"]["y"] == 10
+    assert got["r"]["n"] == "" and got["r"]["t"] == 'see 00 and "x":null'
+
+
+def test_envelopes(spark):
+    ns = "http://schemas.xmlsoap.org/soap/envelope/"
+    cases = {
+        "<mail><Body>hi</Body><x/></mail>": "<mail><Body>hi</Body><x/></mail>",
+        f'<s:Envelope xmlns:s="{ns}"><s:Body/></s:Envelope>': "",
+        f'<s:Envelope xmlns:s="{ns}"><s:Body> </s:Body></s:Envelope>': "",
+        f"<s:Envelope xmlns:s='{ns}' xmlns:q='u'><s:Header/><s:Body><q:b>1</q:b></s:Body></s:Envelope>": "<q:b xmlns:q='u'>1</q:b>",
+        f'<Envelope xmlns="{ns}"><Body><b>1</b></Body></Envelope>': "<b>1</b>",
+    }
+    for text, want in cases.items():
+        assert spark.createDataFrame([(text,)], "c string").selectExpr(remove_envelope("c")).first()[0] == want
 
 
 def test_receiver_lookup(spark):

@@ -66,14 +66,14 @@ def routed(spark):
 def test_route_lookup(routed):
     for name in ("none", "blank"):
         row = routed.one(name)
-        text = f"iFlow named:{name} not found!"
-        assert (row["route"], row["error"], row["attrs"]["iflow.error"]) == ("failed", text, text)
-        assert row["attrs"]["iflow.status.code"] == "501" and "error.msg" not in row["attrs"]
+        text = f"Route named:{name} not found!"
+        assert (row["route"], row["error"], row["attrs"]["route.error"]) == ("failed", text, text)
+        assert row["attrs"]["route.status.code"] == "501" and "error.msg" not in row["attrs"]
     assert routed.of("bad_json", "error.msg") == [("-/-/0", "failed", "route document is not JSON")]
 
 
 def test_fan_out(routed):
-    got = routed.of("fan", "Receiver", "target.id", "xform.path", "target_url", "s", "iflow.input", "target.output")
+    got = routed.of("fan", "Receiver", "target.id", "xform.path", "target_url", "s", "route.input", "target.output")
     assert got == [
         ("0/0/0/0", "deliver", "t", "t", "0", "u", "1", "X", None),
         ("0/0/0/1", "deliver", "t", "t", "0", "v", "1", "X", None),
@@ -114,9 +114,9 @@ def test_validation(routed):
 
 
 def test_sync_route(routed):
-    keys = ["business.process.name", "iflow.status.code", "iflow.input", "iflow.sync", "processGroupId"]
+    keys = ["business.process.name", "route.status.code", "route.input", "route.sync", "processGroupId"]
     assert routed.of("sync", *keys) == [
-        ("0/0/0/0", "deliver", "back", "", "XI", "true", "2fde38c3-b6b5-1fee-0c7c-7c06e1792e1a")
+        ("0/0/0/0", "deliver", "back", "", "XI", "true", "")
     ]
 
 
@@ -252,8 +252,8 @@ def test_messages_without_attributes(spark):
     df = message_table(spark, [("null", "<a/>", None), ("empty", None, {}), ("blank", "<a/>", {"business.process.name": ""})])
     got = {r["msg_id"]: r for r in route_messages(df, routes, schemas).routed().collect()}
     assert {k: r["error"] for k, r in got.items()} == {
-        "null": "iFlow named:null not found!", "empty": "iFlow named:null not found!", "blank": "iFlow named: not found!"}
-    assert all(r["attrs"]["iflow.status.code"] == "501" for r in got.values())
+        "null": "Route named:null not found!", "empty": "Route named:null not found!", "blank": "Route named: not found!"}
+    assert all(r["attrs"]["route.status.code"] == "501" for r in got.values())
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])

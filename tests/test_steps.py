@@ -2,9 +2,9 @@
 
 import pytest
 
-from tests.helpers import Routed, one_path, route, run, target
-from waybill import Settings, register_step
-from waybill.operators.steps import STEPS
+from tests.helpers import Routed, message_table, one_path, registries, route, run, target
+from waybill import Settings, register_step, route_messages
+from waybill.operators.steps import STEPS, reshape
 
 X = "EvaluateXQuery://?Destination=flowfile-attribute"
 R = "ReplaceText://?ReplacementStrategy=RegexReplace"
@@ -178,7 +178,7 @@ def test_json(routed):
 
 
 def test_reshape(routed):
-    assert routed.one("envelope")["content"] == "<b>1</b>"
+    assert routed.one("envelope")["content"] == CASES["envelope"][1]  # the root is no envelope
     assert "".join(routed.one("shape")["content"].split()) == "<out><y>x</y><z>2</z></out>"
     assert routed.of("shape_none", "error.msg") == [
         ("0/0/0", "failed", "java.io.IOException: XSLT with the name Nope not found")
@@ -220,3 +220,26 @@ def test_own_step(spark):
         assert got.of("m", "loud") == [("0/0/0/0", "deliver", "HEY")]
     finally:
         del STEPS["Shout"]
+
+
+def test_reshape_leaves_literals(spark):
+    """A field and a text named like the document stay, and the content is one line."""
+    df = spark.createDataFrame([("<a><b>1</b></a>",)], "content string")
+    out = reshape(df, "b string", "named_struct('doc', doc.b, 'kind', 'the doc')", "o").first()[0]
+    assert out == "<o><doc>1</doc><kind>the doc</kind></o>"
+
+
+def test_broken_steps_fail_alone(spark):
+    """Templates that Spark can't read, casts that fail and huge numbers cost their own rows only."""
+    docs = {
+        "ok": one_path("UpdateAttribute://?a=1"), "unknown": one_path("UpdateAttribute://?a=sql:nofn(${x})"),
+        "cast": one_path("UpdateAttribute://?a=sql:cast(${x} as int)"), "many": one_path("DuplicateFlowFile://?Number=00000000000000002"),
+        "huge": one_path("DuplicateFlowFile://?Number=99999999999"), "quoted": one_path("UpdateAttribute://?a=sql:concat('${x}')"),
+    }
+    routes, schemas = registries(spark, docs)
+    df = message_table(spark, [(p, "<a/>", {"business.process.name": p, "x": "q"}) for p in docs])
+    rows = route_messages(df, routes, schemas).routed().collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["msg_id"], []).append(r["route"])
+    assert got == {"ok": ["deliver"], "unknown": ["failed"], "cast": ["deliver"], "many": ["deliver"] * 3, "huge": ["failed"], "quoted": ["failed"]}

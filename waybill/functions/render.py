@@ -11,6 +11,7 @@ from collections.abc import Iterable
 from typing import Protocol
 
 PLACEHOLDER = re.compile(r"\$\{([^}]*)\}")
+_QUOTED = re.compile(r"""('(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.|"")*"|`[^`]*`)""", re.DOTALL)
 SQL_PREFIX = "sql:"
 
 
@@ -77,6 +78,33 @@ def _name(raw: str) -> str:
     return name
 
 
+def _bound(body: str, scope: Scope) -> str:
+    """A SQL expression with its names bound; quoted text stays as it is. A cast that fails gives null."""
+    pieces = _QUOTED.split(body)
+    if any(PLACEHOLDER.search(q) for q in pieces[1::2]):
+        raise TemplateError("a placeholder inside quotes")
+    plain = pieces[::2]
+    if any(re.search(r"\battrs\b", p) for p in plain):
+        whole = scope.attrs()
+        plain = [re.sub(r"\battrs\b", lambda _: whole, p) for p in plain]
+    plain = [re.sub(r"\bcast(\s*\()", r"try_cast\1", PLACEHOLDER.sub(lambda m: scope.attr_column(_name(m.group(1))), p), flags=re.I)
+             for p in plain]
+    pieces[::2] = plain
+    return "".join(pieces)
+
+
+class Nothing:
+    """A scope of nulls, to look at a template alone."""
+
+    def attr(self, name: str) -> str:
+        return "cast(null as string)"
+
+    attr_column = attr
+
+    def attrs(self) -> str:
+        return "cast(null as map<string,string>)"
+
+
 def render(template: str, scope: Scope | None = None) -> str:
     """``${name}`` becomes the attribute (empty if absent).
 
@@ -86,11 +114,7 @@ def render(template: str, scope: Scope | None = None) -> str:
     """
     scope = scope or MapScope()
     if template.startswith(SQL_PREFIX):
-        body = template[len(SQL_PREFIX):]
-        if re.search(r"\battrs\b", body):
-            whole = scope.attrs()
-            body = re.sub(r"\battrs\b", lambda _: whole, body)
-        return f"cast(({PLACEHOLDER.sub(lambda m: scope.attr_column(_name(m.group(1))), body)}) as string)"
+        return f"cast(({_bound(template[len(SQL_PREFIX):], scope)}) as string)"
     parts: list[str] = []
     at = 0
     for m in PLACEHOLDER.finditer(template):

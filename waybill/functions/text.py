@@ -50,8 +50,9 @@ def wrap_root(content: str, tag: str = "root") -> str:
     return concat(lit(f"<{tag}>"), content, lit(f"</{tag}>"))
 
 
-# Fixed value: the SOAP 1.1 envelope namespace.
+# The namespaces of SOAP envelopes.
 SOAP_NS = "http://schemas.xmlsoap.org/soap/envelope/"
+SOAP_12_NS = "http://www.w3.org/2003/05/soap-envelope"
 
 
 def soap_envelope(content: str) -> str:
@@ -61,9 +62,23 @@ def soap_envelope(content: str) -> str:
 
 
 def remove_envelope(content: str) -> str:
-    """Body of a SOAP envelope; content without one stays as it is."""
-    body = r"(?s)<(?:[\w.-]+:)?Body(?:\s[^>]*)?>(.*)</(?:[\w.-]+:)?Body\s*>"
-    return f"coalesce(nullif(trim(regexp_extract({content}, {lit(body)}, 1)), ''), {content})"
+    """Body of a SOAP envelope, empty if the body is; content whose root is none stays as it is.
+
+    Prefixes that the body uses and the envelope declares move to the body's first element.
+    """
+    head = r"(?s)^\s*(?:<\?xml[^>]*\?>\s*)?(<(?:[\w.-]+:)?Envelope\b[^>]*>.*?<(?:[\w.-]+:)?Body\b[^>]*>)"
+    body = r"(?s)<(?:[\w.-]+:)?Body(?:\s[^>]*)?(?<!/)>(.*)</(?:[\w.-]+:)?Body\s*>"
+    tag = r"^(<[^\s/>]+)"
+    inner = f"trim(regexp_extract({content}, {lit(body)}, 1))"
+    opened = f"regexp_extract({content}, {lit(head)}, 1)"
+    listed = rf"regexp_extract_all({opened}, {lit(r'(xmlns:[\w.-]+\s*=\s*(?:\x22[^\x22]*\x22|\x27[^\x27]*\x27))')}, 1)"
+    prefix = "trim(substring_index(substring(d, 7), '=', 1))"
+    first = f"regexp_extract(b, {lit(r'^<[^>]*')}, 0)"
+    used = f"contains(b, concat({prefix}, ':')) and not contains({first}, concat('xmlns:', {prefix}, '='))"
+    names = f"array_join(transform(filter(array_distinct({listed}), d -> {used}), d -> concat(' ', d)), '')"
+    tagged = f"transform(array({inner}), b -> regexp_replace(b, {lit(tag)}, concat({lit('$1')}, {names})))[0]"
+    known = " or ".join(f"contains({opened}, {lit(ns)})" for ns in (SOAP_NS, SOAP_12_NS))
+    return f"case when {known} then {tagged} else {content} end"
 
 
 def decoded(binary: str, charset: str = "UTF-8") -> str:

@@ -58,12 +58,24 @@ def root_name(content: str) -> str:
     return f"xpath_string({content}, 'name(/*)')"
 
 
+# A sign of the private area, put before numbers that must stay text.
+_KEPT = "\ue000"
+
+
 def compact_json(content: str) -> str:
-    """Objects by element name: repeats become arrays, attributes keys, scalars typed."""
+    """Objects by element name: repeats become arrays, attributes keys, scalars typed.
+
+    A number with a leading zero stays text (``007`` is a code), and an empty element is an empty text.
+    """
+    number = r"([+-]?0[0-9][0-9.eE+-]*)"
+    marked = f"regexp_replace({content}, {lit(rf'>(\s*){number}(\s*)<')}, {lit(f'>$1{_KEPT}$2$3<')})"
+    marked = f"regexp_replace({marked}, {lit(rf'=([\x22\x27]){number}([\x22\x27])')}, {lit(f'=$1{_KEPT}$2$3')})"
     options = "map('attributePrefix', '', 'valueTag', 'content')"
     # Code generation does not cover XML to variant; a one-element array keeps it out.
-    body = f"transform(array({content}), c -> to_json(from_xml(c, 'variant', {options})))[0]"
-    return f"""concat('{{"', {root_name(content)}, '":', coalesce({body}, 'null'), '}}')"""
+    body = f"transform(array({marked}), c -> to_json(from_xml(c, 'variant', {options})))[0]"
+    body = f"replace({body}, {lit(_KEPT)}, '')"
+    body = f"regexp_replace({body}, {lit(r'(?<!\\)(\x22:)null(?=[,}])')}, {lit('$1' + chr(34) * 2)})"
+    return f"""concat('{{"', {root_name(content)}, '":', coalesce({body}, '""'), '}}')"""
 
 
 def _ordered(text: str) -> str | None:

@@ -113,8 +113,9 @@ def xpath_scalar(content: str, path: str) -> str:
 
 
 def _operators(path: str) -> int:
-    """Upper bound of what the XPath compiler counts as operators."""
-    return sum(path.count(c) for c in "/*+=|-<>![(@.:") + sum(path.count(f" {w} ") for w in _WORD_OPERATORS)
+    """Upper bound of what the XPath compiler counts as operators; signs inside names and texts are none."""
+    signs = {"op": lambda t: sum(c in "/*+=|-<>![(@." for c in t), "axis": lambda t: 2, "name": lambda t: t.count(":") + (t in _WORD_OPERATORS)}
+    return sum(signs[kind](token) for kind, token in _tokens(path) if kind in signs)
 
 
 @dataclass(frozen=True)

@@ -29,13 +29,12 @@ AUDIT_KEYS = (
 )
 
 # Fixed values of the audit record.
-GROUP_ID = "60484390-d08c-1fe2-b9a9-d47458b352ee"
 GROUP_NAME = "Transform"
 LEVEL = "INFO"
 UNKNOWN_POSITION = "unknow"
 
 
-def audit_rows(wave: Wave, receivers: DataFrame, host: str, specification_base: str) -> DataFrame:
+def audit_rows(wave: Wave, receivers: DataFrame, host: str, specification_base: str, group_id: str = "") -> DataFrame:
     """One row per event of every row of the wave."""
     later = [k for k in AUDIT_KEYS if k not in wave.snapshot]
     df = wave.df.selectExpr(
@@ -60,7 +59,7 @@ def audit_rows(wave: Wave, receivers: DataFrame, host: str, specification_base:
         f"case when working then coalesce(e.path, '{UNKNOWN_POSITION}') end as path",
         f"case when working then coalesce(e.stage, '{UNKNOWN_POSITION}') end as stage",
         "file_name", "path_attr", f"{short_message()} as short_message", f"{lit(host)} as host",
-        f"{group} as facility", f"'{GROUP_ID}' as group_id", f"{group} as group_name", f"'{LEVEL}' as level",
+        f"{group} as facility", f"{lit(group_id)} as group_id", f"{group} as group_name", f"'{LEVEL}' as level",
         "request_url", "sender", "receiver", "business_process",
         f"concat({lit(specification_base)}, coalesce(business_process, 'null')) as specification",
         "e.derivation as derivation",

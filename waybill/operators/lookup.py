@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from waybill.functions.render import case, concat, lit, render
 from waybill.functions.text import decoded, filled
 from waybill.plans.context import merged
-from waybill.session import BROADCAST_BYTES, lookup_join, measured_bytes, spread
+from waybill.session import BROADCAST_BYTES, lookup_join
 
 # Texts for an unknown sender and an unknown receiver.
 NO_SENDER = "Не указан"
@@ -23,13 +23,13 @@ def route_lookup(df: DataFrame, routes: DataFrame, limit: int = BROADCAST_BYTES)
     joined = lookup_join(keyed, routes.select("process", "doc"), "process", limit=limit, salt_by=F.col("msg_id"))
     missing = f"{filled('doc')} is null"
     return joined.withColumns({
-        "iflow_error": F.expr(f"case when {missing} then {not_found('process')} end"),
+        "route_error": F.expr(f"case when {missing} then {not_found('process')} end"),
         "status_code": F.expr(f"case when {missing} then '501' end"),
     })
 
 
 def not_found(process: str) -> str:
-    return concat(lit("iFlow named:"), f"coalesce({process}, 'null')", lit(" not found!"))
+    return concat(lit("Route named:"), f"coalesce({process}, 'null')", lit(" not found!"))
 
 
 def request_uri(attr: Callable[[str], str]) -> str:
@@ -60,48 +60,44 @@ def multi_lookup(
     values: DataFrame,
     *,
     attribute: str | None = None,
-    max_length: int = 256,
+    max_length: int | None = None,
     charset: str = "UTF-8",
     limit: int = BROADCAST_BYTES,
-    most_keys: int | None = None,
 ) -> DataFrame:
     """Look up one or more keys per message in ``values (key, value)``.
 
     ``keys`` and ``attribute`` are templates. One key without ``attribute``
     replaces the content; else each value goes to ``attribute`` (one key) or
-    ``attribute.key`` (several), cut at ``max_length``. ``error`` tells of a
-    blank or missing key. Each key position is one broadcast join, so the big
-    table is not shuffled; ``most_keys`` saves the scan that counts positions.
+    ``attribute.key`` (several), cut at ``max_length`` if that is given.
+    ``error`` tells of a blank or missing key. The distinct lists of keys are
+    looked up in one join, whatever their length, and joined back once.
     """
-    work = spread(df).withColumn("__keys", F.expr(f"transform(filter(split({render(keys)}, ','), k -> k <> ''), k -> trim(k))"))
-    counted = work.agg(F.max(F.size("__keys"))).first()[0] if most_keys is None else most_keys
+    work = df.withColumn("__keys", F.expr(f"transform(filter(split({render(keys)}, ','), k -> k <> ''), k -> trim(k))"))
     text = decoded("value", charset) if dict(values.dtypes)["value"] == "binary" else "value"
     table = values.selectExpr("key as __k", f"{text} as __v")
-    size = measured_bytes(table)
-    positions = range(counted or 0)
-    for i in positions:
-        side = table.selectExpr("__k", f"__v as __v{i}")
-        work = work.withColumn("__k", F.expr(f"get(__keys, {i})"))
-        work = lookup_join(work, side, "__k", size=size, limit=limit, salt_by=F.col("msg_id")).drop("__k")
-    found = f"array({', '.join(f'__v{i}' for i in positions)})"
+    lists = work.select("__keys").where("__keys is not null").distinct()
+    each = lists.selectExpr("__keys", "posexplode(__keys) as (__at, __k)")
+    looked = lookup_join(each, table, "__k", limit=limit, salt_by=F.struct("__keys", "__at"))
+    found = looked.groupBy("__keys").agg(F.expr(
+        "transform(sort_array(collect_list(struct(__at, __v))), x -> x.__v) as __found"))
+    work = work.join(found, "__keys", "left").withColumn("__found", F.expr("coalesce(__found, cast(array() as array<string>))"))
     problems = [
         ("__keys is null or exists(__keys, k -> k = '')", lit("no key to look up")),
-        (f"size(__keys) > {counted or 0}", lit("more keys than positions")),
         ("exists(__found, v -> v is null)", lit("not every key was found")),
     ]
     if attribute is None:
         problems.append(("size(__keys) > 1", lit(SEVERAL_KEYS)))
-    work = work.withColumn("__found", F.expr(f"slice(cast({found} as array<string>), 1, size(__keys))"))
     work = work.withColumn("error", F.expr(case(problems, "cast(null as string)")))
     if attribute is None:
         changed = work.withColumn("content", F.expr("case when error is null and size(__keys) = 1 then __found[0] else content end"))
     else:
         name = render(attribute)
-        one = f"map({name}, substring(__found[0], 1, {max_length}))"
+        cut = (lambda v: v) if max_length is None else (lambda v: f"substring({v}, 1, {max_length})")
+        one = f"map({name}, {cut("__found[0]")})"
         # The same key twice gives the same entry twice.
         several = (
             "map_from_entries(array_distinct(transform(sequence(1, size(__keys)), i -> "
-            f"struct(concat({name}, '.', __keys[i - 1]), substring(__found[i - 1], 1, {max_length})))))"
+            f"struct(concat({name}, '.', __keys[i - 1]), {cut("__found[i - 1]")}))))"
         )
         new = f"case when error is null and size(__keys) > 0 then case when size(__keys) = 1 then {one} else {several} end end"
         changed = work.withColumn("__new", F.expr(new)).withColumn("attrs", F.expr(merged("attrs", "__new")))

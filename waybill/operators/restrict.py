@@ -30,7 +30,8 @@ def fan_out_permitted(df: DataFrame, targets: str, alias: str = "target_id") ->
 
 
 def content_matches(content: str, condition: str, requirement: str = "content must contain match") -> str:
-    """Whether the content meets a parked condition: a match anywhere, or of the whole."""
-    whole = f"regexp_like({content}, concat('^(?:', {condition}, {lit(')$')}))"
-    part = f"regexp_like({content}, {condition})"
-    return part if requirement == "content must contain match" else whole
+    """Whether the content meets a parked condition: a match anywhere, or of the whole. An illegal pattern meets none."""
+    part = f"concat('(?s:.*?)(?:', {condition}, ')(?s:.*)')"
+    pattern = part if requirement == "content must contain match" else condition
+    called = f"try_reflect('java.util.regex.Pattern', 'matches', {pattern}, {content})"
+    return f"case when {content} is not null and {condition} is not null then coalesce(cast({called} as boolean), false) end"

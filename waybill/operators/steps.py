@@ -150,8 +150,8 @@ def apply_transform(ctx: StepContext) -> None:
 
 def shaped_xml(expr: str, doc: str, root_tag: str) -> str:
     """Write ``expr`` over the parsed document column ``doc`` as XML."""
-    bound = re.sub(r"\bdoc\b", doc, expr)
-    return f"to_xml({bound}, map('rowTag', {lit(root_tag)}))"
+    value = f"transform(array({doc}), doc -> {expr})[0]"  # binds the name; a literal that holds it stays
+    return f"rtrim('\n', to_xml({value}, map('rowTag', {lit(root_tag)}, 'indent', '')))"
 
 
 def reshape(df: DataFrame, input_ddl: str, expr: str, root_tag: str) -> DataFrame:
@@ -171,7 +171,7 @@ def duplicate(ctx: StepContext) -> None:
 
 def whole_number(text: str) -> str:
     """Integer of a text as Java reads it; null if it is none."""
-    return f"case when {text} rlike '^[+-]?[0-9]{{1,12}}\\u0024' then try_cast({text} as int) end"
+    return f"case when {text} rlike {lit(r'^[+-]?[0-9]+\z')} then try_cast({text} as int) end"
 
 
 def not_a_number(text: str) -> str:

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import SparkSession
 
-from waybill.functions.render import TemplateError, lit, lits, render
+from waybill.functions.render import SQL_PREFIX, Nothing, TemplateError, lit, lits, render
 
 
 class StepError(ValueError):
@@ -30,8 +31,9 @@ class Reshape:
 class Settings:
     """Choices of one routing run."""
 
-    # Fixed value: the constant the delivery attributes carry.
-    process_group_id: str = "2fde38c3-b6b5-1fee-0c7c-7c06e1792e1a"
+    # What delivery attributes and audit records carry as the id of their installation.
+    process_group_id: str = ""
+    audit_group_id: str = ""
     known_systems: tuple[str, ...] = ()
     ordered_json: bool = False
     legacy_last_filter: bool = False
@@ -122,9 +124,13 @@ class StepContext:
 
     def render(self, template: str) -> str:
         try:
+            if template.startswith(SQL_PREFIX):
+                # Looked at alone first: one that Spark can't read fails its own step only.
+                self.spark.range(0).selectExpr("cast(null as string) as content").selectExpr(render(template, Nothing()))
             return render(template, self)
-        except TemplateError as e:
-            raise StepError(f"java.lang.IllegalArgumentException: {self.step.name} {e}") from e
+        except (TemplateError, AnalysisException, ParseException) as e:
+            why = str(e).splitlines()[0]
+            raise StepError(f"java.lang.IllegalArgumentException: {self.step.name} {why}") from e
 
     def required(self, name: str) -> str:
         value = self.params.get(name)

@@ -23,6 +23,9 @@ from waybill.session import checkpointed, lookup_join, spread
 from waybill.sources.messages import EMPTY_MAP, as_messages
 from waybill.sources.registry import parse_routes, pipelines
 
+# Copies of a row that one array numbers.
+COPY_BLOCK = 10_000
+
 _STATE = [
     "msg_id", "attrs", "content", "p", "n", "start", "sync", "missed", "first",
     "error", "alive", "parked", "reply", "copy", "wf", "events",
@@ -75,7 +78,7 @@ class RouteRun:
 
     def audit(self, receivers: DataFrame, host: str = "", specification_base: str = "") -> DataFrame:
         """One row per executed step and per copy made."""
-        return _union([audit_rows(w, receivers, host, specification_base) for w in self.waves])
+        return _union([audit_rows(w, receivers, host, specification_base, self.settings.audit_group_id) for w in self.waves])
 
     def lineage(self) -> DataFrame:
         """Which row came from which."""
@@ -254,7 +257,16 @@ def _multiply(
     if not copying and not replying:
         return df.selectExpr(*[f"{events} as events" if c == "events" else c for c in keep])
     copied = f"s in ({lits(copying)}) and error is null" if copying else "false"
-    numbers = [(f"s = {sid} and error is null", f"sequence(0, {ctx.copies_column})") for sid, ctx in copying.items()]
+    if copying:
+        # Copies come in blocks, so that no row holds an array of all their numbers.
+        kept = [*dict.fromkeys([*df.columns])]
+        blocks = [(f"s = {sid} and error is null", f"sequence(0, {ctx.copies_column} div {COPY_BLOCK})") for sid, ctx in copying.items()]
+        df = df.selectExpr(*[f"`{c}`" for c in kept], f"explode({case(blocks, 'array(0)')}) as block")
+    first, last = f"cast(block as bigint) * {COPY_BLOCK}", f"cast(block as bigint) * {COPY_BLOCK} + {COPY_BLOCK - 1}"
+    numbers = [
+        (f"s = {sid} and error is null", f"sequence({first}, least(cast({ctx.copies_column} as bigint), {last}))")
+        for sid, ctx in copying.items()
+    ]
     if replying:
         numbers.append((f"s in ({lits(replying)}) and error is null", "array(0, -1)"))
     df = df.selectExpr(
@@ -327,11 +339,11 @@ def _finish(wave: Wave, settings: Settings) -> DataFrame:
         "xform.last": when(f"{going} and coalesce(parked = n - 1, false) and not {as_json}", "'true'", "xform.last"),
         "xform.group": when("out.route = 'deliver'", "null", "xform.group"),
         "error.msg": when("out.route = 'failed' and not missed", "out.error", "error.msg"),
-        "iflow.error": when("missed", "out.error", "iflow.error"),
-        "iflow.status.code": case([("missed", "'501'"), (synced, "''")], attr("iflow.status.code")),
+        "route.error": when("missed", "out.error", "route.error"),
+        "route.status.code": case([("missed", "'501'"), (synced, "''")], attr("route.status.code")),
         "business.process.name": when(synced, "p.response", "business.process.name"),
-        "iflow.input": when(going, "p.input", "iflow.input"),
-        "iflow.sync": when(going, "p.sync", "iflow.sync"),
+        "route.input": when(going, "p.input", "route.input"),
+        "route.sync": when(going, "p.sync", "route.sync"),
         "processGroupId": when(going, lit(settings.process_group_id), "processGroupId"),
         "target_system": when(f"{going} and {unknown}", "p.target_id", "target_system"),
         "target_url": when(going, "out.url", "target_url"),

@@ -64,6 +64,12 @@ def measured_bytes(df: DataFrame) -> int:
     return int(row["b"] or 0) + 16 * int(row["n"])
 
 
+def one_per_key(right: DataFrame, key: str) -> DataFrame:
+    """One row per key: equal rows collapse, and of different ones the greatest stays."""
+    rest = [c for c in right.columns if c != key]
+    return right.groupBy(key).agg(F.max(F.struct(*rest)).alias("__kept")).select(key, *[f"__kept.{c}" for c in rest])
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -73,12 +79,13 @@ def lookup_join(
     limit: int = BROADCAST_BYTES,
     salt_by: Column | None = None,
 ) -> DataFrame:
-    """Left join of a big table to a registry that has one row per ``key``.
+    """Left join of a big table to a registry; of several rows of a ``key`` one counts (``one_per_key``).
 
     ``right`` is broadcast when its measured size is within ``limit``. Beyond
     that both sides shuffle on ``(key, salt)``: left rows of one hot key spread
     over ``SALTS`` tasks, and the registry is repeated once per salt.
     """
+    right = one_per_key(right, key)
     size = measured_bytes(right) if size is None else size
     if size <= limit:
         return left.join(F.broadcast(right), key, "left")
