@@ -29,25 +29,22 @@ def components(edges: DataFrame) -> DataFrame:
     ``edges`` has columns ``a`` and ``b`` of one ordered type. Loops and rows
     with a null are no edges; repeated edges count once. Without edges the result
     is empty. Each round is a written table, so a lost executor costs one round.
-    The stars end when a round changes nothing; both steps only aggregate and
-    join by node, and a hot node is pre-aggregated before the shuffle.
+    The rounds end when only stars are left; all steps aggregate and join by
+    node, and a hot node is pre-aggregated before the shuffle.
     """
     now = edges.select("a", "b").where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     now = written(now.distinct(), "edges")
-    state = _state(now)
-    while state[0]:
+    while not _settled(now):
         now = written(_small_star(_large_star(now)), "stars")
-        after = _state(now)
-        if after == state:
-            break
-        state = after
     roots = now.select(F.col("b").alias("node")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))
     )
 
 
-def _state(edges: DataFrame) -> tuple:
-    mark = F.xxhash64("a", "b")
-    row = edges.agg(F.count(F.lit(1)), F.bit_xor(mark), F.bit_xor(F.xxhash64(mark))).first()
-    return tuple(row)
+def _settled(edges: DataFrame) -> bool:
+    """Whether all edges are stars: a node has one edge down, or else only edges up."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    return ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).where(
+        "down > 1 or (down = 1 and up = 1)").isEmpty()

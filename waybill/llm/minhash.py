@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waybill.llm.common import BLANKS, free_name, written
@@ -146,10 +146,11 @@ def near_duplicates(docs: DataFrame, near: Near = USUAL) -> DataFrame:
     Words are lower-cased in A to Z. Equal sets are one node from the start, so
     copies, however many, cost one sketch each and nothing more. A node meets
     those it shares a band with. In each bucket, members are first compared with
-    its most central member, then with one drawn by hash, then with another;
-    components by large-star and small-star contract what is linked. Pairs of a
-    bucket that are in two components after that are all compared, so the stars
-    lose no link. Every link is confirmed on whole sets.
+    its most central member, then with one drawn by hash; components by
+    large-star and small-star contract what is linked. Members of a bucket that
+    are in two components after that are compared if they share a rare shingle,
+    as every linked pair does, so the stars lose no link. Every link is confirmed
+    on whole sets.
 
     Texts without words, null ones too, have an empty set and no links.
     ``component_id`` is the smallest id of the component; rows with a null id
@@ -182,18 +183,13 @@ def _rows(docs: DataFrame, near: Near) -> DataFrame:
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))
     central = members.join(sizes, "bucket").groupBy("node").agg(F.sum("size").alias("rank"))
     links = _links(_led(members.join(central, "node"), "rank"), held, near)
-    for turn in range(2):
+    open_, known = _with_component(members, links)
+    if not open_.isEmpty():
+        links = links.unionByName(_links(_led(open_, F.xxhash64("bucket", "node")), held, near))
         open_, known = _with_component(members, links)
-        if open_.isEmpty():
-            break
-        links = links.unionByName(_links(_led(open_, F.xxhash64("bucket", "node", F.lit(turn))), held, near))
-    else:
-        open_, known = _with_component(members, links)
-        if not open_.isEmpty():
-            one = open_.select("bucket", F.col("node").alias("a"), F.col("component").alias("ca"))
-            two = open_.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"))
-            rest = one.join(two, "bucket").where("a < b and ca != cb").select("a", "b")
-            known = written(components(links.unionByName(_links(rest, held, near))), "components")
+    if not open_.isEmpty():
+        rest = _links(_rare_pairs(open_.select("node", "component").distinct(), held, near), held, near)
+        known = written(components(links.unionByName(rest)), "components")
 
     own = found.groupBy("node").agg(F.min("doc_id").alias("least")).join(known, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
@@ -202,6 +198,47 @@ def _rows(docs: DataFrame, near: Near) -> DataFrame:
     return sketched.select("doc_id", "text_mark", "n_shingles", "node").join(named, "node", "left").drop("node")
 
 
+def _rare_pairs(open_: DataFrame, held: DataFrame, near: Near) -> DataFrame:
+    """Pairs of nodes in different components that may be linked: all those that share a rare shingle.
+
+    With shingles ordered by how many of the nodes have them, two sets that are
+    similar enough share one of the first ``n - ceil(n * similarity) + 1`` of
+    either, whatever the order; and shingles that only one node has bound what it
+    can have in common with any other. A copy that no other is linked with has
+    many of its own, and so few pairs, however large its group.
+    """
+
+    def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i in range(0, len(batch), 64):
+                part = batch.iloc[i:i + 64]
+                sets = [shingles(t, near.width).view(np.int64) for t in part["text"]]
+                sizes = [len(x) for x in sets]
+                yield pd.DataFrame({
+                    "id": np.repeat(part["id"].to_numpy(), sizes), "shingle": np.concatenate(sets)})
+
+    nodes = written(open_.withColumn("id", F.monotonically_increasing_id()), "nodes")
+    texts = nodes.join(held.select("node", "text"), "node").select("id", "text")
+    tokens = texts.mapInPandas(spell, "id long, shingle long")
+    often = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
+    common = tokens.join(often, "shingle")
+    sized = nodes.join(held.select("node", "n_shingles"), "node").select("id", "node", "component", "n_shingles")
+    by_rarity = Window.partitionBy("id").orderBy("often", "shingle")
+    whole = F.count(F.lit(1)).over(Window.partitionBy("id"))
+    ranked = common.select("id", "shingle", F.row_number().over(by_rarity).alias("at"), whole.alias("shared")).join(sized, "id")
+    # Shingles that only one node has come before all others.
+    first = F.expr(f"n_shingles - ceil(n_shingles * {near.percent} / 100.0) + 1")
+    rare = written(ranked.where((F.col("n_shingles") - F.col("shared") + F.col("at")) <= first).select(
+        "shingle", "node", "component", "n_shingles", "shared"), "rare")
+    split = rare.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
+    rare = rare.join(split.select("shingle"), "shingle", "left_semi")
+    one = rare.select("shingle", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("an"), F.col("shared").alias("ao"))
+    two = rare.select("shingle", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("bn"), F.col("shared").alias("bo"))
+    # No more can be common than either set shares with any other.
+    fits = f"a < b and ca != cb and 100 * least(ao, bo) >= {near.percent} * (an + bn - least(ao, bo))"
+    return one.join(two, "shingle").where(fits).select("a", "b")
+
+
 def _led(members: DataFrame, rank) -> DataFrame:
     """Pairs of each bucket's highest member with the others, leader first; those of one component are left out."""
     rank = F.col(rank) if isinstance(rank, str) else rank
