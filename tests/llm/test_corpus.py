@@ -252,6 +252,26 @@ def test_decontamination(spark):
     assert decontaminated(df, bench.limit(0)).count() == len(rows)
 
 
+def planted(spark, bench, copies, seed=4):
+    """``leaks`` of long documents that hold one of the copies each, as (document, item)."""
+    r, rows = random.Random(seed), []
+    for d, words in enumerate(copies):
+        host = prose(5000 + d, 300).split()
+        at = r.randrange(len(host))
+        rows.append((d, " ".join(host[:at] + words + host[at:])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return {(x.doc_id, x.item_id): x for x in leaks(docs, spark.createDataFrame(bench, "item_id long, text string")).collect()}
+
+
+def test_decontamination_of_brief_items(spark):
+    sizes = [3, 4, 5, 6, 7, 8, 9]
+    bench = [(i, prose(7000 + i, n)) for i, n in enumerate(sizes)]
+    copies = [t.split() for _, t in bench] + [t.split()[::-1] for _, t in bench[:5]]
+    found = planted(spark, bench, copies)
+    assert sorted(found) == [(i, i) for i in range(len(sizes))]
+    assert all(found[i, i].end - found[i, i].start == n and found[i, i].lcs_share == 1 for i, n in enumerate(sizes) if n < 8)
+
+
 def call(ident, name="search", **arguments):
     return "<tool_call>" + json.dumps({"id": ident, "name": name, "arguments": arguments}) + "</tool_call>"
 
