@@ -272,6 +272,18 @@ def test_decontamination_of_brief_items(spark):
     assert all(found[i, i].end - found[i, i].start == n and found[i, i].lcs_share == 1 for i, n in enumerate(sizes) if n < 8)
 
 
+def test_decontamination_finds_all_that_its_rule_accepts(spark):
+    r, bench, copies = random.Random(9), [], []
+    for n in (15, 18, 22, 26, 40, 70):
+        for share in (0.56, 0.6, 0.65, 0.7, 0.8):
+            words = prose(9000 + len(bench), n).split()
+            bench.append((len(bench), " ".join(words[:-4]) + ". " + " ".join(words[-4:])))
+            for x in r.sample(range(n - 4), int(n * (1 - share))):
+                words[x] = f"other{x}"
+            copies.append(words)
+    assert sorted(planted(spark, bench, copies)) == [(i, i) for i in range(len(bench))]
+
+
 def call(ident, name="search", **arguments):
     return "<tool_call>" + json.dumps({"id": ident, "name": name, "arguments": arguments}) + "</tool_call>"
 
