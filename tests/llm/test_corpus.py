@@ -284,6 +284,15 @@ def test_decontamination_finds_all_that_its_rule_accepts(spark):
     assert sorted(planted(spark, bench, copies)) == [(i, i) for i in range(len(bench))]
 
 
+def test_decontamination_judges_each_stretch(spark):
+    words = [f"q{i}" for i in range(24)] + [f"a{i}" for i in range(6)]
+    bench = [(1, " ".join(words[:24]) + ". " + " ".join(words[24:]))]
+    asked, answered = words[:21], words[12:]  # shares 0.7 without the answer, 0.6 with it
+    found = planted(spark, bench, [asked + prose(1, 200).split() + answered, asked, answered])
+    assert sorted(found) == [(0, 1), (2, 1)]
+    assert abs(found[0, 1].lcs_share - 0.6) < 1e-6 and found[0, 1].answer_share == 1
+
+
 def call(ident, name="search", **arguments):
     return "<tool_call>" + json.dumps({"id": ident, "name": name, "arguments": arguments}) + "</tool_call>"
 
