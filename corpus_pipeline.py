@@ -42,7 +42,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of 2048 tokens."""
-    return packed(docs)
+    return packed(docs, added=True)
 
 
 STAGES = [

@@ -104,6 +104,24 @@ def test_packing(spark):
     assert packed(df.limit(0)).count() == 0
 
 
+def test_added_tokens_in_registered_queries(spark, tmp_path):
+    import public_tokenizers
+
+    from corpus_pipeline import STAGES
+    from waybill.llm.catalog import QUERIES
+
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["hello <|endoftext|> there", "<|endoftext|>", "a<|endoftext|><|endoftext|>b \n", "<|endoftext|", "é  x", *prose(1, 40).split()]
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [encoder(added=True)(t).tolist() for t in texts] == want and want[0][2] == 50256
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for rows in (QUERIES["op4_packing"](spark, str(tmp_path)), dict(STAGES)["packing"](spark, docs, str(tmp_path))):
+        got = {r.doc_id: (r.doc_tokens, r.ids_crc32) for r in rows.collect()}
+        assert got == {i: (len(w) + 1, zlib.crc32(np.array([*w, 1], dtype="<u4").tobytes())) for i, w in enumerate(want)}
+    assert sum(r.tokens for r in QUERIES["op10_token_lengths"](spark, str(tmp_path)).collect()) == sum(map(len, want))
+
+
 def test_fill_plan_is_bounded_by_lengths():
     plan, n = fill_plan({700: 10**9, 3: 5, 2048: 7, 650: 10**8}, 2048)
     assert len({r[4] for r in plan}) <= 12

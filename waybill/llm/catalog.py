@@ -108,7 +108,7 @@ def op3_minhash_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def op4_packing(spark: SparkSession, d: str) -> DataFrame:
-    return packed(table(spark, d, "documents"))
+    return packed(table(spark, d, "documents"), added=True)
 
 
 @query(r"""
@@ -177,4 +177,4 @@ def op9_decontamination(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def op10_token_lengths(spark: SparkSession, d: str) -> DataFrame:
-    return length_histogram(table(spark, d, "documents"))
+    return length_histogram(table(spark, d, "documents"), added=True)

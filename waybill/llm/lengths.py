@@ -14,18 +14,18 @@ from waybill.llm.tokens import VOCABULARY, encoder
 BLOCK = 4096
 
 
-def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def token_lengths(docs: DataFrame, vocabulary: str = VOCABULARY, added: bool = False) -> DataFrame:
     """``length`` of every document's ``text`` in ids; 0 for a null or empty one."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of = encoder(vocabulary)
+        ids_of = encoder(vocabulary, added)
         for batch in batches:
             yield pd.DataFrame({"length": [len(ids_of(t)) if t else 0 for t in batch["text"]]}, dtype="int64")
 
     return docs.select("text").mapInPandas(count, "length long")
 
 
-def length_histogram(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def length_histogram(docs: DataFrame, vocabulary: str = VOCABULARY, added: bool = False) -> DataFrame:
     """A row per encoded length, over all rows of ``docs``, with sums over the longer ones.
 
     ``docs`` and ``tokens`` of that length; ``docs_longer`` and ``tokens_longer``
@@ -34,7 +34,7 @@ def length_histogram(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame
     table gives no rows. Sums run inside blocks of lengths and then over the
     blocks' totals, so no task needs all lengths.
     """
-    counted = token_lengths(docs, vocabulary).groupBy("length").agg(F.count(F.lit(1)).alias("docs"))
+    counted = token_lengths(docs, vocabulary, added).groupBy("length").agg(F.count(F.lit(1)).alias("docs"))
     counted = counted.withColumns({"tokens": F.col("length") * F.col("docs"), "block": F.floor(F.col("length") / BLOCK)})
     counted = written(counted, "lengths")  # used twice below; texts are encoded once
     after = lambda by, order: Window.partitionBy(*by).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)

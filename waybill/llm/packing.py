@@ -16,14 +16,14 @@ from waybill.llm.tokens import END, VOCABULARY, encoder
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def cut_pieces(docs: DataFrame, capacity: int = 2048, with_ids: bool = False, vocabulary: str = VOCABULARY) -> DataFrame:
+def cut_pieces(docs: DataFrame, capacity: int = 2048, with_ids: bool = False, vocabulary: str = VOCABULARY, added: bool = False) -> DataFrame:
     """Pieces of at most ``capacity`` ids per document (``doc_id``, ``text``): full ones from the start, then the rest.
 
     A document's ids end with ``END``; a null text counts as empty, so each document has a piece.
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids_of, end = encoder(vocabulary), np.array([END], dtype="<u4")
+        ids_of, end = encoder(vocabulary, added), np.array([END], dtype="<u4")
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
@@ -92,7 +92,7 @@ def fill_plan(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, in
     return rows, sequences
 
 
-def packed(docs: DataFrame, capacity: int = 2048, with_ids: bool = False, vocabulary: str = VOCABULARY) -> DataFrame:
+def packed(docs: DataFrame, capacity: int = 2048, with_ids: bool = False, vocabulary: str = VOCABULARY, added: bool = False) -> DataFrame:
     """All documents (``doc_id``, ``text``) packed: a row per piece with ``sequence_id`` (from 0) and ``offset`` in it.
 
     The driver gets the histogram of piece lengths, at most ``capacity`` rows,
@@ -102,7 +102,7 @@ def packed(docs: DataFrame, capacity: int = 2048, with_ids: bool = False, vocabu
     Repeated rows are packed each for itself; null ids stay null; extra columns
     are left out; an empty table gives no rows.
     """
-    pieces = written(cut_pieces(docs, capacity, with_ids, vocabulary), "pieces")
+    pieces = written(cut_pieces(docs, capacity, with_ids, vocabulary, added), "pieces")
     counts = {int(r["length"]): int(r["count"]) for r in pieces.groupBy("length").count().collect()}
     rows, _ = fill_plan(counts, capacity)
     plan = docs.sparkSession.createDataFrame(
