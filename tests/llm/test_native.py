@@ -6,7 +6,7 @@ import re
 from waybill.llm.components import components
 from waybill.llm.private import BASE_KINDS, candidates, private_removed, private_report
 from waybill.llm.quality import RULES, judged, quality_kept, quality_report, rule_order
-from waybill.llm.urls import judged_urls
+from waybill.llm.urls import alias_links, judged_urls
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LONG = " ".join(f"w{i % 997}x{i}" for i in range(30_000))
@@ -98,6 +98,31 @@ def test_url_rules_and_aliases(spark):
     assert judged_urls(df.limit(0)).count() == 0
 
 
+def test_every_form_of_alias_target(spark):
+    link = '<link rel="canonical" href="{}">'.format
+    refresh = '<meta http-equiv="refresh" content="0; url={}">'.format
+    targets = {  # a blocked page links to each, and a page with that address is told
+        link("//s{}.edu/p"): "http://s{}.edu/p", link("HTTP://S{}.EDU/Aa"): "http://s{}.edu/Aa",
+        link("https://s{}.edu/?a=1&amp;b=2"): "https://s{}.edu/?a=1&b=2", link("rel{}.html"): "http://x.net/d/rel{}.html",
+        link("../up{}"): "http://x.net/up{}", link("./sub{}/"): "http://x.net/d/sub{}/", link("?q={}"): "http://x.net/d/e?q={}",
+        link("http://one{}.edu/") + link("http://s{}.edu/2"): "http://s{}.edu/2",
+        refresh("http://one{}.edu/") + refresh("http://s{}.edu/3"): "HTTP://s{}.EDU/3#f", link("/r{}?u=http://y/"): "http://x.net/r{}?u=http://y/",
+    }
+    pages = []
+    for i, (html, node) in enumerate(targets.items()):
+        pages += [(i, f"http://x{i}.x.net/d/e?old", html.format(i, i)), (100 + i, node.format(i).replace("x.net", f"x{i}.x.net"), None)]
+    # Hosts in x.net are blocked by a rule of their own, so the edges tell for them.
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rows = {r.page_id: r for r in judged_urls(df).collect()}
+    assert {r.verdict for r in rows.values()} == {"block"}
+    edges = {(r.a, r.b) for r in alias_links(df).collect()}
+    for i, node in enumerate(targets.values()):
+        assert (f"http://x{i}.x.net/d/e?old", node.format(i).replace("x.net", f"x{i}.x.net").replace("HTTP", "http").replace("EDU", "edu").replace("#f", "")) in edges
+    odd = spark.createDataFrame([(1, "no site", link("a")), (2, "http://x.net", link("a") + link("mailto:a")), (3, "http://x.net/a/b/../c", link("//"))],
+                                "page_id long, url string, html string")
+    assert {tuple(r) for r in alias_links(odd).collect()} == {("http://x.net", "http://x.net/a")}
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",

@@ -50,22 +50,60 @@ def fitting_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Co
     return F.when(first.isNotNull(), F.struct(first["rule"].alias("rule"), first["verdict"].alias("verdict")))
 
 
+SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:"
+SITE = "^([A-Za-z][A-Za-z0-9+.-]*://)([^/?#]*@)?([^/?#]*)"
+
+
+def _without_dots(path: Column) -> Column:
+    """A path from its first ``/`` on with ``.`` and ``..`` followed."""
+    steps = F.split(path, "/")
+    last = F.element_at(steps, -1)
+    walked = F.aggregate(
+        F.slice(steps, 2, F.greatest(F.size(steps) - 1, F.lit(0))), F.array().cast("array<string>"),
+        lambda done, step: F.when(step == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(step == ".", done).otherwise(F.concat(done, F.array(step))))
+    ends = F.when(last.isin(".", ".."), F.concat(walked, F.array(F.lit("")))).otherwise(walked)
+    return F.concat(F.lit("/"), F.array_join(ends, "/"))
+
+
 def address(url: Column) -> Column:
-    """A url as a node: without its fragment, which no server sees."""
-    return F.substring_index(url, "#", 1)
+    """A url as a node: without its fragment, which no server sees, scheme and host in lower case, dot segments followed."""
+    bare = F.substring_index(url, "#", 1)
+    part = lambda k: F.regexp_extract(bare, SITE, k)
+    site = F.concat(lower_ascii(part(1)), part(2), lower_ascii(part(3)))
+    rest = F.substring(bare, F.length(site) + 1, F.length(bare))
+    path = F.substring_index(rest, "?", 1)
+    query = F.substring(rest, F.length(path) + 1, F.length(rest))
+    straight = F.when(F.contains(path, F.lit("/.")) & (site != ""), _without_dots(path)).otherwise(path)
+    return F.concat(site, straight, query)
+
+
+def resolved(to: Column, url: Column) -> Column:
+    """The target ``to`` of a link on page ``url``; null if that needs a site and the page's url has none."""
+    base = F.substring_index(F.substring_index(url, "#", 1), "?", 1)
+    site = F.regexp_extract(base, SITE, 0)
+    inside = F.substring(base, F.length(site) + 1, F.length(base))
+    folder = F.when(inside == "", "/").otherwise(F.regexp_extract(inside, "^.*/", 0))
+    full = (
+        F.when(F.startswith(to, F.lit("//")), F.concat(F.regexp_extract(base, SCHEME, 0), to))
+        .when(F.startswith(to, F.lit("/")), F.concat(site, to))
+        .when(F.startswith(to, F.lit("?")), F.concat(base, to))
+        .when(F.startswith(to, F.lit("#")), url)
+        .otherwise(F.concat(site, folder, to)))
+    return F.when(F.rlike(to, F.lit(SCHEME)), to).when(site != "", full)
 
 
 def alias_links(pages: DataFrame, redirects: DataFrame | None = None) -> DataFrame:
-    """Edges ``(a, b)`` between addresses: canonical links and refresh redirects in ``html``, and rows of ``redirects``
-    (``source``, ``target``). Targets starting with ``/`` are on the page's own site; other relative ones are no edges."""
-    site = F.regexp_extract("url", r"^([^:/?#]+://[^/?#]*)", 1)
-    found = pages.where("url is not null and html is not null").select(
-        "url", site.alias("site"),
-        F.explode(F.array(F.regexp_extract("html", LINK, 1), F.regexp_extract("html", REFRESH, 1))).alias("to"))
-    to = F.when(F.startswith("to", F.lit("/")) & (F.col("site") != ""), F.concat("site", "to")).otherwise(F.col("to"))
-    links = found.where("to != ''").select(address(F.col("url")).alias("a"), address(to).alias("b")).where("b like '%://%'")
+    """Edges ``(a, b)`` between addresses: all canonical links and refresh redirects in ``html``, and rows of ``redirects``
+    (``source``, ``target``). Relative targets are resolved against the page's url; ``<base>`` is not read."""
+    found = pages.where("url is not null and html is not null").select("url", F.explode(F.concat(
+        F.regexp_extract_all("html", F.lit(LINK), 1), F.regexp_extract_all("html", F.lit(REFRESH), 1))).alias("to"))
+    to = F.regexp_replace("to", "(?i)&(amp|#0*38|#x0*26);", "&")
+    links = found.where("to != ''").select(
+        address(F.col("url")).alias("a"), address(resolved(to, F.col("url"))).alias("b")).where(F.rlike("b", F.lit(SCHEME + "//.*[^/]")))
     if redirects is not None:
-        links = links.unionByName(redirects.select(address(F.col("source")).alias("a"), address(F.col("target")).alias("b")))
+        target = F.coalesce(resolved(F.col("target"), F.col("source")), F.col("target"))
+        links = links.unionByName(redirects.select(address(F.col("source")).alias("a"), address(target).alias("b")))
     return links.where("a is not null and b is not null")
 
 
