@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from waybill.llm.common import table
 from waybill.llm.decontaminate import leaks
+from waybill.llm.fill_middle import fill_in_middle, restored
 from waybill.llm.lengths import length_histogram
+from waybill.llm.lexical import ranked
 from waybill.llm.minhash import Near, near_duplicates
 from waybill.llm.packing import packed
+from waybill.llm.pieces import encoded
 from waybill.llm.private import private_report
 from waybill.llm.quality import quality_report
 from waybill.llm.shards import kd_shards
@@ -178,3 +181,72 @@ def op9_decontamination(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def op10_token_lengths(spark: SparkSession, d: str) -> DataFrame:
     return length_histogram(table(spark, d, "documents"), added=True)
+
+
+@query(r"""
+    with d as (
+        select doc_id, w, len(w) as n from (
+            select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents)
+        where len(w) > 0
+    ), c as (
+        select count(*) as docs, cast(sum(n) as bigint) as l from d
+    ), m as (
+        select doc_id, 100 - 75 + (75 * n * docs) // l as m from d, c
+    ), tf as (
+        select doc_id, term, count(*) as tf from (select doc_id, unnest(w) as term from d) group by all
+    ), v as (
+        select term, cast(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) as bigint) as w
+        from (select term, count(*) as df from tf group by term), c
+    ), q as (
+        select item_id, term, count(*) as r from (
+            select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark)
+        group by all
+    ), s as (
+        select item_id, doc_id, cast(sum(r * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+        from q join v using (term) join tf using (term) join m using (doc_id) group by all
+    )
+    select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score
+    from s where score > 0 qualify rank <= 10
+""")
+def op11_lexical_search(spark: SparkSession, d: str) -> DataFrame:
+    return ranked(table(spark, d, "documents"), table(spark, d, "benchmark"), top=10)
+
+
+@query(r"""
+    with u as (
+        select doc_id, coalesce(text, '') as t, sha256('42:' || cast(doc_id as varchar)) as h,
+               regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u
+        from documents
+    ), k as (
+        select *, ('0x' || h[1:8])::bigint % (len(u) + 1) as a, ('0x' || h[9:16])::bigint % (len(u) + 1) as b,
+               case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>')
+                         or ('0x' || h[17:24])::bigint % 100 >= 50 then 'plain'
+                    when ('0x' || h[25:32])::bigint % 100 < 80 then 'spm' else 'psm' end as form from u
+    ), cut as (
+        select *, array_to_string(u[1:least(a, b)], '') as p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') as m,
+               array_to_string(u[greatest(a, b) + 1:], '') as s from k
+    )
+    select doc_id, cast(len(u) as bigint) as n, form,
+           case when form <> 'plain' then cast(length(p) as bigint) end as prefix_chars,
+           case when form <> 'plain' then cast(length(m) as bigint) end as middle_chars,
+           sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || s || '<M>' || m
+                  else '<S>' || s || '<P>' || p || '<M>' || m end) as output_sha256,
+           sha256(t) as restored_sha256
+    from cut
+""")
+def op12_fill_in_middle(spark: SparkSession, d: str) -> DataFrame:
+    cut = fill_in_middle(table(spark, d, "documents"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@query()
+def op13_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    """``spans_mark`` is a hash of the source bytes that the pieces come from."""
+    pieces = encoded(table(spark, d, "documents"), decoded=True)
+    return pieces.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), F.xxhash64("starts", "ends").alias("spans_mark"))
