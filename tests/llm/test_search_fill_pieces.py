@@ -1,0 +1,211 @@
+"""Lexical search, fill-in-middle and SentencePiece pieces: edge rows, brute force, round trips."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from waybill.llm import lexical, pieces
+from waybill.llm.fill_middle import BlockTree, draws, fill_in_middle, restored
+from waybill.llm.lexical import Best, ranked, term_counts, weight_tiles
+
+TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+UNIT = re.compile("[\x20\x09-\x0d]*[^\x20\x09-\x0d]+|[\x20\x09-\x0d]+")
+AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(AZ))
+
+
+def best_of(docs, items, top):
+    """Rank by the formula, one pair at a time."""
+    counted = [(i, Counter(terms(t))) for i, t in docs]
+    counted = [(i, c, c.total()) for i, c in counted if c]
+    n, length = len(counted), sum(x for _, _, x in counted)
+    df = Counter(t for _, c, _ in counted for t in c)
+    out = []
+    for item, text in set(items):
+        scored = []
+        for doc, c, size in counted:
+            m = 25 + 75 * size * n // length
+            score = sum(
+                math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 8 * m))
+                for t in terms(text) if c[t])
+            if score > 0:
+                scored.append((-score, doc is None, doc or 0, doc))
+        out += [(item, k + 1, doc, -s) for k, (s, _, _, doc) in enumerate(sorted(scored, key=lambda x: x[:3])[:top])]
+    return sorted(out, key=repr)
+
+
+def corpus(spark):
+    r = random.Random(5)
+    words = ["Alpha", "beta", "gamma-7", "délta", "naïve", "x", "y", "z", "İz", "日本"]
+    rows = [(i, " ".join(r.choices(words, k=r.randint(0, 30)))) for i in range(300)]
+    rows += [(7, "alpha beta"), (7, "alpha beta"), (None, "alpha alpha x"), (None, "alpha alpha x"), (900, None), (901, ""), (902, "!? .")]
+    rows += [(903, "alpha " * 50_000 + "beta"), *[(1000 + i, "tie tie") for i in range(40)]]
+    df = spark.createDataFrame([(i, t, "a", 1) for i, t in rows], "doc_id long, text string, item_id string, score int")
+    return rows, df.repartition(7)
+
+
+def test_search_is_the_formula(spark):
+    rows, df = corpus(spark)
+    asked = [(1, "ALPHA beta beta"), (1, "naïve délta"), (2, "tie"), (2, "tie"), (3, None), (4, ""), (5, "unknown words"), (None, "x y 日本 İz gamma 7")]
+    items = spark.createDataFrame([(i, t, 1) for i, t in asked], "item_id long, text string, doc_id int")
+    got = sorted(map(tuple, ranked(df, items, top=6).collect()), key=repr)
+    assert got == best_of(rows, [x for x in asked if x[1] is not None], 6)
+    assert [r for r in got if r[0] == 2] == [(2, k + 1, 1000 + k, got[[g[0] for g in got].index(2)][3]) for k in range(6)]
+    # Several blocks of items give the same.
+    assert sorted(map(tuple, ranked(df, items, top=6, block_bytes=12).collect()), key=repr) == got
+    for docs, wanted in ((df.limit(0), items), (df, items.limit(0)), (df.where("doc_id in (900, 901, 902)"), items)):
+        none = ranked(docs, wanted)
+        assert none.columns == ["item_id", "rank", "doc_id", "score"] and none.count() == 0
+
+
+def test_search_over_small_tiles(spark, monkeypatch):
+    rows, df = corpus(spark)
+    items = [(i, " ".join(random.Random(i).choices(["alpha", "beta", "x", "y", "naïve", "z"], k=9))) for i in range(30)]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    counted = {i: Counter(terms(t)) for i, t in items}
+    own = lexical.Scorer(lexical._block([{"item_id": i, "text": t} for i, t in items]), np.arange(1, 7) * 10**9, 5, 50, 4)
+    assert len(own.groups[0][2]) > 1 and own.kept is None  # too heavy for one exact tile
+    assert ranked(df, table, top=4).count() == 4 * len(counted)
+
+
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 9), st.integers(0, 10**6)), max_size=30, unique_by=lambda x: x[:2]))
+@settings(max_examples=60, deadline=None)
+def test_tiles_hold_every_weight_and_stay_exact(entries):
+    item, term, weight = (np.array(c, dtype=np.int64) for c in (zip(*entries) if entries else ([], [], [])))
+    exact = 10**6 * lexical.IMPACT // 3
+    tiles = weight_tiles(item, term, weight, most=4, exact=exact)
+    total = Counter()
+    for tile in tiles:
+        dense = tile.dense(4)
+        assert len(tile.terms) <= 4 and dense.sum(axis=1).max() * lexical.IMPACT < exact
+        for i, c in zip(*np.nonzero(dense)):
+            total[int(i), int(tile.terms[c])] += int(dense[i, c])
+    assert total == {(i, t): w for i, t, w in entries if w}
+
+
+def test_best_keeps_ties_by_id():
+    best = Best(1, 3)
+    for ids in ([9, 8, 7, 6], [5, 4], [1, 2]):
+        best.add(np.full((1, len(ids)), 5), np.array(ids), np.zeros(len(ids), dtype=bool))
+    assert best.doc.tolist() == [1, 2, 4]
+
+
+def test_terms_of_long_texts(monkeypatch):
+    monkeypatch.setattr(lexical, "STRETCH", 7)
+    text = "Ab, c1 ÄÖ ß ab-AB " * 50
+    assert {k.decode(): v for k, v in term_counts(text.encode()).items()} == Counter(terms(text))
+
+
+TEXTS = st.text(alphabet=" \t\n\x0b\x0cabé日\U0001f600  ", max_size=60)
+
+
+@given(TEXTS, st.integers(1, 9))
+@settings(max_examples=200, deadline=None)
+def test_cuts_are_after_whole_units(text, block):
+    raw = text.encode()
+    tree = BlockTree(raw, block)
+    units = UNIT.findall(text)
+    assert "".join(units) == text and tree.total == len(units)
+    for k in range(len(units) + 1):
+        before = "".join(units[:k])
+        assert tree.after(k) == (len(before.encode()), len(before))
+
+
+def test_fill_in_middle(spark):
+    r = random.Random(3)
+    rows = [(i, "".join(r.choice(["ab", "é", "日本", " ", "\n", "\t", "<", ">", "<S", "P>"]) for _ in range(r.randint(0, 60)))) for i in range(400)]
+    rows += [(5, None), (6, ""), (7, "   "), (8, "a <M> b"), (None, "one two three"), (9, "same text"), (9, "same text")]
+    rows += [(10_000 + i, "long wörd " * 30_000) for i in range(4)]
+    df = spark.createDataFrame([(i, t, "z", 1) for i, t in rows], "doc_id long, text string, form string, output int")
+    cut = fill_in_middle(df)
+    got = cut.withColumn("back", restored(F.col("output"), F.col("form"))).collect()
+
+    def want(doc, text):
+        text = text or ""
+        units = UNIT.findall(text)
+        h = [int(hashlib.sha256(f"42:{'' if doc is None else doc}".encode()).hexdigest()[8 * i: 8 * i + 8], 16) for i in range(4)]
+        if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+            return doc, len(units), "plain", None, None, text
+        a, b = sorted((h[0] % (len(units) + 1), h[1] % (len(units) + 1)))
+        p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+        form, out = ("spm", f"<S>{s}<P>{p}<M>{m}") if h[3] % 100 < 80 else ("psm", f"<P>{p}<S>{s}<M>{m}")
+        return doc, len(units), form, len(p), len(m), out
+
+    assert sorted((tuple(x)[:6] for x in got), key=repr) == sorted((want(*x) for x in rows), key=repr)
+    assert sorted((str(x.doc_id), x.back) for x in got) == sorted((str(i), t or "") for i, t in rows)
+    assert {x.form for x in got} == {"plain", "spm", "psm"}
+    assert fill_in_middle(df.limit(0)).count() == 0
+    other = fill_in_middle(df, percent=100, spm_percent=0, marks=("[p]", "[s]", "[m]"), block=64)
+    assert {x.form for x in other.collect()} == {"plain", "psm"}
+    back = other.withColumn("back", restored(F.col("output"), F.col("form"), ("[p]", "[s]", "[m]"))).collect()
+    assert sorted((str(x.doc_id), x.back) for x in back) == sorted((str(i), t or "") for i, t in rows)
+    assert draws(42, None) == draws(42, "")
+
+
+ODD = ["", " ", "   ", "a", "  lead and trail  ", "tab\tline\nfeed\r\n", "ＡＢＣ ﬁne ㍿ ①", "é é 가 각", "​zero width　wide",
+       "▁under ▁▁ score▁", "<s> </s> <0x41> <unk>", "\x00nul\x01", "😀🏳️‍🌈 𝒳", "x" * 5000, "日本語" * 900, " ".join(["word"] * 3000)]
+
+
+def model_with(rule, **flags):
+    import public_tokenizers
+    import sentencepiece
+
+    with open(public_tokenizers.path(pieces.MODEL), "rb") as file:
+        proto = file.read()
+    own = sentencepiece.SentencePieceNormalizer(rule_name=rule, **flags)
+    spec = next(v for k, v, _, _ in pieces._fields(own.serialized_model_proto()) if k == pieces.NORMALISER)
+    rest = b"".join(proto[a:b] for k, _, a, b in pieces._fields(proto) if k != pieces.NORMALISER)
+    return pieces.Model(rest + pieces._field(pieces.NORMALISER, spec)), own
+
+
+@pytest.mark.parametrize("rule", ["identity", "nmt_nfkc_cf", "nfkc"])
+@pytest.mark.parametrize("squeeze", [False, True])
+def test_pieces_are_the_librarys_under_any_character_map(rule, squeeze, monkeypatch):
+    monkeypatch.setattr(pieces, "STRETCH", 50)
+    own, library = model_with(rule, add_dummy_prefix=True, escape_whitespaces=True, remove_extra_whitespaces=squeeze)
+    r = random.Random(11)
+    texts = ODD + ["".join(r.choice("  \tab①ﬁＡ̈à가ㄱ▁😀　") for _ in range(r.randint(0, 25))) for _ in range(300)]
+    for text in texts:
+        plain, source = own.normalised(text)
+        there, offsets = library.Normalize(text, with_offsets=True)
+        assert plain.decode() == there
+        if plain:
+            raw, starts = text.encode(), np.cumsum([0] + [len(c.encode()) for c in plain.decode()])
+            assert [len(raw[: source[b]].decode()) for b in starts] == list(offsets)
+        ids, starts, ends = own.encode(text)
+        assert ids.tolist() == own.outer.encode(text, add_eos=True)
+        assert own.decode(ids) == own.outer.decode(ids.tolist())
+        assert starts[1:-1].tolist() == ends[:-2].tolist()
+        assert starts[-1] == ends[-1] == len(text.encode())
+
+
+def test_pieces_of_documents(spark):
+    rows = [(i, t) for i, t in enumerate(ODD)] + [(3, "a"), (3, "a"), (None, "null id"), (50, None), (51, "ein Wort, " * 40_000)]
+    df = spark.createDataFrame([(i, t, 0, "x") for i, t in rows], "doc_id long, text string, ids int, decoded string").repartition(3)
+    own = pieces.model()
+    got = pieces.encoded(df, decoded=True).collect()
+
+    def want(i, t):
+        ids = own.outer.encode(t or "", add_eos=True)
+        return str(i), ids, own.outer.decode(ids)
+
+    assert sorted((str(x.doc_id), x.ids, x.decoded) for x in got) == sorted(want(*x) for x in rows)
+    texts = {(str(i), t or "") for i, t in rows}
+    for x in got:
+        # The model's map has no rules, so the spans are the text itself, byte for byte.
+        assert any(str(x.doc_id) == i and all(a <= b for a, b in zip(x.starts, x.ends)) and x.ends[-1] == len(t.encode()) for i, t in texts)
+        assert x.starts[0] == 0 and x.starts[1:] == x.ends[:-1]
+    assert pieces.encoded(df.limit(0)).columns == ["doc_id", "ids", "starts", "ends"]
+    assert pieces.encoded(df.limit(0)).count() == 0
+    assert [x.ids for x in pieces.encoded(df.where("doc_id = 50")).collect()] == [[own.end]]

@@ -237,6 +237,8 @@ def ranked(docs: DataFrame, items: DataFrame, top: int = 10, block_bytes: int =
     parts, totals = [], None
     for number in range(blocks):
         rows = asked.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number).collect()
+        if not rows:
+            continue
         block = _block(sorted(rows, key=lambda r: (str(r["item_id"]), r["text"])))
         counted = written(_counted(docs, spark.sparkContext.broadcast(block.vocabulary)), "impacts")
         totals = totals or counted.agg(F.count(F.lit(1)), F.sum("n")).first()
