@@ -17,10 +17,10 @@ from waybill.functions.render import lit
 from waybill.functions.text import remove_envelope, soap_envelope, status_code, wrap_root
 from waybill.functions.xmlfn import well_formed
 from waybill.operators.audit import audit_message
-from waybill.operators.lookup import multi_lookup, receiver_lookup, route_lookup
+from waybill.operators.lookup import lookup_failed, lookup_passed, multi_lookup, receiver_lookup, route_lookup
 from waybill.operators.restrict import content_matches, fan_out_permitted, with_permitted
 from waybill.operators.steps import reshape
-from waybill.session import shared_dir, spread
+from waybill.session import shared_dir, spread, written
 from waybill.sources.messages import as_messages, messages
 from waybill.sources.registry import parse_routes, pipelines, registry, steps
 from waybill.sources.sinks import reformat
@@ -113,6 +113,35 @@ def lookup_into_attributes(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query("""
+    with wanted as (
+        select o_orderkey, case when o_orderkey % 2 = 0 then 1 else l_partkey end as k
+        from orders join lineitem on l_orderkey = o_orderkey
+    ), held as (
+        select o_orderkey, count(distinct k) as n, count(*) as keys, bool_and(p_partkey is not null) as whole, min(p_name) as least
+        from wanted left join part on p_partkey = k and p_partkey % 11 <> 0 group by o_orderkey
+    )
+    select 'o' || o_orderkey as msg_id, case when whole then 'deliver' else 'failed' end as route,
+           case when whole then n else 0 end as found, case when whole then least end as least,
+           case when not whole then 'not every key was found' end as problem
+    from held
+""")
+def lookup_many_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Up to seven keys a message, half of the messages with one key alone; a missing key sends the message to failed."""
+    parts = table(spark, d, "part").where("p_partkey % 11 <> 0").selectExpr("concat('p', p_partkey) as key", "p_name as value")
+    own = "case when o_orderkey % 2 = 0 then 'p1' else concat('p', l_partkey) end"
+    listed = table(spark, d, "orders").join(table(spark, d, "lineitem"), F.expr("l_orderkey = o_orderkey")).groupBy("o_orderkey").agg(
+        F.expr(f"concat_ws(',', collect_list({own}))").alias("keys"))
+    orders = order_messages(spark, d).join(listed.selectExpr("concat('o', o_orderkey) as msg_id", "keys"), "msg_id").selectExpr(
+        "msg_id", "content", "map('business.process.name', 'all', 'keys', keys) as attrs")
+    # A limit of no bytes shows the way of large tables: shuffled, with heavy keys salted.
+    found = written(multi_lookup(orders, "${keys}", parts, attribute="found", limit=0), "found")
+    doc = route(target("t", ["Pass"]), validate="order")
+    got = run(spark, lookup_passed(found), {"all": doc}).routed().unionByName(lookup_failed(found))
+    hits = "map_values(map_filter(attrs, (k, v) -> k rlike '^found'))"
+    return got.selectExpr("msg_id", "route", f"cast(size({hits}) as bigint) as found", f"array_min({hits}) as least", attr("error.msg", "problem"))
+
+
 @query("""
     select 'e' || event_id as msg_id,
            case when event_type = 'view' then 'iface-' || user_id % 5 else '/' || event_type end as request_url,

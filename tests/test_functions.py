@@ -13,7 +13,7 @@ from waybill.functions.render import TemplateError, lit, render
 from waybill.functions.text import decoded, remove_envelope, status_code, wrap_root
 from waybill.functions.xmlfn import _ordered, compact_json, schema_problem, well_formed
 from waybill.functions.xpath import OPERATOR_LIMIT, field_values, from_root, pack_paths, xpath_fields, xpath_problem
-from waybill.operators.lookup import multi_lookup, receiver_lookup
+from waybill.operators.lookup import lookup_failed, lookup_passed, multi_lookup, receiver_lookup
 from waybill.operators.restrict import content_matches, fan_out_permitted, with_permitted
 from waybill.session import lookup_join, spread
 from waybill.sources.registry import parse_routes, steps
@@ -137,6 +137,13 @@ def test_multi_lookup(spark):
     values = spark.createDataFrame([(f"k{i}", f"v{i}") for i in range(1000)], "key string, value string")
     got = multi_lookup(many, "${k}", values, attribute="v").first()
     assert got["error"] is None and got["attrs"]["v.k999"] == "v999" and got["attrs"]["v.k0"] == "v0"
+    for limit in (10**6, 0):
+        looked = multi_lookup(df, "${k}", table, attribute="v", limit=limit)
+        failed = {r["msg_id"]: r for r in lookup_failed(looked).collect()}
+        assert set(failed) == {"gone", "blank"} and failed["gone"]["attrs"]["error.msg"] == failed["gone"]["error"] == "not every key was found"
+        assert failed["gone"]["route"] == "failed" and failed["gone"]["content"] == "old"
+        assert lookup_passed(looked).columns == df.columns and lookup_passed(looked).count() == len(cases) - 2
+    assert multi_lookup(df.limit(0), "${k}", table, attribute="v").count() == 0
 
 
 def test_one_value_per_key(spark):

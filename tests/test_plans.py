@@ -1,11 +1,15 @@
 """What the plans must look like to hold at scale."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from catalog.inputs import document_messages, order_messages, run, table
 from catalog.queries import FIRST_PASS, QUERIES
 from waybill import Settings
 from waybill.operators.lookup import multi_lookup
+from waybill.session import heavy_keys, lookup_join
 
 DATA = "/root/testdata/sf0.001"
 
@@ -59,10 +63,41 @@ def test_only_ordered_json_needs_python(spark):
     assert "ArrowEvalPython" in plan_of(run(spark, messages, docs, Settings(ordered_json=True)).routed())
 
 
-def test_multi_lookup_joins_do_not_grow_with_the_keys(spark):
+def exchanged(df):
+    """The columns that each shuffle of a plan moves."""
+    text = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return [block.split("]", 2)[1] for block in text.split("\n\n") if re.match(r"\(\d+\) Exchange", block.strip())]
+
+
+@pytest.mark.parametrize("keys", ["${cust}", "${cust},${order.id}", ",".join(["${cust}"] * 40)])
+def test_multi_lookup_moves_no_content(spark, keys):
     names = table(spark, DATA, "customer").selectExpr("cast(c_custkey as string) as key", "c_name as value")
-    plans = [plan_of(multi_lookup(order_messages(spark, DATA), k, names, attribute="v")) for k in ("${cust}", ",".join(["${cust}"] * 40))]
-    assert plans[0].count("Join") == plans[1].count("Join") == 2
+    found = multi_lookup(order_messages(spark, DATA), keys, names, attribute="v")
+    assert "SortMergeJoin" not in plan_of(found)
+    assert not any("o_orderstatus" in columns or "o_totalprice" in columns or "content" in columns for columns in exchanged(found))
+
+
+def test_heavy_keys_spread_over_tasks(spark):
+    """Half of all rows have one key and a tenth none; every task still gets about its share."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        key = "case when id % 2 = 0 then 'hot' when id % 10 = 1 then null else cast(id % 5000 as string) end"
+        left = spark.range(160_000).selectExpr("cast(id as string) as msg_id", f"{key} as k")
+        right = spark.range(5000).selectExpr("cast(id as string) as k", "id as v").unionByName(
+            spark.createDataFrame([("hot", -1)], "k string, v long"))
+        assert heavy_keys(left, "k") == {"hot": 128, None: 26}
+        joined = lookup_join(left, right, "k", limit=0, salt_by=F.col("msg_id"))
+        plan = plan_of(joined)
+        assert plan.count("SortMergeJoin") == 1 and "hashpartitioning(k#" in plan and "__salt" in plan
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 160_000 and max(sizes) <= 2 * 10_000
+        assert joined.where("k = 'hot' and v = -1").count() == 80_000
+        assert joined.where("k is null and v is null").count() == 16_000
+        assert joined.where("k <> 'hot' and cast(v as string) = k").count() == 64_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def test_every_query_has_sql():

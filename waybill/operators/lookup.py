@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from waybill.functions.render import case, concat, lit, render
 from waybill.functions.text import decoded, filled
 from waybill.plans.context import merged
-from waybill.session import BROADCAST_BYTES, lookup_join
+from waybill.session import BROADCAST_BYTES, lookup_join, measured_bytes, one_per_key, salted_join, written
 
 # Texts for an unknown sender and an unknown receiver.
 NO_SENDER = "Не указан"
@@ -52,6 +52,8 @@ def receiver_lookup(df: DataFrame, receivers: DataFrame, uri: str, own: str, lim
 
 # Fixed value: several keys can only be written to attributes.
 SEVERAL_KEYS = "java.io.IOException: Multiple Cache Value Identifiers specified without Put Cache Value In Attribute set"
+# Up to so many keys of a message are looked up one by one in a broadcast table.
+CHAIN = 16
 
 
 def multi_lookup(
@@ -69,18 +71,23 @@ def multi_lookup(
     ``keys`` and ``attribute`` are templates. One key without ``attribute``
     replaces the content; else each value goes to ``attribute`` (one key) or
     ``attribute.key`` (several), cut at ``max_length`` if that is given.
-    ``error`` tells of a blank or missing key. The distinct lists of keys are
-    looked up in one join, whatever their length, and joined back once.
+    ``error`` tells of a blank or missing key; ``lookup_failed`` and
+    ``lookup_passed`` part the rows by it.
+
+    A table of values within ``limit`` is broadcast once and probed key by key, so
+    messages stay where they are. A larger table, or lists of more than ``CHAIN``
+    keys, meet the distinct lists of keys without any content; what the lists found
+    is broadcast back if it is within ``limit``, else joined with heavy lists salted.
     """
     work = df.withColumn("__keys", F.expr(f"transform(filter(split({render(keys)}, ','), k -> k <> ''), k -> trim(k))"))
     text = decoded("value", charset) if dict(values.dtypes)["value"] == "binary" else "value"
-    table = values.selectExpr("key as __k", f"{text} as __v")
-    lists = work.select("__keys").where("__keys is not null").distinct()
-    each = lists.selectExpr("__keys", "posexplode(__keys) as (__at, __k)")
-    looked = lookup_join(each, table, "__k", limit=limit, salt_by=F.struct("__keys", "__at"))
-    found = looked.groupBy("__keys").agg(F.expr(
-        "transform(sort_array(collect_list(struct(__at, __v))), x -> x.__v) as __found"))
-    work = work.join(found, "__keys", "left").withColumn("__found", F.expr("coalesce(__found, cast(array() as array<string>))"))
+    table = values.selectExpr("key as __k", f"{text} as __v").where("__k is not null")
+    small = measured_bytes(table) <= limit
+    most = work.agg(F.max(F.size("__keys"))).first()[0] or 0
+    if small and most <= CHAIN:
+        work = _probed(work, one_per_key(table, "__k"), most)
+    else:
+        work = _by_lists(work, table, limit)
     problems = [
         ("__keys is null or exists(__keys, k -> k = '')", lit("no key to look up")),
         ("exists(__found, v -> v is null)", lit("not every key was found")),
@@ -102,3 +109,42 @@ def multi_lookup(
         new = f"case when error is null and size(__keys) > 0 then case when size(__keys) = 1 then {one} else {several} end end"
         changed = work.withColumn("__new", F.expr(new)).withColumn("attrs", F.expr(merged("attrs", "__new")))
     return changed.select(*df.columns, "error")
+
+
+def _probed(work: DataFrame, table: DataFrame, most: int) -> DataFrame:
+    """``__found`` by one broadcast that is probed for the first, second, ... key."""
+    found = F.broadcast(table)
+    for i in range(most):
+        mine = found.withColumnsRenamed({"__k": "__k0", "__v": f"__v{i}"})
+        work = work.join(mine, F.get("__keys", F.lit(i)) == F.col("__k0"), "left").drop("__k0")
+    listed = "slice(array({}), 1, greatest(size(__keys), 0))".format(", ".join(f"__v{i}" for i in range(most))) if most else "cast(array() as array<string>)"
+    return work.withColumn("__found", F.expr(f"coalesce({listed}, cast(array() as array<string>))"))
+
+
+def _by_lists(work: DataFrame, table: DataFrame, limit: int) -> DataFrame:
+    """``__found`` of each distinct list of keys, joined back to the messages."""
+    work = work.withColumn("__list", F.expr("to_json(__keys)"))
+    lists = work.where("__keys is not null").select("__list", "__keys").distinct()
+    each = lists.selectExpr("__list", "posexplode(__keys) as (__at, __k)")
+    looked = lookup_join(each, table, "__k", limit=limit, salt_by=F.struct("__list", "__at"))
+    found = looked.groupBy("__list").agg(F.expr(
+        "transform(sort_array(collect_list(struct(__at, __v))), x -> x.__v) as __found"))
+    found = written(found, "lists")
+    if measured_bytes(found) <= limit:
+        joined = work.join(F.broadcast(found), "__list", "left")
+    else:
+        joined = salted_join(work, found, "__list", F.col("msg_id"))
+    return joined.withColumn("__found", F.expr("coalesce(__found, cast(array() as array<string>))"))
+
+
+def lookup_passed(found: DataFrame) -> DataFrame:
+    """Messages whose keys were all found, ready for the routing plan."""
+    return found.where("error is null").drop("error")
+
+
+def lookup_failed(found: DataFrame) -> DataFrame:
+    """The others, as failed rows in the columns of ``RouteRun.routed()``: they go where failed messages go."""
+    return found.where("error is not null").selectExpr(
+        "msg_id", "concat(msg_id, '/-/-/0') as lineage", "'failed' as route", "cast(null as string) as target_id",
+        "cast(null as int) as path", "cast(null as string) as target_url", "content",
+        f"{merged('attrs', "map('error.msg', error)")} as attrs", "error")

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A registry above this size is joined by a salted shuffle instead of a broadcast.
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -70,6 +70,53 @@ def one_per_key(right: DataFrame, key: str) -> DataFrame:
     return right.groupBy(key).agg(F.max(F.struct(*rest)).alias("__kept")).select(key, *[f"__kept.{c}" for c in rest])
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write a table in the shared folder and read it back, so that what follows starts there."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# Parts that a share of a heavy key is cut into, so that they even out over the tasks; in all at most so many a task.
+PARTS = 16
+
+
+def heavy_keys(df: DataFrame, key: str) -> dict[str | None, int]:
+    """How many salts each key gets, for keys with more rows than one task's share: ``PARTS`` per share.
+
+    One pass over the key column alone, by a heavy-hitter summary of fixed size: a key
+    that has more than a share can't be missed, and there are no more of those than
+    tasks. A stream can't be measured beforehand and has none.
+    """
+    if df.isStreaming:
+        return {}
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    most = min(1_000_000, max(1_000, 16 * tasks))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(`{key}`, {min(tasks + 1, most)}, {most})").alias("top")).first()
+    share = max(1, -(-row["n"] // tasks))
+    return {k: -(-PARTS * n // share) for k, n in row["top"] if n > share}
+
+
+def salted_join(left: DataFrame, right: DataFrame, key: str, salt_by: Column) -> DataFrame:
+    """Left join by a shuffle on ``key`` (a text), where each heavy key spreads over as many tasks as its rows ask for.
+
+    ``right`` holds a key once and is repeated once per salt of a heavy key only;
+    rows without a key, which find nothing, spread alike.
+    """
+    heavy = heavy_keys(left, key)
+    if not heavy:
+        return left.join(right, key, "left")
+    spark = left.sparkSession
+    # At most a row per task.
+    known = spark.createDataFrame([(k, n) for k, n in heavy.items() if k is not None], f"`{key}` string, __salts int")
+    missing = F.when(F.col(key).isNull(), F.lit(heavy.get(None, 1))).otherwise(F.lit(1))
+    salts = F.coalesce(F.col("__salts"), missing)
+    spread = left.join(F.broadcast(known), key, "left").withColumn("__salt", F.pmod(F.xxhash64(salt_by), salts).cast("int")).drop("__salts")
+    copies = right.join(F.broadcast(known), key, "left").withColumn(
+        "__salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1))).drop("__salts")
+    return spread.join(copies, [key, "__salt"], "left").drop("__salt")
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -82,17 +129,14 @@ def lookup_join(
     """Left join of a big table to a registry; of several rows of a ``key`` one counts (``one_per_key``).
 
     ``right`` is broadcast when its measured size is within ``limit``. Beyond
-    that both sides shuffle on ``(key, salt)``: left rows of one hot key spread
-    over ``SALTS`` tasks, and the registry is repeated once per salt.
+    that both sides shuffle, and keys that are heavy on the left are salted by
+    their measured counts (``salted_join``).
     """
-    right = one_per_key(right, key)
     size = measured_bytes(right) if size is None else size
+    right = one_per_key(right, key)
     if size <= limit:
         return left.join(F.broadcast(right), key, "left")
-    spread = F.xxhash64(*left.columns) if salt_by is None else F.xxhash64(salt_by)
-    salted = left.withColumn("__salt", F.pmod(spread, F.lit(SALTS)).cast("int"))
-    copies = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [key, "__salt"], "left").drop("__salt")
+    return salted_join(left, right, key, F.struct(*left.columns) if salt_by is None else salt_by)
 
 
 # Spark packs files below this size into shared splits.
