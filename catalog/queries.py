@@ -688,7 +688,7 @@ def registry_per_part(spark: SparkSession, d: str) -> DataFrame:
     union all select 'p' || p_partkey, 'failed', null, null from part where p_partkey % 7 = 0
 """)
 def registry_in_several_plans(spark: SparkSession, d: str) -> DataFrame:
-    """More distinct steps than one plan may hold; every process goes to exactly one of several."""
+    """More distinct steps than a plan compiles; they run as data, in one scan of the messages."""
     doc = (
         "to_json(named_struct('validate', 'part', 'targets', array(named_struct('id', 't', 'transformations',"
         " array(array(concat('UpdateAttribute://?label=of ', p_brand), concat('Custom://?kind=', p_type))), 'targetPath', 'u'))))"

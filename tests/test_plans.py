@@ -100,6 +100,14 @@ def test_heavy_keys_spread_over_tasks(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+def test_a_large_registry_reads_the_messages_once(spark):
+    plan = plan_of(QUERIES["registry_in_several_plans"](spark, DATA))
+    reads = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert sum("p_size" in line for line in reads) == 1 and plan.count("Union") == 0
+    # The plan holds none of the registry's texts.
+    assert "Brand#" not in plan and len(plan) < 60_000
+
+
 def test_every_query_has_sql():
     from __spark_entry__ import oracle_sql, queries
 

@@ -1,6 +1,7 @@
 """Lookup, validation, fan-out, resume, audit, lineage, sinks and streams."""
 
 import json
+import random
 
 import pytest
 
@@ -58,9 +59,11 @@ CASES = {
 }
 
 
-@pytest.fixture(scope="module")
-def routed(spark):
-    return Routed(run(spark, CASES, Settings(known_systems=("r",))))
+@pytest.fixture(scope="module", params=["compiled", "data"])
+def routed(spark, request):
+    got = run(spark, CASES, Settings(known_systems=("r",), steps_as_data=request.param == "data"))
+    assert [w.slots.data for w in got.waves] == [request.param == "data"]
+    return Routed(got)
 
 
 def test_route_lookup(routed):
@@ -191,13 +194,41 @@ def test_sinks_and_park_then_resume(spark, tmp_path):
     assert [r["route"] for r in back] == ["deliver"] and back[0]["content"] == direct[0]["content"]
 
 
-def test_many_steps_make_several_plans(spark):
-    cases = {f"p{i}": (one_path(f"UpdateAttribute://?k=v{i}", "Pass"), "<a/>") for i in range(9)}
+def test_plain_steps_make_one_plan(spark):
+    cases = {f"p{i}": (one_path(f"UpdateAttribute://?k=v{i}&k=w${{k}}{i}", "Pass"), "<a/>", {"k": "old"}) for i in range(9)}
     cases["gone"] = (None, "<a/>")
     got = run(spark, cases, Settings(max_steps=3))
-    assert len(got.waves) > 1
+    assert len(got.waves) == 1 and got.waves[0].slots.data
     rows = Routed(got)
-    assert {n: rows.one(n)["attrs"].get("k") for n in cases} == {**{f"p{i}": f"v{i}" for i in range(9)}, "gone": None}
+    assert {n: rows.one(n)["attrs"].get("k") for n in cases} == {**{f"p{i}": f"wold{i}" for i in range(9)}, "gone": None}
+
+
+def test_many_compiled_steps_make_several_plans(spark):
+    cases = {f"p{i}": (one_path(f"UpdateAttribute://?k=sql:'v{i}'", "Pass"), "<a/>") for i in range(4)}
+    cases["many"] = (one_path(*[f"UpdateAttribute://?k=sql:'m{i}'" for i in range(6)]), "<a/>")
+    cases["gone"] = (None, "<a/>")
+    got = run(spark, cases, Settings(max_steps=2))
+    assert len(got.waves) > 2
+    rows = Routed(got)
+    assert {n: rows.one(n)["attrs"].get("k") for n in cases} == {**{f"p{i}": f"v{i}" for i in range(4)}, "many": "m5", "gone": None}
+
+
+def test_data_and_compiled_steps_agree(spark):
+    """Random templates: odd placeholders, errors, keys of the plan itself."""
+    r = random.Random(8)
+    cases = {}
+    for i in range(14):
+        pairs = [(r.choice(["a", "b", "target.id", "xform.group", "copy.index", "Receiver"]), "".join(r.choices("ab$${}}.':()=x ", k=r.randint(0, 9))))
+                 for _ in range(r.randint(1, 3))] if i else [("a", "${ b }x"), ("b", "${'a'}$")]
+        query = "&".join(f"{k}={v}" for k, v in pairs)
+        cases[f"u{i}"] = (one_path(f"UpdateAttribute://?{query}", f"Own://?{query}", "UpdateAttribute://?last=${a}|${b}|${target.id}|${copy.index}"), "<a/>", {"a": "A", "x": "X"})
+    cases["copy"] = (one_path("DuplicateFlowFile://?Number=${n}", "UpdateAttribute://?c=${copy.index}", "SyncResponse", PARK), "<a/>", {"n": "2"})
+    one, two = (run(spark, cases, Settings(steps_as_data=data)) for data in (False, True))
+    key = lambda r: (r["lineage"], r["route"], str(r["error"]), sorted(r["attrs"].items()))
+    assert all(w.slots.data for w in two.waves) and not any(w.slots.data for w in one.waves)
+    assert sorted(map(key, one.routed().collect()), key=str) == sorted(map(key, two.routed().collect()), key=str)
+    receivers = spark.createDataFrame([("x", "y")], "uri string, receiver string")
+    assert sorted(map(str, one.audit(receivers).collect())) == sorted(map(str, two.audit(receivers).collect()))
 
 
 def test_large_registry_and_checkpoint(spark):
@@ -205,8 +236,10 @@ def test_large_registry_and_checkpoint(spark):
     got = run(spark, cases, Settings(max_registry_bytes=0, cut_every=1))
     rows = Routed(got)
     assert [rows.one(n)["attrs"]["l"] for n in cases] == ["2"] * 5
-    plan = run(spark, cases, Settings(max_registry_bytes=0)).routed()._jdf.queryExecution().toString()
-    assert "__salt" in plan
+    routes, schemas = registries(spark, {n: c[0] for n, c in cases.items()})
+    hot = message_table(spark, [(f"m{i}", "<a/>", {"business.process.name": "p0"}) for i in range(40)])
+    plan = route_messages(hot, routes, schemas, settings=Settings(max_registry_bytes=0)).routed()
+    assert "__salt" in plan._jdf.queryExecution().toString() and plan.where("route = 'deliver'").count() == 40
 
 
 def test_stream_equals_batch(spark, tmp_path):

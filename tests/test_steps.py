@@ -70,13 +70,16 @@ CASES = {
 }
 
 
-@pytest.fixture(scope="module")
-def routed(spark):
+@pytest.fixture(scope="module", params=["compiled", "data"])
+def routed(spark, request):
+    """The same cases where every step is compiled and where plain ones run as data."""
     shapes = spark.createDataFrame(
         [("Swap", "b int, c string", "named_struct('y', doc.c, 'z', doc.b + 1)", "out")],
         "name string, input_ddl string, expr string, root_tag string",
     )
-    return Routed(run(spark, CASES, reshapes=shapes))
+    got = run(spark, CASES, Settings(steps_as_data=request.param == "data"), reshapes=shapes)
+    assert [w.slots.data for w in got.waves] == [request.param == "data"]
+    return Routed(got)
 
 
 def test_update(routed):

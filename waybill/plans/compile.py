@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from waybill.functions.xmlfn import schema_file, schema_problem
 from waybill.operators.steps import STEPS, hand_off
+from waybill.plans.datasteps import Outline, is_plain, outline, step_texts
 from waybill.plans.context import Reshape, Settings, Slots, Step, StepContext, StepError
-from waybill.sources.registry import NO_VALUE, split_step, steps
+from waybill.sources.registry import NO_VALUE, split_step
 
 # Attributes the wave itself sets on every path.
 WAVE_KEYS = ("Receiver", "xform.path", "xform.stage", "target.id", "target.output", "xform.group")
@@ -25,22 +26,24 @@ class Registry:
     stages: dict[int, list[int]] = field(default_factory=lambda: defaultdict(list))
     schemas: dict[str, str] = field(default_factory=dict)
     bytes: int = 0
+    outline: Outline | None = None
 
     def by_sid(self) -> dict[int, Step]:
         return {s.sid: s for s in self.steps.values()}
 
 
-def read_registry(parsed: DataFrame, schemas: DataFrame, most: int | None = None) -> Registry | None:
+def read_registry(parsed: DataFrame, schemas: DataFrame, most: int | None, data: bool = False) -> Registry | None:
     """Distinct steps per stage, the schemas named, and the measured size.
 
-    None if there are more than ``most`` distinct steps and schemas.
+    None if there are more than ``most`` distinct steps and schemas. With
+    ``data``, steps that run as data are outlined instead.
     """
-    wanted = _wanted(parsed)
     name, entries = split_step("text")
+    wanted = _wanted(parsed, data)
     rows = (wanted if most is None else wanted.limit(most + 1)).selectExpr("*", f"{name} as name", f"{entries} as entries").collect()
     if most is not None and len(rows) > most:
         return None
-    found = Registry()
+    found = Registry(outline=outline(parsed) if data else None)
     validates = []
     for row in sorted(rows, key=lambda r: (r["text"], r["stage"])):
         if row["stage"] < 0:
@@ -56,14 +59,39 @@ def read_registry(parsed: DataFrame, schemas: DataFrame, most: int | None = None
     return found
 
 
-def chunk_count(parsed: DataFrame, limit: int) -> int:
-    """How many plans it takes to keep each near ``limit`` distinct steps and schemas."""
-    return -(-_wanted(parsed).count() // limit)
+def plan_registries(parsed: DataFrame, schemas: DataFrame, limit: int, data: bool = False) -> list[tuple[str | None, Registry]]:
+    """The registry of each plan, with the condition on ``process`` that picks its messages.
 
-
-def _wanted(parsed: DataFrame) -> DataFrame:
-    """Distinct (stage, step text) pairs, and the schema names as stage -1."""
-    texts = steps(parsed).selectExpr("stage", "coalesce(step, '') as text")
+    One plan that compiles every step, or else (always with ``data``) one that runs plain steps as data.
+    Only if what has to be compiled is still more than ``2 * limit`` texts are
+    processes split by hash, again and again where it takes that, and each of
+    these plans reads the messages. A process alone is never split.
+    """
+    found = None if data else read_registry(parsed, schemas, 2 * limit)
+    found = found or read_registry(parsed, schemas, 2 * limit, data=True)
+    if found:
+        return [(None, found)]
+    plans = []
+    open_ = [([], -(-_wanted(parsed, True).count() // max(1, limit)))]
+    while open_:
+        chosen, parts = open_.pop()
+        for part in range(parts):
+            picked = [*chosen, f"pmod(xxhash64(coalesce(process, ''), {len(chosen)}), {parts}) = {part}"]
+            own = parsed.where(" and ".join(picked))
+            found = read_registry(own, schemas, 2 * limit, data=True)
+            if found is None and len(own.select("process").distinct().take(2)) < 2:
+                found = read_registry(own, schemas, None, data=True)
+            if found is None:
+                open_.append((picked, 2))
+            else:
+                plans.append((" and ".join(picked), found))
+    return plans
+
+
+def _wanted(parsed: DataFrame, data: bool) -> DataFrame:
+    """Distinct (stage, step text) pairs, and the schema names as stage -1; with ``data``, of the compiled steps alone."""
+    texts = step_texts(parsed).where(f"not {is_plain()}") if data else step_texts(parsed)
+    texts = texts.select("stage", "text")
     names = parsed.selectExpr("-1 as stage", "validate as text").where("text is not null")
     return texts.unionByName(names).distinct()
 
@@ -96,11 +124,13 @@ def compile_steps(
             contexts[step.sid] = ctx
         return contexts
 
-    slots = Slots()
+    slots = Slots(data=found.outline is not None)
     for key in WAVE_KEYS:
         slots.add(key)
+    if found.outline and found.outline.copying:
+        slots.add("copy.index")
     first = run(slots)
-    slots.extra = any(ctx.uses_extra for ctx in first.values())
+    slots.extra = slots.data or any(ctx.uses_extra for ctx in first.values())
     return slots, run(slots)
 
 

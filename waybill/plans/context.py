@@ -38,7 +38,9 @@ class Settings:
     ordered_json: bool = False
     legacy_last_filter: bool = False
     stop_target_on_suppress: bool = False
+    # Beyond twice so many distinct steps, steps run as data; a plan compiles at most twice so many.
     max_steps: int = 256
+    steps_as_data: bool = False
     max_registry_bytes: int = 64 * 1024 * 1024
     cut_every: int = 40
 
@@ -59,6 +61,8 @@ class Slots:
 
     names: dict[str, str] = field(default_factory=dict)
     extra: bool = False
+    # Steps run as data and write to ``extra``, where a null means that the attribute is gone.
+    data: bool = False
 
     def add(self, key: str) -> None:
         self.names.setdefault(key, f"a{len(self.names)}")
@@ -67,13 +71,16 @@ class Slots:
         if key in self.names:
             return self.names[key]
         base = f"attrs[{lit(key)}]"
+        if self.data:
+            return f"case when map_contains_key(extra, {lit(key)}) then extra[{lit(key)}] else {base} end"
         return f"coalesce(extra[{lit(key)}], {base})" if self.extra else base
 
     def whole_map(self, final: dict[str, str] | None = None) -> str:
         """The attribute map as it stands: ``final`` over slots over extra over the message's own."""
         values = {**self.names, **(final or {})}
         own = merged("attrs", "extra") if self.extra else "attrs"
-        own = f"map_filter({own}, (k, v) -> k not in ({lits(values)}))"
+        gone = " and (v is not null or not map_contains_key(extra, k))" if self.data else ""
+        own = f"map_filter({own}, (k, v) -> k not in ({lits(values)}){gone})"
         pairs = ", ".join(f"{lit(k)}, cast({v} as string)" for k, v in values.items())
         return f"map_concat({own}, map_filter(map({pairs}), (k, v) -> v is not null))"
 

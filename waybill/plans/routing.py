@@ -17,9 +17,10 @@ from waybill.functions.xmlfn import compact_json, ordered_json, valid_xml, well_
 from waybill.operators.audit import AUDIT_KEYS, EVENT, ROW_LINEAGE, audit_rows, lineage_rows
 from waybill.operators.lookup import not_found
 from waybill.operators.steps import not_a_number, whole_number
-from waybill.plans.compile import Registry, chunk_count, compile_steps, named_reshapes, read_registry, schema_paths
+from waybill.plans.compile import Registry, compile_steps, named_reshapes, plan_registries, schema_paths
 from waybill.plans.context import Settings, Slots, StepContext
-from waybill.session import checkpointed, lookup_join, spread
+from waybill.plans.datasteps import FIELDS, Outline, stage_columns, with_operations
+from waybill.session import checkpointed, lookup_join, measured_bytes, spread
 from waybill.sources.messages import EMPTY_MAP, as_messages
 from waybill.sources.registry import parse_routes, pipelines
 
@@ -44,16 +45,10 @@ def route_messages(
     settings = settings or Settings()
     parsed = parse_routes(routes)
     work = spread(as_messages(messages)).selectExpr("*", "attrs['business.process.name'] as process")
-    found = read_registry(parsed, schemas, 2 * settings.max_steps)
-    if found:
-        return RouteRun([_wave(work, parsed, found, reshapes, settings)], settings)
-    # Too many distinct steps for one plan: split the processes, not the work of a row.
-    chunks = chunk_count(parsed, settings.max_steps)
     waves = []
-    for c in range(chunks):
-        mine = f"pmod(xxhash64(coalesce(process, '')), {chunks}) = {c}"
-        own = parsed.where(mine)
-        waves.append(_wave(work.where(mine), own, read_registry(own, schemas), reshapes, settings))
+    for picked, found in plan_registries(parsed, schemas, settings.max_steps, settings.steps_as_data):
+        mine, own = (work, parsed) if picked is None else (work.where(picked), parsed.where(picked))
+        waves.append(_wave(mine, own, found, reshapes, settings))
     return RouteRun(waves, settings)
 
 
@@ -108,15 +103,17 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def _wave(work: DataFrame, parsed: DataFrame, found: Registry, reshapes: DataFrame | None, settings: Settings) -> Wave:
     spark = work.sparkSession
     slots, contexts = compile_steps(spark, found, settings, named_reshapes(found, reshapes))
-    written = {key for ctx in contexts.values() for key in ctx.written}
+    written = {key for ctx in contexts.values() for key in ctx.written} | (found.outline.audited if found.outline else set())
     snapshot = [key for key in AUDIT_KEYS if key in written]
-    side = _with_sids(pipelines(parsed), {t: s.sid for t, s in found.steps.items()})
-    df = lookup_join(work, side, "process", size=found.bytes, limit=settings.max_registry_bytes, salt_by=F.col("msg_id"))
+    ids = {t: s.sid for t, s in found.steps.items()}
+    side = with_operations(pipelines(parsed), ids) if found.outline else _with_sids(pipelines(parsed), ids)
+    size = measured_bytes(side) if found.outline else found.bytes
+    df = lookup_join(work, side, "process", size=size, limit=settings.max_registry_bytes, salt_by=F.col("msg_id"))
     df = _admit(df, *schema_paths(spark, found))
     df = _enter(df, slots)
-    for stage in sorted(found.stages):
-        here = {sid: contexts[sid] for sid in sorted(found.stages[stage])}
-        df = _stage(df, stage, here, slots, snapshot)
+    for stage in range(found.outline.stages) if found.outline else sorted(found.stages):
+        here = {sid: contexts[sid] for sid in sorted(found.stages.get(stage, ()))}
+        df = _stage(df, stage, here, slots, snapshot, found.outline, settings)
         if settings.cut_every and (stage + 1) % settings.cut_every == 0:
             df = checkpointed(df)
     if settings.stop_target_on_suppress:
@@ -194,7 +191,7 @@ def _enter(df: DataFrame, slots: Slots) -> DataFrame:
     }
     return df.selectExpr(
         "msg_id", "attrs", "case when p.kind = 'reply' then '' else content end as content",
-        "p", "size(p.sids) as n", "start", "sync", "missed", "first",
+        "p", f"size(p.{'ops' if slots.data else 'sids'}) as n", "start", "sync", "missed", "first",
         "coalesce(error, case when p.kind = 'empty' then 'no transformations' end) as error",
         f"coalesce({on_path}, false) as alive", "cast(null as int) as parked",
         "coalesce(p.kind = 'reply', false) as reply", "'' as copy",
@@ -204,21 +201,28 @@ def _enter(df: DataFrame, slots: Slots) -> DataFrame:
     )
 
 
-def _stage(df: DataFrame, stage: int, here: dict[int, StepContext], slots: Slots, snapshot: list[str]) -> DataFrame:
+def _stage(
+    df: DataFrame, stage: int, here: dict[int, StepContext], slots: Slots, snapshot: list[str], outline: Outline | None, settings: Settings,
+) -> DataFrame:
     """Run the steps of one stage on the rows that are at it."""
     keep = [*_STATE, *(["extra"] if slots.extra else []), *slots.names.values()]
     visiting = f"alive and parked is null and error is null and n > {stage}"
     at = slots.names["xform.stage"]
+    step = f"case when {visiting} and start < {stage} then p.{'ops' if outline else 'sids'}[{stage}] end"
     df = _changed(df, {
-        "s": f"case when {visiting} and start < {stage} then p.sids[{stage}] end",
+        "op" if outline else "s": step,
         at: f"case when {visiting} then '{stage}' else {at} end",
         "at_stage": str(stage),
     })
+    if outline:
+        df = _changed(df, {"s": "op.sid", **{f"o_{f}": f"op.{f}" for f in FIELDS}}).drop("op")
+        for columns in stage_columns(slots, settings.legacy_last_filter):
+            df = _changed(df, columns)
     wanting = [sid for sid, ctx in here.items() if ctx.needs_xml]
     if wanting:
         check = f"case when s in ({lits(wanting)}) and wf is null then {well_formed(df.sparkSession, 'content')} end"
         df = _changed(df, {"wf": f"coalesce(wf, {check})"})
-    for phase in range(max(len(ctx.phases) for ctx in here.values())):
+    for phase in range(max((len(ctx.phases) for ctx in here.values()), default=0)):
         cases: dict[str, list[tuple[str, str]]] = {}
         for sid, ctx in here.items():
             guarded = ctx.guarded_from is not None and phase >= ctx.guarded_from
@@ -227,7 +231,7 @@ def _stage(df: DataFrame, stage: int, here: dict[int, StepContext], slots: Slots
         if cases:
             known = set(df.columns)
             df = _changed(df, {name: case(found, name if name in known else "null") for name, found in cases.items()})
-    return _multiply(df, stage, here, slots, snapshot, keep)
+    return _multiply(df, stage, here, slots, snapshot, keep, outline)
 
 
 def _event(entry_type: str, step: str, path: str, stage: str, derivation: str, slots: Slots, snapshot: list[str]) -> str:
@@ -240,7 +244,7 @@ def _event(entry_type: str, step: str, path: str, stage: str, derivation: str, s
 
 
 def _multiply(
-    df: DataFrame, stage: int, here: dict[int, StepContext], slots: Slots, snapshot: list[str], keep: list[str]
+    df: DataFrame, stage: int, here: dict[int, StepContext], slots: Slots, snapshot: list[str], keep: list[str], outline: Outline | None,
 ) -> DataFrame:
     """Log the stage's steps; make its copies and replies by one explode (-1 is the reply)."""
     named: dict[str, list[int]] = {}
@@ -248,27 +252,33 @@ def _multiply(
         if ctx.copies_column is None:
             named.setdefault(ctx.step.name, []).append(sid)
     none = lit(None)
-    label = case([(f"s in ({lits(sids)})", lit(name)) for name, sids in named.items()], none)
+    labels = [(f"s in ({lits(sids)})", lit(name)) for name, sids in named.items()]
+    if outline:
+        labels.append(("o_sid is null and o_copies is null", "o_name"))
+    label = case(labels, none)
     event = _event("processing", label, slots.column("xform.path"), slots.column("xform.stage"), none, slots, snapshot)
     events = f"case when {label} is not null and error is null then array_append(events, {event}) else events end"
 
-    copying = {sid: ctx for sid, ctx in here.items() if ctx.copies_column is not None}
-    replying = [sid for sid, ctx in here.items() if ctx.replies]
+    copying = {f"s = {sid}": ctx.copies_column for sid, ctx in here.items() if ctx.copies_column is not None}
+    replying = [f"s = {sid}" for sid, ctx in here.items() if ctx.replies]
+    if outline and stage in outline.copying:
+        copying["o_copies is not null"] = "d_copies"
+    if outline and stage in outline.replying:
+        replying.append("o_reply")
     if not copying and not replying:
         return df.selectExpr(*[f"{events} as events" if c == "events" else c for c in keep])
-    copied = f"s in ({lits(copying)}) and error is null" if copying else "false"
+    copied = f"({' or '.join(copying)}) and error is null" if copying else "false"
     if copying:
         # Copies come in blocks, so that no row holds an array of all their numbers.
         kept = [*dict.fromkeys([*df.columns])]
-        blocks = [(f"s = {sid} and error is null", f"sequence(0, {ctx.copies_column} div {COPY_BLOCK})") for sid, ctx in copying.items()]
+        blocks = [(f"{on} and error is null", f"sequence(0, {number} div {COPY_BLOCK})") for on, number in copying.items()]
         df = df.selectExpr(*[f"`{c}`" for c in kept], f"explode({case(blocks, 'array(0)')}) as block")
     first, last = f"cast(block as bigint) * {COPY_BLOCK}", f"cast(block as bigint) * {COPY_BLOCK} + {COPY_BLOCK - 1}"
     numbers = [
-        (f"s = {sid} and error is null", f"sequence({first}, least(cast({ctx.copies_column} as bigint), {last}))")
-        for sid, ctx in copying.items()
+        (f"{on} and error is null", f"sequence({first}, least(cast({number} as bigint), {last}))") for on, number in copying.items()
     ]
     if replying:
-        numbers.append((f"s in ({lits(replying)}) and error is null", "array(0, -1)"))
+        numbers.append((f"({' or '.join(replying)}) and error is null", "array(0, -1)"))
     df = df.selectExpr(
         *[f"{events} as events" if c == "events" else c for c in keep],
         f"coalesce({copied}, false) as copied", f"explode({case(numbers, 'array(0)')}) as c",
