@@ -17,6 +17,7 @@ from waybill.functions.render import lit
 from waybill.functions.text import remove_envelope, soap_envelope, status_code, wrap_root
 from waybill.functions.xmlfn import well_formed
 from waybill.operators.audit import audit_message
+from waybill.operators.lineage import lineage_closure
 from waybill.operators.lookup import lookup_failed, lookup_passed, multi_lookup, receiver_lookup, route_lookup
 from waybill.operators.restrict import content_matches, fan_out_permitted, with_permitted
 from waybill.operators.steps import reshape
@@ -757,13 +758,46 @@ def audit_messages(spark: SparkSession, d: str) -> DataFrame:
     union all
     select 'e' || event_id || '/' || t.i, 'e' || event_id || '/' || t.i || '/' || t.p || '/0', 'modified'
     from events cross join (values (0, 0), (0, 1), (1, 0)) t(i, p)
+    union all
+    select 'e' || event_id || '/' || t.i || '/' || t.p || '/0', 'e' || event_id || '/' || t.i || '/' || t.p || '/0/0', 'destination'
+    from events cross join (values (0, 0), (0, 1), (1, 0)) t(i, p)
 """)
 def lineage_edges(spark: SparkSession, d: str) -> DataFrame:
-    """Clone per target, modified per path result."""
+    """Clone per target, modified per path result, destination per url."""
     doc = route(target("t", ["Pass"], ["Pass"]), target("s", ["Pass"]), validate="event")
     return run(spark, events(spark, d), {"events": doc}).lineage()
 
 
+@query("""
+    with rows as (
+        select 'e' || event_id as root, place, route, depth from events cross join (values
+            ('/0/0/0.0/0', 'deliver', 4), ('/0/0/0.0/1', 'deliver', 4), ('/0/0/0.1/0', 'deliver', 4), ('/0/0/0.1/1', 'deliver', 4),
+            ('/1/-/0', 'reply', 2), ('/1/0/0.r0', 'reply', 3), ('/1/0/0/0', 'parked', 3), ('/1/0/0/0/1/0/0/0', 'deliver', 6),
+            ('/2/none/0', 'failed', 2), ('/3/0/0', 'failed', 2)) v(place, route, depth)
+        where event_type <> 'error' or place like '/1%'
+        union all select 'e' || event_id, '/2/none/0', 'failed', 2 from events where event_type = 'error'
+        union all select 'e' || event_id, '/3/0/0', 'failed', 2 from events where event_type = 'error'
+    )
+    select root || place as lineage, route, root, cast(depth as bigint) as depth from rows
+    union all
+    select 'p' || p_partkey || '/-/-/0', 'failed', 'p' || p_partkey, 1 from part
+""")
+def lineage_joins_routed(spark: SparkSession, d: str) -> DataFrame:
+    """Every routed row of a first pass and of the pass after it came back leads up to its message."""
+    doc = route(
+        target("t", ["RouteOnAttribute://?RoutingStrategy=r&Condition=sql:${event.type} <> 'error'", "DuplicateFlowFile://?Number=1"], url=["u", "v"]),
+        target("s", ["SyncResponse", "RouteOnContent://?MatchRequirement=m&RouteCondition=c", "UpdateAttribute://?a=b"], syncValidation="true"),
+        target("none"), target("bad", ["DuplicateFlowFile://?Number=many"]), validate="event")
+    both = events(spark, d).unionByName(part_messages(spark, d))
+    first = run(spark, both, {"events": doc}).materialised(scratch(spark, "first"))
+    base = scratch(spark, "routed")
+    write_routes(first.routed(), base)
+    later = run(spark, returned_messages(read_route(spark, base, "parked")), {"events": doc})
+    ways = lineage_closure(first.lineage().unionByName(later.lineage()))
+    rows = first.routed().unionByName(later.routed()).select("lineage", "route")
+    return rows.join(ways, rows["lineage"] == ways["node"]).select("lineage", "route", "root", "depth")
+
+
 # --- whole runs --------------------------------------------------------------
 
 FIRST_PASS = {

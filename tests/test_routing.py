@@ -102,7 +102,7 @@ def test_destinations(routed):
 
 def test_empty_routes(routed):
     assert routed.of("no_targets", "error.msg") == routed.of("null_targets", "error.msg") == [("-/-/0", "failed", "no targets")]
-    assert routed.of("no_paths", "error.msg") == [("0/-/0", "failed", "no transformations")]
+    assert routed.of("no_paths", "error.msg") == [("0/none/0", "failed", "no transformations")]
     assert routed.of("empty_path", "xform.stage", "xform.group") == [("0/0/0/0", "deliver", "0", None)]
     assert routed.of("aliased", "k") == [("0/0/0/0", "deliver", "1")]
 
@@ -173,7 +173,7 @@ def test_audit_and_lineage(spark, tmp_path):
         "Сообщение в [Transform] c filename [f], бизнес-процесс [m], отправитель [Не указан], получатель [me]"
     )
     edges = {tuple(r) for r in got.lineage().collect()}
-    assert ("m", "m/0", "clone") in edges and ("m/0", "m/0/0/0.1", "modified") in edges
+    assert ("m", "m/0", "clone") in edges and ("m/0", "m/0/0/0", "modified") in edges and ("m/0/0/0", "m/0/0/0.1", "copy") in edges
     assert [r["lineage"] for r in got.suppressed().collect()] == ["drop/0/0/0"]
     again = got.materialised(str(tmp_path / "rows"))
     assert again.audit(receivers).count() == 7 and again.routed().count() == got.routed().count()

@@ -1,4 +1,4 @@
-"""Audit and lineage tables, from the events the stages leave on each row."""
+"""The audit table, from the events the stages leave on each row."""
 
 from __future__ import annotations
 
@@ -17,10 +17,12 @@ EVENT = (
     "derivation:string,seen:map<string,string>>>"
 )
 
-# ``message/target/path/copy`` of a row; the same in every run.
-ROW_LINEAGE = (
-    "concat_ws('/', msg_id, coalesce(cast(p.tpos as string), '-'), coalesce(cast(p.path as string), '-'), concat('0', copy))"
+# ``message/target/path`` of a row before any copy; the same in every run. A target without paths has ``none``.
+ROW_START = (
+    "concat_ws('/', msg_id, coalesce(cast(p.tpos as string), '-'),"
+    " coalesce(cast(p.path as string), case when p.kind = 'empty' then 'none' end, '-'), '0')"
 )
+ROW_LINEAGE = f"concat({ROW_START}, copy)"
 
 # Attributes an event shows as they were when it happened.
 AUDIT_KEYS = (
@@ -88,15 +90,3 @@ def audit_message(audit: DataFrame) -> DataFrame:
     }
     body = ", ".join(f"'{name}', {column}" for name, column in fields.items())
     return audit.selectExpr("msg_id", "lineage", f"to_json(named_struct({body})) as message")
-
-
-def lineage_rows(wave: Wave) -> DataFrame:
-    """``clone`` from a message to each target row, ``modified`` from there to each path result."""
-    target = "concat_ws('/', msg_id, p.tpos)"
-    original = f"copy rlike {lit(r'^(\.0)*$')} and p.path = 0 and first"
-    edges = (
-        f"concat(filter(array(named_struct('parent_id', msg_id, 'child_id', {target}, 'kind', 'clone')), e -> {original}),"
-        f" array(named_struct('parent_id', {target}, 'child_id', {ROW_LINEAGE}, 'kind', 'modified')))"
-    )
-    rows = wave.df.selectExpr(f"explode(case when p.kind = 'path' and not reply then {edges} end) as e")
-    return rows.selectExpr("e.parent_id", "e.child_id", "e.kind")

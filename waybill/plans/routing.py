@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from waybill.functions.render import case, concat, lit, lits
 from waybill.functions.xmlfn import compact_json, ordered_json, valid_xml, well_formed
-from waybill.operators.audit import AUDIT_KEYS, EVENT, ROW_LINEAGE, audit_rows, lineage_rows
+from waybill.operators.audit import AUDIT_KEYS, EVENT, ROW_LINEAGE, audit_rows
+from waybill.operators.lineage import lineage_rows
 from waybill.operators.lookup import not_found
 from waybill.operators.steps import not_a_number, whole_number
 from waybill.plans.compile import Registry, compile_steps, named_reshapes, plan_registries, schema_paths
@@ -76,8 +77,9 @@ class RouteRun:
         return _union([audit_rows(w, receivers, host, specification_base, self.settings.audit_group_id) for w in self.waves])
 
     def lineage(self) -> DataFrame:
-        """Which row came from which."""
-        return _union([lineage_rows(w) for w in self.waves])
+        """Which row came from which, from messages down to the rows of ``routed()``."""
+        sent = f"case when {_SENT} then size(p.urls) else 0 end"
+        return _union([lineage_rows(_changed(_converted(w, self.settings), {"sent": sent})) for w in self.waves])
 
     def suppressed(self) -> DataFrame:
         """Rows a filter step dropped."""
@@ -309,11 +311,12 @@ def _stop_after_suppressed(df: DataFrame) -> DataFrame:
     return df.where("stop is null or p.path is null or p.path <= stop").drop("stop")
 
 
-def _finish(wave: Wave, settings: Settings) -> DataFrame:
-    """End-of-path marks, JSON, delivery attributes, destinations."""
-    slots = wave.slots
-    attr = slots.column
-    as_json = f"coalesce({attr('target.output')} = 'JSON', false)"
+_SENT = "alive and error is null and size(p.urls) > 0"
+
+
+def _converted(wave: Wave, settings: Settings) -> DataFrame:
+    """JSON where a target asks for it; a row that has none fails."""
+    as_json = f"coalesce({wave.slots.column('target.output')} = 'JSON', false)"
     df = _changed(wave.df, {"to_json": f"alive and error is null and parked is null and {as_json}"})
     check = f"case when to_json and wf is null then {well_formed(df.sparkSession, 'content')} end"
     df = _changed(df, {"wf": f"coalesce(wf, {check})"})
@@ -321,11 +324,19 @@ def _finish(wave: Wave, settings: Settings) -> DataFrame:
         df = df.withColumn("json", ordered_json(F.expr("case when to_json and wf then content end")))
     else:
         df = _changed(df, {"json": f"case when to_json and wf then {compact_json('content')} end"})
-    df = _changed(df, {
+    return _changed(df, {
         "content": "case when to_json and json is not null then json else content end",
         "error": "coalesce(error, case when to_json and json is null then 'java.lang.Exception: Failed xml convertation!' end)",
     })
 
+
+def _finish(wave: Wave, settings: Settings) -> DataFrame:
+    """End-of-path marks, JSON, delivery attributes, destinations."""
+    slots = wave.slots
+    attr = slots.column
+    as_json = f"coalesce({attr('target.output')} = 'JSON', false)"
+    df = _converted(wave, settings)
+
     def out(route: str, url: str = lit(None), number: str = "cast(null as int)", error: str = lit(None)) -> str:
         return f"named_struct('route', {route}, 'url', {url}, 'url_no', {number}, 'error', {error})"
 
@@ -333,7 +344,7 @@ def _finish(wave: Wave, settings: Settings) -> DataFrame:
     outputs = case([
         ("reply", f"array({out(lit('reply'))})"),
         ("error is not null", f"array({out(lit('failed'), error='error')})"),
-        ("alive and size(p.urls) > 0", f"transform(p.urls, (u, i) -> {sent})"),
+        (_SENT, f"transform(p.urls, (u, i) -> {sent})"),
         ("alive", f"array({out(lit('failed'), error=lit('no destinations'))})"),
     ])
     # The route is a field of the explode, so a filter on it stays above the stages.
