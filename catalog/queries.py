@@ -22,10 +22,11 @@ from waybill.operators.lookup import lookup_failed, lookup_passed, multi_lookup,
 from waybill.operators.restrict import content_matches, fan_out_permitted, with_permitted
 from waybill.operators.steps import reshape
 from waybill.session import shared_dir, spread, written
+from waybill.sources.commits import read_batches
 from waybill.sources.messages import as_messages, messages
 from waybill.sources.registry import parse_routes, pipelines, registry, steps
 from waybill.sources.sinks import reformat
-from waybill.streaming.route import route_stream
+from waybill.streaming.route import resume_stream, route_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -868,5 +869,49 @@ def stream_route(spark: SparkSession, d: str) -> DataFrame:
     raw = spark.readStream.schema(table(spark, d, "events").schema).option("pathGlobFilter", "events.parquet").parquet(d)
     base = scratch(spark, "stream")
     tables = lambda: {"routes": routes(spark, {"events": doc}), "schemas": schemas(spark)}
-    route_stream(event_messages(raw), tables, base, f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/routed").selectExpr("msg_id", "lineage", "route", attr("label"))
+    cores = spark.sparkContext.defaultParallelism
+    route_stream(event_messages(raw), tables, base, f"{base}/checkpoint", partitions=cores).awaitTermination()
+    return read_batches(spark, base, "routed").selectExpr("msg_id", "lineage", "route", attr("label"))
+
+
+@query("""
+    select 'e' || event_id || '/0/0/0/0' as msg_id, 'deliver' as route, event_type || '12' as b, 'back' as result,
+           cast(null as varchar) as problem
+    from events where event_type <> 'error' and user_id % 4 in (1, 2)
+    union all
+    select 'e' || event_id || '/0/0/0/0', 'failed', null, null,
+           'java.util.concurrent.TimeoutException: not returned within 2 hours'
+    from events where event_type <> 'error' and user_id % 4 in (0, 3)
+    union all
+    select 'e' || event_id || '/0/0/0/0', 'failed', null, 'back', 'java.lang.IllegalStateException: returned unexpectedly or too late'
+    from events where event_type <> 'error' and user_id % 4 = 3
+""")
+def park_return_stream(spark: SparkSession, d: str) -> DataFrame:
+    """A stream parks rows and meets the stream of their returns; some never come, some too late."""
+    steps_ = ["RouteOnAttribute://?RoutingStrategy=r&Condition=sql:${event.type} <> 'error'", "UpdateAttribute://?a=${event.type}1",
+              "RouteOnContent://?MatchRequirement=m&RouteCondition=c", "UpdateAttribute://?b=${a}2"]
+    docs = {"events": route(target("t", steps_), validate="event")}
+    base = scratch(spark, "returns")
+    source, back = f"{base}/in", f"{base}/back"
+    sent = event_messages(table(spark, d, "events"), more=", 'at', cast(ts as string)")
+    sent.write.parquet(source)
+    # Half of the users' rows return after ten minutes, a quarter after two days, a quarter never.
+    user, at = "cast(attrs['user'] as int)", "cast(attrs['at'] as timestamp)"
+    later = f"{at} + case when {user} % 4 = 3 then interval 2 days else interval 10 minutes end"
+    parked = run(spark, messages(spark, source), docs).routed().where("route = 'parked'")
+    parked.where(f"{user} % 4 <> 0").selectExpr(
+        "lineage as msg_id", "content", "map_concat(attrs, map('result', 'back')) as attrs", f"{later} as returned_at").write.parquet(back)
+    # A last row of each stream moves the watermarks past all others; it waits on.
+    end = "timestamp'2099-01-01'"
+    spark.sql(f"select 'end' as msg_id, '<event><type>x</type><user>1</user><cents>1</cents></event>' as content,"
+              f" map('business.process.name', 'events', 'event.type', 'x', 'at', cast({end} as string)) as attrs").write.mode("append").parquet(source)
+    spark.sql(f"select 'none' as msg_id, '' as content, map('a', 'b') as attrs, {end} as returned_at").write.mode("append").parquet(back)
+    waiting = run(spark, messages(spark, source, streaming=True), docs).routed().where("route = 'parked'")
+    coming = spark.readStream.schema("msg_id string, content string, attrs map<string,string>, returned_at timestamp").parquet(back)
+    tables = lambda: {"routes": routes(spark, docs), "schemas": schemas(spark)}
+    resume_stream(
+        waiting.selectExpr("lineage", "content", "attrs", f"{at} as parked_at"), coming, tables, base, f"{base}/checkpoint", timeout="2 hours",
+    ).awaitTermination()
+    got = read_batches(spark, base, "routed")
+    return got.selectExpr(
+        f"regexp_extract(msg_id, {lit('^[^/]+/0/0/0/0')}, 0) as msg_id", "route", attr("b"), attr("result"), attr("error.msg", "problem"))

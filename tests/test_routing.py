@@ -4,12 +4,15 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import Routed, message_table, one_path, registries, route, run, target
 from waybill import (
     Settings, messages, read_route, registry, returned_messages, route_messages, write_routes,
 )
 from waybill.operators.audit import audit_message
+from waybill.operators.lineage import lineage_closure
+from waybill.sources.commits import read_batches
 from waybill.streaming.route import route_stream
 
 AT = {"xform.stage": "0", "target.id": "t", "xform.path": "0"}
@@ -257,12 +260,15 @@ def test_stream_equals_batch(spark, tmp_path):
     stream = messages(spark, source, streaming=True, max_files_per_trigger=1)
     query = route_stream(stream, tables, str(tmp_path / "out"), str(tmp_path / "check"))
     query.awaitTermination(300)
-    routed = spark.read.parquet(str(tmp_path / "out" / "routed"))
+    out = str(tmp_path / "out")
+    routed = read_batches(spark, out, "routed")
     batch = route_messages(messages(spark, source), **{k: v for k, v in tables().items() if k != "receivers"}).routed()
     columns = ["lineage", "route", "content", "error"]
     assert sorted(map(str, routed.select(*columns).collect())) == sorted(map(str, batch.select(*columns).collect()))
     assert routed.select("batch").distinct().count() == 3
-    assert spark.read.parquet(str(tmp_path / "out" / "audit")).count() == 20 * 4
+    assert read_batches(spark, out, "audit").count() == 20 * 4
+    assert lineage_closure(read_batches(spark, out, "lineage")).join(routed, F.expr("node = lineage")).where("root = msg_id").count() == routed.count()
+    assert read_batches(spark, out, "suppressed").count() == 0 and not list((tmp_path / "out" / "rows").iterdir())
 
 
 def test_plan_over_a_stream_without_batches(spark, tmp_path):

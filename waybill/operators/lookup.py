@@ -143,8 +143,13 @@ def lookup_passed(found: DataFrame) -> DataFrame:
 
 
 def lookup_failed(found: DataFrame) -> DataFrame:
-    """The others, as failed rows in the columns of ``RouteRun.routed()``: they go where failed messages go."""
-    return found.where("error is not null").selectExpr(
+    """The others, as failed rows: they go where failed messages go."""
+    return failed_rows(found.where("error is not null"), "error")
+
+
+def failed_rows(messages: DataFrame, why: str) -> DataFrame:
+    """Messages that fail before the plan, in the columns of ``RouteRun.routed()``; ``why`` is a column."""
+    return messages.selectExpr(
         "msg_id", "concat(msg_id, '/-/-/0') as lineage", "'failed' as route", "cast(null as string) as target_id",
         "cast(null as int) as path", "cast(null as string) as target_url", "content",
-        f"{merged('attrs', "map('error.msg', error)")} as attrs", "error")
+        f"{merged('attrs', f"map('error.msg', {why})")} as attrs", f"{why} as error")
