@@ -397,6 +397,28 @@ def parameter_checks(spark: SparkSession, d: str) -> DataFrame:
     return got.selectExpr("msg_id", "route", attr("error.msg", "problem"))
 
 
+@query("""
+    select 'e' || event_id as msg_id, cast(p.path as integer) as path,
+           case when p.path in (0, 2, 5, 6) then 'failed' else 'deliver' end as route,
+           case p.path when 1 then case when user_id % 3 <> 0 then cast(100 // (user_id % 3) as varchar) end
+                       when 3 then case when user_id = 0 then '2147483647' end
+                       when 4 then case when user_id % 2 = 0 then event_type end
+                       when 7 then 'kept' end as x
+    from events cross join (values (0), (1), (2), (3), (4), (5), (6), (7)) p(path)
+""")
+def isolated_errors(spark: SparkSession, d: str) -> DataFrame:
+    """Aggregates, missing fields, deep and unknown patterns fail their path; bad values are null; other paths deliver."""
+    update = "UpdateAttribute://?x=sql:"
+    paths = [
+        [f"{update}count(1)"], [f"{update}100 div (cast(${{user}} as int) % 3)"], ["ApplyXslt://?Name=Missing field"],
+        [f"{update}2147483647 + cast(${{user}} as int)"], [f"{update}split(${{event.type}} || ',', ',')[cast(${{user}} as int) % 2 * 7]"],
+        [f"{update}regexp_replace(content, '(a|b)*c', '')"], [f"{update}content rlike ${{event.type}}"], ["UpdateAttribute://?x=kept"],
+    ]
+    shapes = values(spark, "name input_ddl expr root_tag", [("Missing field", "type string", "named_struct('a', doc.nothing)", "out")])
+    got = run(spark, events(spark, d), {"events": route(target("t", *paths), validate="event")}, reshapes=shapes).routed()
+    return got.selectExpr("msg_id", "path", "route", attr("x"))
+
+
 @query("""
     select 'e' || event_id as msg_id,
            'Exception ''java.lang.NumberFormatException: For input string: "' || event_type || '"'' occurs while processing FlowFile ''event-' ||
@@ -477,6 +499,22 @@ def regex_by_row(spark: SparkSession, d: str) -> DataFrame:
     return _documents(spark, d, *steps_).select("msg_id", "content", "route")
 
 
+@query("""
+    select 'd' || doc_id as msg_id, case when doc_id % 100 = 0 then 'failed' else 'deliver' end as route,
+           cast(case when doc_id % 100 = 0 then length(text) + 1000000
+                     else length(regexp_replace(text, '(?:[a-m]|[n-z])+e', '#', 'g')) end as integer) as n,
+           case when doc_id % 100 = 0 then 'ReplaceText: illegal pattern or group reference, or a text too long for the pattern' end as problem
+    from documents
+""")
+def regex_deep(spark: SparkSession, d: str) -> DataFrame:
+    """A repeated group that meets a word of a million letters fails that row alone; the others deliver."""
+    step = f"{_R}&SearchValue=(?:[a-m]|[n-z])+e&ReplacementValue=#"
+    long = document_messages(spark, d).withColumn(
+        "content", F.expr("case when cast(substring(msg_id, 2) as bigint) % 100 = 0 then concat(content, repeat('ab', 500000)) else content end"))
+    got = run(spark, long, {"documents": route(target("t", [step]))}).routed()
+    return got.selectExpr("msg_id", "route", "length(content) as n", attr("error.msg", "problem"))
+
+
 @query("""
     select 'c' || c_custkey as msg_id, c_name as name, c_mktsegment as segment, cast(c_nationkey as varchar) as nation,
            case when c_custkey % 31 = 1 then 't' || c_nationkey end as tag,

@@ -9,8 +9,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.helpers import message_table
+from waybill.functions.patterns import runs_deep
 from waybill.functions.render import TemplateError, lit, render
 from waybill.functions.text import decoded, remove_envelope, status_code, wrap_root
+from waybill.functions.total import PartialExpression, total
 from waybill.functions.xmlfn import _ordered, compact_json, schema_problem, well_formed
 from waybill.functions.xpath import OPERATOR_LIMIT, field_values, from_root, pack_paths, xpath_fields, xpath_problem
 from waybill.operators.lookup import lookup_failed, lookup_passed, multi_lookup, receiver_lookup
@@ -227,3 +229,37 @@ def test_duplicate_parameters_and_unknown_route(spark):
     assert row["params"] == {"k": "2", "l": "3"} and row["name"] == "A"
     with pytest.raises(ValueError):
         read_route(spark, "x", "nowhere")
+
+
+@pytest.mark.parametrize("pattern, deep", [
+    ("(a|b)*c", True), ("(?:ab)+", True), ("(ab){2,}", True), ("(ab){3}", False), ("(ab){1,500}", True), ("(ab)?", False), ("[()*]+", False),
+    (r"\(a\)*", False), (r"\Q(a)*\E", False), (r"\Q(a\E(b)*", True), ("[^)]*)", False), ("(?x) (a) *", True), ("a*b+", False), ("(a)(b)", False),
+    ("[[a](b)*]", False), ("((a)+b)", True), ("(a)*+", True),
+])
+def test_patterns_that_run_deep(pattern, deep):
+    assert runs_deep(pattern) is deep
+
+
+@pytest.mark.parametrize("text, value", [
+    ("1/0", None), ("7 / 2", 3.5), ("7 % 0", None), ("7 div 2", 3), ("7 div 0", None), ("2147483647 + 1", None), ("2 + 3 * 4 - 6 / 2", 11.0),
+    ("-3 - -4", 1), ("- (2 + 1) * 2", -6), ("'a' || 1 + 1", None), ("array(1, 2)[7]", None), ("array(1, 2)[1] + 1", 3), ("map('a', 5)['z']", None),
+    ("map('a', 5)['a']", 5), ("int('x')", None), ("cast('7' as int) * 2", 14), ("case when 1 + 1 = 2 then 'y' else 'n' end", "y"),
+    ("aggregate(array(1, 2, 3), 0, (a, x) -> a + x)", 6), ("3 between 1 + 1 and 2 * 2", True), ("6 in (2 * 3, 1)", True),
+    ("extract(year from date '2024-02-29') + 1", 2025), ("cast(date '2024-02-29' + interval 1 day as string)", "2024-03-01"),
+    ("regexp_extract('a12', '[0-9]+', 0) || 'x'", "12x"), ("element_at(array(1), 3)", None), ("to_date('nope')", None),
+    ("named_struct('a', 1 + 1).a * 2", 4), ("'it''s' || \"x\"", "it'sx"), ("length(r'\\d')", 2),
+])
+def test_total_expressions_keep_their_value_or_give_null(spark, text, value):
+    assert spark.sql(f"select {total(text, spark)}").first()[0] == value
+
+
+@pytest.mark.parametrize("text", ["raise_error('x')", "x rlike y", "regexp_replace(x, '(a|b)*', '')", "split(x, '(')", "x::int", "(1", "1)", "1 -- 2", "sequence(1, 9)"])
+def test_what_has_no_total_form_is_refused(spark, text):
+    with pytest.raises(PartialExpression):
+        total(text, spark)
+
+
+@given(st.recursive(st.integers(-9, 9).map(lambda n: f"({n})" if n < 0 else str(n)), lambda x: st.tuples(x, st.sampled_from("+-*"), x).map(" ".join) | x.map("({})".format), max_leaves=12))
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_total_arithmetic_has_the_usual_order(spark, text):
+    assert spark.sql(f"select cast({total(text, spark)} as bigint)").first()[0] == eval(text)

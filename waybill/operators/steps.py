@@ -13,8 +13,10 @@ from itertools import groupby
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waybill.functions.patterns import runs_deep
 from waybill.functions.render import concat, is_fixed, lit
 from waybill.functions.text import literal_replacement, pattern_problem, remove_envelope, replace_text
+from waybill.functions.xmlfn import shaped_xml
 from waybill.functions.xpath import field_scalar, field_values, fits_a_pack, pack_paths, xpath_fields, xpath_problem, xpath_scalar
 from waybill.plans.context import StepContext, StepError, merged
 
@@ -80,21 +82,22 @@ def replace_step(ctx: StepContext) -> None:
     if strategy != "RegexReplace":
         raise StepError("java.lang.Exception: Incorrect replace strategy")
     pattern, text = ctx.render(search), ctx.render(replacement)
-    fixed = is_fixed(search)
-    if fixed:
+    if is_fixed(search):
         problem = pattern_problem(ctx.spark, search)
         if problem:
             raise StepError(problem)
-        if is_fixed(replacement) and not pattern_problem(ctx.spark, search, replacement):
-            ctx.set_content(f"regexp_replace({ctx.content}, {pattern}, {literal_replacement(text)})")
-            return
+    # A compiled pattern serves where it can't end the task; any other runs by a guarded call.
+    safe = is_fixed(search) and not runs_deep(search)
+    if safe and is_fixed(replacement) and not pattern_problem(ctx.spark, search, replacement):
+        ctx.set_content(f"regexp_replace({ctx.content}, {pattern}, {literal_replacement(text)})")
+        return
     replaced = replace_text(ctx.content, pattern, text)
-    if fixed:
+    if safe:
         # Text without a reference cannot fail, so the compiled pattern serves.
         plain = f"not {text} rlike {lit(r'[$\\]')}"
         replaced = f"case when {plain} then regexp_replace({ctx.content}, {pattern}, {text}) else {replaced} end"
     result = ctx.stash(replaced)
-    ctx.fail_when(f"{ctx.content} is not null and {result} is null", lit("ReplaceText: illegal pattern or group reference"))
+    ctx.fail_when(f"{ctx.content} is not null and {result} is null", lit("ReplaceText: illegal pattern or group reference, or a text too long for the pattern"))
     ctx.set_content(result)
 
 
@@ -144,14 +147,9 @@ def apply_transform(ctx: StepContext) -> None:
     if shape is None:
         ctx.set_content(remove_envelope(ctx.content))
         return
+    ctx.shaped(shape, "doc")
     doc = ctx.stash(f"from_xml({ctx.content}, {lit(shape.input_ddl)})")
-    ctx.set_content(shaped_xml(shape.expr, doc, shape.root_tag))
-
-
-def shaped_xml(expr: str, doc: str, root_tag: str) -> str:
-    """Write ``expr`` over the parsed document column ``doc`` as XML."""
-    value = f"transform(array({doc}), doc -> {expr})[0]"  # binds the name; a literal that holds it stays
-    return f"rtrim('\n', to_xml({value}, map('rowTag', {lit(root_tag)}, 'indent', '')))"
+    ctx.set_content(ctx.shaped(shape, doc))
 
 
 def reshape(df: DataFrame, input_ddl: str, expr: str, root_tag: str) -> DataFrame:

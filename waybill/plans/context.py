@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException, ParseException
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException, ParseException, PySparkException
+from pyspark.sql import DataFrame, SparkSession
 
 from waybill.functions.render import SQL_PREFIX, Nothing, TemplateError, lit, lits, render
+from waybill.functions.total import PartialExpression, total
+from waybill.functions.xmlfn import shaped_xml
 
 
 class StepError(ValueError):
@@ -132,13 +134,31 @@ class StepContext:
     def render(self, template: str) -> str:
         try:
             if template.startswith(SQL_PREFIX):
-                # Looked at alone first: one that Spark can't read fails its own step only.
-                self.spark.range(0).selectExpr("cast(null as string) as content").selectExpr(render(template, Nothing()))
+                template = SQL_PREFIX + total(template[len(SQL_PREFIX):], self.spark)
+                frame = self.spark.range(0).selectExpr("cast(null as string) as content")
+                self.check(frame, render(template, Nothing()))
             return render(template, self)
-        except (TemplateError, AnalysisException, ParseException) as e:
+        except (TemplateError, PartialExpression, AnalysisException, ParseException) as e:
             why = str(e).splitlines()[0]
             raise StepError(f"java.lang.IllegalArgumentException: {self.step.name} {why}") from e
 
+    def check(self, frame: DataFrame, text: str) -> None:
+        """Let Spark analyse an expression where aggregates, windows and generators are not allowed."""
+        frame.where(f"({text}) = ''")
+
+    def shaped(self, shape: Reshape, doc: str) -> str:
+        """The text of a structural transform over the parsed document ``doc``."""
+        try:
+            text = total(shape.expr, self.spark)
+            frame = self.spark.range(1).selectExpr(f"from_xml(cast(null as string), {lit(shape.input_ddl)}) as doc")
+            self.check(frame, shaped_xml(text, "doc", shape.root_tag))
+            # Names that XML does not allow show on any row.
+            frame.selectExpr(shaped_xml(text, "doc", shape.root_tag)).collect()
+            return shaped_xml(text, doc, shape.root_tag)
+        except (PartialExpression, PySparkException) as e:
+            why = str(e).strip().splitlines()[0]
+            raise StepError(f"java.lang.IllegalArgumentException: {self.step.name} {why}") from e
+
     def required(self, name: str) -> str:
         value = self.params.get(name)
         if not value:
