@@ -10,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from waybill.llm import minhash
 from waybill.llm.common import numbered
 from waybill.llm.decontaminate import decontaminated, lcs, leaks
 from waybill.llm.hashing import Rolling, word_marks
@@ -174,6 +175,57 @@ def near_texts():
     return out
 
 
+def test_a_group_just_short_of_the_limit(spark, monkeypatch):
+    """Copies that miss the limit to their centre and to each other: rows about double with the group, no link is lost."""
+    r = random.Random(4)
+    base, rows = prose(77, 170).split(), {}
+
+    def group(n):
+        texts = [" ".join(base)]
+        for i in range(1, n):
+            words = list(base)
+            for at in r.sample(range(170), 6):
+                words[at] = f"w{r.randint(0, 10 ** 6)}"
+            texts.append(" ".join(words))
+        # A chain that only pairs among the copies hold together.
+        for i in range(1, n, 20):
+            words = texts[i].split()
+            words[0] = "chain"
+            texts.append(" ".join(words))
+        return list(enumerate(texts))
+
+    seen = []
+    pairs = minhash._rare_pairs
+    monkeypatch.setattr(minhash, "_rare_pairs", lambda *x: (seen.append(pairs(*x)), seen[-1])[1])
+    for n in (150, 300):
+        docs = group(n)
+        got = {x.doc_id: x.component_id for x in near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), Near()).collect()}
+        sets = {i: set(minhash.shingles(t, 3).tolist()) for i, t in docs}
+        parent = {i: i for i in sets}
+
+        def root(i):
+            while parent[i] != i:
+                i = parent[i]
+            return i
+
+        for i in sets:
+            for j in range(i):
+                if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j]):
+                    x, y = sorted((root(i), root(j)))
+                    parent[y] = x
+        assert got == {i: root(i) for i in sets}
+        rows[n] = seen[-1].count() if seen else 0
+    assert rows[300] <= 2.5 * max(rows[150], 50)
+
+
+@given(st.sets(st.integers(0, 2 ** 63), max_size=60), st.sets(st.integers(0, 2 ** 63), max_size=60))
+@settings(max_examples=60, deadline=None)
+def test_parity_never_differs_more_than_the_sets(x, y):
+    px, py = (minhash.parity(np.array(sorted(s), dtype=np.uint64)) for s in (x, y))
+    assert len(px) == minhash.PARITY
+    assert sum(int(v).bit_count() for v in (px ^ py).view(np.uint64)) <= len(x ^ y)
+
+
 def test_near_duplicates(spark):
     texts = near_texts()
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'n' as node", "1 as bucket")

@@ -198,45 +198,62 @@ def _rows(docs: DataFrame, near: Near) -> DataFrame:
     return sketched.select("doc_id", "text_mark", "n_shingles", "node").join(named, "node", "left").drop("node")
 
 
+#: 64-bit words of a parity sketch.
+PARITY = 32
+
+
+def parity(shingles_: np.ndarray) -> np.ndarray:
+    """A bit per hash slot: whether an odd number of the shingles fall there. Two sets differ in at least as many shingles as bits."""
+    odd = np.bincount((mixed(shingles_) >> np.uint64(53)).astype(np.int64), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _rare_pairs(open_: DataFrame, held: DataFrame, near: Near) -> DataFrame:
-    """Pairs of nodes in different components that may be linked: all those that share a rare shingle.
+    """Pairs of nodes in different components that may be linked: those that share a rare shingle and differ in few enough.
 
     With shingles ordered by how many of the nodes have them, two sets that are
     similar enough share one of the first ``n - ceil(n * similarity) + 1`` of
     either, whatever the order; and shingles that only one node has bound what it
-    can have in common with any other. A copy that no other is linked with has
-    many of its own, and so few pairs, however large its group.
+    can have in common with any other. Of the nodes that share such a shingle the
+    join passes on only pairs whose parity sketches differ in no more bits than
+    linked sets may differ in shingles, which loses none. So members of a large
+    group that are just short of a link to its centre, and of links to each
+    other, are told apart bit by bit and give no rows.
     """
 
     def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for i in range(0, len(batch), 64):
                 part = batch.iloc[i:i + 64]
-                sets = [shingles(t, near.width).view(np.int64) for t in part["text"]]
-                sizes = [len(x) for x in sets]
+                sets = [shingles(t, near.width) for t in part["text"]]
                 yield pd.DataFrame({
-                    "id": np.repeat(part["id"].to_numpy(), sizes), "shingle": np.concatenate(sets)})
+                    "id": part["id"].to_numpy(), "shingles": [s.view(np.int64) for s in sets], "parity": [parity(s) for s in sets]})
 
     nodes = written(open_.withColumn("id", F.monotonically_increasing_id()), "nodes")
     texts = nodes.join(held.select("node", "text"), "node").select("id", "text")
-    tokens = texts.mapInPandas(spell, "id long, shingle long")
+    spelled = written(texts.mapInPandas(spell, "id long, shingles array<long>, parity array<long>"), "spelled")
+    tokens = spelled.select("id", F.explode("shingles").alias("shingle"))
     often = tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     common = tokens.join(often, "shingle")
-    sized = nodes.join(held.select("node", "n_shingles"), "node").select("id", "node", "component", "n_shingles")
+    sized = nodes.join(spelled.select("id", F.size("shingles").alias("n_shingles"), "parity"), "id")
     by_rarity = Window.partitionBy("id").orderBy("often", "shingle")
     whole = F.count(F.lit(1)).over(Window.partitionBy("id"))
     ranked = common.select("id", "shingle", F.row_number().over(by_rarity).alias("at"), whole.alias("shared")).join(sized, "id")
     # Shingles that only one node has come before all others.
     first = F.expr(f"n_shingles - ceil(n_shingles * {near.percent} / 100.0) + 1")
     rare = written(ranked.where((F.col("n_shingles") - F.col("shared") + F.col("at")) <= first).select(
-        "shingle", "node", "component", "n_shingles", "shared"), "rare")
+        "shingle", "node", "component", "n_shingles", "shared", "parity"), "rare")
     split = rare.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
     rare = rare.join(split.select("shingle"), "shingle", "left_semi")
-    one = rare.select("shingle", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("an"), F.col("shared").alias("ao"))
-    two = rare.select("shingle", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("bn"), F.col("shared").alias("bo"))
+    side = lambda x: rare.selectExpr(
+        "shingle", f"node as {x}", f"component as c{x}", f"n_shingles as {x}n", f"shared as {x}o", f"parity as {x}p")
+    differing = " + ".join(f"bit_count(ap[{i}] ^ bp[{i}])" for i in range(PARITY))
     # No more can be common than either set shares with any other.
-    fits = f"a < b and ca != cb and 100 * least(ao, bo) >= {near.percent} * (an + bn - least(ao, bo))"
-    return one.join(two, "shingle").where(fits).select("a", "b")
+    fits = (
+        f"a < b and ca != cb and 100 * least(ao, bo) >= {near.percent} * (an + bn - least(ao, bo))"
+        f" and {100 + near.percent} * ({differing}) <= {100 - near.percent} * (an + bn)"
+    )
+    return side("a").join(side("b"), "shingle").where(fits).select("a", "b")
 
 
 def _led(members: DataFrame, rank) -> DataFrame:
