@@ -893,6 +893,33 @@ def reformat_records(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema("event_id bigint, event_type string, user_id bigint").json(folder)
 
 
+@query("""
+    select event_id, case when event_type = 'error' or value <> round(value, 1) then null else event_type end as kind,
+           case when event_type <> 'error' and value = round(value, 1) then user_id end as user_id,
+           case when event_type <> 'error' and value = round(value, 1) then 'web' end as channel,
+           case when event_type = 'error' then 'at.user: u' || user_id || ' is no bigint' end as user_problem,
+           value <> round(value, 1) as cut_value
+    from events
+""")
+def reformat_evolved(spark: SparkSession, d: str) -> DataFrame:
+    """A reader schema resolved to a writer schema: aliases, a default, nested and narrower fields; rejects as rows."""
+    base = scratch(spark, "evolved")
+    user = "case when event_type = 'error' then concat('u', user_id) else cast(user_id as string) end"
+    table(spark, d, "events").selectExpr(
+        "cast(event_id as int) as event_id", "event_type", f"named_struct('user', {user}, 'ts', ts) as place", "value", "props").write.parquet(f"{base}/in")
+    reformat(
+        spark, f"{base}/in", "parquet", f"{base}/out", "json", rejects=f"{base}/rejects",
+        writer_schema="event_id bigint not null, kind string not null, at struct<user: bigint, ts: timestamp, zone: string>, value decimal(12,1), channel string not null, note string",
+        defaults={"channel": "'web'"}, aliases={"kind": ["event_type"], "at": ["place"]})
+    out = spark.read.schema("event_id bigint, kind string, at struct<user: bigint>, channel string, note string").json(f"{base}/out")
+    bad = spark.read.parquet(f"{base}/rejects")
+    return out.selectExpr(
+        "event_id", "kind", "at.user as user_id", "channel", "cast(null as string) as user_problem", "false as cut_value").unionByName(bad.selectExpr(
+        "cast(get_json_object(record, '$.event_id') as bigint) as event_id", "cast(null as string) as kind", "cast(null as bigint) as user_id",
+        "cast(null as string) as channel", "get(filter(problems, p -> startswith(p, 'at.user')), 0) as user_problem",
+        "exists(problems, p -> startswith(p, 'value')) as cut_value"))
+
+
 @query("""
     select 'e' || event_id as msg_id, 'e' || event_id || '/0/0/0/0' as lineage, 'deliver' as route, event_type || '!' as label
     from events where event_type <> 'error'

@@ -7,9 +7,10 @@ each stage is a projection over the rows of all pipelines at once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from waybill.functions.render import case, concat, lit, lits
@@ -65,8 +66,8 @@ class Wave:
 class RouteRun:
     """The tables one run yields; each is an ordinary lazy DataFrame."""
 
-    def __init__(self, waves: list[Wave], settings: Settings):
-        self.waves, self.settings = waves, settings
+    def __init__(self, waves: list[Wave], settings: Settings, step_counts: dict[str, int] | None = None):
+        self.waves, self.settings, self.step_counts = waves, settings, step_counts
 
     def routed(self) -> DataFrame:
         """Delivered, reply, parked and failed rows."""
@@ -85,14 +86,23 @@ class RouteRun:
         """Rows a filter step dropped."""
         return _union([w.df.where(_SUPPRESSED).selectExpr("msg_id", f"{ROW_LINEAGE} as lineage") for w in self.waves])
 
-    def materialised(self, path: str) -> RouteRun:
-        """Write the rows once to a shared path, so that every table reads them back."""
-        done = []
+    def materialised(self, path: str, count: Sequence[str] = ()) -> RouteRun:
+        """Write the rows once to a shared path, so that every table reads them back.
+
+        The steps named in ``count`` are counted while the rows are written: the
+        new run's ``step_counts`` says how many audit records there are of each, with no pass of its own.
+        """
+        done, counts = [], dict.fromkeys(count, 0)
         for i, w in enumerate(self.waves):
-            w.df.write.mode("overwrite").parquet(f"{path}/wave={i}")
+            df, seen = w.df, Observation()
+            if counts:
+                df = df.observe(seen, *[F.expr(f"sum(size(filter(events, e -> e.step = {lit(name)})))").alias(name) for name in counts])
+            df.write.mode("overwrite").parquet(f"{path}/wave={i}")
+            for name, n in seen.get.items() if counts else ():
+                counts[name] += n or 0
             back = w.df.sparkSession.read.schema(w.df.schema).parquet(f"{path}/wave={i}")
             done.append(Wave(back, w.slots, w.snapshot))
-        return RouteRun(done, self.settings)
+        return RouteRun(done, self.settings, counts if count else None)
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
