@@ -619,14 +619,52 @@ def reshape_content(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-    select 'o' || o_orderkey as msg_id, '<root><order>' || o_orderkey || '</order></root>' as wrapped, true as framed,
+    select 'o' || o_orderkey as msg_id, '<root><order>' || o_orderkey || '</order></root>' as wrapped,
+           '<soapenv:Envelope xmlns:soapenv="http://schemas.xmlsoap.org/soap/envelope/"><soapenv:Body><order>' || o_orderkey ||
+           '</order></soapenv:Body></soapenv:Envelope>' as framed,
            '<order>' || o_orderkey || '</order>' as body from orders
 """)
 def envelope_and_root(spark: SparkSession, d: str) -> DataFrame:
     """Wrap in a root, put in an envelope and take out again."""
     df = table(spark, d, "orders").selectExpr("concat('o', o_orderkey) as msg_id", "concat('<order>', o_orderkey, '</order>') as content")
     framed = soap_envelope("content")
-    return df.selectExpr("msg_id", f"{wrap_root('content')} as wrapped", f"{framed} like '%Envelope%' as framed", f"{remove_envelope(framed)} as body")
+    return df.selectExpr("msg_id", f"{wrap_root('content')} as wrapped", f"{framed} as framed", f"{remove_envelope(spark, framed)} as body")
+
+
+@query("""
+    select 'c' || c_custkey as msg_id, case when c_custkey % 4 = 3 then 'failed' else 'deliver' end as route,
+           case c_custkey % 4 when 0 then '<x xmlns="urn:d"><name>' || c_name || '</name></x>' when 1 then '<x>' || c_name || '</x>'
+                when 2 then '<q:x xmlns:q="u">' || c_nationkey || '</q:x>' end as body
+    from customer
+""")
+def envelope_cases(spark: SparkSession, d: str) -> DataFrame:
+    """Default namespaces, headers that look like bodies, comments before the root; two bodies fail their row."""
+    ns = 'xmlns:s="http://schemas.xmlsoap.org/soap/envelope/"'
+    start = f"<s:Envelope {ns}"
+    text = (
+        f"case c_custkey % 4 when 0 then concat({lit(f'{start} xmlns=\"urn:d\"><s:Body><x><name>')}, c_name, '</name></x></s:Body></s:Envelope>')"
+        f" when 1 then concat({lit(f'<!-- <s:Body> -->{start}><s:Header><Body>no</Body></s:Header><s:Body><x>')}, c_name, '</x></s:Body></s:Envelope>')"
+        f" when 2 then concat({lit(f'{start} xmlns:q=\"u\"><s:Header xmlns:q=\"v\"/><s:Body><q:x>')}, c_nationkey, '</q:x></s:Body></s:Envelope>')"
+        f" else concat({lit(f'{start}><s:Body><x/></s:Body><s:Body>')}, c_custkey, '</s:Body></s:Envelope>') end"
+    )
+    df = table(spark, d, "customer").selectExpr("concat('c', c_custkey) as msg_id", f"{text} as content", f"{AT_START.format('soap', '')} as attrs")
+    got = run(spark, df, {"soap": route(target("t", ["ApplyXslt://?Name=RemoveEnvelope.xsl"]))}).routed()
+    return got.selectExpr("msg_id", "route", "case when route = 'deliver' then content end as body")
+
+
+@query("""
+    select 'c' || c_custkey as msg_id, '{"c":{"code":"00' || c_custkey || '","e":["",""],"exp":"' || c_nationkey || 'E3","flag":' || (c_custkey % 2 = 0) ||
+           ',"half":' || c_custkey || '.5,"neg":-' || (c_nationkey + 1) || ',"none":"","phone":"+49' || c_custkey || '","sign":"' || chr(57344) || 'n"}}' as content
+    from customer
+""")
+def xml_to_json_types(spark: SparkSession, d: str) -> DataFrame:
+    """Signs, leading zeros and exponents stay text, empty repeats are empty texts, numbers and booleans are typed."""
+    text = (
+        "concat('<c phone=\"+49', c_custkey, '\"><code>00', c_custkey, '</code><half>', c_custkey, '.50</half><neg> -', c_nationkey + 1, ' </neg><exp>', c_nationkey,"
+        f" 'E3</exp><flag>', c_custkey % 2 = 0, '</flag><e/><e></e><none> </none><sign>', {lit(chr(57344) + 'n')}, '</sign></c>')"
+    )
+    df = table(spark, d, "customer").selectExpr("concat('c', c_custkey) as msg_id", f"{text} as content", f"{AT_START.format('types', '')} as attrs")
+    return run(spark, df, {"types": route(target("t", ["Pass"], output="JSON"))}).routed().select("msg_id", "content")
 
 
 @query("""

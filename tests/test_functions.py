@@ -1,6 +1,8 @@
 """Expression builders and lookups on small fixtures."""
 
+import html
 import json
+import re
 import xml.etree.ElementTree as ET
 
 import pytest
@@ -180,15 +182,32 @@ def test_json_keeps_codes(spark):
 
 def test_envelopes(spark):
     ns = "http://schemas.xmlsoap.org/soap/envelope/"
+    s_ = f"<s:Envelope xmlns:s='{ns}'"
     cases = {
         "<mail><Body>hi</Body><x/></mail>": "<mail><Body>hi</Body><x/></mail>",
         f'<s:Envelope xmlns:s="{ns}"><s:Body/></s:Envelope>': "",
         f'<s:Envelope xmlns:s="{ns}"><s:Body> </s:Body></s:Envelope>': "",
-        f"<s:Envelope xmlns:s='{ns}' xmlns:q='u'><s:Header/><s:Body><q:b>1</q:b></s:Body></s:Envelope>": "<q:b xmlns:q='u'>1</q:b>",
+        f"{s_} xmlns:q='u'><s:Header/><s:Body><q:b>1</q:b></s:Body></s:Envelope>": "<q:b xmlns:q='u'>1</q:b>",
         f'<Envelope xmlns="{ns}"><Body><b>1</b></Body></Envelope>': "<b>1</b>",
+        # An element of the header may be named like the body, and things may stand around the root.
+        f"{s_}><s:Header><Body>no</Body></s:Header><s:Body><x/></s:Body></s:Envelope>": "<x/>",
+        f"<?xml version='1.0'?><!-- a > b --><?pi x?>{s_}><!-- c --><s:Body><x/></s:Body></s:Envelope><!-- d -->": "<x/>",
+        f"{s_} xmlns='urn:d'><s:Body><x><y/></x></s:Body></s:Envelope>": "<x xmlns='urn:d'><y/></x>",
+        f"{s_} xmlns='urn:d'><s:Body xmlns='urn:e'><x/></s:Body></s:Envelope>": "<x xmlns='urn:e'/>",
+        f"{s_} xmlns='urn:d'><s:Body><x xmlns='urn:f'/></s:Body></s:Envelope>": "<x xmlns='urn:f'/>",
+        f"{s_}><s:Header xmlns:q='v'/><s:Body xmlns:q='u'><q:x/></s:Body></s:Envelope>": "<q:x xmlns:q='u'/>",
+        f"{s_} a='1 > 0'><s:Body b=\"x>y\"><x/>t<z k='>'/></s:Body></s:Envelope>": "<x/>t<z k='>'/>",
+        f"{s_}><s:Body><w><s:Body>in</s:Body></w></s:Body></s:Envelope>": f"<w xmlns:s='{ns}'><s:Body>in</s:Body></w>",
+        # What has no form to cut is told, not corrupted.
+        f"{s_}><s:Header><s:Header>x</s:Header><s:Body>no</s:Body></s:Header><s:Body><x/></s:Body></s:Envelope>": None,
+        f"{s_}><s:Body><x/></s:Body><s:Body><y/></s:Body></s:Envelope>": None,
+        f"{s_}><s:Header/></s:Envelope>": None,
+        f"{s_} xmlns:q='u'><s:Body><!-- q:y --> <q:x/></s:Body></s:Envelope>": "<!-- q:y --> <q:x xmlns:q='u'/>",
+        f"{s_}><s:Body><![CDATA[</s:Body>]]></s:Body></s:Envelope>": "<![CDATA[</s:Body>]]>",
     }
-    for text, want in cases.items():
-        assert spark.createDataFrame([(text,)], "c string").selectExpr(remove_envelope("c")).first()[0] == want
+    df = spark.createDataFrame([(i, text) for i, text in enumerate(cases)], "i int, c string")
+    got = {r[0]: r[1] for r in df.selectExpr("i", remove_envelope(spark, "c")).collect()}
+    assert {text: got[i] for i, text in enumerate(cases)} == cases
 
 
 def test_receiver_lookup(spark):
@@ -263,3 +282,34 @@ def test_what_has_no_total_form_is_refused(spark, text):
 @settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 def test_total_arithmetic_has_the_usual_order(spark, text):
     assert spark.sql(f"select cast({total(text, spark)} as bigint)").first()[0] == eval(text)
+
+
+SCALARS = ["+491701234567", "+5", "-5", "007", "-07", "0", "0.5", "2.50", ".5", "5.", "1e5", "1E-3", "true", "false", "TRUE", "True", "", " ", " 5 ", " +5 ", "-", "+",
+           "12345678901234567890123", "2024-01-01", "NaN", "null", ",null,", "[null", "5d", "a\ue000b", "\ue000n", "\ue000", "&#43;49", "a &lt; 5", "1 2", "--1", "x"]
+
+
+def _scalar(text):
+    plain = html.unescape(text).strip()
+    if "&" not in text and re.fullmatch(r"-?(0|[1-9][0-9]*)(\.[0-9]+)?", plain):
+        return float(plain)
+    return {"true": True, "false": False}.get(plain, plain)
+
+
+def test_json_scalars_are_what_their_text_says(spark):
+    for form in ("<r><t>{}</t></r>", "<r><t>{0}</t><t>{0}</t><z/></r>", "<r t='{}'/>", '<r t = "{}"><u>1</u></r>', "<r><t><!-- > -->{}</t></r>"):
+        df = spark.createDataFrame([(i, form.format(t)) for i, t in enumerate(SCALARS)], "i int, c string")
+        got = {r[0]: json.loads(r[1])["r"]["t"] for r in df.selectExpr("i", compact_json("c")).collect()}
+        for i, text in enumerate(SCALARS):
+            value = got[i]
+            for one in value if isinstance(value, list) else [value]:
+                want = _scalar(text)
+                assert (one == want and isinstance(one, bool) == isinstance(want, bool)) or (type(want) is float and float(one) == want), (form, text, one)
+
+
+@pytest.mark.parametrize("content, want", [
+    ("<r><g/><g></g><g/></r>", {"g": ["", "", ""]}), ("<r/>", ""), ("<r><a k='1'/></r>", {"a": {"k": 1}}), ("<r><c><![CDATA[<g/>+5]]></c><g/></r>", {"c": "<g/>+5", "g": ""}),
+    ("<r><![CDATA[007]]></r>", "007"), ("<r><a>x<b>1</b></a></r>", {"a": {"content": "x", "b": 1}}), ("<r><p:g xmlns:p='u'/><p:g /></r>", None),
+])
+def test_json_of_empty_and_mixed_elements(spark, content, want):
+    got = json.loads(spark.createDataFrame([(content,)], "c string").selectExpr(compact_json("c")).first()[0])["r"]
+    assert want is None or got == want

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from waybill.functions.render import concat, lit
+from waybill.functions.render import case, concat, lit
+from waybill.functions.xmlfn import well_formed
 
 
 def status_code(protocol: str, code: str) -> str:
@@ -61,24 +62,53 @@ def soap_envelope(content: str) -> str:
     return concat(lit(head), content, lit("</soapenv:Body></soapenv:Envelope>"))
 
 
-def remove_envelope(content: str) -> str:
+# The words of an envelope, as XPath steps whatever their prefix.
+_ENVELOPE, _BODY = (f"*[name()='{n}' or substring-after(name(), ':')='{n}']" for n in ("Envelope", "Body"))
+
+
+def remove_envelope(spark: SparkSession, content: str) -> str:
     """Body of a SOAP envelope, empty if the body is; content whose root is none stays as it is.
 
-    Prefixes that the body uses and the envelope declares move to the body's first element.
+    Namespaces that the body uses and the envelope or the body declares move to
+    the body's first element. The text is cut by its form and the cut is held
+    against the parsed document: null if elements, names or text differ. Content
+    has to be well-formed.
     """
-    head = r"(?s)^\s*(?:<\?xml[^>]*\?>\s*)?(<(?:[\w.-]+:)?Envelope\b[^>]*>.*?<(?:[\w.-]+:)?Body\b[^>]*>)"
-    body = r"(?s)<(?:[\w.-]+:)?Body(?:\s[^>]*)?(?<!/)>(.*)</(?:[\w.-]+:)?Body\s*>"
-    tag = r"^(<[^\s/>]+)"
-    inner = f"trim(regexp_extract({content}, {lit(body)}, 1))"
-    opened = f"regexp_extract({content}, {lit(head)}, 1)"
-    listed = rf"regexp_extract_all({opened}, {lit(r'(xmlns:[\w.-]+\s*=\s*(?:\x22[^\x22]*\x22|\x27[^\x27]*\x27))')}, 1)"
-    prefix = "trim(substring_index(substring(d, 7), '=', 1))"
-    first = f"regexp_extract(b, {lit(r'^<[^>]*')}, 0)"
-    used = f"contains(b, concat({prefix}, ':')) and not contains({first}, concat('xmlns:', {prefix}, '='))"
-    names = f"array_join(transform(filter(array_distinct({listed}), d -> {used}), d -> concat(' ', d)), '')"
-    tagged = f"transform(array({inner}), b -> regexp_replace(b, {lit(tag)}, concat({lit('$1')}, {names})))[0]"
-    known = " or ".join(f"contains({opened}, {lit(ns)})" for ns in (SOAP_NS, SOAP_12_NS))
-    return f"case when {known} then {tagged} else {content} end"
+    gap = r"(?:\s|<!--(?s:.*?)-->){0,20}"
+    prolog = r"^(?:\s|<!--(?s:.*?)-->|<\?(?s:.*?)\?>){0,20}"
+    quoted = r"(?:\x22[^\x22]*\x22|\x27[^\x27]*\x27)"
+    tag = lambda n: rf"(<(?:[\w.-]+:)?{n}\b[^>\x22\x27]*(?:{quoted}[^>\x22\x27]*){{0,60}}>)"
+    header = r"(?:<(?:[\w.-]+:)?Header\b[^>]*/>|<((?:[\w.-]+:)?Header)\b[^>]*>(?s:.*?)</\2\s*>)?"
+    end = rf"</(?:[\w.-]+:)?Envelope\s*>{prolog[1:]}$"
+    # Groups: the envelope's tag, the name of the header, the body's tag, what is inside.
+    whole = rf"{prolog}{tag('Envelope')}{gap}{header}{gap}{tag('Body')}(?:(?<=/>)|((?s:.*))</(?:[\w.-]+:)?Body\s*>){gap}{end}"
+    part = lambda n: f"regexp_extract(c, {lit(whole)}, {n})"
+    declared = r"(xmlns(?::[\w.-]+)?\s*=\s*(?:\x22[^\x22]*\x22|\x27[^\x27]*\x27))"
+    of = lambda n: f"regexp_extract_all({part(n)}, {lit(declared)}, 1)"
+    name = "trim(substring_index({}, '=', 1))".format
+    # The body's own declarations come first and hide those of the envelope.
+    listed = f"concat({of(3)}, {of(1)})"
+    hidden = f"filter({listed}, (d, i) -> not exists(slice({listed}, 1, i), e -> {name('e')} = {name('d')}))"
+    first = f"regexp_extract(b, {lit(rf'^{gap}<[^!?>][^>]*')}, 0)"
+    soap = " or ".join(f"contains(d, {lit(ns)})" for ns in (SOAP_NS, SOAP_12_NS))
+    used = case([
+        (f"contains({first}, concat({name('d')}, '=')) or contains({first}, concat({name('d')}, ' '))", "false"),
+        (f"{name('d')} = 'xmlns'", f"not ({soap})"),
+    ], f"contains(b, concat(substring({name('d')}, 7), ':'))")
+    names = f"array_join(transform(filter({hidden}, d -> {used}), d -> concat(' ', d)), '')"
+    inner = f"trim({part(4)})"
+    tagged = f"transform(array({inner}), b -> regexp_replace(b, {lit(rf'^({gap}<[^\s/>!?]+)')}, concat({lit('$1')}, {names})))[0]"
+    body = f"/*/{_BODY}"  # the root is looked at below
+    figures = lambda at: f"concat(count({at}//*), '|', count({at}/*), '|', name({at}/*[1]), '|', normalize-space({at}))"
+    wrapped = "concat('<w>', b, '</w>')"
+    parsed = f"xpath_string(c, {lit(f"concat(count({body}), '|', {figures(body)})")})"
+    cut = f"xpath_string({wrapped}, {lit(f"concat('1|', {figures('/w')})")})"
+    fits = f"{part(1)} <> '' and {well_formed(spark, wrapped)}"
+    checked = f"transform(array({tagged}), b -> case when {fits} then case when {cut} = {parsed} then b end end)[0]"
+    known = lambda c: " or ".join(f"contains({c}, {lit(ns)})" for ns in (SOAP_NS, SOAP_12_NS))
+    # The parser names the root; a namespace that stands elsewhere makes no envelope.
+    named = f"({known('c')}) and xpath_boolean(c, {lit(f'/{_ENVELOPE}')}) and ({part(1)} = '' or {known(part(1))})"
+    return f"transform(array({content}), c -> case when {named} then {checked} else c end)[0]"
 
 
 def decoded(binary: str, charset: str = "UTF-8") -> str:

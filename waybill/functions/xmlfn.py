@@ -64,22 +64,42 @@ def root_name(content: str) -> str:
     return f"xpath_string({content}, 'name(/*)')"
 
 
-# A sign of the private area, put before numbers that must stay text.
-_KEPT = "\ue000"
+# A sign of the private area. Before ``n`` it says that a text stays a text; a sign of the content is doubled.
+_SIGN = "\ue000"
+# Fixed value: what counts as a number.
+_NUMBER = r"-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?"
+
+
+def _texts_marked(content: str) -> str:
+    """The content with a mark before each scalar that Spark might take for more than a text, and in each empty element."""
+    mark = f"{_SIGN}n"
+    odd = rf"(?!(?:{_NUMBER}|true|false)\s*%s)(?=[+\-.0-9&]|(?i:true|false)\s*%s)"
+    steps = [
+        (_SIGN, _SIGN * 2),
+        (rf">(\s*){odd % ('<', '<')}", f">$1{mark}"),
+        (rf"=(\s*\x22\s*){odd % ('\\x22', '\\x22')}", f"=$1{mark}"),
+        (rf"=(\s*\x27\s*){odd % ('\\x27', '\\x27')}", f"=$1{mark}"),
+    ]
+    for pattern, replacement in steps:
+        content = f"regexp_replace({content}, {lit(pattern)}, {lit(replacement)})"
+    # An empty element could be text inside a CDATA section, which is a text itself.
+    empty = f"regexp_replace(c, {lit(r'<([^\s<>/!?]+)\s*(?:/>|>\s*</\1\s*>)')}, {lit(f'<$1>{mark}</$1>')})"
+    section = f"replace(c, '<![CDATA[', {lit('<![CDATA[' + mark)})"
+    return f"transform(array({content}), c -> case when contains(c, '<![CDATA[') then {section} else {empty} end)[0]"
 
 
 def compact_json(content: str) -> str:
     """Objects by element name: repeats become arrays, attributes keys, scalars typed.
 
-    A number with a leading zero stays text (``007`` is a code), and an empty element is an empty text.
+    A scalar is a number if it is written as JSON writes one without an exponent
+    (``-1``, ``0.50``), a boolean if it is ``true`` or ``false``; blanks around it do not count. All else
+    is text: signs, leading zeros, exponents, other capitals, entities and CDATA sections.
+    An empty element is an empty text.
     """
-    number = r"([+-]?0[0-9][0-9.eE+-]*)"
-    marked = f"regexp_replace({content}, {lit(rf'>(\s*){number}(\s*)<')}, {lit(f'>$1{_KEPT}$2$3<')})"
-    marked = f"regexp_replace({marked}, {lit(rf'=([\x22\x27]){number}([\x22\x27])')}, {lit(f'=$1{_KEPT}$2$3')})"
     options = "map('attributePrefix', '', 'valueTag', 'content')"
     # Code generation does not cover XML to variant; a one-element array keeps it out.
-    body = f"transform(array({marked}), c -> to_json(from_xml(c, 'variant', {options})))[0]"
-    body = f"replace({body}, {lit(_KEPT)}, '')"
+    body = f"transform(array({_texts_marked(content)}), c -> to_json(from_xml(c, 'variant', {options})))[0]"
+    body = f"regexp_replace({body}, {lit(rf'{_SIGN}(?:n|({_SIGN}))')}, {lit('$1')})"
     body = f"regexp_replace({body}, {lit(r'(?<!\\)(\x22:)null(?=[,}])')}, {lit('$1' + chr(34) * 2)})"
     return f"""concat('{{"', {root_name(content)}, '":', coalesce({body}, '""'), '}}')"""
 

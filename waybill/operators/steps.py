@@ -145,7 +145,9 @@ def apply_transform(ctx: StepContext) -> None:
         raise StepError(f"java.io.IOException: XSLT with the name {name} not found")
     ctx.require_xml()
     if shape is None:
-        ctx.set_content(remove_envelope(ctx.content))
+        body = ctx.stash(remove_envelope(ctx.spark, ctx.content))
+        ctx.fail_when(f"{body} is null", lit("javax.xml.transform.TransformerException: the envelope has no form that can be taken off"))
+        ctx.set_content(body)
         return
     ctx.shaped(shape, "doc")
     doc = ctx.stash(f"from_xml({ctx.content}, {lit(shape.input_ddl)})")
