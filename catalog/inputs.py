@@ -21,8 +21,8 @@ def values(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFrame:
     return spark.sql(f"select * from values {body} as t({', '.join(names)})")
 
 
-def route(*targets: dict, validate: str | None = None, sync: str | None = None) -> str:
-    return json.dumps({"validate": validate, "sync": sync, "targets": list(targets)})
+def route(*targets: dict, validate: str | None = None, sync: str | None = None, **more: str) -> str:
+    return json.dumps({"validate": validate, "sync": sync, "targets": list(targets), **more})
 
 
 def target(id: str, *paths: list[str], url: str | list[str] = "u", **more: str) -> dict:

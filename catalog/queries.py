@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.inputs import (
-    AT_START, cents, customer_messages, document_messages, document_xml, escaped, event_messages, order_messages,
+    AT_START, SCHEMAS, cents, customer_messages, document_messages, document_xml, escaped, event_messages, order_messages,
     page_messages, part_messages, route, routes, run, schemas, table, target, values,
 )
 from waybill import Settings, read_route, returned_messages, route_messages, write_routes
@@ -23,7 +23,7 @@ from waybill.operators.restrict import content_matches, fan_out_permitted, with_
 from waybill.operators.steps import reshape
 from waybill.session import shared_dir, spread, written
 from waybill.sources.commits import read_batches
-from waybill.sources.messages import as_messages, messages
+from waybill.sources.messages import messages
 from waybill.sources.registry import parse_routes, pipelines, registry, steps
 from waybill.sources.sinks import reformat
 from waybill.streaming.route import resume_stream, route_stream
@@ -671,9 +671,11 @@ def xml_to_json_types(spark: SparkSession, d: str) -> DataFrame:
     select 'd' || doc_id as msg_id, text as content from documents
 """)
 def charset_decode(spark: SparkSession, d: str) -> DataFrame:
-    """Binary content in a named charset."""
+    """A message table whose content is bytes in a named charset."""
+    folder = scratch(spark, "binary")
     df = table(spark, d, "documents").selectExpr("concat('d', doc_id) as msg_id", "encode(text, 'UTF-16LE') as content", "map('lang', lang) as attrs")
-    return as_messages(df, "UTF-16LE").select("msg_id", "content")
+    df.write.parquet(folder)
+    return messages(spark, folder, charset="UTF-16LE").select("msg_id", "content")
 
 
 @query("""
@@ -688,6 +690,63 @@ def permitted_target_list(spark: SparkSession, d: str) -> DataFrame:
     return fan_out_permitted(with_permitted(df, "to"), "array('F', 'O', 'P')").select("msg_id", "target_id")
 
 
+@query("""
+    select 'o' || o_orderkey as msg_id, case when o_orderkey % 2 = 0 then 'deliver' when o_orderstatus in ('F', 'O') then 'deliver' else 'failed' end as route,
+           t.id as target_id,
+           case t.id when 'F' then '<soapenv:Envelope xmlns:soapenv="http://schemas.xmlsoap.org/soap/envelope/"><soapenv:Body>' || x || '</soapenv:Body></soapenv:Envelope>'
+                     when 'O' then '{"batch":{"order":{"cents":' || cents || ',"id":' || o_orderkey || ',"status":"' || status || '"}}}'
+                     else x end as content,
+           case when t.id is null then 'no permitted targets' end as problem
+    from (select *, case when o_orderkey % 2 = 0 then 'none' else o_orderstatus end as status, cast(round(o_totalprice * 100) as bigint) as cents,
+                 '<order><id>' || o_orderkey || '</id><status>' || status || '</status><cents>' || cents || '</cents></order>' as x from orders)
+    left join (values ('F'), ('O')) t(id) on o_orderkey % 2 = 0 or t.id = o_orderstatus
+""")
+def restricted_targets(spark: SparkSession, d: str) -> DataFrame:
+    """The route names an XPath of permitted targets, targets ask for an envelope and for a root element."""
+    more = "case when o_orderkey % 2 = 0 then 'none' else o_orderstatus end"
+    df = table(spark, d, "orders").selectExpr(
+        "concat('o', o_orderkey) as msg_id",
+        f"concat('<?xml version=\"1.0\"?><order><id>', o_orderkey, '</id><status>', {more}, '</status><cents>', {cents('o_totalprice')}, '</cents></order>') as content",
+        "map('business.process.name', 'all') as attrs")
+    doc = route(target("F", ["Pass"], output="SOAP"), target("O", ["Pass"], output="JSON", rootTag="batch"), validate="order",
+                targetsRestrict="status[. != 'none']")
+    got = run(spark, df, {"all": doc}).routed()
+    return got.selectExpr("msg_id", "route", "target_id", f"regexp_replace(content, {lit('^<.xml[^>]*>')}, '') as content", attr("error.msg", "problem"))
+
+
+@query("""
+    select 'p' || p_partkey as msg_id, case when p_partkey % 7 = 0 then 'failed' else 'deliver' end as route,
+           case when p_partkey % 7 <> 0 then 'two' end as label, case when p_partkey % 7 <> 0 then '<y><a>' || p_partkey || '</a></y>' end as content
+    from part
+""")
+def duplicate_registry_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Of rows that repeat a key in routes, schemas and reshapes the greatest counts, in whatever order they come."""
+    step = "ApplyXslt://?Name=Shape"
+    docs = [("parts", route(target("t", ["UpdateAttribute://?label=" + x, step], url=x), validate="part")) for x in ("two", "one")]
+    both = [(name, xsd) for name, xsd in SCHEMAS.items()] + [("part", "<a not a schema")]
+    shapes = [("Shape", "key bigint", "named_struct('a', doc.key)", "y"), ("Shape", "key bigint", "doc.key", "z")]
+    got = route_messages(
+        part_messages(spark, d), values(spark, "process doc", docs), values(spark, "name xsd", both + both[:2]),
+        values(spark, "name input_ddl expr root_tag", shapes)).routed()
+    return got.selectExpr("msg_id", "route", attr("label"), "case when route = 'deliver' then content end as content")
+
+
+@query("""
+    select 'c' || c_custkey as msg_id, c_name as one, cast(c_custkey % 3 as varchar) as hits from customer
+""")
+def xpath_backslash(spark: SparkSession, d: str) -> DataFrame:
+    """A doubled backslash in a path stands for one."""
+    slash = lit(chr(92))
+    df = table(spark, d, "customer").selectExpr(
+        "concat('c', c_custkey) as msg_id",
+        f"concat('<r><a>x', {slash}, 'y</a><b>', c_name, '</b>', repeat(concat('<c>', {slash}, '</c><c>/</c>'), cast(c_custkey % 3 as int)), '</r>') as content",
+        f"{AT_START.format('slashes', '')} as attrs")
+    double = chr(92) * 2
+    step = f"EvaluateXQuery://?Destination=flowfile-attribute&one=b[../a = 'x{double}y']&hits=count(c[. = '{double}'])"
+    got = run(spark, df, {"slashes": route(target("t", [step]))}).routed()
+    return got.selectExpr("msg_id", attr("one"), attr("hits"))
+
+
 @query("""
     select 'd' || doc_id as msg_id, regexp_matches(text, '[0-9]{3}') as part, text = 'never' as whole from documents
 """)

@@ -11,8 +11,8 @@ XSD_ANY = (
 )
 
 
-def route(*targets, validate="any", sync=None):
-    return json.dumps({"validate": validate, "sync": sync, "targets": list(targets)})
+def route(*targets, validate="any", sync=None, **more):
+    return json.dumps({"validate": validate, "sync": sync, "targets": list(targets), **more})
 
 
 def target(*paths, id="t", url="u", **more):

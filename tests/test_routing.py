@@ -58,6 +58,17 @@ CASES = {
     "resume_json": (TWO, "no xml", {**AT, "target.id": "r"}),
     "resume_part": (TWO, "<a><b>1</b></a>", {"xform.stage": "0", "target.id": "t"}),
     "xpath_back": (one_path("Pass", "EvaluateXQuery://?Destination=flowfile-attribute&q=b"), "<p:a><b>7</b></p:a>", AT),
+    "restricted": (route(target(["Pass"], id="x", syncValidation="true"), target(["Pass"], ["Pass"], id="y"), target(["Pass"], id="z"), targetsRestrict="to"),
+                   "<a><to>y</to><to>z</to><to>q</to></a>"),
+    "restricted_all": (route(target(["Pass"], id="x"), target(["Pass"], id="y"), targetsRestrict="to"), "<a/>"),
+    "restricted_none": (route(target(["Pass"], id="x"), targetsRestrict="to"), "<a><to>q</to></a>"),
+    "restricted_bad": (route(target(["Pass"], id="x"), targetsRestrict="to["), "<a/>"),
+    "restricted_back": (route(target(["Pass", "Pass"], id="t"), targetsRestrict="to"), "<a><to>q</to></a>", AT),
+    "soap": (one_path("Pass", output="SOAP"), "<?xml version='1.0'?><a/>"),
+    "root": (one_path("Pass", rootTag="all"), "<?xml version='1.0'?><a/>"),
+    "root_json": (one_path("Pass", rootTag="all", output="JSON"), "<a><b>1</b></a>"),
+    "root_bad": (one_path("Pass", rootTag="1 x"), "<a/>"),
+    "root_parked": (one_path(PARK, rootTag="all", output="SOAP"), "<a/>"),
     "xpath_back_bad": (one_path("Pass", "EvaluateXQuery://?Destination=flowfile-attribute&q=b"), "<a><b>7</b>", AT),
 }
 
@@ -143,6 +154,24 @@ def test_resume(routed):
     assert routed.one("xpath_back_bad")["route"] == "failed"
 
 
+def test_restricted_targets(routed):
+    assert routed.of("restricted") == [("1/0/0/0", "deliver"), ("1/1/0/0", "deliver"), ("2/0/0/0", "deliver")]
+    assert len(routed.of("restricted_all")) == 2
+    assert routed.of("restricted_none", "error.msg") == [("-/-/0", "failed", "no permitted targets")]
+    ((_, kind, why),) = routed.of("restricted_bad", "error.msg")
+    assert kind == "failed" and "to[" in why
+    assert routed.of("restricted_back") == [("0/0/0/0", "deliver")]
+
+
+def test_output_forms(routed):
+    framed = '<soapenv:Envelope xmlns:soapenv="http://schemas.xmlsoap.org/soap/envelope/"><soapenv:Body><a/></soapenv:Body></soapenv:Envelope>'
+    assert routed.one("soap")["content"] == framed
+    assert routed.one("root")["content"] == "<all><a/></all>"
+    assert routed.one("root_json")["content"] == '{"all":{"a":{"b":1}}}'
+    assert routed.of("root_bad", "error.msg") == [("0/0/0", "failed", "Incorrect root tag 1 x")]
+    assert routed.one("root_parked")["content"] == "<a/>"
+
+
 def test_every_message_is_accounted_for(routed):
     assert {r["msg_id"] for r in routed.rows} == set(CASES)
 

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from waybill.functions.xmlfn import schema_file, schema_problem
 from waybill.operators.steps import STEPS, hand_off
-from waybill.plans.datasteps import Outline, is_plain, outline, step_texts
 from waybill.plans.context import Reshape, Settings, Slots, Step, StepContext, StepError
+from waybill.plans.datasteps import Outline, is_plain, outline, step_texts
+from waybill.session import one_per_key
 from waybill.sources.registry import NO_VALUE, split_step
 
 # Attributes the wave itself sets on every path.
@@ -25,6 +26,7 @@ class Registry:
     steps: dict[str, Step] = field(default_factory=dict)
     stages: dict[int, list[int]] = field(default_factory=lambda: defaultdict(list))
     schemas: dict[str, str] = field(default_factory=dict)
+    restricts: list[str] = field(default_factory=list)
     bytes: int = 0
     outline: Outline | None = None
 
@@ -47,13 +49,13 @@ def read_registry(parsed: DataFrame, schemas: DataFrame, most: int | None, data:
     validates = []
     for row in sorted(rows, key=lambda r: (r["text"], r["stage"])):
         if row["stage"] < 0:
-            validates.append(row["text"])
+            (validates if row["stage"] == -1 else found.restricts).append(row["text"])
             continue
         entries = [(e["key"], e["value"]) for e in row["entries"]]
         step = found.steps.setdefault(row["text"], Step(len(found.steps), row["text"], row["name"], entries))
         found.stages[row["stage"]].append(step.sid)
     usable = schemas.where(F.col("name").isin(validates) & (F.col("xsd") != ""))
-    found.schemas = {r["name"]: r["xsd"] for r in usable.select("name", "xsd").collect()}
+    found.schemas = {r["name"]: r["xsd"] for r in one_per_key(usable.select("name", "xsd"), "name").collect()}
     weight = "cast(octet_length(to_json(targets)) + octet_length(coalesce(process, '')) + 256 as long)"
     found.bytes = int(parsed.selectExpr(f"sum({weight})").first()[0] or 0)
     return found
@@ -89,10 +91,10 @@ def plan_registries(parsed: DataFrame, schemas: DataFrame, limit: int, data: boo
 
 
 def _wanted(parsed: DataFrame, data: bool) -> DataFrame:
-    """Distinct (stage, step text) pairs, and the schema names as stage -1; with ``data``, of the compiled steps alone."""
+    """Distinct (stage, step text) pairs, schema names as stage -1, restrictions as -2; with ``data``, of the compiled steps alone."""
     texts = step_texts(parsed).where(f"not {is_plain()}") if data else step_texts(parsed)
     texts = texts.select("stage", "text")
-    names = parsed.selectExpr("-1 as stage", "validate as text").where("text is not null")
+    names = parsed.selectExpr("inline(array(struct(-1 as stage, validate as text), struct(-2 as stage, restrict as text)))").where("text is not null")
     return texts.unionByName(names).distinct()
 
 
@@ -101,7 +103,7 @@ def named_reshapes(found: Registry, reshapes: DataFrame | None) -> dict[str, Res
     wanted = [value for s in found.steps.values() if s.name == "ApplyXslt" for key, value in s.entries if key == "Name"]
     if reshapes is None or not wanted:
         return {}
-    rows = reshapes.where(F.col("name").isin(wanted)).collect()
+    rows = one_per_key(reshapes.where(F.col("name").isin(wanted)).select("name", "input_ddl", "expr", "root_tag"), "name").collect()
     return {r["name"]: Reshape(r["input_ddl"], r["expr"], r["root_tag"]) for r in rows}
 
 

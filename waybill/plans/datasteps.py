@@ -115,10 +115,10 @@ def with_operations(df: DataFrame, ids: dict[str, int]) -> DataFrame:
     name, entries = split_step("s")
     fields = f"transform(transform(p.steps, s -> coalesce(s, '')), s -> named_struct('text', s, 'name', {name}, 'entries', {entries}))"
     kept = ", ".join(
-        f"'{f}', p.{f}" for f in ("kind", "tpos", "target_id", "path", "urls", "output", "response", "input", "sync")
+        f"'{f}', p.{f}" for f in ("kind", "tpos", "target_id", "path", "urls", "output", "response", "input", "sync", "root")
     )
     done = f"named_struct({kept}, 'ops', transform({fields}, y -> {_operation('y.', f'{table}[y.text]')}))"
-    return df.selectExpr("process", "validate", "sync", "bad", f"transform(pipelines, p -> {done}) as pipelines")
+    return df.selectExpr("process", "validate", "sync", "restrict", "bad", f"transform(pipelines, p -> {done}) as pipelines")
 
 
 @dataclass

@@ -14,10 +14,13 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from waybill.functions.render import case, concat, lit, lits
+from waybill.functions.text import soap_envelope
 from waybill.functions.xmlfn import compact_json, ordered_json, valid_xml, well_formed
+from waybill.functions.xpath import strip_declaration
 from waybill.operators.audit import AUDIT_KEYS, EVENT, ROW_LINEAGE, audit_rows
 from waybill.operators.lineage import lineage_rows
 from waybill.operators.lookup import not_found
+from waybill.operators.restrict import restricted
 from waybill.operators.steps import not_a_number, whole_number
 from waybill.plans.compile import Registry, compile_steps, named_reshapes, plan_registries, schema_paths
 from waybill.plans.context import Settings, Slots, StepContext
@@ -122,6 +125,7 @@ def _wave(work: DataFrame, parsed: DataFrame, found: Registry, reshapes: DataFra
     size = measured_bytes(side) if found.outline else found.bytes
     df = lookup_join(work, side, "process", size=size, limit=settings.max_registry_bytes, salt_by=F.col("msg_id"))
     df = _admit(df, *schema_paths(spark, found))
+    df = restricted(df, found.restricts)
     df = _enter(df, slots)
     for stage in range(found.outline.stages) if found.outline else sorted(found.stages):
         here = {sid: contexts[sid] for sid in sorted(found.stages.get(stage, ()))}
@@ -137,10 +141,10 @@ def _with_sids(df: DataFrame, ids: dict[str, int]) -> DataFrame:
     """Pipelines with step numbers in place of step texts."""
     table = f"map_from_arrays(cast(array({lits(ids)}) as array<string>), cast(array({lits(ids.values())}) as array<int>))"
     kept = ", ".join(
-        f"'{name}', p.{name}" for name in ("kind", "tpos", "target_id", "path", "urls", "output", "response", "input", "sync")
+        f"'{name}', p.{name}" for name in ("kind", "tpos", "target_id", "path", "urls", "output", "response", "input", "sync", "root")
     )
     numbered = f"named_struct({kept}, 'sids', transform(p.steps, s -> {table}[coalesce(s, '')]))"
-    return df.selectExpr("process", "validate", "sync", "bad", f"transform(pipelines, p -> {numbered}) as pipelines")
+    return df.selectExpr("process", "validate", "sync", "restrict", "bad", f"transform(pipelines, p -> {numbered}) as pipelines")
 
 
 def _changed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -325,9 +329,16 @@ _SENT = "alive and error is null and size(p.urls) > 0"
 
 
 def _converted(wave: Wave, settings: Settings) -> DataFrame:
-    """JSON where a target asks for it; a row that has none fails."""
+    """What a target asks for at the end of a path: a root element, JSON, a SOAP envelope. A row that cannot have it fails."""
     as_json = f"coalesce({wave.slots.column('target.output')} = 'JSON', false)"
-    df = _changed(wave.df, {"to_json": f"alive and error is null and parked is null and {as_json}"})
+    ended = "alive and error is null and parked is null"
+    bare = strip_declaration("content")
+    named = f"p.root rlike {lit(r'^[A-Za-z_][\w.-]*$')}"
+    df = _changed(wave.df, {
+        "content": f"case when {ended} and p.root is not null then concat('<', p.root, '>', {bare}, '</', p.root, '>') else content end",
+        "error": f"case when {ended} and not ({named}) then concat('Incorrect root tag ', p.root) else error end",
+    })
+    df = _changed(df, {"to_json": f"{ended} and {as_json}"})
     check = f"case when to_json and wf is null then {well_formed(df.sparkSession, 'content')} end"
     df = _changed(df, {"wf": f"coalesce(wf, {check})"})
     if settings.ordered_json:
@@ -335,7 +346,7 @@ def _converted(wave: Wave, settings: Settings) -> DataFrame:
     else:
         df = _changed(df, {"json": f"case when to_json and wf then {compact_json('content')} end"})
     return _changed(df, {
-        "content": "case when to_json and json is not null then json else content end",
+        "content": f"case when to_json and json is not null then json when {ended} and p.output = 'SOAP' then {soap_envelope(bare)} else content end",
         "error": "coalesce(error, case when to_json and json is null then 'java.lang.Exception: Failed xml convertation!' end)",
     })
 

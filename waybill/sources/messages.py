@@ -15,6 +15,8 @@ MESSAGE_SCHEMA = T.StructType(
     ]
 )
 
+BINARY_SCHEMA = T.StructType([f if f.name != "content" else T.StructField("content", T.BinaryType()) for f in MESSAGE_SCHEMA.fields])
+
 
 def messages(
     spark: SparkSession,
@@ -22,14 +24,17 @@ def messages(
     streaming: bool = False,
     fmt: str = "parquet",
     max_files_per_trigger: int | None = None,
+    charset: str | None = None,
 ) -> DataFrame:
-    """Read a message table, once or as a stream of new files."""
-    if not streaming:
-        return as_messages(spark.read.format(fmt).schema(MESSAGE_SCHEMA).load(path))
-    reader = spark.readStream.format(fmt).schema(MESSAGE_SCHEMA)
-    if max_files_per_trigger:
+    """Read a message table, once or as a stream of new files.
+
+    With ``charset`` the stored content is bytes in that charset.
+    """
+    schema = BINARY_SCHEMA if charset else MESSAGE_SCHEMA
+    reader = (spark.readStream if streaming else spark.read).format(fmt).schema(schema)
+    if streaming and max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return as_messages(reader.load(path))
+    return as_messages(reader.load(path), charset or "UTF-8")
 
 
 def kafka_messages(spark: SparkSession, options: dict[str, str], streaming: bool = True) -> DataFrame:

@@ -17,9 +17,9 @@ REGISTRY_SCHEMAS = {
 
 TARGETS_DDL = """array<struct<
     id string, transformations array<array<string>>, xforms array<array<string>>,
-    targetPath string, output string, syncValidation string,
+    targetPath string, output string, syncValidation string, rootTag string,
     response string, input string, sync string>>"""
-ROUTE_DDL = f"validate string, sync string, bad string, targets {TARGETS_DDL}"
+ROUTE_DDL = f"validate string, sync string, targetsRestrict string, bad string, targets {TARGETS_DDL}"
 
 # Fixed value: a parameter without a value fails the step with this text.
 NO_VALUE = "java.lang.ArrayIndexOutOfBoundsException: Index 1 out of bounds for length 1"
@@ -42,10 +42,10 @@ def parse_routes(routes: DataFrame) -> DataFrame:
     target = (
         "named_struct('id', t.id, 'paths', coalesce(t.transformations, t.xforms, cast(array() as array<array<string>>)),"
         f" 'urls', {destinations('t.targetPath')}, 'output', t.output, 'reply', coalesce(t.syncValidation = 'true', false),"
-        " 'response', t.response, 'input', t.input, 'sync', t.sync)"
+        " 'response', t.response, 'input', t.input, 'sync', t.sync, 'root', nullif(t.rootTag, ''))"
     )
     return parsed.selectExpr(
-        "process", "d.validate as validate", "coalesce(lower(d.sync) = 'true', false) as sync",
+        "process", "d.validate as validate", "coalesce(lower(d.sync) = 'true', false) as sync", "nullif(d.targetsRestrict, '') as restrict",
         "d is null or d.bad is not null as bad",
         f"transform(coalesce(d.targets, {no_targets}), t -> {target}) as targets",
     )
@@ -67,7 +67,7 @@ def pipelines(parsed: DataFrame) -> DataFrame:
     def entry(kind: str, path: str, steps: str) -> str:
         return (
             f"named_struct('kind', '{kind}', 'tpos', tpos, 'target_id', t.id, 'path', {path}, 'steps', {steps},"
-            " 'urls', t.urls, 'output', t.output, 'response', t.response, 'input', t.input, 'sync', t.sync)"
+            " 'urls', t.urls, 'output', t.output, 'response', t.response, 'input', t.input, 'sync', t.sync, 'root', t.root)"
         )
 
     none, no_path = "cast(array() as array<string>)", "cast(null as int)"
@@ -77,7 +77,7 @@ def pipelines(parsed: DataFrame) -> DataFrame:
         f"concat(filter(array({reply}), r -> t.reply), filter(array({empty}), e -> size(t.paths) = 0), {paths})"
     )
     return parsed.selectExpr(
-        "process", "validate", "sync", "bad", f"flatten(transform(targets, (t, tpos) -> {of_target})) as pipelines"
+        "process", "validate", "sync", "restrict", "bad", f"flatten(transform(targets, (t, tpos) -> {of_target})) as pipelines"
     )
 
 
