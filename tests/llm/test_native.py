@@ -1,10 +1,17 @@
 """Quality rules, URL aliases, personal data: edge rows and brute force."""
 
 import hashlib
+import itertools
 import re
+import time
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from waybill.llm.common import scan
 from waybill.llm.components import components
-from waybill.llm.private import BASE_KINDS, candidates, private_removed, private_report
+from waybill.llm.private import BASE_KINDS, SPAN, candidates, private_removed, private_report, redacted
 from waybill.llm.quality import RULES, judged, quality_kept, quality_report, rule_order
 from waybill.llm.urls import alias_links, judged_urls
 
@@ -182,3 +189,35 @@ def test_private_removed(spark):
     left = out.select(candidates(out.text).alias("s")).collect()
     assert all(not any(x.base for x in r.s) for r in left)
     assert private_removed(df.limit(0)).count() == 0
+
+
+def test_spans_of_one_long_text_take_time_in_proportion(spark):
+    """Thousands of addresses in one text; every one is found and removed, and what stands between stays."""
+    took = []
+    for n in (4_000, 32_000):
+        text = " ".join(f"wörd\ufeff{i} a{i}@mail{i % 7}.org \U0001f600" for i in range(n))
+        df = spark.createDataFrame([(1, text), (2, "nothing"), (3, None)], "doc_id long, text string")
+        began = time.time()
+        rows = {r.doc_id: r.text for r in private_removed(df).collect()}
+        took.append(time.time() - began)
+        assert rows[1] == " ".join(f"wörd\ufeff{i} [EMAIL] \U0001f600" for i in range(n)) and rows[2] == "nothing" and rows[3] is None
+    assert took[1] < 60
+
+
+def test_redaction_joins_overlapping_spans(spark):
+    text = "\ufeffab\U0001f600cdefgh"
+    span = lambda a, b: (a, 0, b, True, "", [])
+    for spans, want in (
+        ([], text), ([span(0, 2)], "[EMAIL]b\U0001f600cdefgh"), ([span(1, 4), span(2, 3), span(3, 6), span(7, 8)], "\ufeff[EMAIL]e[EMAIL]gh"),
+        ([span(0, 10)], "[EMAIL]"), ([span(4, 4)], "\ufeffab\U0001f600[EMAIL]cdefgh"),
+    ):
+        df = spark.createDataFrame([(text, spans)], f"t string, s array<{SPAN}>")
+        assert df.select(redacted(F.col("t"), F.col("s"))).first()[0] == want
+
+
+@given(st.lists(st.integers(-50, 50), max_size=300))
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_scan_gives_every_state(spark, values):
+    df = spark.createDataFrame([(values,)], "v array<int>")
+    got = df.select(scan(F.col("v"), F.lit(3), "int", lambda a, x: a + x, block=7)).first()[0]
+    assert got == list(itertools.accumulate(values, initial=3))[1:]

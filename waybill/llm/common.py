@@ -52,6 +52,29 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body).getItem(0)
 
 
+def scan(values: Column, zero: Column, kind: str, step, block: int = 64) -> Column:
+    """The state after each element of an array: ``step(state before, element)``, of type ``kind``.
+
+    States are gathered block by block, so an array of n elements costs about
+    n * block + (n / block) ** 2 copies, not n ** 2.
+    """
+    none, nested = F.array().cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>")
+    state = lambda last, out: F.struct(last.cast(kind).alias("last"), out.alias("out"))
+
+    def inside(acc: Column, x: Column) -> Column:
+        return let(step(acc["last"], x).cast(kind), lambda s: state(s, F.concat(acc["out"], F.array(s))))
+
+    def outside(acc: Column, part: Column) -> Column:
+        done = F.aggregate(part, state(acc["last"], none), inside)
+        return let(done, lambda d: state(d["last"], F.concat(acc["out"], F.array(d["out"]))))
+
+    def whole(v: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / block).cast("int")), lambda b: F.slice(v, b * block + 1, F.lit(block)))
+        return F.when(F.size(v) > 0, F.flatten(F.aggregate(parts, state(zero, nested), outside, lambda acc: acc["out"]))).otherwise(none)
+
+    return let(values, whole)
+
+
 def words(text: Column) -> Column:
     """The words of a text; none of a null."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANK_RUN), "")

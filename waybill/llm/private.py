@@ -9,7 +9,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import let, written
+from waybill.llm.common import let, scan, written
 
 # The kinds in the order that spans of one start are listed in.
 KINDS = ["email", "ip", "card", "phone", "ssn", "iban"]
@@ -55,17 +55,14 @@ def found(text: Column, pattern: str) -> Column:
     kind = "array<struct<start:int,end:int,match:string,left:string,right:string>>"
 
     def placed(hits: Column, gaps: Column) -> Column:
-        pairs = F.transform(hits, lambda m, i: F.struct(m.alias("m"), F.get(gaps, i).alias("l"), F.get(gaps, i + 1).alias("r")))
-        start = F.struct(F.lit(0).alias("at"), F.lit(None).cast(kind).alias("out"))
-
-        def step(acc: Column, x: Column) -> Column:
-            at = acc["at"] + F.length(x["l"])
-            end = at + F.length(x["m"])
-            one = F.array(F.struct(at.alias("start"), end.alias("end"), x["m"].alias("match"),
-                                   F.right(x["l"], F.lit(24)).alias("left"), F.left(x["r"], F.lit(1)).alias("right")))
-            return F.struct(end.alias("at"), F.concat(F.coalesce(acc["out"], F.array().cast(kind)), one).cast(kind).alias("out"))
-
-        return F.coalesce(F.aggregate(pairs, start, step, lambda acc: acc["out"]), F.array().cast(kind))
+        sizes = F.transform(hits, lambda m, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), F.length(m).alias("n")))
+        place = lambda last, x: F.struct(
+            (last["end"] + x["gap"]).alias("start"), (last["end"] + x["gap"] + x["n"]).alias("end"))
+        zero = F.struct(F.lit(0).alias("start"), F.lit(0).alias("end"))
+        places = scan(sizes, zero, "struct<start:int,end:int>", place)
+        return let(places, lambda at: F.transform(hits, lambda m, i: F.struct(
+            F.get(at, i)["start"].alias("start"), F.get(at, i)["end"].alias("end"), m.alias("match"),
+            F.right(F.get(gaps, i), F.lit(24)).alias("left"), F.left(F.get(gaps, i + 1), F.lit(1)).alias("right"))).cast(kind))
 
     return F.when(F.rlike(text, F.lit(pattern)), let(hits, lambda h: let(gaps, lambda g: placed(h, g)))).otherwise(
         F.array().cast(kind))
@@ -123,13 +120,25 @@ def candidates(text: Column) -> Column:
             m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), m["end"].alias("end"), F.lit(strict).alias("base"),
             _votes(kind, m, strict).alias("votes"), _traits(kind, m, strict).alias("traits")).cast(SPAN))
 
-    base = F.concat(*[spans(k, p, True) for k, p in BASE_PATTERNS.items()])
-    loose = F.concat(*[spans(k, p, False) for k, p in LOOSE_PATTERNS])
-    free = lambda b: F.filter(loose, lambda x: ~F.exists(b, lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"])))
-    some = let(base, lambda b: F.sort_array(F.concat(b, free(b))))
+    base = [spans(k, p, True) for k, p in BASE_PATTERNS.items()]
+    loose = [spans(k, p, False) for k, p in LOOSE_PATTERNS]
+    some = _apart(F.sort_array(F.concat(*base, *loose)))
     return F.when(F.rlike(text, F.lit(r"[0-9@]|[\[(](?i:at)[\])]")), some).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
+def _apart(spans: Column) -> Column:
+    """Sorted spans without the looser ones that touch a base one: by the furthest base end before, and the next base start."""
+    far = 2 ** 31 - 1
+
+    def kept(all_: Column) -> Column:
+        ends = scan(all_, F.lit(0), "int", lambda m, x: F.when(x["base"], F.greatest(m, x["end"])).otherwise(m))
+        starts = F.reverse(scan(F.reverse(all_), F.lit(far), "int", lambda m, x: F.when(x["base"], x["start"]).otherwise(m)))
+        return let(ends, lambda e: let(starts, lambda s: F.filter(all_, lambda x, i: x["base"] | (
+            (x["start"] >= F.coalesce(F.get(e, i - 1), F.lit(0))) & (x["end"] <= F.coalesce(F.get(s, i + 1), F.lit(far)))))))
+
+    return let(spans, kept)
+
+
 class Model(NamedTuple):
     """``reliability``: by labeler, the chances of + and of - on personal data, then on other text.
 
@@ -200,17 +209,27 @@ def accepted(spans: Column, model: Model) -> Column:
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with each span, overlapping ones as one, replaced by its kind in brackets."""
+    """The text with each span, overlapping ones as one, replaced by its kind in brackets.
+
+    Pieces are cut from four bytes per code point, where a place is found at once.
+    """
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    text = F.coalesce(text, F.lit(""))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        new = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.get(names, s["kind"]))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
-                        F.when(s["start"] >= acc["at"], new).otherwise(acc["out"]).alias("out"))
+    def built(raw: Column, spans: Column, ends: Column) -> Column:
+        def piece(start: Column, size: Column) -> Column:
+            # A letter in front keeps a mark of byte order from being taken for one.
+            held = F.concat(F.unhex(F.lit("00000041")), F.substring(raw, start * 4 + 1, size * 4))
+            return F.substring(F.decode(held, "UTF-32"), 2, 2 ** 31 - 1)
+
+        def part(s: Column, i: Column) -> Column:
+            at = F.coalesce(F.get(ends, i - 1), F.lit(0))
+            return F.when(s["start"] >= at, F.concat(piece(at, s["start"] - at), F.get(names, s["kind"]))).otherwise("")
+
+        last = F.coalesce(F.get(ends, F.size(ends) - 1), F.lit(0))
+        return F.concat(F.array_join(F.transform(spans, part), ""), piece(last, F.lit(2 ** 28)))
 
-    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    return let(F.encode(F.coalesce(text, F.lit("")), "UTF-32"), lambda raw: let(spans, lambda s: let(
+        scan(s, F.lit(0), "int", lambda at, x: F.greatest(at, x["end"])), lambda e: built(raw, s, e))))
 
 
 def private_spans(docs: DataFrame) -> DataFrame:
