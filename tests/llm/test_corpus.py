@@ -67,6 +67,44 @@ def test_shards(spark):
     assert few == 4
 
 
+def tree(rows, k, widths):
+    """The k-d tree, one row after another: rows are (size, coordinates)."""
+    if k == 1:
+        return [sorted(r[1] for r in rows)]
+    span = [max(r[1][d] for r in rows) - min(r[1][d] for r in rows) for d in range(len(widths))]
+    d = max(range(len(widths)), key=lambda i: span[i] / (widths[i] or 1.0))
+    wanted, below, ordered = sum(r[0] for r in rows) * (k // 2) / k, 0, sorted(rows, key=lambda r: r[1][d])
+    for i, (size, _) in enumerate(ordered):
+        if below + size >= wanted:
+            at = i + (below + size / 2 <= wanted)
+            return tree(ordered[:at], k // 2, widths) + tree(ordered[at:], k - k // 2, widths)
+        below += size
+
+
+def test_shards_are_the_tree_of_weighted_medians(spark):
+    r = random.Random(9)
+    urls = [f"https://example.net/{i:05d}" for i in range(300)]  # alike in far more than six bytes
+    rows = [(i, "x" * r.randint(0, 400), u, v) for i, (u, v) in enumerate(zip(r.sample(urls, 300), r.sample(range(10**6), 300)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, url string, v long").repartition(5)
+    got = {}
+    for x in kd_shards(df, ["url", "v"], shards=7).collect():
+        got.setdefault(x.shard, []).append(x.doc_id)
+    point = {(float(urls.index(u)), float(v)): i for i, _, u, v in rows}
+    sized = [(len(t) + 1, (float(urls.index(u)), float(v))) for _, t, u, v in rows]
+    widths = [max(s[1][d] for s in sized) - min(s[1][d] for s in sized) for d in (0, 1)]
+    want = [sorted(point[c] for c in leaf) for leaf in tree(sized, 7, widths)]
+    assert [sorted(got[i]) for i in range(7)] == want
+
+
+def test_shards_end_on_infinite_numbers(spark):
+    rows = [(i, "x" * 9, [float("inf"), float("-inf"), float("nan"), None, 1.5e308, float(i)][min(i, 5)], None) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, v double, none string")
+    got = kd_shards(df, ["v", "none"], shards=4).collect()
+    assert sorted(x.doc_id for x in got) == list(range(40)) and {x.shard for x in got} == {0, 1, 2, 3}
+    place = {x.doc_id: x.shard for x in got}
+    assert place[1] == place[2] == 0 and place[0] == place[4] == 3
+
+
 @given(st.dictionaries(st.integers(1, 40), st.integers(1, 4), max_size=7), st.integers(0, 60))
 @settings(max_examples=150, deadline=None)
 def test_best_fill_is_closest(counts, room):

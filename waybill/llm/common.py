@@ -39,6 +39,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Keys that are broadcast at most, where they have been counted.
+SMALL_ROWS = 500_000
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a table of keys that was counted and is small; a larger one is joined by a shuffle."""
+    return F.broadcast(df) if rows <= SMALL_ROWS else df
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that the table doesn't use."""
     taken = {c.lower() for c in df.columns}

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.common import BLANKS, free_name, written
+from waybill.llm.common import BLANKS, few, free_name, written
 from waybill.llm.components import components
 from waybill.llm.hashing import mixed, word_marks
 
@@ -36,7 +36,6 @@ class Near(NamedTuple):
 
 #: Five-word shingles at 80 %, for stages without a contract.
 USUAL = Near(width=5, percent=80, rows=5, bands=32)
-SMALL_ROWS = 500_000
 SKETCH = "doc_id long, text_mark long, n_shingles long, node binary, bands array<long>, minima binary"
 
 
@@ -113,16 +112,11 @@ def _verified(near: Near):
     return run
 
 
-def _few(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a table of keys that was counted and is small; a larger one is joined by a shuffle."""
-    return F.broadcast(df) if rows <= SMALL_ROWS else df
-
-
 def _links(pairs: DataFrame, held: DataFrame, near: Near) -> DataFrame:
     """The pairs ``(a, b)`` of nodes that are linked: minima first, then whole sets."""
     pairs = written(pairs.distinct(), "pairs")
     nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    used = held.join(_few(nodes, 2 * pairs.count()), "node", "left_semi")
+    used = held.join(few(nodes, 2 * pairs.count()), "node", "left_semi")
     side = lambda cols, x: used.select(*[F.col(c).alias(n) for c, n in zip(cols, x, strict=True)])
     likely = written(
         pairs.join(side(["node", "n_shingles", "minima"], ["a", "xn", "xm"]), "a")
@@ -177,7 +171,7 @@ def _rows(docs: DataFrame, near: Near) -> DataFrame:
     wanted = written(found.join(nodes, "node").groupBy("node").agg(
         F.min("text_mark").alias("text_mark"), F.first("n_shingles").alias("n_shingles"), F.first("minima").alias("minima")), "wanted")
     texts = docs.where("text is not null").select(F.xxhash64("text").alias("text_mark"), "text").join(
-        _few(wanted.select("text_mark"), wanted.count()), "text_mark", "left_semi")
+        few(wanted.select("text_mark"), wanted.count()), "text_mark", "left_semi")
     held = written(wanted.join(texts.groupBy("text_mark").agg(F.first("text").alias("text")), "text_mark"), "held")
 
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"))

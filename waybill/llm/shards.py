@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.common import numbered, written
+from waybill.llm.common import few, numbered, written
 
 BINS = 256
 
@@ -26,13 +26,33 @@ class Search(NamedTuple):
     left: bool = True  # whether rows on the mark go left
 
 
-def coordinate(df: DataFrame, name: str) -> Column:
-    """A column as an ordered number: numbers as they are, other types by the first six bytes of their text; null is -1."""
-    kind = dict(df.dtypes)[name]
-    if kind in ("tinyint", "smallint", "int", "bigint", "float", "double"):
-        return F.coalesce(F.nanvl(F.col(f"`{name}`").cast("double"), F.lit(-1.0)), F.lit(-1.0))
-    code = F.rpad(F.hex(F.substring(F.encode(F.col(f"`{name}`").cast("string"), "utf-8"), 1, 6)), 12, "0")
-    return F.coalesce(F.conv(code, 16, 10).cast("double"), F.lit(-1.0))
+#: Numbers beyond count as this, infinite ones too, so that differences stay finite.
+FAR = 1e300
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def number(value: Column) -> Column:
+    """A number as a coordinate; null and what is no number are -1."""
+    plain = F.coalesce(F.nanvl(value.cast("double"), F.lit(-1.0)), F.lit(-1.0))
+    return F.greatest(F.lit(-FAR), F.least(F.lit(FAR), plain))
+
+
+def text_ranks(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Distinct values of a column, as text, with their rank in byte order, and how many there are.
+
+    Values are sorted range by range and each range numbered behind those before
+    it; the driver gets a count per range.
+    """
+    values = df.select(F.col(name).cast("string").alias(name)).where(F.col(name).isNotNull()).distinct()
+    parts = written(values.repartitionByRange(name).withColumn("part", F.spark_partition_id()), "values")
+    starts, total = [], 0
+    for r in sorted(parts.groupBy("part").count().collect()):
+        starts.append((r["part"], total))
+        total += r["count"]
+    before = df.sparkSession.createDataFrame(starts, "part int, start long")
+    inside = F.row_number().over(Window.partitionBy("part").orderBy(name))
+    ranked = parts.withColumn("inside", inside).join(F.broadcast(before), "part")
+    return ranked.select(name, (F.col("start") + F.col("inside") - 1).cast("double").alias("rank")), total
 
 
 def kd_shards(
@@ -46,18 +66,27 @@ def kd_shards(
     sizes are summed in bins, the bin of the median is binned anew, until one
     value is left. Rows that share this value, such as a hot source, are split by
     a hash of id and text in the same way; only rows equal in both stay
-    together. The driver keeps a few numbers per shard. Only ids,
+    together. Texts count by the rank of their distinct values, so no two are
+    taken for one; infinite numbers count as very large ones, null and NaN as -1.
+    The driver keeps a few numbers per shard. Only ids,
     dimensions and sizes are shuffled, never texts. ``slot`` numbers a shard's
     rows from 0. Null ids are allowed; an empty table gives no rows.
     """
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     mark = (F.pmod(F.xxhash64("doc_id", F.col(f"`{text}`")), F.lit(1 << 52)) / F.lit(float(1 << 52))).alias("m")
+    kinds = dict(docs.dtypes)
+    texts = [f"x{i}" for i, d in enumerate(dims) if kinds[d] not in _NUMBERS]
     rows = written(
         docs.select(
             "doc_id", (F.octet_length(body) + 1).cast("long").alias("size"),
             F.crc32(body.cast("binary")).alias("text_crc32"), mark, F.lit(0).alias("node"),
-            *[coordinate(docs, d).alias(f"x{i}") for i, d in enumerate(dims)],
+            *[(F.col(f"`{d}`").cast("string") if kinds[d] not in _NUMBERS else number(F.col(f"`{d}`"))).alias(f"x{i}") for i, d in enumerate(dims)],
         ), "rows")
+    for x in texts:
+        ranks, count = text_ranks(rows, x)
+        rows = rows.join(few(ranks, count), x, "left").withColumn(x, F.coalesce("rank", F.lit(-1.0))).drop("rank")
+    if texts:
+        rows = written(rows, "rows")
     spark, n = docs.sparkSession, range(len(dims))
     spans = [f for i in n for f in (F.min(f"x{i}").alias(f"lo{i}"), F.max(f"x{i}").alias(f"hi{i}"))]
     root = rows.agg(F.sum("size").alias("size"), *spans).first()
