@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from waybill.llm.common import scan
 from waybill.llm.components import components
 from waybill.llm.private import BASE_KINDS, SPAN, candidates, private_removed, private_report, redacted
-from waybill.llm.quality import RULES, judged, quality_kept, quality_report, rule_order
+from waybill.llm.quality import RULES, Rule, drawn, judged, quality_kept, quality_report, rule_order
 from waybill.llm.urls import alias_links, judged_urls
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -63,6 +63,20 @@ def test_quality_order_never_changes_what_is_kept(spark):
     assert quality_report(empty).columns == quality_report(docs).columns
 
 
+def test_costs_and_rejections_order_the_rules(spark):
+    """A rule that rejects most for its time comes first, and the sample is drawn from the whole table."""
+    texts = ["plain words " * 40] * 1500 + ["!" * 300 + " x" * 40] * 1500  # what the last half of the rows holds counts too
+    docs = docs_of(spark, texts).coalesce(1)
+    slow = Rule("slow", lambda m: m("n_repeat_words") < -1)
+    shout = next(r for r in RULES if r.name == "shouts")
+    order = rule_order(docs, [slow, shout], sample_rows=600)
+    assert [r.name for r in order] == ["shouts", "slow"]
+    held = drawn(docs, sample_rows=600)
+    n = held.count()
+    assert 450 <= n <= 750 and 0.35 * n < held.where("t like '!%'").count() < 0.65 * n
+    assert drawn(docs, sample_rows=10_000).count() == 3000 and drawn(docs.limit(0)).count() == 0
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (200, 200), (300, 5)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain + [(None, 3)], "a long, b long")).collect()}

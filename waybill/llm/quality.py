@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.llm.common import BLANKS, free_name, let, words
+from waybill.llm.common import BLANKS, free_name, let, words, written
 
 WINDOW = 8
 SAMPLE_ROWS = 2000
@@ -18,15 +19,10 @@ Measures = Callable[[str], Column]
 
 
 class Rule(NamedTuple):
-    """``rejects`` turns measures, asked for by name, into a condition.
-
-    ``unit`` is what its work grows with, ``weight`` its cost per unit.
-    """
+    """``rejects`` turns measures, asked for by name, into a condition."""
 
     name: str
     rejects: Callable[[Measures], Column]
-    unit: str
-    weight: float
 
 
 def count_of(text: Column, chars: str) -> Column:
@@ -103,16 +99,15 @@ MEASURES: dict[str, Callable[[Column, Column], Column]] = {
 }
 REPORTED = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
-#: Costs are nanoseconds per unit on one core; only their ratios matter.
 RULES = [
-    Rule("few_words", lambda m: m("n_words") < LEAST_WORDS, "rows", 20),
-    Rule("repeats", lambda m: 100 * m("n_repeat_words") > 30 * m("n_words"), "words", 600),
-    Rule("symbols", lambda m: 10 * m("n_symbols") > m("n_words"), "chars", 7),
-    Rule("capitals", lambda m: 10 * m("n_capitals") > 5 * m("word_chars"), "chars", 9),
-    Rule("shouts", lambda m: 10 * m("n_shouts") > 3 * m("n_words"), "chars", 7),
-    Rule("word_length", lambda m: (m("word_chars") < 2 * m("n_words")) | (m("word_chars") > 20 * m("n_words")), "words", 30),
-    Rule("same_lines", lambda m: (m("n_dup_lines") > 3) & (10 * m("n_dup_lines") > 3 * m("n_lines")), "chars", 8),
-    Rule("stutters", lambda m: 10 * m("n_stutters") > 3 * m("n_words"), "words", 150),
+    Rule("few_words", lambda m: m("n_words") < LEAST_WORDS),
+    Rule("repeats", lambda m: 100 * m("n_repeat_words") > 30 * m("n_words")),
+    Rule("symbols", lambda m: 10 * m("n_symbols") > m("n_words")),
+    Rule("capitals", lambda m: 10 * m("n_capitals") > 5 * m("word_chars")),
+    Rule("shouts", lambda m: 10 * m("n_shouts") > 3 * m("n_words")),
+    Rule("word_length", lambda m: (m("word_chars") < 2 * m("n_words")) | (m("word_chars") > 20 * m("n_words"))),
+    Rule("same_lines", lambda m: (m("n_dup_lines") > 3) & (10 * m("n_dup_lines") > 3 * m("n_lines"))),
+    Rule("stutters", lambda m: 10 * m("n_stutters") > 3 * m("n_words")),
 ]
 BASE = {"few_words", "repeats"}
 
@@ -122,25 +117,40 @@ def measures(text: Column, found: Column, ready: frozenset[str] = frozenset()) -
     return lambda name: F.col(name) if name in ready else MEASURES[name](text, found)
 
 
+def drawn(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """About ``sample_rows`` texts (``t``), each row of the table with the same chance, by a hash of its place."""
+    share = min(1.0, sample_rows / max(1, docs.count()))
+    chance = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 40))
+    rows = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"), chance.alias("chance"))
+    return written(rows.where(F.col("chance") < int(share * (1 << 40)) + 1).select("t"), "drawn")
+
+
+def _seconds(sample: DataFrame, work: Column) -> float:
+    """How long some work on the sample takes, once its code is compiled."""
+    job = sample.select(words(F.col("t")).alias("w"), "t").agg(F.count(F.when(work, 1)))
+    job.collect()
+    began = time.perf_counter()
+    job.collect()
+    return time.perf_counter() - began
+
+
 def rule_order(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """Order the rules by rejections per cost, each on what those before it leave of a sample.
 
-    Selectivity and size come from the first ``sample_rows`` rows that Spark
-    reads, of which the driver gets only flags and sizes. The order decides what
-    is computed, never what is kept. An empty table keeps the given order.
+    The sample is drawn by hash from the whole table, in one pass over its texts.
+    A rule's cost is the time it takes on the sample beyond splitting it into
+    words; its rejections are counted there. The driver gets flags of the sample
+    alone. Times differ from run to run, and the order with them; it decides what is
+    computed, never what is kept. An empty table keeps the given order.
     """
+    sample = drawn(docs, text, sample_rows)
     t, w = F.col("t"), F.col("w")
     m = measures(t, w)
-    rows = (
-        docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")).select("t", words(t).alias("w"))
-        .select(F.length("t").alias("chars"), F.size("w").alias("words"),
-                *[r.rejects(m).alias(f"r{i}") for i, r in enumerate(rules)])
-        .take(sample_rows)
-    )
+    rows = sample.select("t", words(t).alias("w")).select(*[r.rejects(m).alias(f"r{i}") for i, r in enumerate(rules)]).collect()
     if not rows:
         return list(rules)
-    size = {"rows": 1.0} | {u: sum(r[u] for r in rows) / len(rows) for u in ("words", "chars")}
-    cost = [r.weight * max(1.0, size[r.unit]) for r in rules]
+    split = _seconds(sample, F.size(w) >= 0)
+    cost = [max(0.001, _seconds(sample, r.rejects(m)) - split) for r in rules]
     left, todo, order = rows, set(range(len(rules))), []
     while todo:
         gain = {i: sum(bool(r[f"r{i}"]) for r in left) / cost[i] for i in todo}
