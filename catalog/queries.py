@@ -18,7 +18,7 @@ from waybill.functions.text import remove_envelope, soap_envelope, status_code,
 from waybill.functions.xmlfn import well_formed
 from waybill.operators.audit import audit_message
 from waybill.operators.lineage import lineage_closure
-from waybill.operators.lookup import lookup_failed, lookup_passed, multi_lookup, receiver_lookup, route_lookup
+from waybill.operators.lookup import lookup_failed, lookup_passed, multi_lookup, receiver_lookup, request_uri, route_lookup
 from waybill.operators.restrict import content_matches, fan_out_permitted, with_permitted
 from waybill.operators.steps import reshape
 from waybill.session import shared_dir, spread, written
@@ -29,6 +29,8 @@ from waybill.sources.sinks import reformat
 from waybill.streaming.route import resume_stream, route_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: The endpoint that interfaces share in these messages, and the attribute that tells them apart.
+SHARED = ("/sap/xi", "sap.Interface.value")
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -155,7 +157,7 @@ def lookup_many_keys(spark: SparkSession, d: str) -> DataFrame:
 def receiver_by_uri(spark: SparkSession, d: str) -> DataFrame:
     """Receiver by effective URI; ``attribute`` and misses included."""
     found = values(spark, "uri receiver", [("/click", "Clicks"), ("iface-3", "attribute"), ("/purchase", "")])
-    uri = "case when attrs['http.request.uri'] = '/sap/xi' then attrs['sap.Interface.value'] else attrs['http.request.uri'] end"
+    uri = request_uri(lambda key: f"attrs[{lit(key)}]", SHARED)
     df = events(spark, d).withColumn("request_url", F.expr(uri))
     got = receiver_lookup(df, found, "request_url", "concat('own-', attrs['event.type'])")
     return got.select("msg_id", "request_url", "receiver")
@@ -748,12 +750,18 @@ def xpath_backslash(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""
-    select 'd' || doc_id as msg_id, regexp_matches(text, '[0-9]{3}') as part, text = 'never' as whole from documents
+    select 'd' || doc_id as msg_id, regexp_matches(text, '[0-9]{3}') as part,
+           case when lang = 'en' then regexp_full_match(text, '[^0-9]*') else not regexp_matches(text, '\\n') end as whole,
+           case when lang = 'en' then cast(false as boolean) else true end as odd
+    from documents
 """)
 def content_match(spark: SparkSession, d: str) -> DataFrame:
     """The match a parked message waits for."""
-    df = document_messages(spark, d).selectExpr("msg_id", "content", "'[0-9]{3}' as condition", "'never' as other")
-    return df.selectExpr("msg_id", f"{content_matches('content', 'condition')} as part", f"{content_matches('content', 'other', 'content must match exactly')} as whole")
+    df = document_messages(spark, d).selectExpr(
+        "msg_id", "content", "'[0-9]{3}' as condition", "case when attrs['lang'] = 'en' then '[^0-9]*' else '.*' end as other",
+        "case when attrs['lang'] = 'en' then '(' else '(?s).*' end as last")
+    exact = lambda c: content_matches("content", c, "content must match exactly")
+    return df.selectExpr("msg_id", f"{content_matches('content', 'condition')} as part", f"{exact('other')} as whole", f"{exact('last')} as odd")
 
 
 # --- registries --------------------------------------------------------------
@@ -855,7 +863,7 @@ _AUDIT_ROUTE = route(
 """)
 def audit_steps(spark: SparkSession, d: str) -> DataFrame:
     """One record per executed step, the suppressing and parking ones included."""
-    got = run(spark, events(spark, d), {"events": _AUDIT_ROUTE}).audit(values(spark, "uri receiver", _RECEIVERS))
+    got = run(spark, events(spark, d), {"events": _AUDIT_ROUTE}, Settings(shared_endpoint=SHARED)).audit(values(spark, "uri receiver", _RECEIVERS))
     return got.select("lineage", "step", "path", "stage", "file_name", "sender", "receiver")
 
 
@@ -883,7 +891,7 @@ def audit_copies(spark: SparkSession, d: str) -> DataFrame:
 def audit_messages(spark: SparkSession, d: str) -> DataFrame:
     """The JSON form of the record."""
     doc = route(target("t", ["UpdateAttribute://?a=b"]), validate="event")
-    got = audit_message(run(spark, events(spark, d), {"events": doc}).audit(values(spark, "uri receiver", _RECEIVERS)))
+    got = audit_message(run(spark, events(spark, d), {"events": doc}, Settings(shared_endpoint=SHARED)).audit(values(spark, "uri receiver", _RECEIVERS)))
     field = lambda name, alias: f"get_json_object(message, {lit('$.' + name)}) as {alias}"
     return got.selectExpr(
         "msg_id", field("transformationEntity", "step"), field("level", "level"), field("_businessProcess", "process"), field("short_message", "message"))

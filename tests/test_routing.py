@@ -186,7 +186,7 @@ AUDITED = {
 
 def test_audit_and_lineage(spark, tmp_path):
     receivers = spark.createDataFrame([("own", "attribute"), ("fixed", "F"), ("none", "")], "uri string, receiver string")
-    got = run(spark, AUDITED)
+    got = run(spark, AUDITED, Settings(shared_endpoint=("/sap/xi", "sap.Interface.value")))
     audit = got.audit(receivers, host="h", specification_base="s#")
     rows = sorted((tuple(r) for r in audit.select(
         "lineage", "entry_type", "step", "path", "stage", "file_name", "sender", "receiver", "derivation", "log_start").collect()), key=str)

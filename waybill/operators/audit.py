@@ -25,33 +25,41 @@ ROW_START = (
 ROW_LINEAGE = f"concat({ROW_START}, copy)"
 
 # Attributes an event shows as they were when it happened.
-AUDIT_KEYS = (
+_AUDIT_KEYS = (
     "filename", "path", "http.query.param.senderService", "http.request.uri",
-    "sap.Interface.value", "Receiver", "business.process.name",
+    "Receiver", "business.process.name",
 )
 
+
+def audit_keys(shared: tuple[str, str] | None) -> tuple[str, ...]:
+    return (*_AUDIT_KEYS, shared[1]) if shared else _AUDIT_KEYS
+
+
 # Fixed values of the audit record.
 GROUP_NAME = "Transform"
 LEVEL = "INFO"
 UNKNOWN_POSITION = "unknow"
 
 
-def audit_rows(wave: Wave, receivers: DataFrame, host: str, specification_base: str, group_id: str = "") -> DataFrame:
+def audit_rows(
+    wave: Wave, receivers: DataFrame, host: str, specification_base: str, group_id: str = "", shared: tuple[str, str] | None = None,
+) -> DataFrame:
     """One row per event of every row of the wave."""
-    later = [k for k in AUDIT_KEYS if k not in wave.snapshot]
+    keys = audit_keys(shared)
+    later = [k for k in keys if k not in wave.snapshot]
     df = wave.df.selectExpr(
         "msg_id", f"{ROW_LINEAGE} as lineage",
-        *[f"{wave.slots.column(k)} as v{AUDIT_KEYS.index(k)}" for k in later],
+        *[f"{wave.slots.column(k)} as v{keys.index(k)}" for k in later],
         "explode(events) as e",
     )
 
     def attr(key: str) -> str:
-        return f"e.seen[{lit(key)}]" if key in wave.snapshot else f"v{AUDIT_KEYS.index(key)}"
+        return f"e.seen[{lit(key)}]" if key in wave.snapshot else f"v{keys.index(key)}"
 
     df = df.selectExpr(
         "msg_id", "lineage", "e", "e.entry_type = 'processing' as working",
         f"{attr('filename')} as file_name", f"{attr('path')} as path_attr",
-        f"{request_uri(attr)} as request_url", f"{sender(attr)} as sender",
+        f"{request_uri(attr, shared)} as request_url", f"{sender(attr)} as sender",
         f"{attr('Receiver')} as own_receiver", f"{attr('business.process.name')} as business_process",
     )
     df = receiver_lookup(df, receivers, "request_url", "own_receiver")

@@ -32,10 +32,10 @@ def not_found(process: str) -> str:
     return concat(lit("Route named:"), f"coalesce({process}, 'null')", lit(" not found!"))
 
 
-def request_uri(attr: Callable[[str], str]) -> str:
-    """The request URI, or the interface name behind the shared endpoint."""
+def request_uri(attr: Callable[[str], str], shared: tuple[str, str] | None = None) -> str:
+    """The request URI; behind a ``shared`` endpoint (its URI and an attribute) the interface that the attribute names."""
     uri = attr("http.request.uri")
-    return f"case when {uri} = '/sap/xi' then {attr('sap.Interface.value')} else {uri} end"
+    return f"case when {uri} = {lit(shared[0])} then {attr(shared[1])} else {uri} end" if shared else uri
 
 
 def sender(attr: Callable[[str], str]) -> str:

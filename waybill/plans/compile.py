@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.functions.xmlfn import schema_file, schema_problem
+from waybill.operators.audit import audit_keys
 from waybill.operators.steps import STEPS, hand_off
 from waybill.plans.context import Reshape, Settings, Slots, Step, StepContext, StepError
 from waybill.plans.datasteps import Outline, is_plain, outline, step_texts
@@ -34,7 +36,9 @@ class Registry:
         return {s.sid: s for s in self.steps.values()}
 
 
-def read_registry(parsed: DataFrame, schemas: DataFrame, most: int | None, data: bool = False) -> Registry | None:
+def read_registry(
+    parsed: DataFrame, schemas: DataFrame, most: int | None, data: bool = False, audited: Sequence[str] = ()
+) -> Registry | None:
     """Distinct steps per stage, the schemas named, and the measured size.
 
     None if there are more than ``most`` distinct steps and schemas. With
@@ -45,7 +49,7 @@ def read_registry(parsed: DataFrame, schemas: DataFrame, most: int | None, data:
     rows = (wanted if most is None else wanted.limit(most + 1)).selectExpr("*", f"{name} as name", f"{entries} as entries").collect()
     if most is not None and len(rows) > most:
         return None
-    found = Registry(outline=outline(parsed) if data else None)
+    found = Registry(outline=outline(parsed, audited) if data else None)
     validates = []
     for row in sorted(rows, key=lambda r: (r["text"], r["stage"])):
         if row["stage"] < 0:
@@ -61,16 +65,17 @@ def read_registry(parsed: DataFrame, schemas: DataFrame, most: int | None, data:
     return found
 
 
-def plan_registries(parsed: DataFrame, schemas: DataFrame, limit: int, data: bool = False) -> list[tuple[str | None, Registry]]:
+def plan_registries(parsed: DataFrame, schemas: DataFrame, settings: Settings) -> list[tuple[str | None, Registry]]:
     """The registry of each plan, with the condition on ``process`` that picks its messages.
 
-    One plan that compiles every step, or else (always with ``data``) one that runs plain steps as data.
-    Only if what has to be compiled is still more than ``2 * limit`` texts are
+    One plan that compiles every step, or else (always with ``steps_as_data``) one that runs plain steps as data.
+    Only if what has to be compiled is still more than ``2 * max_steps`` texts are
     processes split by hash, again and again where it takes that, and each of
     these plans reads the messages. A process alone is never split.
     """
-    found = None if data else read_registry(parsed, schemas, 2 * limit)
-    found = found or read_registry(parsed, schemas, 2 * limit, data=True)
+    limit, audited = settings.max_steps, audit_keys(settings.shared_endpoint)
+    found = None if settings.steps_as_data else read_registry(parsed, schemas, 2 * limit)
+    found = found or read_registry(parsed, schemas, 2 * limit, True, audited)
     if found:
         return [(None, found)]
     plans = []
@@ -80,9 +85,9 @@ def plan_registries(parsed: DataFrame, schemas: DataFrame, limit: int, data: boo
         for part in range(parts):
             picked = [*chosen, f"pmod(xxhash64(coalesce(process, ''), {len(chosen)}), {parts}) = {part}"]
             own = parsed.where(" and ".join(picked))
-            found = read_registry(own, schemas, 2 * limit, data=True)
+            found = read_registry(own, schemas, 2 * limit, True, audited)
             if found is None and len(own.select("process").distinct().take(2)) < 2:
-                found = read_registry(own, schemas, None, data=True)
+                found = read_registry(own, schemas, None, True, audited)
             if found is None:
                 open_.append((picked, 2))
             else:

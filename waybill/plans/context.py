@@ -37,6 +37,8 @@ class Settings:
     process_group_id: str = ""
     audit_group_id: str = ""
     known_systems: tuple[str, ...] = ()
+    # An endpoint that many interfaces share: its URI, and the attribute that names the interface.
+    shared_endpoint: tuple[str, str] | None = None
     ordered_json: bool = False
     legacy_last_filter: bool = False
     stop_target_on_suppress: bool = False

@@ -8,13 +8,13 @@ transforms are compiled, for Spark wants those as literals.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions.render import PLACEHOLDER, SQL_PREFIX, case, lit, lits
-from waybill.operators.audit import AUDIT_KEYS
 from waybill.operators.steps import (
     STEPS, duplicate, not_a_number, route_on_attribute, route_on_content, sync_response, update_attribute, whole_number,
 )
@@ -131,10 +131,10 @@ class Outline:
     audited: set[str]
 
 
-def outline(parsed: DataFrame) -> Outline:
-    """How many stages there are, which of them copy or reply, and which audited keys are written: a row per stage."""
+def outline(parsed: DataFrame, audited: Sequence[str]) -> Outline:
+    """How many stages there are, which of them copy or reply, and which of the ``audited`` keys are written: a row per stage."""
     plain = step_texts(parsed).withColumn("plain", F.expr(is_plain()))
-    keys = f"filter(transform(entries, e -> e.key), k -> k in ({lits(AUDIT_KEYS)}))"
+    keys = f"filter(transform(entries, e -> e.key), k -> k in ({lits(audited)}))"
     rows = plain.groupBy("stage").agg(
         F.expr("max(plain and name = 'DuplicateFlowFile')").alias("copies"),
         F.expr("max(plain and name = 'SyncResponse')").alias("replies"),

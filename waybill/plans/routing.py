@@ -17,7 +17,7 @@ from waybill.functions.render import case, concat, lit, lits
 from waybill.functions.text import soap_envelope
 from waybill.functions.xmlfn import compact_json, ordered_json, valid_xml, well_formed
 from waybill.functions.xpath import strip_declaration
-from waybill.operators.audit import AUDIT_KEYS, EVENT, ROW_LINEAGE, audit_rows
+from waybill.operators.audit import EVENT, ROW_LINEAGE, audit_keys, audit_rows
 from waybill.operators.lineage import lineage_rows
 from waybill.operators.lookup import not_found
 from waybill.operators.restrict import restricted
@@ -51,7 +51,7 @@ def route_messages(
     parsed = parse_routes(routes)
     work = spread(as_messages(messages)).selectExpr("*", "attrs['business.process.name'] as process")
     waves = []
-    for picked, found in plan_registries(parsed, schemas, settings.max_steps, settings.steps_as_data):
+    for picked, found in plan_registries(parsed, schemas, settings):
         mine, own = (work, parsed) if picked is None else (work.where(picked), parsed.where(picked))
         waves.append(_wave(mine, own, found, reshapes, settings))
     return RouteRun(waves, settings)
@@ -78,7 +78,8 @@ class RouteRun:
 
     def audit(self, receivers: DataFrame, host: str = "", specification_base: str = "") -> DataFrame:
         """One row per executed step and per copy made."""
-        return _union([audit_rows(w, receivers, host, specification_base, self.settings.audit_group_id) for w in self.waves])
+        own = self.settings
+        return _union([audit_rows(w, receivers, host, specification_base, own.audit_group_id, own.shared_endpoint) for w in self.waves])
 
     def lineage(self) -> DataFrame:
         """Which row came from which, from messages down to the rows of ``routed()``."""
@@ -119,7 +120,7 @@ def _wave(work: DataFrame, parsed: DataFrame, found: Registry, reshapes: DataFra
     spark = work.sparkSession
     slots, contexts = compile_steps(spark, found, settings, named_reshapes(found, reshapes))
     written = {key for ctx in contexts.values() for key in ctx.written} | (found.outline.audited if found.outline else set())
-    snapshot = [key for key in AUDIT_KEYS if key in written]
+    snapshot = [key for key in audit_keys(settings.shared_endpoint) if key in written]
     ids = {t: s.sid for t, s in found.steps.items()}
     side = with_operations(pipelines(parsed), ids) if found.outline else _with_sids(pipelines(parsed), ids)
     size = measured_bytes(side) if found.outline else found.bytes
@@ -130,7 +131,7 @@ def _wave(work: DataFrame, parsed: DataFrame, found: Registry, reshapes: DataFra
     for stage in range(found.outline.stages) if found.outline else sorted(found.stages):
         here = {sid: contexts[sid] for sid in sorted(found.stages.get(stage, ()))}
         df = _stage(df, stage, here, slots, snapshot, found.outline, settings)
-        if settings.cut_every and (stage + 1) % settings.cut_every == 0:
+        if settings.cut_every and (stage + 1) % settings.cut_every == 0 and not df.isStreaming:
             df = checkpointed(df)
     if settings.stop_target_on_suppress:
         df = _stop_after_suppressed(df)

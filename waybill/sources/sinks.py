@@ -10,8 +10,8 @@ from waybill.sources.records import resolved
 ROUTES = ("deliver", "reply", "parked", "failed")
 
 
-def write_routes(routed: DataFrame, base: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
-    """Write all routes in one pass; each becomes its own ``route=`` folder."""
+def write_routes(routed: DataFrame, base: str, mode: str = "errorifexists", fmt: str = "parquet") -> None:
+    """Write all routes in one pass; each becomes its own ``route=`` folder. What is there already is only replaced if ``mode`` says so."""
     routed.write.mode(mode).partitionBy("route").format(fmt).save(base)
 
 
