@@ -464,3 +464,34 @@ def test_pipeline_against_brute_force(spark):
     last = stage["packing"](spark, safe, FOLDER).collect()
     assert {r.doc_id for r in last} == {r.doc_id for r in safe.collect()}
     assert sum(r.length for r in last) == sum({r.doc_id: r.doc_tokens for r in last}.values())
+
+
+def test_pipeline_stages_on_edge_rows(spark):
+    """Nulls, empty and very long texts, repeated rows, and columns named like the stages' own."""
+    corpus = pytest.importorskip("corpus_pipeline")
+    stage = dict(corpus.STAGES)
+    good = prose(1, 60) + "\n" + prose(2, 40)
+    long = " ".join(f"{w}{i % 4999}" for i, w in enumerate(prose(3, 60_000).split()))
+    items = [r.text for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").limit(1).collect()]
+    rows = [
+        (None, good, None), (1, None, "a"), (2, "", "b"), (2, "", "b"), (3, " \n ", None), (4, good, "x"), (4, good, "x"), (5, good, "y"),
+        (6, long, None), (7, prose(4, 90) + " " + items[0] + " " + prose(5, 90), "z"), (8, prose(6, 80) + " mail me at bob.x@mail.example.org now", "q"),
+    ]
+    ddl = "doc_id long, text string, rejected_by string, text_mark string, node string, component int, bucket long, spans int, w double, t string, sequence_id string"
+    docs = spark.createDataFrame([(i, t, m, m, m, 1, 2, 3, 0.5, m, m) for i, t, m in rows], ddl)
+    ids = lambda df: sorted((str(r.doc_id) for r in df.collect()))
+    kept = stage["quality_rules"](spark, docs, FOLDER)
+    assert ids(kept) == sorted(["None", "4", "4", "5", "6", "7", "8"])
+    single = stage["near_dedup"](spark, docs, FOLDER)
+    assert ids(single) == sorted(["1", "2", "2", "3", "4", "6", "7", "8"])
+    clean = stage["decontamination"](spark, docs, FOLDER)
+    assert ids(clean) == sorted(str(i) for i, _, _ in rows if i != 7)
+    safe = stage["personal_data"](spark, docs, FOLDER)
+    texts = {str(r.doc_id): r.text for r in safe.collect()}
+    assert ids(safe) == sorted(str(i) for i, _, _ in rows) and texts["1"] is None and "[EMAIL]" in texts["8"] and texts["6"] == long
+    packed_ = stage["packing"](spark, docs, FOLDER)
+    assert {str(r.doc_id) for r in packed_.collect()} == {str(i) for i, _, _ in rows}
+    for name, one in corpus.STAGES:
+        out = one(spark, docs.limit(0), FOLDER)
+        assert out.count() == 0
+        assert name == "packing" or out.columns == docs.columns == one(spark, docs, FOLDER).columns
