@@ -108,6 +108,12 @@ def test_a_large_registry_reads_the_messages_once(spark):
     assert "Brand#" not in plan and len(plan) < 60_000
 
 
+def test_suppressed_targets_stop_without_moving_contents(spark):
+    plan = QUERIES["filter_ends_target"](spark, DATA)
+    assert "Window" not in plan_of(plan) and "SortMergeJoin" not in plan_of(plan)
+    assert not any("content" in columns for columns in exchanged(plan))
+
+
 def test_every_query_has_sql():
     from __spark_entry__ import oracle_sql, queries
 

@@ -25,7 +25,7 @@ from waybill.operators.steps import not_a_number, whole_number
 from waybill.plans.compile import Registry, compile_steps, named_reshapes, plan_registries, schema_paths
 from waybill.plans.context import Settings, Slots, StepContext
 from waybill.plans.datasteps import FIELDS, Outline, stage_columns, with_operations
-from waybill.session import checkpointed, lookup_join, measured_bytes, spread
+from waybill.session import checkpointed, lookup_join, measured_bytes, spread, written
 from waybill.sources.messages import EMPTY_MAP, as_messages
 from waybill.sources.registry import parse_routes, pipelines
 
@@ -134,7 +134,7 @@ def _wave(work: DataFrame, parsed: DataFrame, found: Registry, reshapes: DataFra
         if settings.cut_every and (stage + 1) % settings.cut_every == 0 and not df.isStreaming:
             df = checkpointed(df)
     if settings.stop_target_on_suppress:
-        df = _stop_after_suppressed(df)
+        df = _stop_after_suppressed(df, settings.max_registry_bytes)
     return Wave(df, slots, snapshot)
 
 
@@ -319,11 +319,18 @@ def _multiply(
     return df.select(*keep)
 
 
-def _stop_after_suppressed(df: DataFrame) -> DataFrame:
-    """A path suppressed before any copy also ends the later paths of its target."""
-    gone = f"case when {_SUPPRESSED} and copy = '' then p.path end"
-    df = df.selectExpr("*", f"min({gone}) over (partition by msg_id, p.tpos) as stop")
-    return df.where("stop is null or p.path is null or p.path <= stop").drop("stop")
+def _stop_after_suppressed(df: DataFrame, limit: int) -> DataFrame:
+    """A path suppressed before any copy also ends the later paths of its target.
+
+    The rows are written once; from them the suppressed ones, without contents,
+    say where each target stops, and that is broadcast back within ``limit``.
+    """
+    rows = written(df, "rows")
+    stops = rows.where(f"{_SUPPRESSED} and copy = ''").groupBy(F.col("msg_id").alias("__id"), F.col("p.tpos").alias("__tpos")).agg(
+        F.min("p.path").alias("__stop"))
+    stops = F.broadcast(stops) if measured_bytes(stops) <= limit else stops
+    known = rows.join(stops, F.expr("msg_id = __id and p.tpos = __tpos"), "left")
+    return known.where("__stop is null or p.path is null or p.path <= __stop").select(*df.columns)
 
 
 _SENT = "alive and error is null and size(p.urls) > 0"
