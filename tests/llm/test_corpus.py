@@ -495,3 +495,14 @@ def test_pipeline_stages_on_edge_rows(spark):
         out = one(spark, docs.limit(0), FOLDER)
         assert out.count() == 0
         assert name == "packing" or out.columns == docs.columns == one(spark, docs, FOLDER).columns
+
+
+def test_long_items_are_compared_a_few_stretches_at_once(spark, monkeypatch):
+    """An item of thousands of words, whole in one text and changed in another."""
+    item = prose(31, 5_000)
+    words = item.split()
+    changed = " ".join(w if i % 6 else "other" for i, w in enumerate(words))
+    docs = spark.createDataFrame([(1, prose(32, 400) + " " + item + " " + prose(33, 90)), (2, changed), (3, prose(34, 6_000)), (4, None)], "doc_id long, text string")
+    asked = spark.createDataFrame([(9, item), (10, "short one here")], "item_id long, text string")
+    rows = {r.doc_id: (r.item_id, round(r.lcs_share, 2)) for r in leaks(docs, asked).collect()}
+    assert rows == {1: (9, 1.0), 2: (9, 0.83)}
