@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from waybill.llm import minhash
+from waybill.llm import minhash, tools
 from waybill.llm.common import numbered
 from waybill.llm.decontaminate import decontaminated, lcs, leaks
 from waybill.llm.hashing import Rolling, word_marks
@@ -506,3 +506,27 @@ def test_long_items_are_compared_a_few_stretches_at_once(spark, monkeypatch):
     asked = spark.createDataFrame([(9, item), (10, "short one here")], "item_id long, text string")
     rows = {r.doc_id: (r.item_id, round(r.lcs_share, 2)) for r in leaks(docs, asked).collect()}
     assert rows == {1: (9, 1.0), 2: (9, 0.83)}
+
+
+@pytest.mark.parametrize("together", [100_000, 2])
+def test_steps_of_dependent_calls(spark, monkeypatch, together):
+    """Chains, diamonds, circles and random dependencies, against a walk through them; also level by level."""
+    monkeypatch.setattr(tools, "TOGETHER", together)
+    r = random.Random(2)
+    needs = {(1, f"c{i}"): [f"c{i - 1}"] if i else [] for i in range(5 if together == 2 else 300)}
+    needs |= {(2, "a"): [], (2, "b"): ["a"], (2, "c"): ["a", "a"], (2, "d"): ["b", "c", "gone"], (2, "x"): ["y"], (2, "y"): ["x"], (2, "z"): ["y", "a"], (2, "s"): ["s"]}
+    needs |= {(None, "a"): [], (None, "b"): ["a"], (3, "alone"): ["gone"]}
+    for conv in range(4, 9):
+        needs |= {(conv, f"n{i}"): [f"n{r.randint(0, 7)}" for _ in range(r.randint(0, 2))] for i in range(8)}
+
+    def step(conv, call, above=()):
+        if call in above:
+            return None
+        deep = [step(conv, n, (*above, call)) for n in needs[conv, call] if (conv, n) in needs]
+        return None if None in deep else max((d + 1 for d in deep), default=0)
+
+    rows = [(conv, call, n) for (conv, call), n in needs.items()]
+    got = tools.call_steps(spark.createDataFrame(rows, "conv_id long, call_id string, needs array<string>")).collect()
+    want = {(c, k): step(c, k) for c, k in needs if c != 1} | {(1, f"c{i}"): i for i in range(sum(c == 1 for c, _ in needs))}
+    assert len(got) == len({(x.conv_id, x.call_id) for x in got})
+    assert {(x.conv_id, x.call_id): x.step for x in got} == {k: v for k, v in want.items() if v is not None}

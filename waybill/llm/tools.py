@@ -7,10 +7,11 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.llm.common import written
+from waybill.llm.components import components
 
 # How calls and results stand in a message, and the sign before an identifier that an argument refers to.
 CALL = re.compile(r"<tool_call>(.*?)</tool_call>", re.DOTALL)
@@ -114,29 +115,77 @@ def events(turns: DataFrame, schemas: dict | None = None) -> DataFrame:
     return turns.select("conv_id", "turn", "role", "text").mapInPandas(read, EVENT)
 
 
+#: Dependencies that one task orders at most; larger tangles of calls are ordered level by level.
+TOGETHER = 100_000
+
+
 def call_steps(calls: DataFrame) -> DataFrame:
     """``conv_id, call_id, step``: 0 for calls that need no other, else one more than the last they need.
 
-    Level by level over all conversations at once: a call gets its step when all
-    it needs have theirs. Calls on a cycle, and those that need them, get none.
-    Needs that name no call of the conversation are left to ``linked_chats``.
+    Calls that depend on each other, directly or through others, are a connected
+    component; each is ordered in one pass over its thin rows, so a long chain takes
+    no more jobs than a short one. Components of more than ``TOGETHER``
+    dependencies are ordered level by level over all tasks. Calls on a cycle, and those that need
+    them, get none. Needs that name no call of the conversation are left to ``linked_chats``.
     """
     keys = ["conv_id", "call_id"]
     needs = calls.select(*keys, F.explode("needs").alias("need"))
     known = calls.select(F.col("conv_id").alias("nc"), F.col("call_id").alias("need_id"))
     needs = written(needs.join(known, F.col("conv_id").eqNullSafe(F.col("nc")) & (F.col("need") == F.col("need_id")))
-                    .select(*keys, "need"), "needs")
+                    .select(*keys, "need").distinct(), "needs")
+    waiting = needs.select(*keys).distinct()
+    done = calls.select(*keys).alias("c").join(waiting.alias("w"), _same("c", "w"), "left_anti").withColumn("step", F.lit(0))
+    if needs.isEmpty():
+        return done
+    node = lambda call: F.to_json(F.struct("conv_id", F.col(call).alias("call")))
+    edges = needs.select("*", node("call_id").alias("a"), node("need").alias("b"))
+    # A call that needs itself is a component of its own.
+    found = components(edges.select("a", "b"))
+    edges = edges.join(found, edges["a"] == found["node"], "left").withColumn("component", F.coalesce("component", "a"))
+    sizes = edges.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    sized = written(edges.join(sizes, "component").select(*keys, "need", "component", "n"), "sized")
+    kind = calls.schema["conv_id"].dataType.simpleString()
+    ordered = sized.where(F.col("n") <= TOGETHER).groupBy("component").applyInPandas(_ordered, f"conv_id {kind}, call_id string, step int")
+    large = sized.where(F.col("n") > TOGETHER)
+    out = done.unionByName(ordered)
+    return out if large.isEmpty() else out.unionByName(_by_level(large.select(*keys, "need")))
+
+
+def _same(a: str, b: str) -> Column:
+    return F.col(f"{a}.conv_id").eqNullSafe(F.col(f"{b}.conv_id")) & (F.col(f"{a}.call_id") == F.col(f"{b}.call_id"))
+
+
+def _ordered(rows: pd.DataFrame) -> pd.DataFrame:
+    """The steps of one component's calls that need others."""
+    open_, users = {}, {}
+    for call, need in zip(rows["call_id"], rows["need"], strict=True):
+        open_[call] = open_.get(call, 0) + 1
+        users.setdefault(need, []).append(call)
+    ready, step = [n for n in users if n not in open_], {}
+    for need in ready:  # grows while it is read
+        for call in users.get(need, ()):
+            step[call] = max(step.get(call, 0), step.get(need, 0) + 1)
+            open_[call] -= 1
+            if not open_[call]:
+                ready.append(call)
+    placed = [c for c in open_ if not open_[c]]
+    conv = None if pd.isna(rows["conv_id"].iloc[0]) else rows["conv_id"].iloc[0]
+    return pd.DataFrame([(conv, c, step[c]) for c in placed], columns=["conv_id", "call_id", "step"], dtype=object)
+
+
+def _by_level(needs: DataFrame) -> DataFrame:
+    """The same for components of any size: a call gets its step when all it needs have theirs."""
+    keys = ["conv_id", "call_id"]
     waiting = written(needs.groupBy(*keys).agg(F.count(F.lit(1)).alias("open")), "waiting")
-    same = lambda a, b: F.col(f"{a}.conv_id").eqNullSafe(F.col(f"{b}.conv_id")) & (F.col(f"{a}.call_id") == F.col(f"{b}.call_id"))
-    done = written(calls.select(*keys).alias("c").join(waiting.alias("w"), same("c", "w"), "left_anti").withColumn(
-        "step", F.lit(0)), "steps")
-    last, step = done, 0
+    first = needs.select("conv_id", F.col("need").alias("call_id")).distinct()
+    last = written(first.alias("f").join(waiting.alias("w"), _same("f", "w"), "left_anti").withColumn("step", F.lit(0)), "steps")
+    done, step = last.limit(0), 0
     while not waiting.isEmpty():
         step += 1
         met = needs.alias("n").join(
             last.alias("l"), F.col("n.conv_id").eqNullSafe(F.col("l.conv_id")) & (F.col("n.need") == F.col("l.call_id"))
         ).groupBy(F.col("n.conv_id").alias("conv_id"), F.col("n.call_id").alias("call_id")).agg(F.count(F.lit(1)).alias("met"))
-        left = written(waiting.alias("w").join(met.alias("m"), same("w", "m"), "left").select(
+        left = written(waiting.alias("w").join(met.alias("m"), _same("w", "m"), "left").select(
             "w.conv_id", "w.call_id", (F.col("open") - F.coalesce("met", F.lit(0))).alias("open")), "waiting")
         last = written(left.where("open = 0").select(*keys, F.lit(step).alias("step")), "steps")
         if last.isEmpty():
@@ -156,14 +205,14 @@ def linked_chats(turns: DataFrame, schemas: dict | None = None) -> DataFrame:
     that is unreadable, is ``orphan``; of several results of a call the first
     counts, the others are ``repeated``. Null conversation ids form one conversation. Calls and
     results meet in a hash join on conversation and identifier, so one
-    conversation, however long, spreads over tasks. Empty tables give no rows.
+    conversation, however long, spreads over tasks. Extra columns are left out. Empty tables give no rows.
     """
     all_ = written(events(turns, schemas), "events")
     at = F.struct("turn", "place")
     calls = all_.where("kind = 'call' and call_id is not null")
     firsts = written(calls.groupBy("conv_id", "call_id").agg(
         F.min(at).alias("at"), F.min_by("needs", at).alias("needs")), "calls")
-    same = lambda a, b: F.col(f"{a}.conv_id").eqNullSafe(F.col(f"{b}.conv_id")) & (F.col(f"{a}.call_id") == F.col(f"{b}.call_id"))
+    same = _same
     steps = call_steps(firsts.select("conv_id", "call_id", "needs"))
     found = all_.where("kind = 'result' and problem is null").alias("r").join(firsts.alias("f"), same("r", "f")).where(
         "struct(r.turn, r.place) > f.at")
