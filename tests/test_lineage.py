@@ -17,7 +17,7 @@ MORE = {
 }
 
 
-@pytest.mark.parametrize("settings", [Settings(), Settings(steps_as_data=True), Settings(stop_target_on_suppress=True)])
+@pytest.mark.parametrize("settings", [Settings(), Settings(steps_as_data=True, stop_target_on_suppress=True)])
 def test_every_routed_row_has_one_way_up(spark, settings):
     got = run(spark, MORE, settings)
     edges = got.lineage().collect()
