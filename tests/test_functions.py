@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.helpers import message_table
+from waybill import session
 from waybill.functions.patterns import runs_deep
 from waybill.functions.render import TemplateError, lit, render
 from waybill.functions.text import decoded, remove_envelope, status_code, wrap_root
@@ -242,6 +243,25 @@ def test_only_small_inputs_are_spread(spark, tmp_path):
     assert spread(big) is big
 
 
+def test_large_blocks_and_joins_are_spread_by_their_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    path = str(tmp_path / "t")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    table = spark.read.parquet(path)
+    dealt = spread(table)
+    sizes = [len(p) for p in dealt.rdd.glom().collect()]
+    assert len(sizes) == 10 and max(sizes) < 200 and sum(sizes) == 1000
+    # Even splits stay where they are.
+    dealt.write.parquet(f"{path}2")
+    even = spark.read.parquet(f"{path}2").repartition(10)
+    assert spread(even) is even
+    # The product of two sizes is no size of a join.
+    wide = spark.range(10).selectExpr("id as k", "repeat(uuid(), 100000) as text").coalesce(1)
+    wide.write.parquet(f"{path}3")
+    joined = table.join(F.broadcast(spark.read.parquet(f"{path}3")), F.expr("id = k"), "left")
+    assert spread(joined).rdd.getNumPartitions() == 10
+
+
 def test_duplicate_parameters_and_unknown_route(spark):
     doc = '{"targets": [{"id": "t", "transformations": [["A://?k=1&k=2&l=3"]]}]}'
     (row,) = steps(parse_routes(spark.createDataFrame([("p", doc)], "process string, doc string"))).collect()

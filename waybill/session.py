@@ -141,16 +141,25 @@ def lookup_join(
 
 # Spark packs files below this size into shared splits.
 SPLIT_BYTES = 4 * 1024 * 1024
+# Rows of files that a task gets, about; splits of up to twice as many stay as they are.
+TASK_ROWS = 50_000
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal out the rows of an input too small to give every core a split.
+    """Deal out the rows of an input whose splits are too few or too uneven.
 
-    Only an input estimated below one small split per core is shuffled; a large
-    one comes in enough splits and stays where it is.
+    A file may hold a million rows in one block that does not split, and the estimated size of a
+    join says nothing. So the rows of each split are counted, by a pass that reads no columns of a
+    table, and those of files get tasks of ``TASK_ROWS`` rows, one per core at least.
+    Rows that come from no files are dealt out if they are estimated below one small split per core.
     """
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return df.repartition(cores) if size <= cores * SPLIT_BYTES else df
+    if not len(df._jdf.inputFiles()):
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        return df.repartition(cores) if size <= cores * SPLIT_BYTES else df
+    held = df.groupBy(F.spark_partition_id().alias("split")).count().agg(F.sum("count").alias("n"), F.max("count").alias("most")).first()
+    rows, most = held["n"] or 0, held["most"] or 0
+    tasks = max(cores, -(-rows // TASK_ROWS))
+    return df.repartition(tasks) if most > 2 * -(-rows // tasks) else df
