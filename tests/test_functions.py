@@ -2,6 +2,7 @@
 
 import html
 import json
+import random
 import re
 import xml.etree.ElementTree as ET
 
@@ -243,6 +244,18 @@ def test_only_small_inputs_are_spread(spark, tmp_path):
     assert spread(big) is big
 
 
+def test_lists_of_keys_may_come_in_another_order_each_time(spark):
+    keys = "abcdefgh"
+    some = F.udf(lambda: ",".join(random.sample(keys, 8))).asNondeterministic()
+    df = spark.range(50).select(
+        F.concat(F.lit("m"), "id").alias("msg_id"), F.lit("").alias("content"), F.create_map(F.lit("keys"), some()).alias("attrs"))
+    values = spark.createDataFrame([(k, k * 2) for k in keys], "key string, value string")
+    rows = multi_lookup(df, "${keys}", values, attribute="found", limit=0).collect()
+    assert len(rows) == 50
+    for r in rows:
+        assert r["error"] is None and [r["attrs"][f"found.{k}"] for k in keys] == [k * 2 for k in keys]
+
+
 def test_large_blocks_and_joins_are_spread_by_their_rows(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(session, "TASK_ROWS", 100)
     path = str(tmp_path / "t")

@@ -122,8 +122,12 @@ def _probed(work: DataFrame, table: DataFrame, most: int) -> DataFrame:
 
 
 def _by_lists(work: DataFrame, table: DataFrame, limit: int) -> DataFrame:
-    """``__found`` of each distinct list of keys, joined back to the messages."""
-    work = work.withColumn("__list", F.expr("to_json(__keys)"))
+    """``__found`` of each distinct list of keys, joined back to the messages.
+
+    The messages are written first: a list that is collected anew may come in another order,
+    and would not meet what was looked up.
+    """
+    work = written(work.withColumn("__list", F.expr("to_json(__keys)")), "messages")
     lists = work.where("__keys is not null").select("__list", "__keys").distinct()
     each = lists.selectExpr("__list", "posexplode(__keys) as (__at, __k)")
     looked = lookup_join(each, table, "__k", limit=limit, salt_by=F.struct("__list", "__at"))
