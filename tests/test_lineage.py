@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from tests.helpers import message_table, one_path, registries, route, run, target
 from tests.test_routing import CASES
 from waybill import Settings, route_messages
+from waybill.operators import lineage
 from waybill.operators.lineage import lineage_closure
+from waybill.session import salted_join
 
 MORE = {
     **CASES,
@@ -46,6 +48,21 @@ def test_closure_of_long_chains_and_wide_trees(spark):
     assert lineage_closure(chain.limit(0)).count() == 0
 
 
+def test_nodes_that_got_to_their_message_take_no_part_in_later_rounds(spark, monkeypatch):
+    left = []
+
+    def counted(rows, *rest):
+        left.append(rows.count())
+        return salted_join(rows, *rest)
+
+    monkeypatch.setattr(lineage, "salted_join", counted)
+    stars = spark.range(100).selectExpr("'m' as parent_id", "concat('c', id) as child_id")
+    chain = spark.range(8).selectExpr("concat('n', id) as parent_id", "concat('n', id + 1) as child_id")
+    got = {r["node"]: (r["root"], r["depth"]) for r in lineage_closure(stars.unionByName(chain)).collect()}
+    assert got == {f"c{i}": ("m", 1) for i in range(100)} | {f"n{i + 1}": ("n0", i + 1) for i in range(8)}
+    assert left[0] == 108 and max(left[1:]) < 8
+
+
 def test_closure_refuses_circles_and_second_parents(spark):
     pairs = lambda *rows: spark.createDataFrame(rows, "parent_id string, child_id string")
     with pytest.raises(ValueError, match="circle"):

@@ -55,23 +55,28 @@ def lineage_closure(edges: DataFrame) -> DataFrame:
     Edges of several runs may be put together: a row that was parked and came
     back is the message of the later run. Every round looks one pointer's
     pointer up and doubles the depth that is covered, so a chain of n edges takes
-    log2(n) rounds; each round is a written table, and heavy parents are salted.
+    log2(n) rounds; each round is a written table, and heavy parents are salted. A node whose
+    pointer has got to a message is done and takes no part in later rounds.
     A node with two parents or a circle is an error; repeated edges count once.
     """
-    first = edges.select(F.col("child_id").alias("node"), F.col("parent_id").alias("root"), F.lit(1).cast("long").alias("depth"))
-    up = written(first.distinct(), "lineage")
-    size = up.count()
-    if up.select("node").distinct().count() < size:
+    first = edges.select(F.col("child_id").alias("node"), F.col("parent_id").alias("root")).distinct()
+    left = written(first.select("node", "root", F.lit(1).cast("long").alias("depth"), F.lit(False).alias("done")), "lineage")
+    size = left.count()
+    # As many hashes as rows: no node comes twice. Only else are the nodes themselves compared.
+    if left.select(F.xxhash64("node")).distinct().count() < size and left.select("node").distinct().count() < size:
         raise ValueError("a lineage node has more than one parent")
+    over = left.where("done")
     while True:
-        above = up.select(F.col("node").alias("root"), F.col("root").alias("further"), F.col("depth").alias("more"))
-        step = salted_join(up, above, "root", F.col("node"))
+        above = over.unionByName(left).select(
+            F.col("node").alias("root"), F.col("root").alias("further"), F.col("depth").alias("more"), F.col("done").alias("ended"))
+        step = salted_join(left, above, "root", F.col("node"))
         now = written(step.select(
             "node", F.coalesce("further", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
-            F.col("further").isNotNull().alias("moved")), "lineage")
-        most = now.agg(F.max("moved").alias("moved"), F.max("depth").alias("depth")).first()
-        up = now.drop("moved")
-        if not most["moved"]:
-            return up
+            (F.col("further").isNull() | F.col("ended")).alias("done")), "lineage")
+        most = now.agg(F.min("done").alias("done"), F.max("depth").alias("depth")).first()
+        over = over.unionByName(now.where("done"))
+        if most["done"] is not False:
+            return over.drop("done")
         if most["depth"] > size:
             raise ValueError("the lineage has a circle")
+        left = now.where("not done")
