@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -32,6 +33,7 @@ class Search(NamedTuple):
     copied: float = 0.8
     paraphrased: float = 0.55
     answered: float = 0.8
+    alike: float = 0.8
     item_block: int = 5_000
     seed: int = 7
 
@@ -58,7 +60,7 @@ def _features(code: np.ndarray, n: int) -> np.ndarray:
 
 
 BLOCK = 1024
-PART = 65_536
+PART = 131_072
 #: Words of stretches that are compared with an item at once.
 CELLS = 4 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -178,8 +180,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, s: Search = Search()) -> DataFr
     order, so nothing that the rule accepts is passed over. The longest common
     subsequence of item and stretch decides: from ``copied`` of the item's words on
     it is a leak; from ``paraphrased`` on, if as much as ``answered`` of the item's
-    answer, its last sentence, is there too. The rule holds for each stretch by
-    itself; the best one that passes is reported, with its ``cosine`` in the latent
+    answer, its last sentence, is there too. Below that the latent space decides: a stretch with
+    ``copied`` of the item's words in another order, and with the answer, is a leak if the item's
+    windows have their like in it, by a mean cosine of ``alike``. The rule holds for each stretch by
+    itself; the best one that passes is reported, with its greatest ``cosine`` in the latent
     space. An item of fewer than ``brief`` words is a leak where it stands word by word.
 
     The items are a query set, taken in blocks of ``item_block``; each block's
@@ -229,19 +233,50 @@ def _gate(words: list[np.ndarray], often: np.ndarray, s: Search) -> tuple[np.nda
     return counts, floor
 
 
-def _shares(words: np.ndarray, around: np.ndarray, n: int) -> np.ndarray:
-    """Shares of an item in many stretches (rows of word numbers below ``n``), by their common subsequences."""
+def _common(a: list, b: list) -> int:
+    """How many words two texts share, in any order."""
+    return (Counter(a) & Counter(b)).total()
+
+
+def _shares(words: np.ndarray, tail: int, least: float, around: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of an item in many stretches (rows of word numbers below ``n``), by their common subsequences.
+
+    And how much of its words may be there in any order: 0 where less than ``least`` of its last ``tail`` words is.
+    """
     size = len(words)
     if size > 64:
-        return np.array([lcs(words.tolist(), row.tolist()) for row in around]) / size
+        mine, rows = words.tolist(), around.tolist()
+        return np.array([lcs(mine, row) for row in rows]) / size, np.array([_common(mine, row) for row in rows]) / size
     masks = np.zeros(n, dtype=np.uint64)
     for i, w in enumerate(words.tolist()):
         masks[w] |= np.uint64(1 << i)
     v = np.full(len(around), (1 << 64) - 1, dtype=np.uint64)
+    seen = np.zeros(len(around), dtype=np.uint64)
     for column in around.T:
-        hit = v & masks[column]
+        mask = masks[column]
+        seen |= mask
+        hit = v & mask
         v = (v + hit) | (v - hit)
-    return (size - np.bitwise_count(v & np.uint64((1 << size) - 1)).astype(np.int64)) / size
+    left = np.bitwise_count(v & np.uint64((1 << size) - 1)).astype(np.int64)
+    whole = np.bitwise_count(seen >> np.uint64(size - tail)) >= least * tail if tail else True
+    return (size - left) / size, np.where(whole, np.bitwise_count(seen) / size, 0.0)
+
+
+def _sums(each: np.ndarray, wides: list[int], n: int) -> Iterator[np.ndarray]:
+    """Sums of so many (even) consecutive rows around each of ``n`` places, put together from sums of 1, 2, 4, ... rows."""
+    most = max(wides) // 2
+    powers = [np.pad(each, ((most, most + 1), (0, 0)))]
+    while 2 ** len(powers) <= max(wides):
+        done = 2 ** (len(powers) - 1)
+        powers.append(powers[-1][:-done] + powers[-1][done:])
+    for wide in wides:
+        at, total = most - (wide // 2 - 1), None
+        for k, power in enumerate(powers):
+            if wide >> k & 1:
+                part = power[at:at + n]
+                total = part if total is None else total + part
+                at += 1 << k
+        yield total
 
 
 def _search(items: list[tuple[int, str]], space: np.ndarray, s: Search):
@@ -255,16 +290,24 @@ def _search(items: list[tuple[int, str]], space: np.ndarray, s: Search):
         none = len(vocabulary)  # the number of a word that no item has
         words = [np.searchsorted(vocabulary, c) for _, _, c in items]
         sizes = np.array([len(w) for w in words])
+        answers = [codes(answer_of(t)) for _, t, _ in items]
+        tails = [len(a) if np.array_equal(c[len(c) - len(a):], a) else 0 for a, (_, _, c) in zip(answers, items, strict=True)]
         brief = int(np.searchsorted(sizes, s.brief))
         overlap = -(-(2 * int(sizes[-1]) + s.width) // half) * half
         columns = [c.split()[0] for c in LEAK.split(", ")]
         gate: list = []
         vectors: dict = {}
 
+        known = np.zeros(1 << 16, dtype=bool)
+        known[vocabulary >> np.uint32(16)] = True
+
         def numbers(code: np.ndarray) -> np.ndarray:
-            at = np.minimum(np.searchsorted(vocabulary, code), none - 1)
-            at = np.where(vocabulary[at] == code, at, none)
-            return np.concatenate([at, np.full(-len(at) % half, none)])
+            number = np.full(len(code) + -len(code) % half, none)
+            place = np.flatnonzero(known[code >> np.uint32(16)])
+            mine = code[place]
+            at = np.minimum(np.searchsorted(vocabulary, mine), none - 1)
+            number[place] = np.where(vocabulary[at] == mine, at, none)
+            return number
 
         def matches(held: list) -> list:
             """Of documents (id, mark, codes) taken together."""
@@ -284,7 +327,7 @@ def _search(items: list[tuple[int, str]], space: np.ndarray, s: Search):
             return [r for (d, j), found in sorted(spots.items()) for r in decided(held[d], j, found)]
 
         def gather(parts: list, spots: dict) -> None:
-            """Adds (start, end, share) of every stretch with enough of an item, by document and item."""
+            """Adds (start, end, share) of every stretch with enough of an item, in whatever order, by document and item."""
             flat = [numbers(p[2]) for p in parts]
             ends = np.cumsum([len(f) for f in flat])
             flat, begins = np.concatenate(flat), ends - [len(f) for f in flat]
@@ -300,12 +343,12 @@ def _search(items: list[tuple[int, str]], space: np.ndarray, s: Search):
                 for k in range(0, len(at), step):
                     part = slice(k, k + step)
                     if j < brief:
-                        share = np.where(hi[part] <= ends[of[part]], 1.0, 0.0)
+                        share = some = np.where(hi[part] <= ends[of[part]], 1.0, 0.0)
                     else:
                         place = lo[part, None] + np.arange(2 * size + s.width)
                         inside = place < hi[part, None]
-                        share = _shares(words[j], np.where(inside, flat[np.minimum(place, len(flat) - 1)], none), none + 1)
-                    for x in np.flatnonzero(share >= s.paraphrased):
+                        share, some = _shares(words[j], tails[j], s.answered, np.where(inside, flat[np.minimum(place, len(flat) - 1)], none), none + 1)
+                    for x in np.flatnonzero((share >= s.paraphrased) | (some >= s.copied)):
                         d, o, _ = parts[of[k + x]]
                         start = o - begins[of[k + x]]
                         spots.setdefault((d, j), set()).add((int(start + lo[k + x]), int(start + hi[k + x]), float(share[x])))
@@ -335,30 +378,40 @@ def _search(items: list[tuple[int, str]], space: np.ndarray, s: Search):
             n, out = len(flat) // half, []
             for c in range(0, counts.shape[1], 256):
                 table = counts[:, c:c + 256]
-                total = np.zeros((n + 1, table.shape[1]), dtype=np.int32)
-                np.cumsum(np.add.reduce(table[flat].reshape(n, half, -1), axis=1, dtype=np.uint8), axis=0, out=total[1:])
+                width = table.shape[1]
+                lanes = np.zeros((len(table), -(-width // 8) * 8), dtype=np.uint8)
+                lanes[:, :width] = table
+                each = np.add.reduce(lanes.view(np.uint64).take(flat, axis=0).reshape(n, half, -1), axis=1)
                 reach = -(-sizes[brief + c:brief + c + 256] // half)
-                for r in np.unique(reach):
+                # Eight counts in a number, unless a long stretch may hold too many words for that.
+                if (2 + 2 * int(reach.max())) * half > 255:
+                    each = each.view(np.uint8).astype(np.int32)
+                several = np.unique(reach)
+                for r, near in zip(several, _sums(each, [2 + 2 * int(r) for r in several], n), strict=True):
                     same = slice(*np.searchsorted(reach, [r, r + 1]))
-                    at, of = np.arange(n), total[:, same]
-                    near = of[np.minimum(at + 2 + r, n)] - of[np.maximum(at - r, 0)]
-                    j, b = np.nonzero((near >= floor[c:c + 256][same]).T)
+                    near = (near if near.dtype == np.int32 else near.view(np.uint8))[:, same]
+                    b, j = np.nonzero(near >= floor[c:c + 256][same].astype(near.dtype))
+                    order = np.argsort(j, kind="stable")
+                    j, b = j[order], b[order]
                     cut = np.flatnonzero(np.diff(j)) + 1
                     out += [(brief + c + same.start + int(q[0]), p * half) for q, p in zip(np.split(j, cut), np.split(b, cut), strict=True) if len(q)]
             return out
 
         def decided(h: tuple, j: int, found: set) -> list:
             """The item's best stretch that is a leak, if there is one."""
-            item, text, marks = items[j]
-            answer = codes(answer_of(text)).tolist()
+            item, _, marks = items[j]
+            answer = answers[j].tolist()
             for lo, hi, share in sorted(found, key=lambda x: (-x[2], x[0])):
                 around = h[2][lo:hi]
                 told = lcs(answer, around.tolist()) / len(answer) if answer else 0.0
-                if share >= s.copied or share >= s.paraphrased and told >= s.answered:
+                leak = share >= s.copied or share >= s.paraphrased and told >= s.answered
+                moved = share < s.paraphrased and told >= s.answered and _common(marks.tolist(), around.tolist()) >= s.copied * len(marks)
+                if leak or moved:
                     if j not in vectors:
                         vectors[j] = _item_windows(_features(marks, s.features), space, s.width, s.item_stride)
-                    near = float((_windows(_features(around, s.features), space, s.width) @ vectors[j].T).max())
-                    return [(h[0], h[1], item, lo, hi, near, share, told)]
+                    near = (_windows(_features(around, s.features), space, s.width) @ vectors[j].T).max(axis=0)
+                    if leak or near.mean() >= s.alike:
+                        return [(h[0], h[1], item, lo, hi, float(near.max()), share, told)]
             return []
 
         for batch in batches:
