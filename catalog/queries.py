@@ -1064,7 +1064,8 @@ def park_return_stream(spark: SparkSession, d: str) -> DataFrame:
     base = scratch(spark, "returns")
     source, back = f"{base}/in", f"{base}/back"
     sent = event_messages(table(spark, d, "events"), more=", 'at', cast(ts as string)")
-    sent.write.parquet(source)
+    # A stream can't be dealt out by its rows, so its files are even.
+    spread(sent).write.parquet(source)
     # Half of the users' rows return after ten minutes, a quarter after two days, a quarter never.
     user, at = "cast(attrs['user'] as int)", "cast(attrs['at'] as timestamp)"
     later = f"{at} + case when {user} % 4 = 3 then interval 2 days else interval 10 minutes end"

@@ -2,13 +2,15 @@
 
 import datetime
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from catalog.queries import QUERIES
 from tests.helpers import message_table, one_path, registries
-from waybill import messages, route_messages
+from waybill import messages, route_messages, session
 from waybill.sources import commits
 from waybill.sources.commits import commit_batch, read_batches, remove_leftovers
 from waybill.streaming.route import dropped_late, match_returns, resume_stream, route_stream
@@ -145,3 +147,16 @@ def test_rows_behind_the_watermark_are_found(spark, tmp_path):
     # Each parked row and each return has one outcome; the last ones still wait.
     assert len(rows) == 12 + 11 and {r.msg_id.split("/")[0] for r in rows} == {f"m{i}" for i in range(12)}
     assert late.columns == got.drop("batch").columns and dropped_late(case.parked, spark.read.parquet(case.back), got, "2024-01-01").count() == 0
+
+
+def test_the_stream_of_returns_reads_even_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 10)
+    rows = spark.range(60).selectExpr(
+        "id as event_id", "if(id % 5 = 0, 'error', 'click') as event_type", "id % 7 as user_id", "id / 4 as value", "timestamp'2026-01-01' as ts")
+    rows.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    before = set(Path(session.shared_dir(spark)).glob("returns-*"))
+    got = QUERIES["park_return_stream"](spark, str(tmp_path))
+    assert got.where("msg_id like 'e%'").select("msg_id").distinct().count() == 48
+    (base,) = set(Path(session.shared_dir(spark)).glob("returns-*")) - before
+    # Six even files and the one of the last row.
+    assert len(list((base / "in").glob("*.parquet"))) == 7
