@@ -17,7 +17,7 @@ from waybill.functions.patterns import runs_deep
 from waybill.functions.render import TemplateError, lit, render
 from waybill.functions.text import decoded, remove_envelope, status_code, wrap_root
 from waybill.functions.total import PartialExpression, total
-from waybill.functions.xmlfn import _ordered, compact_json, schema_problem, well_formed
+from waybill.functions.xmlfn import _ordered, compact_json, root_name, schema_file, schema_problem, sure_form, valid_xml, well_formed
 from waybill.functions.xpath import OPERATOR_LIMIT, field_values, from_root, pack_paths, xpath_fields, xpath_problem
 from waybill.operators.lookup import lookup_failed, lookup_passed, multi_lookup, receiver_lookup
 from waybill.operators.restrict import content_matches, fan_out_permitted, with_permitted
@@ -346,3 +346,45 @@ def test_json_scalars_are_what_their_text_says(spark):
 def test_json_of_empty_and_mixed_elements(spark, content, want):
     got = json.loads(spark.createDataFrame([(content,)], "c string").selectExpr(compact_json("c")).first()[0])["r"]
     assert want is None or got == want
+
+
+_PLAIN_XSD = (
+    '<x:schema xmlns:x="http://www.w3.org/2001/XMLSchema"><x:element name="o"><x:complexType><x:sequence>'
+    '<x:element name="id" type="x:long"/><x:element name="ok" type="x:boolean" minOccurs="0"/><x:element name="t.x" type="x:string"/>'
+    '<x:element name="in"><x:complexType><x:sequence><x:element name="n" type="x:decimal"/></x:sequence></x:complexType></x:element>'
+    '</x:sequence></x:complexType></x:element><x:element name="k" type="x:int"/></x:schema>'
+)
+
+
+def test_sure_form_takes_only_what_is_valid(spark):
+    ids = ["1", "-1", "", "+1", " 1", "9" * 18, "9" * 19, "9" * 20, "\u0661", "1.0", "x"]
+    texts = ["a", "", "a b\n", "a&amp;b", "a&b", "a<b/>", "]]>", ">", "\x01", "\x7f", "\r", "\ud7ff", "\ufffd", "\ufffe", "\U0001f600", "<!-- c -->", "\ue000", "n" * 300_000]
+    form = "<o><id>{}</id>{}<t.x>{}</t.x><in><n>{}</n></in></o>"
+    docs = [form.format(i, "", "a", "1.5") for i in ids] + [form.format(1, "", t, "-1.50") for t in texts] + [form.format(1, "", "a", n) for n in ids]
+    docs += [form.format(1, o, "a", 1) for o in ("<ok>true</ok>", "<ok>TRUE</ok>", "<ok>1</ok>", "<ok/>", "<ok>1</ok><ok>1</ok>", "<bad>1</bad>", "x")]
+    plain = form.format(1, "", "a", 1)
+    docs += [before + plain + after for before in ("", " ", "\n", "\ufeff", '<?xml version="1.0"?>', '<?xml version="1.1"?>', '<?xml version="1.0"?>' * 2, "<!-- c -->") for after in ("", "\n", "x")]
+    docs += [plain.replace("<o>", "<o a='1'>"), plain.replace("<o>", "<o >"), plain.replace("<t.x>", "<tyx>"), plain.replace("><", ">\n <"), "<k>1</k>", "<k>-2147483649</k>", "<k/>", "<id>1</id>", "", "x"]
+    path, sure = schema_file(spark, _PLAIN_XSD), sure_form(_PLAIN_XSD)
+    assert schema_problem(spark, _PLAIN_XSD) is None
+    rows = spark.createDataFrame([(d,) for d in docs] + [(None,)], "c string").selectExpr(
+        "c", f"{valid_xml('c', path)} as parsed", f"{valid_xml('c', path, sure)} as quick", f"c rlike {lit(sure)} as sure").collect()
+    for row in rows:
+        assert row["quick"] == row["parsed"], row["c"]
+    # Plain documents are not parsed.
+    assert {plain, plain.replace("><", ">\n <"), "<k>1</k>", '<?xml version="1.0"?>' + plain} <= {row["c"] for row in rows if row["sure"]}
+
+
+@pytest.mark.parametrize("change", [
+    ('type="x:long"', 'type="x:date"'), ('type="x:long"', 'type="y:long"'), ('type="x:long"', 'type="long"'), ('type="x:long"', 'type="x:long" fixed="1"'),
+    ('minOccurs="0"', 'maxOccurs="2"'), ("<x:schema ", '<x:schema targetNamespace="u" '), ("<x:complexType>", '<x:complexType mixed="true">'),
+    ("x:sequence>", "x:all>"), ("</x:schema>", "<x:simpleType/></x:schema>"), ("</x:schema>", ""),
+])
+def test_other_schemas_have_no_sure_form(change):
+    assert sure_form(_PLAIN_XSD) and sure_form(_PLAIN_XSD.replace(*change)) is None
+
+
+def test_root_name_of_any_start(spark):
+    docs = {"<a/>": "a", "<a.b-c >1</a.b-c>": "a.b-c", "<a\nk='1'/>": "a", "<a\r\n/>": "a", "<?xml version='1.0'?><b><c/></b>": "b", "<!-- <x> --><d/>": "d", "<\u00e9t\u00e9/>": "\u00e9t\u00e9", " <e>1</e>": "e"}
+    got = spark.createDataFrame([(d,) for d in docs], "c string").selectExpr("c", root_name("c")).collect()
+    assert {r[0]: r[1] for r in got} == docs

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import json
+import re
+from xml.etree import ElementTree
 from xml.parsers import expat
 
 import pandas as pd
@@ -38,10 +41,72 @@ def schema_problem(spark: SparkSession, xsd: str) -> str | None:
     return None
 
 
-def valid_xml(content: str, xsd_path: str) -> str:
-    """True where the content is valid against the schema file; null is not."""
+_XS = "{http://www.w3.org/2001/XMLSchema}"
+# Texts that are surely valid for a type, as Java patterns: plain characters and short numbers.
+_SURE_TYPES = {
+    "string": r"[\t\n\x20-\x25\x27-\x3B\x3D\x3F-\x5C\x5E-\uD7FF]*+",
+    "long": r"-?[0-9]{1,18}+",
+    "int": r"-?[0-9]{1,9}+",
+    "integer": r"-?[0-9]{1,18}+",
+    "decimal": r"-?[0-9]{1,18}+(?:\.[0-9]{1,18}+)?+",
+    "boolean": r"(?:true|false|0|1)",
+}
+_BLANK = r"[\x20\t\n]*+"
+
+
+def sure_form(xsd: str) -> str | None:
+    """A Java pattern of plain documents that are valid for sure, for schemas of nested sequences; None for any other.
+
+    It has tags without attributes, plain texts and no repeated group. What it does not match may be valid as well.
+    """
+    bound: dict[str, set[str]] = {}
+    try:
+        for _, (prefix, uri) in ElementTree.iterparse(io.BytesIO(xsd.encode("utf-8")), events=("start-ns",)):
+            bound.setdefault(prefix, set()).add(f"{{{uri}}}")
+        root = ElementTree.fromstring(xsd.encode("utf-8"))
+    except (ElementTree.ParseError, ValueError):
+        return None
+
+    def body(element: ElementTree.Element) -> str:
+        name, kind = element.get("name", ""), element.get("type")
+        known = {"name", "type", "minOccurs", "maxOccurs"}
+        if element.tag != f"{_XS}element" or not known.issuperset(element.keys()) or not re.fullmatch(r"[A-Za-z_][\w.-]{0,99}", name, re.A) or name == "bad":
+            raise ValueError(name)
+        if kind is not None:
+            prefix, _, local = kind.rpartition(":")
+            if len(element) or bound.get(prefix) != {_XS} or local not in _SURE_TYPES:
+                raise ValueError(kind)
+            inner = _SURE_TYPES[local]
+        else:
+            (record,) = element
+            (sequence,) = record
+            if record.tag != f"{_XS}complexType" or record.keys() or sequence.tag != f"{_XS}sequence" or sequence.keys():
+                raise ValueError(name)
+            inner = _BLANK + "".join(part(e) + _BLANK for e in sequence)
+        return f"<{re.escape(name)}>{inner}</{re.escape(name)}>"
+
+    def part(element: ElementTree.Element) -> str:
+        least, most = element.get("minOccurs", "1"), element.get("maxOccurs", "1")
+        if least not in ("0", "1") or most != "1":
+            raise ValueError(f"{least} to {most}")
+        return body(element) if least == "1" else f"(?:{body(element)})?+"
+
+    try:
+        if root.tag != f"{_XS}schema" or root.keys() or not len(root):
+            return None
+        roots = "|".join(body(e) for e in root)
+    except ValueError:
+        return None
+    return rf"\A(?:<\?xml version=\x221\.0\x22\?>)?+(?:{roots})\z"
+
+
+def valid_xml(content: str, xsd_path: str, sure: str | None = None) -> str:
+    """True where the content is valid against the schema file; null is not. What matches ``sure`` (``sure_form``) is not parsed."""
     options = f"map('columnNameOfCorruptRecord', 'bad', 'rowValidationXSDPath', {lit(xsd_path)})"
-    return f"({content} is not null and from_xml({content}, 'bad string', {options}).bad is null)"
+    checked = f"from_xml({content}, 'bad string', {options}).bad is null"
+    if sure:
+        checked = f"case when {content} rlike {lit(sure)} then true else {checked} end"
+    return f"({content} is not null and {checked})"
 
 
 def well_formed(spark: SparkSession, content: str) -> str:
@@ -61,7 +126,9 @@ def shaped_xml(expr: str, doc: str, root_tag: str) -> str:
 
 
 def root_name(content: str) -> str:
-    return f"xpath_string({content}, 'name(/*)')"
+    """Name of the root element of well-formed content; only what does not start with its plain tag is parsed."""
+    plain = f"regexp_extract({content}, {lit(r'\A<([A-Za-z_][A-Za-z0-9_.-]*)[\x20\t\n/>]')}, 1)"
+    return f"coalesce(nullif({plain}, ''), xpath_string({content}, 'name(/*)'))"
 
 
 # A sign of the private area. Before ``n`` it says that a text stays a text; a sign of the content is doubled.

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.functions.xmlfn import schema_file, schema_problem
+from waybill.functions.xmlfn import schema_file, schema_problem, sure_form, valid_xml
 from waybill.operators.audit import audit_keys
 from waybill.operators.steps import STEPS, hand_off
 from waybill.plans.context import Reshape, Settings, Slots, Step, StepContext, StepError
@@ -141,8 +141,10 @@ def compile_steps(
     return slots, run(slots)
 
 
-def schema_paths(spark: SparkSession, found: Registry) -> tuple[dict[str, str], dict[str, str]]:
-    """Usable schemas by name as shared files, and the errors of the others."""
+def schema_checks(spark: SparkSession, found: Registry) -> tuple[dict[str, str], dict[str, str]]:
+    """Whether the content is valid, for usable schemas by name, and the errors of the others."""
     problems = {name: p for name, xsd in found.schemas.items() if (p := schema_problem(spark, xsd))}
-    good = {name: schema_file(spark, xsd) for name, xsd in found.schemas.items() if name not in problems}
+    good = {
+        name: valid_xml("content", schema_file(spark, xsd), sure_form(xsd)) for name, xsd in found.schemas.items() if name not in problems
+    }
     return good, problems

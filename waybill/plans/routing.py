@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 
 from waybill.functions.render import case, concat, lit, lits
 from waybill.functions.text import soap_envelope
-from waybill.functions.xmlfn import compact_json, ordered_json, valid_xml, well_formed
+from waybill.functions.xmlfn import compact_json, ordered_json, well_formed
 from waybill.functions.xpath import strip_declaration
 from waybill.operators.audit import EVENT, ROW_LINEAGE, audit_keys, audit_rows
 from waybill.operators.lineage import lineage_rows
 from waybill.operators.lookup import not_found
 from waybill.operators.restrict import restricted
 from waybill.operators.steps import not_a_number, whole_number
-from waybill.plans.compile import Registry, compile_steps, named_reshapes, plan_registries, schema_paths
+from waybill.plans.compile import Registry, compile_steps, named_reshapes, plan_registries, schema_checks
 from waybill.plans.context import Settings, Slots, StepContext
 from waybill.plans.datasteps import FIELDS, Outline, stage_columns, with_operations
 from waybill.session import checkpointed, lookup_join, measured_bytes, spread, written
@@ -125,7 +125,7 @@ def _wave(work: DataFrame, parsed: DataFrame, found: Registry, reshapes: DataFra
     side = with_operations(pipelines(parsed), ids) if found.outline else _with_sids(pipelines(parsed), ids)
     size = measured_bytes(side) if found.outline else found.bytes
     df = lookup_join(work, side, "process", size=size, limit=settings.max_registry_bytes, salt_by=F.col("msg_id"))
-    df = _admit(df, *schema_paths(spark, found))
+    df = _admit(df, *schema_checks(spark, found))
     df = restricted(df, found.restricts)
     df = _enter(df, slots)
     for stage in range(found.outline.stages) if found.outline else sorted(found.stages):
@@ -172,9 +172,9 @@ def _admit(df: DataFrame, good: dict[str, str], problems: dict[str, str]) -> Dat
 
     failed = "Failed xml validation!"
     checks = [(f"validate = {lit(name)}", lit(f"{failed} {problem}")) for name, problem in problems.items()]
-    for name, file in good.items():
+    for name, valid in good.items():
         text = lit(f"{failed} content is not valid against {name}")
-        checks.append((f"validate = {lit(name)}", f"case when not {valid_xml('content', file)} then {text} end"))
+        checks.append((f"validate = {lit(name)}", f"case when not {valid} then {text} end"))
     known = f"coalesce(validate in ({lits([*good, *problems])}), false)" if checks else "false"
     no_schema = concat(
         lit("Failed schema extraction! java.io.IOException: Schema with name "), "coalesce(validate, 'null')", lit(" not found")
