@@ -8,12 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from waybill import RouteRun, Settings, route_messages
 from waybill.functions.render import lit
+from waybill.session import spread
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def dealt(spark: SparkSession, d: str, name: str) -> DataFrame:
+    """A table whose rows are dealt out while they are narrow: a message is several times as long as its row."""
+    return spread(table(spark, d, name))
+
+
 def values(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFrame:
     """A small registry as an inline table of strings."""
     names = columns.split()
@@ -82,7 +88,7 @@ def cents(amount: str) -> str:
 
 def order_messages(spark: SparkSession, d: str, more: str = "") -> DataFrame:
     """One message per order; the process is its priority."""
-    return table(spark, d, "orders").selectExpr(
+    return dealt(spark, d, "orders").selectExpr(
         "concat('o', o_orderkey) as msg_id",
         "concat('<order><id>', o_orderkey, '</id><status>', o_orderstatus, '</status><cents>',"
         f" {cents('o_totalprice')}, '</cents></order>') as content",

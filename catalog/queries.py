@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.inputs import (
-    AT_START, SCHEMAS, cents, customer_messages, document_messages, document_xml, escaped, event_messages, order_messages,
+    AT_START, SCHEMAS, cents, customer_messages, dealt, document_messages, document_xml, escaped, event_messages, order_messages,
     page_messages, part_messages, route, routes, run, schemas, table, target, values,
 )
 from waybill import Settings, read_route, returned_messages, route_messages, write_routes
@@ -55,7 +55,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def events(spark: SparkSession, d: str) -> DataFrame:
-    return event_messages(table(spark, d, "events"))
+    return event_messages(dealt(spark, d, "events"))
 
 
 # --- lookups -----------------------------------------------------------------
@@ -706,7 +706,7 @@ def permitted_target_list(spark: SparkSession, d: str) -> DataFrame:
 def restricted_targets(spark: SparkSession, d: str) -> DataFrame:
     """The route names an XPath of permitted targets, targets ask for an envelope and for a root element."""
     more = "case when o_orderkey % 2 = 0 then 'none' else o_orderstatus end"
-    df = table(spark, d, "orders").selectExpr(
+    df = dealt(spark, d, "orders").selectExpr(
         "concat('o', o_orderkey) as msg_id",
         f"concat('<?xml version=\"1.0\"?><order><id>', o_orderkey, '</id><status>', {more}, '</status><cents>', {cents('o_totalprice')}, '</cents></order>') as content",
         "map('business.process.name', 'all') as attrs")

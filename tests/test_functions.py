@@ -11,6 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from catalog.inputs import order_messages
 from tests.helpers import message_table
 from waybill import session
 from waybill.functions.patterns import runs_deep
@@ -275,6 +276,18 @@ def test_large_blocks_and_joins_are_spread_by_their_rows(spark, tmp_path, monkey
     assert spread(joined).rdd.getNumPartitions() == 10
 
 
+def test_tables_are_dealt_out_before_messages_are_made(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    columns = ["id as o_orderkey", "'F' as o_orderstatus", "id / 4 as o_totalprice", "'1-URGENT' as o_orderpriority", "id % 7 as o_custkey"]
+    spark.range(0, 2_000, 1, 1).selectExpr(*columns).write.parquet(f"{tmp_path}/orders.parquet")
+    got = order_messages(spark, str(tmp_path))
+    held = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 2_000 and max(held) <= 2 * 100
+    assert got.select("msg_id").distinct().count() == 2_000
+    # The messages of even tasks stay where they are.
+    assert spread(got) is got
+
+
 def test_duplicate_parameters_and_unknown_route(spark):
     doc = '{"targets": [{"id": "t", "transformations": [["A://?k=1&k=2&l=3"]]}]}'
     (row,) = steps(parse_routes(spark.createDataFrame([("p", doc)], "process string, doc string"))).collect()
