@@ -188,7 +188,7 @@ def schema_lookup(spark: SparkSession, d: str) -> DataFrame:
 """)
 def transform_lookup(spark: SparkSession, d: str) -> DataFrame:
     """A registered transform, the built-in one, and an unknown name."""
-    df = table(spark, d, "customer").join(table(spark, d, "nation"), F.expr("n_nationkey = c_nationkey")).selectExpr(
+    df = dealt(spark, d, "customer").join(table(spark, d, "nation"), F.expr("n_nationkey = c_nationkey")).selectExpr(
         "concat('n', n_nationkey, '-', c_custkey) as msg_id",
         "concat('<e:Envelope xmlns:e=\"http://schemas.xmlsoap.org/soap/envelope/\"><e:Body><b>', n_name, '</b></e:Body></e:Envelope>') as content",
         f"{AT_START.format('shape', ', \'kind\', cast(c_custkey % 3 as string)')} as attrs",

@@ -11,9 +11,11 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from catalog.inputs import order_messages
+from catalog import queries
+from catalog.inputs import order_messages, run
 from tests.helpers import message_table
 from waybill import session
+from waybill.functions import text, xmlfn
 from waybill.functions.patterns import runs_deep
 from waybill.functions.render import TemplateError, lit, render
 from waybill.functions.text import decoded, remove_envelope, status_code, wrap_root
@@ -397,6 +399,67 @@ def test_other_schemas_have_no_sure_form(change):
     assert sure_form(_PLAIN_XSD) and sure_form(_PLAIN_XSD.replace(*change)) is None
 
 
+def _quick_and_parsed(monkeypatch, make):
+    """The SQL text of a function, and that of its way without plain forms."""
+    quick = make()
+    with monkeypatch.context() as m:
+        m.setattr(xmlfn, "SURELY_WELL_FORMED", "(?!)")
+        m.setattr(text, "PLAIN_ENVELOPE", "(?!)()()")
+        return quick, make()
+
+
+_INSIDE = [
+    "", "a", " a ", "\n", "<b/>", "<b>1</b>", "<b><c>1</c>x<c/></b><d/>", "<b k='1'/>", '<b\n k = "\'" >1</b >', "<a.b-c_/>", "<Body>1</Body>", "<b xmlns='u'/>", "<b xmlnsx='u'/>",
+    "<x:b>1</x:b>", "<s:b/>", "s:", ":", "a>b", "]]>", "]", "&amp;", "&", "<b k='<'/>", "<b k='1' k='2'/>", "<b k='1' l='2'/>", "<b></c>", "<b>", "</b>", "<b></b", "<1/>", "<!-- c -->", "<?p?>",
+    "<![CDATA[c]]>", "\r", "\x01", "\x7f", "\ud7ff", "\ue000", "\U0001f600", "\u00b7", "<\u00e9/>", f"<{'n' * 100}/>", f"<{'n' * 101}/>", "t" * 300_000, "<b/>" * 100_000,
+    "<b>" * 7 + "</b>" * 7, "<b>" * 9 + "</b>" * 9,
+]
+
+
+def test_plain_content_is_not_parsed(spark, monkeypatch):
+    plain = ["<a/>", "<a>1</a>", "\n<a k='1'><b>x</b>y<b/></a> ", '<?xml version="1.0"?><x:a xmlns:x="u"><x:b>c:d</x:b></x:a>', f"<a>{'<b>t</b>' * 100_000}</a>"]
+    docs = plain + [f"<a>{i}</a>" for i in _INSIDE] + _INSIDE + ["<bad/>", "<Bad>1</Bad>", "<bad.x/>", "<a/><b/>", "x<a/>", "<a/>x", "\ufeff<a/>", '<?xml version="1.1"?><a/>', None]
+    df = spark.createDataFrame([(d,) for d in docs], "c string")
+    quick, parsed = _quick_and_parsed(monkeypatch, lambda: well_formed(spark, "c"))
+    rows = df.selectExpr("c", f"{quick} as quick", f"{parsed} as parsed").collect()
+    assert [r["c"] for r in rows if r["quick"] != r["parsed"]] == []
+    # A schema that is not there ends a job that parses.
+    monkeypatch.setattr(xmlfn, "schema_file", lambda *_: "/nowhere/gone.xsd")
+    assert df.limit(len(plain)).where(well_formed(spark, "c")).count() == len(plain)
+
+
+def test_plain_envelopes_are_not_parsed(spark, monkeypatch):
+    form = "<{0}:Envelope xmlns:{0}={3}{1}{3}>{2}</{0}:Envelope>".format
+    ns, other = text.SOAP_NS, text.SOAP_12_NS
+    plain = [form("e", ns, f"<e:Body>{i}</e:Body>", '"') for i in ("<b>1</b>", "", " <b> 1 </b>\n<c k='1'/>", "<b/>" * 100_000)]
+    # Content has to be well-formed, and XPath wants prefixes declared.
+    apart = {"<x:b>1</x:b>", "]]>", "&", "<b k='<'/>", "<b k='1' k='2'/>", "<b></c>", "<b>", "</b>", "<b></b", "<1/>", "\x01"}
+    inside = [i for i in _INSIDE if i not in apart]
+    docs = plain + [form(p, n, f"<{p}:Body>{i}</{p}:Body>", '"') for p, n in (("s", ns), ("a.b", other), ("s", "urn:other")) for i in inside]
+    docs += [form("s", ns, f"{g}<s:Body><b/></s:Body>{g}", q) + g for g in ("", "\n ", " " * 20, " " * 21) for q in "\"'"]
+    docs += [form("s", ns, b, '"') for b in ("<s:Body/>", "<s:Body k='1'><b/></s:Body>", "<s:Header/><s:Body><b/></s:Body>", "<s:Body><b/></s:Body><s:Body><c/></s:Body>", "<Body><b/></Body>", "")]
+    df = spark.createDataFrame([(d,) for d in docs], "c string")
+    quick, parsed = _quick_and_parsed(monkeypatch, lambda: remove_envelope(spark, "c"))
+    rows = df.selectExpr("c", f"{quick} as quick", f"{parsed} as parsed").collect()
+    assert [r["c"] for r in rows if r["quick"] != r["parsed"]] == []
+    monkeypatch.setattr(text, "well_formed", lambda *_: "raise_error('parsed')")
+    got = df.limit(len(plain)).selectExpr(remove_envelope(spark, "c")).collect()
+    assert [r[0] for r in got] == ["<b>1</b>", "", "<b> 1 </b>\n<c k='1'/>", "<b/>" * 100_000]
+
+
+def test_customers_are_dealt_out_before_envelopes_are_made(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    made = []
+    monkeypatch.setattr(queries, "run", lambda spark, df, *more, **named: made.append(df) or run(spark, df, *more, **named))
+    spark.range(0, 2_000, 1, 1).selectExpr("id as c_custkey", "cast(id % 3 as int) as c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(3).selectExpr("cast(id as int) as n_nationkey", "concat('N', id) as n_name").write.parquet(f"{tmp_path}/nation.parquet")
+    got = queries.QUERIES["transform_lookup"](spark, str(tmp_path))
+    held = [r["count"] for r in made[0].groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 2_000 and max(held) <= 2 * 100
+    assert {r["kind"]: (r["count"], r["content"], r["problem"]) for r in got.where("msg_id like 'n1-%'").groupBy("kind", "content", "problem").count().collect()} == {
+        1: (667, "<b>N1</b>", None)}
+
+
 def test_root_name_of_any_start(spark):
     docs = {"<a/>": "a", "<a.b-c >1</a.b-c>": "a.b-c", "<a\nk='1'/>": "a", "<a\r\n/>": "a", "<?xml version='1.0'?><b><c/></b>": "b", "<!-- <x> --><d/>": "d", "<\u00e9t\u00e9/>": "\u00e9t\u00e9", " <e>1</e>": "e"}
     got = spark.createDataFrame([(d,) for d in docs], "c string").selectExpr("c", root_name("c")).collect()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from waybill.functions.render import case, concat, lit
-from waybill.functions.xmlfn import well_formed
+from waybill.functions.xmlfn import plain_inside, well_formed
 
 
 def status_code(protocol: str, code: str) -> str:
@@ -64,6 +64,13 @@ def soap_envelope(content: str) -> str:
 
 # The words of an envelope, as XPath steps whatever their prefix.
 _ENVELOPE, _BODY = (f"*[name()='{n}' or substring-after(name(), ':')='{n}']" for n in ("Envelope", "Body"))
+# A plain envelope, for which the cut is right without a look at the parsed document: its own prefix is all that is
+# declared, and inside is plain without a colon. Groups: the prefix, what is inside.
+PLAIN_ENVELOPE = (
+    r"\A<((?!(?i:xml))[A-Za-z_][A-Za-z0-9_.-]{0,99}+):Envelope xmlns:\1=\x22(?:"
+    rf"{'|'.join(ns.replace('.', '[.]') for ns in (SOAP_NS, SOAP_12_NS))})\x22>[\x20\t\n]{{0,20}}+<\1:Body>"
+    rf"({plain_inside()[1]})</\1:Body>[\x20\t\n]{{0,20}}+</\1:Envelope>[\x20\t\n]{{0,20}}+\z"
+)
 
 
 def remove_envelope(spark: SparkSession, content: str) -> str:
@@ -72,7 +79,7 @@ def remove_envelope(spark: SparkSession, content: str) -> str:
     Namespaces that the body uses and the envelope or the body declares move to
     the body's first element. The text is cut by its form and the cut is held
     against the parsed document: null if elements, names or text differ. Content
-    has to be well-formed.
+    has to be well-formed. A plain envelope is not parsed.
     """
     gap = r"(?:\s|<!--(?s:.*?)-->){0,20}"
     prolog = r"^(?:\s|<!--(?s:.*?)-->|<\?(?s:.*?)\?>){0,20}"
@@ -108,7 +115,9 @@ def remove_envelope(spark: SparkSession, content: str) -> str:
     known = lambda c: " or ".join(f"contains({c}, {lit(ns)})" for ns in (SOAP_NS, SOAP_12_NS))
     # The parser names the root; a namespace that stands elsewhere makes no envelope.
     named = f"({known('c')}) and xpath_boolean(c, {lit(f'/{_ENVELOPE}')}) and ({part(1)} = '' or {known(part(1))})"
-    return f"transform(array({content}), c -> case when {named} then {checked} else c end)[0]"
+    other = f"transform(array({content}), c -> case when {named} then {checked} else c end)[0]"
+    plain = lit(PLAIN_ENVELOPE)
+    return f"case when {content} rlike {plain} then trim(regexp_extract({content}, {plain}, 2)) else {other} end"
 
 
 def decoded(binary: str, charset: str = "UTF-8") -> str:
