@@ -113,7 +113,7 @@ def event_messages(events: DataFrame, process: str = "'events'", more: str = "")
 
 def part_messages(spark: SparkSession, d: str, process: str = "'parts'") -> DataFrame:
     """One message per part; every seventh has a size that is not a number."""
-    return table(spark, d, "part").selectExpr(
+    return dealt(spark, d, "part").selectExpr(
         "concat('p', p_partkey) as msg_id",
         "concat('<part><key>', p_partkey, '</key><size>', case when p_partkey % 7 = 0 then 'big' else cast(p_size as string) end,"
         " '</size></part>') as content",

@@ -80,3 +80,39 @@ def test_lineage_of_a_second_pass_joins_on(spark):
     ways = {r["node"]: (r["root"], r["depth"]) for r in lineage_closure(first.lineage().unionByName(second.lineage())).collect()}
     assert {r["lineage"]: ways[r["lineage"]] for r in second.routed().collect()} == {
         f"m/0/0/0/0/0/0/0.{i}/0": ("m", 7) for i in (0, 1)}
+
+
+def _ways(pairs):
+    """Root and depth of each child, by walking up."""
+    up, found = {c: p for p, c in pairs}, {}
+    for child in up:
+        at, steps = child, 0
+        while at in up:
+            at, steps = up[at], steps + 1
+        found[child] = (at, steps)
+    return found
+
+
+@pytest.mark.parametrize("task_bytes", [lineage.TASK_BYTES, 1000, 1])
+def test_names_that_hold_to_their_message_need_no_rounds(spark, monkeypatch, task_bytes):
+    monkeypatch.setattr(lineage, "TASK_BYTES", task_bytes)
+    joins = []
+    monkeypatch.setattr(lineage, "salted_join", lambda rows, *rest: joins.append(rows.count()) or salted_join(rows, *rest))
+    pairs = [edge for m in range(50) for edge in [
+        (f"m{m}", f"m{m}/0"), (f"m{m}/0", f"m{m}/0/1"), (f"m{m}/0/1", f"m{m}/0/1/0"), (f"m{m}/0/1/0", f"m{m}/0/1/0/2"), (f"m{m}", f"m{m}/1")]]
+    table = lambda rows: spark.createDataFrame(rows, "parent_id string, child_id string")
+    closed = lambda rows: {r["node"]: (r["root"], r["depth"]) for r in lineage_closure(table(rows)).collect()}
+    assert closed(pairs + pairs[:7]) == _ways(pairs)
+    # A group above a task's share goes the way of the rounds, as do edges between groups.
+    assert bool(joins) == (task_bytes == 1)
+    apart = [*pairs, ("x", "m3"), ("m4/0/1", "m5"), ("m5/1", "y/0"), ("y/0", "y/0/0")]
+    assert closed(apart) == _ways(apart) and joins
+
+
+def test_circles_and_second_parents_within_a_message_are_refused(spark):
+    pairs = lambda *rows: spark.createDataFrame(rows, "parent_id string, child_id string")
+    for circle in ([("a/0", "a/1"), ("a/1", "a/0")], [("a/0", "a/0")], [("a/0", "a/1"), ("a/1", "a/2"), ("a/2", "a/0"), ("a/2", "a/3")]):
+        with pytest.raises(ValueError, match="circle"):
+            lineage_closure(pairs(*circle))
+    with pytest.raises(ValueError, match="parent"):
+        lineage_closure(pairs(("a/0", "a/1"), ("a", "a/1"), ("a", "a/0")))

@@ -85,8 +85,11 @@ class Slots:
         own = merged("attrs", "extra") if self.extra else "attrs"
         gone = " and (v is not null or not map_contains_key(extra, k))" if self.data else ""
         own = f"map_filter({own}, (k, v) -> k not in ({lits(values)}){gone})"
-        pairs = ", ".join(f"{lit(k)}, cast({v} as string)" for k, v in values.items())
-        return f"map_concat({own}, map_filter(map({pairs}), (k, v) -> v is not null))"
+        # Without a lambda, in which Spark would not compile what makes the values.
+        none = "cast(array() as array<struct<key:string,value:string>>)"
+        entry = "case when {v} is not null then array(named_struct('key', {k}, 'value', cast({v} as string))) else {none} end"
+        entries = ", ".join(entry.format(k=lit(k), v=v, none=none) for k, v in values.items())
+        return f"map_concat({own}, map_from_entries(concat({entries})))"
 
 
 def merged(old: str, new: str) -> str:

@@ -376,8 +376,9 @@ def _finish(wave: Wave, settings: Settings) -> DataFrame:
         (_SENT, f"transform(p.urls, (u, i) -> {sent})"),
         ("alive", f"array({out(lit('failed'), error=lit('no destinations'))})"),
     ])
-    # The route is a field of the explode, so a filter on it stays above the stages.
-    df = df.selectExpr("*", f"explode({outputs}) as out")
+    # The route is a field of the explode, so a filter on it stays above the stages. Made before it and not in it, the list is
+    # compiled; an outer explode has no filter on its size, which would make the list twice.
+    df = df.selectExpr("*", f"{outputs} as outs").selectExpr("*", "explode_outer(outs) as out").where("out is not null")
     going = "out.route in ('deliver', 'parked')"
     synced = f"{going} and coalesce(sync, false)"
     unknown = f"p.target_id not in ({lits(settings.known_systems)})" if settings.known_systems else "p.target_id is not null"
