@@ -149,6 +149,36 @@ def test_rows_behind_the_watermark_are_found(spark, tmp_path):
     assert late.columns == got.drop("batch").columns and dropped_late(case.parked, spark.read.parquet(case.back), got, "2024-01-01").count() == 0
 
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ON_HEAP = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
+def test_what_waits_is_kept_on_disk(spark, tmp_path):
+    assert Parking(spark, tmp_path, end_first=False).run(tmp_path).count() == 12
+    offsets = [p.read_text() for p in (tmp_path / "check" / "offsets").iterdir() if p.name.isdigit()]
+    assert offsets and all("RocksDBStateStoreProvider" in text for text in offsets)
+    # Only that query was told so.
+    assert spark.conf.get(PROVIDER, None) is None
+
+
+def test_a_stream_goes_on_with_the_store_it_began_with(spark, tmp_path):
+    case = Parking(spark, tmp_path, end_first=False)
+    spark.conf.set(PROVIDER, ON_HEAP)
+    try:
+        assert case.run(tmp_path).count() == 12
+    finally:
+        spark.conf.unset(PROVIDER)
+    rows = [(n, "<a/>", {"business.process.name": "p", "at": f"2101-01-0{i} 00:00:00"}) for i, n in enumerate(("next", "last"), 1)]
+    for row in rows:
+        message_table(spark, [row]).coalesce(1).write.mode("append").parquet(case.source)
+    spark.sql("select 'y' as msg_id, '' as content, map('a', 'b') as attrs, timestamp'2101-01-02' as returned_at").coalesce(1).write.mode("append").parquet(case.back)
+    got = case.run(tmp_path)
+    # Two more have waited too long: the one that the first run left in its state and the next.
+    assert {r.msg_id.split("/")[0] for r in got.where("batch > 0 and route = 'failed' and error like '%not returned%'").collect()} >= {"end", "next"}
+    texts = [p.read_text() for p in (tmp_path / "check" / "offsets").iterdir() if p.name.isdigit()]
+    assert all("RocksDB" not in text for text in texts)
+
+
 def test_the_stream_of_returns_reads_even_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(session, "TASK_ROWS", 10)
     rows = spark.range(60).selectExpr(

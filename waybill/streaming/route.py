@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -76,6 +77,33 @@ def _commit(run: RouteRun, base: str, number: int, receivers: DataFrame | None,
     _Files(spark, base).remove(rows)
 
 
+_STORE = "spark.sql.streaming.stateStore"
+# The default store keeps all state of an executor's tasks as objects on its heap. This one keeps it in files on the
+# executor's disk, with a bounded cache (500 MB an executor, if ``maxMemoryUsageMB`` doesn't say otherwise).
+STATE_ON_DISK = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.boundedMemoryUsage": "true",
+    # One store for each task of the join in place of four.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
+}
+
+
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """Queries that start meanwhile keep their state on disk, unless the session names a store itself."""
+    if spark.conf.get(f"{_STORE}.providerClass", None):
+        yield
+        return
+    ours = {key: value for key, value in STATE_ON_DISK.items() if spark.conf.get(key, None) is None}
+    for key, value in ours.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key in ours:
+            spark.conf.unset(key)
+
+
 # Why a parked row or a return has no pair.
 _LOST = "java.util.concurrent.TimeoutException: not returned within"
 _STRAY = "java.lang.IllegalStateException: returned unexpectedly or too late"
@@ -117,7 +145,8 @@ def resume_stream(
 ) -> StreamingQuery:
     """Resume parked rows as their returns come in; those that never or wrongly return go to the failed route.
 
-    See ``match_returns`` for the two streams and ``route_stream`` for the tables.
+    See ``match_returns`` for the two streams and ``route_stream`` for the tables. What waits is kept
+    on the executors' disks (``STATE_ON_DISK``); a checkpoint goes on with the store it began with.
     """
 
     def one_batch(batch: DataFrame, number: int) -> None:
@@ -130,7 +159,8 @@ def resume_stream(
         _commit(run, base, number, tables.get("receivers"), failed_rows(both.where("problem is not null"), "problem"))
         _Files(spark, base).remove(folder)
 
-    return _started(match_returns(parked, returns, timeout, delay), one_batch, checkpoint, trigger, base)
+    with _state_on_disk(parked.sparkSession):
+        return _started(match_returns(parked, returns, timeout, delay), one_batch, checkpoint, trigger, base)
 
 
 def dropped_late(parked: DataFrame, returns: DataFrame, routed: DataFrame, watermark: str, timeout: str = "1 hour") -> DataFrame:
