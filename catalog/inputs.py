@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 
-from waybill import RouteRun, Settings, route_messages
+from waybill import RouteRun, Settings, route_messages, session
 from waybill.functions.render import lit
 from waybill.session import spread
 
@@ -16,8 +16,8 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def dealt(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """A table whose rows are dealt out while they are narrow: a message is several times as long as its row."""
-    return spread(table(spark, d, name))
+    """A table whose rows are dealt out while they are narrow, for a message is several times as long as its row, unless a task can hold them."""
+    return spread(table(spark, d, name), least=session.TASK_ROWS)
 
 
 def values(spark: SparkSession, columns: str, rows: list[tuple]) -> DataFrame:

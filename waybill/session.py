@@ -145,13 +145,14 @@ SPLIT_BYTES = 4 * 1024 * 1024
 TASK_ROWS = 50_000
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, least: int = 0) -> DataFrame:
     """Deal out the rows of an input whose splits are too few or too uneven.
 
     A file may hold a million rows in one block that does not split, and the estimated size of a
     join says nothing. So the rows of each split are counted, by a pass that reads no columns of a
     table, and those of files get tasks of ``TASK_ROWS`` rows, one per core at least.
     Rows that come from no files are dealt out if they are estimated below one small split per core.
+    Files whose splits hold ``least`` rows at most stay as they are.
     """
     if df.isStreaming:
         return df
@@ -162,4 +163,4 @@ def spread(df: DataFrame) -> DataFrame:
     held = df.groupBy(F.spark_partition_id().alias("split")).count().agg(F.sum("count").alias("n"), F.max("count").alias("most")).first()
     rows, most = held["n"] or 0, held["most"] or 0
     tasks = max(cores, -(-rows // TASK_ROWS))
-    return df.repartition(tasks) if most > 2 * -(-rows // tasks) else df
+    return df.repartition(tasks) if most > max(least, 2 * -(-rows // tasks)) else df
